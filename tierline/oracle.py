@@ -193,3 +193,10 @@ ORACLE_SQL = {
         f"WITH {_MEAS} SELECT * FROM measurements WHERE NOT coalesce(id = '42', false)",
     "owner_slug": OWNER_SLUG,
 }
+
+READINGS_EXPECTATIONS = f"""WITH {_READINGS}
+SELECT 'sensor_readings_bronze' AS dataset, 'valid_temperature' AS expectation, 'log' AS action,
+       COUNT(*) AS input_rows,
+       COUNT(*) FILTER (WHERE NOT coalesce(temperature_c BETWEEN -20 AND 60, false)) AS failed_rows,
+       COUNT(*) AS output_rows, CAST(0 AS BIGINT) AS dropped_rows
+FROM readings"""

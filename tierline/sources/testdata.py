@@ -29,10 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sales_transactions(spark: SparkSession, sf_dir: str, product: str = "p_type") -> DataFrame:
+def sales_transactions(spark: SparkSession, sf_dir: str, product: str = "p_type",
+                       lineitem: DataFrame | None = None) -> DataFrame:
     """product, quantity, totalPrice, customerID, franchiseID; ``product`` is
     the part column that names the product (p_type: 6 values, p_brand: 25)."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", product)
@@ -45,9 +46,11 @@ def sales_transactions(spark: SparkSession, sf_dir: str, product: str = "p_type"
                       F.col("l_suppkey").alias("franchiseID")))
 
 
-def booking_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def booking_updates(spark: SparkSession, sf_dir: str,
+                    lineitem: DataFrame | None = None) -> DataFrame:
     """CDC feed: booking_id key, sequence BOOKING_SEQUENCE, guests_count payload."""
-    return table(spark, sf_dir, "lineitem").select(
+    src = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
+    return src.select(
         F.col("l_orderkey").alias("booking_id"),
         F.col("l_linenumber").alias("update_line"),
         F.col("l_partkey").alias("update_part"),
@@ -57,21 +60,31 @@ def booking_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("l_quantity") % 6).cast("int") + 1).alias("guests_count"))
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+def payments(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    src = orders if orders is not None else table(spark, sf_dir, "orders")
+    return src.select(
         F.col("o_orderkey").alias("booking_id"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("o_totalprice").alias("amount"),
         F.col("o_orderdate").alias("paid_at"))
 
 
-def readings_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def readings_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Rate-shaped feed (timestamp, value) plus the measured reading."""
-    return table(spark, sf_dir, "events").select(
+    src = events if events is not None else table(spark, sf_dir, "events")
+    return src.select(
         F.col("ts").alias("timestamp"), F.col("event_id").alias("value"),
         F.col("value").alias("reading"))
 
 
+def registry_ticks(events: DataFrame) -> DataFrame:
+    """Per event, the registry tick it belongs to: (timestamp, value =
+    event_id div 5). Five rows per tick; streams use this form, and reducing
+    it per tick gives ``registry_feed``."""
+    return events.select(F.col("ts").alias("timestamp"),
+                         F.expr("event_id div 5").alias("value"))
+
+
 def registry_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rate-shaped feed at a fifth of the readings rate: one tick per block of
     five consecutive events (tick = event_id div 5, time = first event time).
@@ -82,9 +95,11 @@ def registry_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
               .select("timestamp", "value"))
 
 
-def measurement_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def measurement_records(spark: SparkSession, sf_dir: str,
+                        events: DataFrame | None = None) -> DataFrame:
     """id, city, temperature, comment as one producer would send them."""
-    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "value", "event_type")
+    src = events if events is not None else table(spark, sf_dir, "events")
+    ev = src.select("event_id", "user_id", "value", "event_type")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (ev.join(c, ev.user_id == c.c_custkey)

@@ -66,3 +66,8 @@ def read_latest(spark: SparkSession, root: str, name: str, schema=None) -> DataF
 
 def read_version(spark: SparkSession, root: str, name: str, version: int) -> DataFrame:
     return spark.read.parquet(version_path(root, name, version))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.exists(p))
