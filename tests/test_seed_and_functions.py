@@ -1,0 +1,73 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tierline.functions.scalar import REASONS, key_hash, owner_slug, sensor_zone
+from tierline.operators.sampling import stable_sample
+from tierline.plans import seed
+from tierline.sources.testdata import booking_updates
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("pct", [-1, 101, "x"])
+def test_bad_percent(spark, root, pct):
+    with pytest.raises(ValueError):
+        seed.seed_fraud_markers(spark, booking_updates(spark, SF), root + "/f", pct=pct)
+
+
+def test_bad_files(spark, root):
+    with pytest.raises(ValueError):
+        seed.seed_fraud_markers(spark, booking_updates(spark, SF), root + "/f", n_files=0)
+
+
+def test_seed_round_trip_and_bounds(spark, root):
+    path = root + "/flags"
+    out = seed.seed_fraud_markers(spark, booking_updates(spark, SF), path, pct=30, n_files=5)
+    n_ids = booking_updates(spark, SF).select("booking_id").distinct().count()
+    n = out.count()
+    # binomial(n_ids, 0.3): well inside 5 standard deviations
+    sd = (n_ids * 0.3 * 0.7) ** 0.5
+    assert abs(n - 0.3 * n_ids) < 5 * sd
+    files = [f for f in spark.read.json(path).inputFiles()]
+    assert 1 <= len(files) <= 5
+    r = out.collect()
+    assert {x.flag for x in r} == {"fraud"} and {x.reason for x in r} <= set(REASONS)
+    assert all(0.70 <= x.confidence < 1.0 for x in r)
+    assert all(x.flagged_at.endswith("Z") and "T" in x.flagged_at for x in r)
+
+
+def test_sample_stable_under_repartitioning(spark):
+    ids = spark.range(5000).withColumnRenamed("id", "k")
+    a = {r.k for r in stable_sample(ids.repartition(3), "k", 10).collect()}
+    b = {r.k for r in stable_sample(ids.repartition(11), "k", 10).collect()}
+    assert a == b and 350 < len(a) < 650
+
+
+def test_corrupt_json_line_kept_aside(spark, root):
+    path = root + "/landing"
+    good = spark.createDataFrame([(1, "fraud", "unusual_location", "2026-01-01T00:00:00Z", 0.8)],
+                                 "booking_id long, flag string, reason string, flagged_at string, confidence double")
+    good.write.json(path)
+    spark.createDataFrame([('{"booking_id":"bad"',)], "value string").write.mode("append").text(path)
+    df = seed.read_markers(spark, path).cache()
+    assert df.filter(F.col("_corrupt_record").isNull()).count() == 1
+    assert df.filter(F.col("_corrupt_record").isNotNull()).count() == 1
+
+
+def test_key_hash_no_overflow_and_zone(spark):
+    df = spark.createDataFrame([(v,) for v in range(0, 200)], "v long")
+    assert df.select(key_hash("v").alias("h")).filter("h < 0").count() == 0
+    zones = [r.z for r in df.orderBy("v").select(sensor_zone("v").alias("z")).collect()]
+    # a complete round of 100 ticks: counts 7, 6, 6, 6 per 25 sensors
+    counts = sorted([zones[75:100].count(z) for z in set(zones[75:100])], reverse=True)
+    assert counts == [7, 6, 6, 6]
+
+
+def test_owner_slug(spark):
+    df = spark.createDataFrame([("jane.doe-x@example.com",)], "e string")
+    assert df.select(owner_slug("e")).first()[0] == "jane_doe_x"
+
+
+def test_round_half_up(spark):
+    df = spark.createDataFrame([(0.125,), (-0.125,)], "x double")
+    assert [r[0] for r in df.select(F.round("x", 2)).collect()] == [0.13, -0.13]
