@@ -112,3 +112,43 @@ def test_delete_by_key(spark, root):
     P.delete_from(spark, root, "measurements", id_is("7"), MEASUREMENTS_SCHEMA)
     after = tables.read_latest(spark, root, "measurements_current")
     assert after.count() == n - 1 and after.filter("id = '7'").count() == 0
+
+
+def test_medallion_continuous_mode(spark, root):
+    r = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 100)
+         .option("startTimestamp", 0).load())
+    g = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 30)
+         .option("startTimestamp", 0).load())
+    m = P.Medallion(spark, root).start(r, g, trigger="1 second")
+    m.run_continuous(interval_s=4, rounds=2)
+    assert all(not q.isActive for q in m.queries)
+    assert tables.latest_version(spark, root, "zone_stats_gold") >= 1
+    assert read_table(spark, root, "sensor_readings_bronze").count() >= 100
+    assert m.state.read(spark).count() <= 25
+
+
+def test_declared_target_and_catalog_registration(spark, root):
+    flow = Scd1Flow(root, "bookings", ["k"], "seq")
+    assert flow.declare(spark, SCHEMA) == 0
+    assert flow.read(spark).count() == 0 and flow.read(spark).columns == ["k", "seq", "payload"]
+    df = spark.createDataFrame([("a", 1, "x")], SCHEMA)
+    tables.publish_table(df, root, "dims", comment="dimension rows",
+                         properties={"created_by": "tests"})
+    tables.publish_table(df.union(df), root, "dims")
+    assert spark.read.table("dims").count() == 2
+    props = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES dims").collect()}
+    assert props.get("created_by") == "tests"
+    spark.sql("DROP TABLE dims")
+
+
+def test_submit_records_checks(spark, root):
+    from tierline.plans.ingest import submit_records
+    raw = spark.createDataFrame([(" Munich ", "21.5", None), ("Oslo", "warm", "x")],
+                                "city string, temperature string, comment string")
+    submit_records(raw, root + "/landing")
+    got = spark.read.json(root + "/landing").collect()
+    assert [(r.city, r.temperature, r.comment) for r in got] == [("Munich", 21.5, "")]
+    bad = spark.createDataFrame([("", "1", "")], "city string, temperature string, comment string")
+    import pytest
+    with pytest.raises(Exception, match="city_present"):
+        submit_records(bad, root + "/landing2")

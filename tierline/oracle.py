@@ -174,6 +174,7 @@ ORACLE_SQL = {
     "sales_stats_incremental": SALES_INCREMENTAL,
     "bookings_scd1": f"WITH {_BOOKINGS} SELECT * FROM bookings",
     "fraud_flags": f"WITH {_FLAGS} SELECT * FROM flags",
+    "fraud_flags_preview": f"WITH {_FLAGS} SELECT * FROM flags ORDER BY booking_id LIMIT 5",
     "bookings_with_fraud": f"WITH {_BWF} SELECT * FROM bwf",
     "fraud_by_party_and_method": f"WITH {_GOLD} SELECT * FROM gold",
     "fraud_rate_by_party_size": _one_way("party_size"),

@@ -39,6 +39,16 @@ def records_from_values(df: DataFrame, city: str = "city", temperature: str = "t
         F.coalesce(F.col(comment).cast("string"), F.lit("")).alias("comment"))
 
 
+def submit_records(raw: DataFrame, path: str, **columns) -> None:
+    """Producer side: type the raw values, enforce the record checks (an
+    empty city fails the submission, an unparsable temperature is dropped) and
+    append the records as JSON lines in one job (ids are minted once, by
+    that job)."""
+    from tierline.operators.expectations import apply_expectations
+    recs, _ = apply_expectations(records_from_values(raw, **columns), RECORD_EXPECTATIONS)
+    land(recs, path)
+
+
 def to_json_lines(records: DataFrame) -> DataFrame:
     return records.select(F.to_json(F.struct(*records.columns)).alias("value"))
 

@@ -92,6 +92,12 @@ def q_fraud_independence_chi2(spark, sf):
     return fraud.fraud_independence(_gold(spark, sf))
 
 
+def q_fraud_flags_preview(spark, sf):
+    """Preview of the fraud markers: the five lowest booking ids (a top-5)."""
+    from tierline.tables import preview
+    return preview(_flags(spark, sf), 5, ["booking_id"])
+
+
 def q_seed_fraud_markers(spark, sf):
     """The seeding job end to end: distinct ids, hash-threshold selection,
     murmur3-derived columns, 5 JSON files, read back."""
@@ -188,6 +194,7 @@ BATCH_QUERIES = {
     "fraud_rate_by_party_size": q_fraud_rate_by_party_size,
     "fraud_rate_by_payment_method": q_fraud_rate_by_payment_method,
     "fraud_independence_chi2": q_fraud_independence_chi2,
+    "fraud_flags_preview": q_fraud_flags_preview,
     "seed_fraud_markers": q_seed_fraud_markers,
     "sensor_readings_bronze": q_sensor_readings_bronze,
     "sensor_registry_bronze": q_sensor_registry_bronze,

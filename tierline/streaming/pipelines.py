@@ -192,7 +192,8 @@ def measurements_pipeline(spark: SparkSession, sf_dir: str, root: str,
     for _ in range(producers):
         ingest.land(recs, landing)
     parsed = stream_files(spark, landing, ingest.MEASUREMENTS_SCHEMA, fmt="json")
-    _wait(append_stream(dedupe(parsed, ["id"]), root, "measurements"))
+    checked = observe_stream(parsed, ingest.RECORD_EXPECTATIONS, "measurement_checks")
+    _wait(append_stream(dedupe(checked, ["id"]), root, "measurements"))
 
 
 def delete_from(spark: SparkSession, root: str, name: str, predicate, schema=None) -> int:

@@ -67,6 +67,18 @@ class Scd1Flow:
         c = self._committed(spark)
         return c[-1] if c else None
 
+    def declare(self, spark: SparkSession, schema) -> int:
+        """Declares the target empty (``create_streaming_table``): commits an
+        empty version 0 with the given schema if no version exists yet."""
+        cur = self.current_version(spark)
+        if cur is not None:
+            return cur
+        base = self._vdir(0)
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(base + "/data")
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(base + "/quarantine")
+        spark.createDataFrame([], "path string").write.mode("overwrite").parquet(base + "/files")
+        return 0
+
     # ---- reads -------------------------------------------------------------
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
         v = self.current_version(spark)

@@ -71,3 +71,42 @@ def read_version(spark: SparkSession, root: str, name: str, version: int) -> Dat
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return bool(fs.exists(p))
+
+
+def _sql_str(s: str) -> str:
+    return "'" + str(s).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def register(spark: SparkSession, table: str, path: str, comment: str | None = None,
+             properties: dict | None = None) -> None:
+    """Names a published version in the session catalog (``spark.read.table``
+    and SQL ``FROM table`` then resolve to it), with a table comment and
+    properties. Re-registering points the name at the new location."""
+    exists_ = spark.catalog.tableExists(table)
+    if not exists_:
+        ddl = f"CREATE TABLE {table} USING parquet LOCATION {_sql_str(path)}"
+        if comment:
+            ddl += f" COMMENT {_sql_str(comment)}"
+        spark.sql(ddl)
+    else:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {_sql_str(path)}")
+        spark.catalog.refreshTable(table)
+        if comment:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('comment' = {_sql_str(comment)})")
+    if properties:
+        kv = ", ".join(f"{_sql_str(k)} = {_sql_str(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({kv})")
+
+
+def publish_table(df: DataFrame, root: str, name: str, comment: str | None = None,
+                  properties: dict | None = None) -> int:
+    """``publish`` plus catalog registration of the new version."""
+    v = publish(df, root, name)
+    register(df.sparkSession, name, version_path(root, name, v), comment, properties)
+    return v
+
+
+def preview(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
+    """First ``n`` rows; ordered (and so repeatable) when ``order_by`` is given.
+    A top-n: each partition keeps n rows before the single final merge."""
+    return (df.orderBy(*order_by) if order_by else df).limit(n)
