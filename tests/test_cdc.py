@@ -97,3 +97,14 @@ def test_as_of_equals_scd1_of_prefix(spark):
 def test_scd2_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert scd2(df, ["k"], "seq").count() == 0
+
+
+def test_scd2_without_exchange_reuse(spark):
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        h = scd2(ev, ["user_id"], "event_id", partitions=7).collect()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    pdf = ev.select("user_id", "event_id").toPandas().rename(columns={"user_id": "k", "event_id": "seq"})
+    assert sorted((r.user_id, r[START_AT], r[END_AT]) for r in h) == _brute_scd2(pdf)

@@ -132,6 +132,15 @@ def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None) -
     ranged = (versions.repartitionByRange(n, *[F.col(k) for k in keys], F.col(seq))
                       .sortWithinPartitions(*keys, seq)
                       .withColumn("_pid", F.spark_partition_id()))
+    # Both branches below must see the same range partitions. They share an
+    # identical subtree, so Spark reuses the one range exchange; a session
+    # with exchange reuse switched off gets a reliable checkpoint instead
+    # (written below spark.checkpoint.dir, survives executor loss).
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        from tierline.session import work_root
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(work_root(spark, "checkpoint"))
+        ranged = ranged.checkpoint(eager=True)
     seq_type = versions.schema[seq].dataType
     out_schema = T.StructType(ranged.schema.fields + [
         T.StructField("_next", seq_type, True), T.StructField("_plast", T.BooleanType(), False),
