@@ -167,11 +167,25 @@ SELECT c_custkey, email, lower(translate(split_part(email, '@', 1), '.-', '__'))
 FROM (SELECT c_custkey, concat(replace(c_name, '#', '.'), '-', c_mktsegment, '@example.com') AS email
       FROM customer)"""
 
+SALES_ROW_COUNTS = f"""WITH {_TX.format(product='p_type')}, {_STATS}
+SELECT 'sales_transactions' AS dataset, COUNT(*) AS row_count FROM tx
+UNION ALL SELECT 'sales_stats', COUNT(*) FROM stats WHERE coalesce(gross_revenue >= 0, false)"""
+
+FRAUD_ROW_COUNTS = f"""WITH {_GOLD}
+SELECT 'booking_updates' AS dataset, COUNT(*) AS row_count FROM lineitem
+UNION ALL SELECT 'bookings', COUNT(*) FROM bookings
+UNION ALL SELECT 'fraud_flags', COUNT(*) FROM flags
+UNION ALL SELECT 'payments', COUNT(*) FROM payments
+UNION ALL SELECT 'bookings_with_fraud', COUNT(*) FROM bwf
+UNION ALL SELECT 'fraud_by_party_and_method', COUNT(*) FROM gold"""
+
 ORACLE_SQL = {
     "sales_stats": SALES_STATS,
     "sales_stats_expectations": SALES_EXPECTATIONS,
     "sales_stats_by_brand_drop": SALES_BY_BRAND_DROP,
     "sales_stats_incremental": SALES_INCREMENTAL,
+    "sales_row_counts": SALES_ROW_COUNTS,
+    "fraud_row_counts": FRAUD_ROW_COUNTS,
     "bookings_scd1": f"WITH {_BOOKINGS} SELECT * FROM bookings",
     "fraud_flags": f"WITH {_FLAGS} SELECT * FROM flags",
     "fraud_flags_preview": f"WITH {_FLAGS} SELECT * FROM flags ORDER BY booking_id LIMIT 5",
@@ -186,10 +200,12 @@ ORACLE_SQL = {
     "sensor_zone_silver": f"WITH {_SILVERS} SELECT * FROM zones",
     "zone_stats_gold": f"WITH {_SILVERS} SELECT * FROM gold",
     "medallion_row_counts": ROW_COUNTS,
+    "zone_stats_gold_sorted": f"WITH {_SILVERS} SELECT * FROM gold ORDER BY zone",
     "events_scd2": EVENTS_SCD2,
     "events_as_of": EVENTS_AS_OF,
     "measurements": f"WITH {_MEAS} SELECT * FROM measurements",
     "measurements_sorted": f"WITH {_MEAS} SELECT * FROM measurements ORDER BY city, temperature DESC",
+    "measurements_sorted_asc": f"WITH {_MEAS} SELECT * FROM measurements ORDER BY city, temperature",
     "measurements_after_delete":
         f"WITH {_MEAS} SELECT * FROM measurements WHERE NOT coalesce(id = '42', false)",
     "owner_slug": OWNER_SLUG,
@@ -201,3 +217,12 @@ SELECT 'sensor_readings_bronze' AS dataset, 'valid_temperature' AS expectation,
        COUNT(*) FILTER (WHERE NOT coalesce(temperature_c BETWEEN -20 AND 60, false)) AS failed_rows,
        COUNT(*) AS output_rows, CAST(0 AS BIGINT) AS dropped_rows
 FROM readings"""
+
+# the streamed registry bronze keeps one row per event (five per tick); the
+# silvers and gold are the same as in batch
+STREAMED_MEDALLION_COUNTS = f"""WITH {_SILVERS}
+SELECT 'sensor_readings_bronze' AS dataset, COUNT(*) AS row_count FROM readings
+UNION ALL SELECT 'sensor_registry_bronze', COUNT(*) FROM events
+UNION ALL SELECT 'sensor_state_silver', COUNT(*) FROM state
+UNION ALL SELECT 'sensor_zone_silver', COUNT(*) FROM zones
+UNION ALL SELECT 'zone_stats_gold', COUNT(*) FROM gold"""

@@ -38,6 +38,12 @@ def q_sales_stats_by_brand_drop(spark: SparkSession, sf: str) -> DataFrame:
     return sales.sales_stats(td.sales_transactions(spark, sf, product="p_brand"), ex)[0]
 
 
+def q_sales_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    tx = td.sales_transactions(spark, sf)
+    return sensors.row_counts({"sales_transactions": tx,
+                               "sales_stats": sales.sales_stats(tx)[0]})
+
+
 def q_sales_stats_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Order price stats per priority kept as mergeable partials: partials of
     the older orders, merged with partials of the newer ones."""
@@ -98,6 +104,18 @@ def q_fraud_flags_preview(spark, sf):
     return preview(_flags(spark, sf), 5, ["booking_id"])
 
 
+def q_fraud_row_counts(spark, sf):
+    """Row counts of the fraud pipeline's datasets, one job."""
+    updates, pays = td.booking_updates(spark, sf), td.payments(spark, sf)
+    b = fraud.bookings(updates)
+    flags = _flags(spark, sf)
+    bwf = fraud.bookings_with_fraud(b, flags)
+    return sensors.row_counts({
+        "booking_updates": updates, "bookings": b, "fraud_flags": flags, "payments": pays,
+        "bookings_with_fraud": bwf,
+        "fraud_by_party_and_method": fraud.fraud_by_party_and_method(bwf, pays)})
+
+
 def q_seed_fraud_markers(spark, sf):
     """The seeding job end to end: distinct ids, hash-threshold selection,
     murmur3-derived columns, 5 JSON files, read back."""
@@ -136,6 +154,10 @@ def q_zone_stats_gold(spark, sf):
                                    sensors.zone_silver(_registry(spark, sf)))
 
 
+def q_zone_stats_gold_sorted(spark, sf):
+    return q_zone_stats_gold(spark, sf).orderBy("zone")
+
+
 def q_medallion_row_counts(spark, sf):
     r, g = _readings(spark, sf), _registry(spark, sf)
     s, z = sensors.state_silver(r), sensors.zone_silver(g)
@@ -171,6 +193,11 @@ def q_measurements_sorted(spark, sf):
     return ingest.as_double(ingest.sorted_view(_measurements(spark, sf)))
 
 
+def q_measurements_sorted_asc(spark, sf):
+    """ORDER BY city, temperature (ascending on both keys)."""
+    return ingest.as_double(_measurements(spark, sf).orderBy("city", "temperature"))
+
+
 def q_measurements_after_delete(spark, sf):
     return ingest.as_double(delete_where(_measurements(spark, sf), ingest.id_is(DELETED_ID)))
 
@@ -187,6 +214,7 @@ BATCH_QUERIES = {
     "sales_stats_expectations": q_sales_stats_expectations,
     "sales_stats_by_brand_drop": q_sales_stats_by_brand_drop,
     "sales_stats_incremental": q_sales_stats_incremental,
+    "sales_row_counts": q_sales_row_counts,
     "bookings_scd1": q_bookings_scd1,
     "fraud_flags": q_fraud_flags,
     "bookings_with_fraud": q_bookings_with_fraud,
@@ -195,17 +223,20 @@ BATCH_QUERIES = {
     "fraud_rate_by_payment_method": q_fraud_rate_by_payment_method,
     "fraud_independence_chi2": q_fraud_independence_chi2,
     "fraud_flags_preview": q_fraud_flags_preview,
+    "fraud_row_counts": q_fraud_row_counts,
     "seed_fraud_markers": q_seed_fraud_markers,
     "sensor_readings_bronze": q_sensor_readings_bronze,
     "sensor_registry_bronze": q_sensor_registry_bronze,
     "sensor_state_silver": q_sensor_state_silver,
     "sensor_zone_silver": q_sensor_zone_silver,
     "zone_stats_gold": q_zone_stats_gold,
+    "zone_stats_gold_sorted": q_zone_stats_gold_sorted,
     "medallion_row_counts": q_medallion_row_counts,
     "events_scd2": q_events_scd2,
     "events_as_of": q_events_as_of,
     "measurements": q_measurements,
     "measurements_sorted": q_measurements_sorted,
+    "measurements_sorted_asc": q_measurements_sorted_asc,
     "measurements_after_delete": q_measurements_after_delete,
     "owner_slug": q_owner_slug,
 }

@@ -290,15 +290,41 @@ def q_measurements_stream_after_delete(spark, sf):
         tables.read_latest(spark, _measurements_root(spark, sf), "measurements_current"))
 
 
+def q_fraud_pipeline_row_counts(spark, sf):
+    root = _fraud_root(spark, sf)
+    flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
+    return sensors.row_counts({
+        "booking_updates": read_table(spark, root, "booking_updates"),
+        "bookings": Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE).read(spark),
+        "fraud_flags": flags,
+        "payments": read_table(spark, root, "payments"),
+        "bookings_with_fraud": tables.read_latest(spark, root, "bookings_with_fraud"),
+        "fraud_by_party_and_method": tables.read_latest(spark, root, "fraud_by_party_and_method")})
+
+
+def q_medallion_pipeline_row_counts(spark, sf):
+    root = _medallion_root(spark, sf)
+    return sensors.row_counts({
+        "sensor_readings_bronze": read_table(spark, root, "sensor_readings_bronze"),
+        "sensor_registry_bronze": read_table(spark, root, "sensor_registry_bronze"),
+        "sensor_state_silver": Scd1Flow(root, "sensor_state_silver", ["sensor_id"],
+                                        "reading_seq").read(spark),
+        "sensor_zone_silver": Scd1Flow(root, "sensor_zone_silver", ["sensor_id"],
+                                       "registry_seq").read(spark),
+        "zone_stats_gold": tables.read_latest(spark, root, "zone_stats_gold")})
+
+
 STREAMING_QUERIES = {
     "sales_pipeline": q_sales_pipeline,
     "sales_pipeline_expectations": q_sales_pipeline_expectations,
     "fraud_pipeline": q_fraud_pipeline,
     "fraud_pipeline_bookings_with_fraud": q_fraud_pipeline_bookings_with_fraud,
     "fraud_flags_stream": q_fraud_flags_stream,
+    "fraud_pipeline_row_counts": q_fraud_pipeline_row_counts,
     "bookings_scd1_stream": q_bookings_scd1_stream,
     "medallion_pipeline": q_medallion_pipeline,
     "sensor_state_silver_stream": q_sensor_state_silver_stream,
+    "medallion_pipeline_row_counts": q_medallion_pipeline_row_counts,
     "sensor_readings_expectations": q_sensor_readings_expectations,
     "measurements_stream": q_measurements_stream,
     "measurements_stream_after_delete": q_measurements_stream_after_delete,
@@ -313,9 +339,11 @@ def _streaming_oracle() -> dict:
         "fraud_pipeline": o.ORACLE_SQL["fraud_by_party_and_method"],
         "fraud_pipeline_bookings_with_fraud": o.ORACLE_SQL["bookings_with_fraud"],
         "fraud_flags_stream": o.ORACLE_SQL["fraud_flags"],
+        "fraud_pipeline_row_counts": o.ORACLE_SQL["fraud_row_counts"],
         "bookings_scd1_stream": o.ORACLE_SQL["bookings_scd1"],
         "medallion_pipeline": o.ORACLE_SQL["zone_stats_gold"],
         "sensor_state_silver_stream": o.ORACLE_SQL["sensor_state_silver"],
+        "medallion_pipeline_row_counts": o.STREAMED_MEDALLION_COUNTS,
         "sensor_readings_expectations": o.READINGS_EXPECTATIONS,
         "measurements_stream": o.ORACLE_SQL["measurements"],
         "measurements_stream_after_delete": o.ORACLE_SQL["measurements_after_delete"],
