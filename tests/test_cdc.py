@@ -108,3 +108,12 @@ def test_scd2_without_exchange_reuse(spark):
         spark.conf.set("spark.sql.exchange.reuse", "true")
     pdf = ev.select("user_id", "event_id").toPandas().rename(columns={"user_id": "k", "event_id": "seq"})
     assert sorted((r.user_id, r[START_AT], r[END_AT]) for r in h) == _brute_scd2(pdf)
+
+
+def test_scd2_ties_follow_scd1_rule(spark):
+    data = [("k", 1, "a"), ("k", 1, "b"), ("k", 1, "c"), ("k", 2, "x"), ("j", 5, None), ("j", 5, "y")]
+    df = spark.createDataFrame(data * 3, SCHEMA).repartition(4)
+    h = {(r.k, r.seq): (r.payload, r[END_AT]) for r in scd2(df, ["k"], "seq", partitions=3).collect()}
+    winners = {(r.k, r.seq): r.payload for r in scd1(df, ["k", "seq"], "seq").collect()}
+    assert {key: v[0] for key, v in h.items()} == winners
+    assert h[("k", 1)][1] == 2 and h[("k", 2)][1] is None and h[("j", 5)][1] is None

@@ -79,11 +79,18 @@ def scd1_merge(snapshot: DataFrame, changes: DataFrame, keys, sequence_by) -> Da
 
 
 def _local_successor(keys: list[str], seq: str):
-    """Per partition (sorted by keys, seq), batch by batch with one row carried
-    over: the next version of the same key inside the partition, and whether
-    the row is the partition's last. Memory is one Arrow batch, not the
-    partition."""
-    def with_next(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Per partition, sorted by (keys, seq, tie-break desc), batch by batch
+    with one row carried over: drops the losers of (key, seq) ties (all but
+    the first row of a run), finds the next version of the same key inside
+    the partition, and marks the partition's first and last rows. Memory is
+    one Arrow batch, not the partition."""
+    ident = list(keys) + [seq]
+
+    def step(pdf: pd.DataFrame) -> pd.DataFrame:
+        dup = pd.Series(True, index=pdf.index)
+        for c in ident:
+            dup &= pdf[c].shift(1).eq(pdf[c]).fillna(False).astype(bool)
+        pdf = pdf[~dup].reset_index(drop=True)
         s = pdf[seq]
         if pd.api.types.is_integer_dtype(s.dtype):
             s = s.astype("Int64")          # keep 64-bit sequences exact
@@ -92,23 +99,22 @@ def _local_successor(keys: list[str], seq: str):
             same &= pdf[k].shift(-1).eq(pdf[k]).fillna(False).astype(bool)
         pdf["_next"] = s.shift(-1).where(same)
         pdf["_plast"] = False
-        pdf["_phead"] = False
         return pdf
 
     def run(batches):
         carry = None
-        first = True
         for pdf in batches:
             if pdf.empty:
                 continue
+            head = carry is None
             if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            pdf = with_next(pdf.drop(columns=["_next", "_plast", "_phead"], errors="ignore"))
-            if first:
+                pdf = pd.concat([carry.drop(columns=["_next", "_plast", "_phead"]), pdf],
+                                ignore_index=True)
+            was_head = bool(carry["_phead"].iloc[0]) if carry is not None else True
+            pdf = step(pdf)
+            pdf["_phead"] = False
+            if head or was_head:
                 pdf.loc[pdf.index[0], "_phead"] = True
-                first = False
-            elif carry is not None:
-                pdf.loc[pdf.index[0], "_phead"] = bool(carry["_phead"].iloc[0])
             if len(pdf) > 1:
                 yield pdf.iloc[:-1]
             carry = pdf.iloc[[-1]].reset_index(drop=True)
@@ -122,16 +128,27 @@ def _local_successor(keys: list[str], seq: str):
 def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None) -> DataFrame:
     """History: one row per accepted (key, sequence) with __START_AT = sequence
     and __END_AT = the key's next sequence (null for the current version).
-    Duplicate (key, sequence) rows collapse by the SCD1 tie rule."""
+    Rows sharing (key, sequence) collapse by the SCD1 tie rule.
+
+    One shuffle of the data: a range exchange on (keys, sequence). Ties are
+    resolved inside the sorted partitions (equal (key, sequence) rows are
+    adjacent there), successors found by the streaming pandas pass, and the
+    one continuing row per partition is patched from the partition heads."""
     keys = _as_list(keys)
     seq = sequence_by
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    versions = scd1(df, keys + [seq], [seq])
-    cols = versions.columns
-    ranged = (versions.repartitionByRange(n, *[F.col(k) for k in keys], F.col(seq))
-                      .sortWithinPartitions(*keys, seq)
-                      .withColumn("_pid", F.spark_partition_id()))
+    valid = df.filter(valid_condition(keys, [seq]))
+    cols = valid.columns
+    payload = [c for c in cols if c not in keys and c != seq]
+    types = {f.name: f.dataType for f in valid.schema.fields}
+    tie = [F.col("_tb").desc()] + [F.col(c).desc() for c in payload
+                                   if isinstance(types[c], _ORDERABLE)]
+    tb = F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0).cast("long")
+    ranged = (valid.withColumn("_tb", tb)
+                   .repartitionByRange(n, *[F.col(k) for k in keys], F.col(seq))
+                   .sortWithinPartitions(*[F.col(k) for k in keys], F.col(seq), *tie)
+                   .withColumn("_pid", F.spark_partition_id()))
     # Both branches below must see the same range partitions. They share an
     # identical subtree, so Spark reuses the one range exchange; a session
     # with exchange reuse switched off gets a reliable checkpoint instead
@@ -141,14 +158,13 @@ def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None) -
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(work_root(spark, "checkpoint"))
         ranged = ranged.checkpoint(eager=True)
-    seq_type = versions.schema[seq].dataType
+    seq_type = types[seq]
     out_schema = T.StructType(ranged.schema.fields + [
         T.StructField("_next", seq_type, True), T.StructField("_plast", T.BooleanType(), False),
         T.StructField("_phead", T.BooleanType(), False)])
     local = ranged.mapInPandas(_local_successor(keys, seq), out_schema)
     # first (keys, seq) of every non-empty partition: one row per partition,
-    # taken from the same mapInPandas output (identical subtree -> the range
-    # exchange is reused, both branches see the same partitions)
+    # taken from the same mapInPandas output
     heads = local.filter("_phead").select(
         "_pid", F.struct(*[F.col(k) for k in keys], F.col(seq)).alias("_head"))
     succ = heads.select("_pid", F.lead("_head").over(Window.orderBy("_pid")).alias("_succ"))

@@ -65,7 +65,7 @@ def gate(expectations) -> Column:
     return keep if cond is None else cond.otherwise(keep)
 
 
-def _metrics(expectations) -> list[Column]:
+def violation_metrics(expectations) -> list[Column]:
     return ([F.count(F.lit(1)).alias("__rows"),
              F.count_if(~_drop_ok(expectations)).alias("__dropped")]
             + [F.count_if(~e.holds()).alias(e.name) for e in expectations])
@@ -81,7 +81,7 @@ def apply_expectations(df: DataFrame, expectations,
     obs = Observation(name or f"expect_{uuid.uuid4().hex[:8]}")
     if not expectations:
         return df, obs
-    observed = df.observe(obs, *_metrics(expectations))
+    observed = df.observe(obs, *violation_metrics(expectations))
     return observed.filter(gate(expectations)), obs
 
 
@@ -89,7 +89,7 @@ def expectation_report(df: DataFrame, expectations, dataset: str) -> DataFrame:
     """The report as a DataFrame computed from the ungated input: one row per
     expectation with input, failed, output (written) and dropped row counts.
     One aggregate pass (partial + final), then a 1-row unpivot."""
-    agg = df.agg(*_metrics(expectations))
+    agg = df.agg(*violation_metrics(expectations))
     rows = [F.struct(F.lit(e.name).alias("expectation"), F.lit(e.action).alias("action"),
                      F.col(e.name).alias("failed_rows")) for e in expectations]
     return (agg.select(F.col("__rows").alias("input_rows"),

@@ -7,14 +7,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.operators.expectations import _metrics, gate, observation_report
+from tierline.operators.expectations import violation_metrics, gate, observation_report
 
 
 def observe_stream(df: DataFrame, expectations, name: str) -> DataFrame:
     """Counts every expectation on each micro-batch, then applies the gate."""
     if not expectations:
         return df
-    return df.observe(name, *_metrics(expectations)).filter(gate(expectations))
+    return df.observe(name, *violation_metrics(expectations)).filter(gate(expectations))
 
 
 def stream_metrics(query: StreamingQuery, name: str) -> dict:

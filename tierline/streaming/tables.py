@@ -13,13 +13,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.tables import _fs
+from tierline.tables import filesystem
 
 _GEN = "g="
 
 
 def _generations(spark: SparkSession, root: str, name: str) -> list[int]:
-    fs, p, _ = _fs(spark, f"{root.rstrip('/')}/{name}")
+    fs, p, _ = filesystem(spark, f"{root.rstrip('/')}/{name}")
     if not fs.exists(p):
         return []
     return sorted(int(st.getPath().getName()[len(_GEN):]) for st in fs.listStatus(p)
@@ -97,7 +97,7 @@ def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     """Streaming read of a folder (new files are picked up incrementally). A
     single-file path is read through a one-file glob, since the file source
     lists folders."""
-    fs, p, _ = _fs(spark, path)
+    fs, p, _ = filesystem(spark, path)
     if fs.exists(p) and fs.isFile(p):
         path = path[:-1] + "[" + path[-1] + "]"
     r = spark.readStream.schema(schema).format(fmt)

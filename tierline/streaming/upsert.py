@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators.cdc import scd1_merge, split_invalid
-from tierline.tables import _fs
+from tierline.tables import filesystem
 
 
 @dataclass
@@ -44,7 +44,7 @@ class Scd1Flow:
         return f"{self._base()}/v={v:08d}"
 
     def _committed(self, spark: SparkSession) -> list[int]:
-        fs, p, jvm = _fs(spark, self._base())
+        fs, p, jvm = filesystem(spark, self._base())
         if not fs.exists(p):
             return []
         out = []
@@ -56,7 +56,7 @@ class Scd1Flow:
         return sorted(out)
 
     def _all_versions(self, spark: SparkSession) -> list[int]:
-        fs, p, _ = _fs(spark, self._base())
+        fs, p, _ = filesystem(spark, self._base())
         if not fs.exists(p):
             return []
         return sorted(int(st.getPath().getName()[2:]) for st in fs.listStatus(p)

@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 _PREFIX = "v="
 
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
 def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
-    fs, p, jvm = _fs(spark, path)
+    fs, p, jvm = filesystem(spark, path)
     if not fs.exists(p):
         return []
     out = []
@@ -69,7 +69,7 @@ def read_version(spark: SparkSession, root: str, name: str, version: int) -> Dat
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    fs, p, _ = _fs(spark, path)
+    fs, p, _ = filesystem(spark, path)
     return bool(fs.exists(p))
 
 
