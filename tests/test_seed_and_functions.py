@@ -71,3 +71,12 @@ def test_owner_slug(spark):
 def test_round_half_up(spark):
     df = spark.createDataFrame([(0.125,), (-0.125,)], "x double")
     assert [r[0] for r in df.select(F.round("x", 2)).collect()] == [0.13, -0.13]
+
+
+def test_scale_conf_sizes_partitions(spark):
+    from tierline.session import input_bytes, scale_conf
+    n = input_bytes(spark, ["/root/testdata/sf0.01/lineitem.parquet"])
+    assert n > 0
+    assert scale_conf(n)["spark.sql.shuffle.partitions"] == "200"
+    big = scale_conf(100 * (1 << 40))  # 100 TiB
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600

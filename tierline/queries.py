@@ -45,14 +45,18 @@ def q_sales_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sales_stats_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Order price stats per priority kept as mergeable partials: partials of
-    the older orders, merged with partials of the newer ones."""
+    """Order price stats per priority kept as mergeable partials: one scan
+    builds partials per (priority, chunk) - the older orders and the newer
+    ones, as an incremental refresh would hold them - and the merge folds
+    the chunks into the view."""
     o = td.table(spark, sf, "orders").select("o_orderpriority", "o_totalprice", "o_orderdate")
-    cut = F.lit(SPLIT_AT).cast("timestamp_ntz")
-    old = partials(o.filter(F.col("o_orderdate") < cut), "o_orderpriority", "o_totalprice")
-    new = partials(o.filter(~(F.col("o_orderdate") < cut) | F.col("o_orderdate").isNull()),
-                   "o_orderpriority", "o_totalprice")
-    return finalize(merge_partials(old, new, "o_orderpriority"), "o_orderpriority", "price")
+    chunk = F.coalesce(F.col("o_orderdate") < F.lit(SPLIT_AT).cast("timestamp_ntz"),
+                       F.lit(False)).alias("_older")
+    p = partials(o.select("o_orderpriority", "o_totalprice", chunk),
+                 ["o_orderpriority", "_older"], "o_totalprice")
+    older = p.filter("_older").drop("_older")
+    newer = p.filter(~F.col("_older")).drop("_older")
+    return finalize(merge_partials(older, newer, "o_orderpriority"), "o_orderpriority", "price")
 
 
 # ---- fraud (L3) -------------------------------------------------------------

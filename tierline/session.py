@@ -57,3 +57,37 @@ def work_root(spark: SparkSession, name: str | None = None) -> str:
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")
     return f"{base}/tierline/{name or 'run'}-{uuid.uuid4().hex[:12]}"
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the input paths from file-system metadata (no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return int(total)
+
+
+def scale_conf(total_input_bytes: int, partition_bytes: int = 256 << 20,
+               min_partitions: int = 200) -> dict:
+    """Settings sized to the input: an initial shuffle partition count that
+    keeps each shuffle partition near ``partition_bytes`` (AQE coalesces
+    small ones and splits skewed ones at runtime), and scan splits of the
+    same size. Returns a dict; apply with ``apply_conf``."""
+    parts = max(min_partitions, -(-total_input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    for k, v in conf.items():
+        spark.conf.set(k, v)
