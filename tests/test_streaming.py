@@ -152,3 +152,18 @@ def test_submit_records_checks(spark, root):
     import pytest
     with pytest.raises(Exception, match="city_present"):
         submit_records(bad, root + "/landing2")
+
+
+def test_merge_does_not_shuffle_bucketed_snapshot(spark, root):
+    from tierline.operators.cdc import scd1, scd1_merge
+    land = root + "/land"
+    spark.createDataFrame([(f"k{i}", i, "p") for i in range(200)], SCHEMA).write.parquet(land)
+    append_stream(stream_files(spark, land, SCHEMA), root, "bronze").awaitTermination()
+    flow = Scd1Flow(root, "silver", ["k"], "seq", buckets=8)
+    flow.run(spark, data_path(spark, root, "bronze"))
+    changes = scd1(spark.createDataFrame([("k1", 500, "new")], SCHEMA), ["k"], "seq")
+    merged = scd1_merge(flow.read(spark), changes.repartition(8, "k"), ["k"], "seq")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan
+    assert "ENSURE_REQUIREMENTS" not in plan.split("Union")[0]   # nothing above the union
+    assert rows(merged.filter("k = 'k1'")) == [("k1", 500, "new")]

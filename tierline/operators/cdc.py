@@ -58,24 +58,31 @@ def _order(df: DataFrame, keys, seq) -> Column:
     return F.struct(*parts)
 
 
-def scd1(df: DataFrame, keys, sequence_by) -> DataFrame:
-    """Current row per key (batch). Same columns and column order as ``df``."""
-    keys, seq = _as_list(keys), _as_list(sequence_by)
-    valid = df.filter(valid_condition(keys, seq))
-    payload = [c for c in df.columns if c not in keys]
+def _reduce(valid: DataFrame, keys: list[str], seq: list[str], columns) -> DataFrame:
+    payload = [c for c in columns if c not in keys]
     if not payload:
         return valid.select(*keys).distinct()
     won = valid.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(c) for c in payload]), _order(valid, keys, seq)).alias("_w"))
-    return won.select(*[F.col(k) if k in keys else F.col(f"_w.{k}").alias(k)
-                        for k in df.columns])
+    return won.select(*[F.col(k) if k in keys else F.col(f"_w.{k}").alias(k) for k in columns])
+
+
+def scd1(df: DataFrame, keys, sequence_by) -> DataFrame:
+    """Current row per key (batch). Same columns and column order as ``df``."""
+    keys, seq = _as_list(keys), _as_list(sequence_by)
+    return _reduce(df.filter(valid_condition(keys, seq)), keys, seq, df.columns)
 
 
 def scd1_merge(snapshot: DataFrame, changes: DataFrame, keys, sequence_by) -> DataFrame:
     """One upsert step: reduce(snapshot ∪ changes). Because the reduction is
     associative and commutative, any batching of the changes gives the same
-    target as one batch over all of them."""
-    return scd1(snapshot.unionByName(changes.select(*snapshot.columns)), keys, sequence_by)
+    target as one batch over all of them. The snapshot is valid by
+    construction; only the changes are filtered, before the union, so a
+    snapshot bucketed on the keys keeps its partitioning through the union
+    and is not shuffled."""
+    keys, seq = _as_list(keys), _as_list(sequence_by)
+    ch = changes.select(*snapshot.columns).filter(valid_condition(keys, seq))
+    return _reduce(snapshot.unionByName(ch), keys, seq, snapshot.columns)
 
 
 def _local_successor(keys: list[str], seq: str):

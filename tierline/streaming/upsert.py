@@ -4,14 +4,19 @@ target, without MERGE.
 The change feed lands in an append-only streaming table (exactly-once file
 sink). Each run of the flow:
 
-1. lists the committed files of that table and subtracts the files already
-   merged (file names only; the manifest of the current target version);
+1. lists the committed files of that table and anti-joins them (in Spark)
+   with the manifest of files already merged; only the new names come back;
 2. reads only the new files, quarantines rows with a null key or sequence,
-   and reduces ``snapshot ∪ new rows`` to one row per key (highest sequence,
-   deterministic ties) - a partial+final aggregate, one shuffle on the keys;
-3. writes version n+1 as ``data/`` + ``quarantine/`` and then ``files/`` (the
-   manifest). A version counts once ``files/_SUCCESS`` exists, so a crash at
-   any point leaves version n current and the rerun repeats the same merge.
+   reduces them to one row per key (partial + final aggregate, so a key with
+   a third of all changes leaves each map task as one row) and aligns them
+   to the target's buckets;
+3. merges them with the snapshot, which is stored as a table bucketed on the
+   keys: the union keeps the bucket partitioning, so the snapshot is scanned
+   but never shuffled; the result is written bucketed again;
+4. commits version n+1 as ``data_b<B>/`` + ``quarantine/`` and then
+   ``files/`` (the manifest). A version counts once ``files/_SUCCESS``
+   exists, so a crash at any point leaves version n current and the rerun
+   repeats the same merge.
 
 Because the reduction is associative, commutative and idempotent, late rows
 (lower sequence) never win, and any split of the feed into runs gives the
@@ -20,14 +25,17 @@ same target as one batch over all of it.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators.cdc import scd1_merge, split_invalid
+from tierline.operators.cdc import scd1, scd1_merge, split_invalid
 from tierline.tables import filesystem
 
+_DATA = "data_b"
+
 
 @dataclass
 class Scd1Flow:
@@ -35,6 +43,7 @@ class Scd1Flow:
     target: str
     keys: list
     sequence_by: object
+    buckets: int = 16
 
     # ---- layout ------------------------------------------------------------
     def _base(self) -> str:
@@ -43,85 +52,119 @@ class Scd1Flow:
     def _vdir(self, v: int) -> str:
         return f"{self._base()}/v={v:08d}"
 
-    def _committed(self, spark: SparkSession) -> list[int]:
+    def _table(self, suffix: str = "") -> str:
+        h = hashlib.sha1(self._base().encode()).hexdigest()[:12]
+        return f"tierline_{self.target}_{h}{suffix}"
+
+    def _list(self, spark: SparkSession, committed: bool) -> list[int]:
         fs, p, jvm = filesystem(spark, self._base())
         if not fs.exists(p):
             return []
         out = []
         for st in fs.listStatus(p):
             n = st.getPath().getName()
-            if n.startswith("v=") and n[2:].isdigit() and fs.exists(
+            if not (n.startswith("v=") and n[2:].isdigit()):
+                continue
+            if committed and not fs.exists(
                     jvm.org.apache.hadoop.fs.Path(st.getPath(), "files/_SUCCESS")):
-                out.append(int(n[2:]))
+                continue
+            out.append(int(n[2:]))
         return sorted(out)
 
-    def _all_versions(self, spark: SparkSession) -> list[int]:
-        fs, p, _ = filesystem(spark, self._base())
-        if not fs.exists(p):
-            return []
-        return sorted(int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
-                      if st.getPath().getName().startswith("v=")
-                      and st.getPath().getName()[2:].isdigit())
+    def _data_dir(self, spark: SparkSession, v: int) -> tuple[str, int]:
+        fs, p, _ = filesystem(spark, self._vdir(v))
+        for st in fs.listStatus(p):
+            n = st.getPath().getName()
+            if n.startswith(_DATA) and n[len(_DATA):].isdigit():
+                return f"{self._vdir(v)}/{n}", int(n[len(_DATA):])
+        raise FileNotFoundError(f"no data folder in {self._vdir(v)}")
 
     def current_version(self, spark: SparkSession) -> int | None:
-        c = self._committed(spark)
+        c = self._list(spark, committed=True)
         return c[-1] if c else None
 
+    # ---- declare / read --------------------------------------------------------
     def declare(self, spark: SparkSession, schema) -> int:
         """Declares the target empty (``create_streaming_table``): commits an
         empty version 0 with the given schema if no version exists yet."""
         cur = self.current_version(spark)
         if cur is not None:
             return cur
-        base = self._vdir(0)
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(base + "/data")
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(base + "/quarantine")
-        spark.createDataFrame([], "path string").write.mode("overwrite").parquet(base + "/files")
+        empty = spark.createDataFrame([], schema)
+        self._write_version(spark, 0, empty, empty, spark.createDataFrame([], "path string"))
         return 0
 
-    # ---- reads -------------------------------------------------------------
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
+        """The current snapshot as a table bucketed on the keys (joins and
+        aggregates on the keys need no shuffle of it)."""
         v = self.current_version(spark)
         if v is None:
             if schema is None:
                 raise FileNotFoundError(f"{self.target} has no committed version")
             return spark.createDataFrame([], schema)
-        return spark.read.parquet(self._vdir(v) + "/data")
+        path, b = self._data_dir(spark, v)
+        name = self._table()
+        if spark.catalog.tableExists(name):
+            spark.sql(f"DROP TABLE {name}")            # external: files stay
+        schema = self._schema(spark, v, path)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        keys = ", ".join(f"`{k}`" for k in self.keys)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
+                  f"SORTED BY ({keys}) INTO {b} BUCKETS LOCATION '{path}'")
+        return spark.table(name)
+
+    def _schema(self, spark: SparkSession, v: int, path: str):
+        """Schema from the parquet footers; an empty bucketed write leaves no
+        file, and then the version's quarantine folder (same columns, always
+        written) gives it."""
+        try:
+            return spark.read.parquet(path).schema
+        except Exception:  # noqa: BLE001 - no data file in an empty version
+            return spark.read.parquet(self._vdir(v) + "/quarantine").schema
 
     def quarantine(self, spark: SparkSession) -> DataFrame | None:
         """All quarantined rows of the committed versions."""
-        vs = self._committed(spark)
+        vs = self._list(spark, committed=True)
         if not vs:
             return None
         return spark.read.parquet(*[self._vdir(v) + "/quarantine" for v in vs])
 
-    def merged_files(self, spark: SparkSession) -> set[str]:
-        v = self.current_version(spark)
+    def _manifest(self, spark: SparkSession, v: int | None) -> DataFrame:
         if v is None:
-            return set()
-        return {r.path for r in spark.read.parquet(self._vdir(v) + "/files").collect()}
+            return spark.createDataFrame([], "path string")
+        return spark.read.parquet(self._vdir(v) + "/files")
 
     # ---- the merge -----------------------------------------------------------
+    def _write_version(self, spark, v, data, invalid, manifest) -> None:
+        base = self._vdir(v)
+        tmp = self._table(f"_w{v}")
+        if spark.catalog.tableExists(tmp):
+            spark.sql(f"DROP TABLE {tmp}")
+        (data.write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
+             .option("path", f"{base}/{_DATA}{self.buckets}").mode("overwrite")
+             .saveAsTable(tmp))
+        spark.sql(f"DROP TABLE {tmp}")                 # external: files stay
+        invalid.write.mode("overwrite").parquet(base + "/quarantine")
+        manifest.write.mode("overwrite").parquet(base + "/files")   # commit point
+
     def run(self, spark: SparkSession, source_path: str) -> int | None:
         """Merges the source table's new files; returns the current version."""
         src = spark.read.parquet(source_path)
-        files = set(src.inputFiles())
-        done = self.merged_files(spark)
-        new = sorted(files - done)
         current = self.current_version(spark)
+        done = self._manifest(spark, current)
+        listed = spark.createDataFrame([(f,) for f in src.inputFiles()], "path string")
+        new = [r.path for r in listed.join(done, "path", "left_anti").collect()]
         if not new:
             return current
         changes = spark.read.schema(src.schema).parquet(*new)
         valid, invalid = split_invalid(changes, self.keys, self.sequence_by)
-        snapshot = (self.read(spark) if current is not None
-                    else spark.createDataFrame([], src.schema))
-        merged = scd1_merge(snapshot, valid, self.keys, self.sequence_by)
-        existing = self._all_versions(spark)
+        reduced = scd1(valid, self.keys, self.sequence_by).repartition(self.buckets, *self.keys)
+        if current is None:
+            merged = reduced
+        else:
+            merged = scd1_merge(self.read(spark), reduced, self.keys, self.sequence_by)
+        existing = self._list(spark, committed=False)
         v = (existing[-1] + 1) if existing else 1
-        base = self._vdir(v)
-        merged.write.mode("overwrite").parquet(base + "/data")
-        invalid.write.mode("overwrite").parquet(base + "/quarantine")
-        manifest = sorted(done | set(new))
-        (spark.createDataFrame([(f,) for f in manifest], "path string")
-              .coalesce(1).write.mode("overwrite").parquet(base + "/files"))
+        manifest = done.unionByName(spark.createDataFrame([(f,) for f in new], "path string"))
+        self._write_version(spark, v, merged, invalid, manifest.coalesce(1))
         return v
