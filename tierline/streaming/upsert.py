@@ -28,10 +28,10 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.operators.cdc import scd1, scd1_merge, split_invalid
+from tierline.operators.cdc import scd1, scd1_merge, valid_condition
 from tierline.tables import filesystem
 
 _DATA = "data_b"
@@ -135,7 +135,7 @@ class Scd1Flow:
         return spark.read.parquet(self._vdir(v) + "/files")
 
     # ---- the merge -----------------------------------------------------------
-    def _write_version(self, spark, v, data, invalid, manifest) -> None:
+    def _write_version(self, spark, v, data, invalid, manifest, obs=None) -> None:
         base = self._vdir(v)
         tmp = self._table(f"_w{v}")
         if spark.catalog.tableExists(tmp):
@@ -144,6 +144,8 @@ class Scd1Flow:
              .option("path", f"{base}/{_DATA}{self.buckets}").mode("overwrite")
              .saveAsTable(tmp))
         spark.sql(f"DROP TABLE {tmp}")                 # external: files stay
+        if obs is not None and not (obs.get.get("invalid") or 0):
+            invalid = invalid.limit(0)                 # nothing to keep: no second scan
         invalid.write.mode("overwrite").parquet(base + "/quarantine")
         manifest.write.mode("overwrite").parquet(base + "/files")   # commit point
 
@@ -151,14 +153,22 @@ class Scd1Flow:
         """Merges the source table's new files; returns the current version."""
         src = spark.read.parquet(source_path)
         current = self.current_version(spark)
-        done = self._manifest(spark, current)
-        listed = spark.createDataFrame([(f,) for f in src.inputFiles()], "path string")
-        new = [r.path for r in listed.join(done, "path", "left_anti").collect()]
+        files = src.inputFiles()
+        if current is None:
+            new = sorted(files)
+            done = spark.createDataFrame([], "path string")
+        else:
+            done = self._manifest(spark, current)
+            listed = spark.createDataFrame([(f,) for f in files], "path string")
+            new = [r.path for r in listed.join(done, "path", "left_anti").collect()]
         if not new:
             return current
         changes = spark.read.schema(src.schema).parquet(*new)
-        valid, invalid = split_invalid(changes, self.keys, self.sequence_by)
-        reduced = scd1(valid, self.keys, self.sequence_by).repartition(self.buckets, *self.keys)
+        ok = valid_condition(self.keys, self.sequence_by)
+        obs = Observation(f"scd1_{self.target}")
+        observed = changes.observe(obs, F.count_if(~ok).alias("invalid"))
+        reduced = (scd1(observed, self.keys, self.sequence_by)
+                   .repartition(self.buckets, *self.keys))
         if current is None:
             merged = reduced
         else:
@@ -166,5 +176,5 @@ class Scd1Flow:
         existing = self._list(spark, committed=False)
         v = (existing[-1] + 1) if existing else 1
         manifest = done.unionByName(spark.createDataFrame([(f,) for f in new], "path string"))
-        self._write_version(spark, v, merged, invalid, manifest.coalesce(1))
+        self._write_version(spark, v, merged, changes.filter(~ok), manifest.coalesce(1), obs)
         return v
