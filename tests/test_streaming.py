@@ -167,3 +167,32 @@ def test_merge_does_not_shuffle_bucketed_snapshot(spark, root):
     assert "Bucketed: true" in plan
     assert "ENSURE_REQUIREMENTS" not in plan.split("Union")[0]   # nothing above the union
     assert rows(merged.filter("k = 'k1'")) == [("k1", 500, "new")]
+
+
+def test_metrics_log_counts_each_batch_once(spark, root):
+    from tierline.streaming.checks import MetricsLog, observe_stream
+    from tierline.plans.sensors import READINGS_EXPECTATIONS
+    land = root + "/land"
+    sch = "temperature_c double"
+    log = MetricsLog("chk")
+    for i, vals in enumerate([[20.0, 99.0], [21.0], [-50.0, 22.0, 23.0]]):
+        spark.createDataFrame([(v,) for v in vals], sch).write.mode("append").parquet(land)
+        q = append_stream(observe_stream(stream_files(spark, land, sch), READINGS_EXPECTATIONS, "chk"),
+                          root, "t")
+        q.awaitTermination()
+        log.collect(q)
+        log.collect(q)                      # seen twice, counted once
+    t = log.totals()
+    assert t["__rows"] == 6 and t["valid_temperature"] == 2
+
+
+def test_stream_dedupe_within_watermark(spark, root):
+    land = root + "/land"
+    sch = "id string, ts timestamp"
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1)
+    rows_ = [(str(i % 20), base + dt.timedelta(seconds=i)) for i in range(40)]
+    spark.createDataFrame(rows_, sch).write.parquet(land)
+    s = stream_files(spark, land, sch)
+    append_stream(dedupe(s, ["id"], event_time="ts", delay="1 hour"), root, "d").awaitTermination()
+    assert read_table(spark, root, "d").count() == 20

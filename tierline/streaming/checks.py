@@ -30,6 +30,31 @@ def stream_metrics(query: StreamingQuery, name: str) -> dict:
     return total
 
 
+class MetricsLog:
+    """Observed counters per (query run, batch id), collected from progress
+    reports. Calling ``collect`` at least once per
+    ``spark.sql.streaming.numRecentProgressUpdates`` batches keeps every
+    batch; a batch seen twice is counted once."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.batches: dict = {}
+
+    def collect(self, queries) -> None:
+        for q in ([queries] if isinstance(queries, StreamingQuery) else queries):
+            for p in q.recentProgress:
+                row = (p.get("observedMetrics") or {}).get(self.name)
+                if row is not None:
+                    self.batches[(p.get("runId"), p.get("batchId"))] = row.asDict()
+
+    def totals(self) -> dict:
+        total: dict = {}
+        for row in self.batches.values():
+            for k, v in row.items():
+                total[k] = total.get(k, 0) + int(v or 0)
+        return total
+
+
 def stream_report(spark: SparkSession, queries, name: str, expectations,
                   dataset: str) -> DataFrame:
     total: dict = {}

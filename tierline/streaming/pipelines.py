@@ -23,7 +23,7 @@ from tierline.operators.maintenance import dedupe, delete_where
 from tierline.plans import fraud, ingest, sales, seed, sensors
 from tierline.session import work_root
 from tierline.sources import testdata as td
-from tierline.streaming.checks import observe_stream, stream_report
+from tierline.streaming.checks import MetricsLog, observe_stream
 from tierline.streaming.tables import append_stream, data_path, read_table, stream_files
 from tierline.streaming.upsert import Scd1Flow
 
@@ -137,6 +137,7 @@ class Medallion:
         self.state = Scd1Flow(root, "sensor_state_silver", ["sensor_id"], "reading_seq")
         self.zones = Scd1Flow(root, "sensor_zone_silver", ["sensor_id"], "registry_seq")
         self.queries = []
+        self.metrics = MetricsLog(self.CHECKS)
 
     def start(self, readings_feed: DataFrame, registry_feed: DataFrame,
               trigger: str = "availableNow") -> Medallion:
@@ -150,6 +151,7 @@ class Medallion:
 
     def refresh(self) -> None:
         """Silver upserts from whatever bronze committed, then the gold view."""
+        self.metrics.collect(self.queries)
         for flow, bronze in ((self.state, "sensor_readings_bronze"),
                              (self.zones, "sensor_registry_bronze")):
             p = data_path(self.spark, self.root, bronze)
@@ -176,10 +178,13 @@ class Medallion:
     def stop(self) -> None:
         for q in self.queries:
             q.stop()
+        self.metrics.collect(self.queries)
 
     def expectation_report(self) -> DataFrame:
-        return stream_report(self.spark, self.queries, self.CHECKS,
-                             sensors.READINGS_EXPECTATIONS, "sensor_readings_bronze")
+        """Counts of the readings expectation over every batch seen so far."""
+        self.metrics.collect(self.queries)
+        return observation_report(self.spark, self.metrics.totals(),
+                                  sensors.READINGS_EXPECTATIONS, "sensor_readings_bronze")
 
 
 # ---- L1: ingest ------------------------------------------------------------------
