@@ -117,3 +117,13 @@ def test_scd2_ties_follow_scd1_rule(spark):
     winners = {(r.k, r.seq): r.payload for r in scd1(df, ["k", "seq"], "seq").collect()}
     assert {key: v[0] for key, v in h.items()} == winners
     assert h[("k", 1)][1] == 2 and h[("k", 2)][1] is None and h[("j", 5)][1] is None
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "hot", "hot", "hot"]), st.integers(0, 40),
+                          st.sampled_from("xyz")), min_size=1, max_size=60),
+       st.integers(1, 9))
+def test_scd2_matches_brute_force(spark, data, parts):
+    df = spark.createDataFrame(data, SCHEMA)
+    got = sorted((r.k, r[START_AT], r[END_AT]) for r in scd2(df, ["k"], "seq", partitions=parts).collect())
+    assert got == _brute_scd2(pd.DataFrame(data, columns=["k", "seq", "payload"]))
