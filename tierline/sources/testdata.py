@@ -30,13 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def sales_transactions(spark: SparkSession, sf_dir: str, product: str = "p_type",
-                       lineitem: DataFrame | None = None) -> DataFrame:
+                       lineitem: DataFrame | None = None, orders: DataFrame | None = None,
+                       part: DataFrame | None = None) -> DataFrame:
     """product, quantity, totalPrice, customerID, franchiseID; ``product`` is
     the part column that names the product (p_type: 6 values, p_brand: 25)."""
     li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    p = table(spark, sf_dir, "part").select("p_partkey", product)
+    o = (orders if orders is not None else table(spark, sf_dir, "orders")).select(
+        "o_orderkey", "o_custkey")
+    p = (part if part is not None else table(spark, sf_dir, "part")).select("p_partkey", product)
     return (li.join(o, li.l_orderkey == o.o_orderkey)
               .join(p, li.l_partkey == p.p_partkey)
               .select(F.col(product).alias("product"),

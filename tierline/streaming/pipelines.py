@@ -46,7 +46,15 @@ def sales_pipeline(spark: SparkSession, sf_dir: str, root: str,
     """sales_transactions (streaming table) -> sales_stats (view with
     expectations) + its expectation report. A FAIL expectation raises and
     leaves the previous sales_stats version current."""
-    tx = td.sales_transactions(spark, sf_dir, lineitem=_source(spark, sf_dir, "lineitem"))
+    # the dimensions every micro-batch joins with, bucketed once on their
+    # keys: each batch then shuffles only its own rows (when the dimensions
+    # are too large to broadcast)
+    orders = tables.bucketed_copy(td.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
+                                  root, "orders_by_orderkey", ["o_orderkey"])
+    part = tables.bucketed_copy(td.table(spark, sf_dir, "part").select("p_partkey", "p_type"),
+                                root, "part_by_partkey", ["p_partkey"])
+    tx = td.sales_transactions(spark, sf_dir, lineitem=_source(spark, sf_dir, "lineitem"),
+                               orders=orders, part=part)
     _wait(append_stream(tx, root, "sales_transactions", trigger, full_refresh))
     stats, obs = sales.sales_stats(read_table(spark, root, "sales_transactions"))
     v = tables.publish(stats, root, "sales_stats")

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators.cdc import scd1, scd1_merge, valid_condition
-from tierline.tables import filesystem
+from tierline.tables import filesystem, register_bucketed, write_bucketed
 
 _DATA = "data_b"
 
@@ -103,15 +103,8 @@ class Scd1Flow:
                 raise FileNotFoundError(f"{self.target} has no committed version")
             return spark.createDataFrame([], schema)
         path, b = self._data_dir(spark, v)
-        name = self._table()
-        if spark.catalog.tableExists(name):
-            spark.sql(f"DROP TABLE {name}")            # external: files stay
-        schema = self._schema(spark, v, path)
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        keys = ", ".join(f"`{k}`" for k in self.keys)
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({keys}) "
-                  f"SORTED BY ({keys}) INTO {b} BUCKETS LOCATION '{path}'")
-        return spark.table(name)
+        return register_bucketed(spark, self._table(), path, self.keys, b,
+                                 self._schema(spark, v, path))
 
     def _schema(self, spark: SparkSession, v: int, path: str):
         """Schema from the parquet footers; an empty bucketed write leaves no
@@ -137,13 +130,8 @@ class Scd1Flow:
     # ---- the merge -----------------------------------------------------------
     def _write_version(self, spark, v, data, invalid, manifest, obs=None) -> None:
         base = self._vdir(v)
-        tmp = self._table(f"_w{v}")
-        if spark.catalog.tableExists(tmp):
-            spark.sql(f"DROP TABLE {tmp}")
-        (data.write.bucketBy(self.buckets, *self.keys).sortBy(*self.keys)
-             .option("path", f"{base}/{_DATA}{self.buckets}").mode("overwrite")
-             .saveAsTable(tmp))
-        spark.sql(f"DROP TABLE {tmp}")                 # external: files stay
+        write_bucketed(data, f"{base}/{_DATA}{self.buckets}", self.keys, self.buckets,
+                       self._table(f"_w{v}"))
         if obs is not None and not (obs.get.get("invalid") or 0):
             invalid = invalid.limit(0)                 # nothing to keep: no second scan
         invalid.write.mode("overwrite").parquet(base + "/quarantine")

@@ -110,3 +110,46 @@ def preview(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
     """First ``n`` rows; ordered (and so repeatable) when ``order_by`` is given.
     A top-n: each partition keeps n rows before the single final merge."""
     return (df.orderBy(*order_by) if order_by else df).limit(n)
+
+
+def register_bucketed(spark: SparkSession, table: str, path: str, keys, buckets: int,
+                      schema) -> DataFrame:
+    """(Re)declares the files at ``path`` - written by ``bucketBy(buckets,
+    keys)`` - as a bucketed table and returns it. Joins and aggregates on the
+    keys then need no shuffle of this side."""
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE {table}")            # external: files stay
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    cols = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({cols}) "
+              f"SORTED BY ({cols}) INTO {int(buckets)} BUCKETS LOCATION {_sql_str(path)}")
+    return spark.table(table)
+
+
+def write_bucketed(df: DataFrame, path: str, keys, buckets: int, table: str) -> None:
+    """Writes ``df`` bucketed and sorted on ``keys`` (the writer needs a
+    catalog entry; it is dropped again, the files stay)."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        spark.sql(f"DROP TABLE {table}")
+    (df.write.bucketBy(int(buckets), *keys).sortBy(*keys).option("path", path)
+       .mode("overwrite").saveAsTable(table))
+    spark.sql(f"DROP TABLE {table}")
+
+
+def _table_name(path: str, name: str) -> str:
+    import hashlib
+    return f"tierline_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
+
+
+def bucketed_copy(df: DataFrame, root: str, name: str, keys, buckets: int | None = None) -> DataFrame:
+    """A copy of ``df`` bucketed on ``keys`` below ``root`` (written once,
+    reused while it exists): the way to join a large, slowly changing table
+    with every micro-batch of a stream without shuffling the table each time."""
+    spark = df.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    b = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{dataset_path(root, name)}/b={b}"
+    if not exists(spark, path + "/_SUCCESS"):
+        write_bucketed(df, path, keys, b, _table_name(path, name + "_w"))
+    return register_bucketed(spark, _table_name(path, name), path, keys, b, df.schema)
