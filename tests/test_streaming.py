@@ -196,3 +196,24 @@ def test_stream_dedupe_within_watermark(spark, root):
     s = stream_files(spark, land, sch)
     append_stream(dedupe(s, ["id"], event_time="ts", delay="1 hour"), root, "d").awaitTermination()
     assert read_table(spark, root, "d").count() == 20
+
+
+def test_stream_from_streaming_table(spark, root):
+    from tierline.streaming.tables import read_table_stream
+    land = root + "/land"
+    spark.createDataFrame([("a", 1, "x")], SCHEMA).write.parquet(land)
+    append_stream(stream_files(spark, land, SCHEMA), root, "bronze").awaitTermination()
+    # SELECT * FROM STREAM(bronze) into a second table; reruns add only new rows
+    down = lambda: read_table_stream(spark, root, "bronze", SCHEMA)
+    append_stream(down(), root, "copy").awaitTermination()
+    spark.createDataFrame([("b", 2, "y")], SCHEMA).write.mode("append").parquet(land)
+    append_stream(stream_files(spark, land, SCHEMA), root, "bronze").awaitTermination()
+    append_stream(down(), root, "copy").awaitTermination()
+    assert rows(read_table(spark, root, "copy")) == [("a", 1, "x"), ("b", 2, "y")]
+
+
+def test_typed_table_keeps_column_comments(spark, root):
+    P.measurements_pipeline(spark, SF, root)
+    schema = read_table(spark, root, "measurements").schema
+    assert schema["temperature"].dataType.simpleString() == "float"
+    assert schema["id"].metadata.get("comment") == "unique id per submission"
