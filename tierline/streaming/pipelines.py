@@ -63,6 +63,27 @@ def sales_pipeline(spark: SparkSession, sf_dir: str, root: str,
     return {"sales_stats": v}
 
 
+def sales_in_rounds(spark: SparkSession, sf_dir: str, root: str, rounds: int = 3) -> None:
+    """The line items delivered in ``rounds`` deliveries (a hash split of all
+    rows); after each one the bronze stream runs and the incrementally
+    maintained view folds in only the new rows."""
+    from tierline.streaming.incremental import IncrementalSalesStats
+    li = td.table(spark, sf_dir, "lineitem")
+    part_of = F.pmod(F.xxhash64(*[F.col(c) for c in li.columns]), F.lit(rounds))
+    landing = f"{root.rstrip('/')}/landing/lineitem"
+    orders = tables.bucketed_copy(td.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
+                                  root, "orders_by_orderkey", ["o_orderkey"])
+    part = tables.bucketed_copy(td.table(spark, sf_dir, "part").select("p_partkey", "p_type"),
+                                root, "part_by_partkey", ["p_partkey"])
+    view = IncrementalSalesStats(root)
+    for r in range(rounds):
+        li.filter(part_of == r).write.mode("append").parquet(landing)
+        tx = td.sales_transactions(spark, sf_dir, lineitem=stream_files(spark, landing, li.schema),
+                                   orders=orders, part=part)
+        _wait(append_stream(tx, root, "sales_transactions"))
+        view.refresh(spark, data_path(spark, root, "sales_transactions"))
+
+
 # ---- L3: fraud -----------------------------------------------------------------
 def seed_landing(spark: SparkSession, sf_dir: str, root: str, pct: float = 3.0,
                  n_files: int = 5) -> str:
@@ -259,6 +280,11 @@ def q_sales_pipeline(spark, sf):
     return tables.read_latest(spark, _sales_root(spark, sf), "sales_stats")
 
 
+def q_sales_pipeline_incremental(spark, sf):
+    root = _run_once(spark, sf, "sales_rounds", lambda r: sales_in_rounds(spark, sf, r))
+    return tables.read_latest(spark, root, "sales_stats")
+
+
 def q_sales_pipeline_expectations(spark, sf):
     return tables.read_latest(spark, _sales_root(spark, sf), "sales_stats_expectations")
 
@@ -330,6 +356,7 @@ def q_medallion_pipeline_row_counts(spark, sf):
 STREAMING_QUERIES = {
     "sales_pipeline": q_sales_pipeline,
     "sales_pipeline_expectations": q_sales_pipeline_expectations,
+    "sales_pipeline_incremental": q_sales_pipeline_incremental,
     "fraud_pipeline": q_fraud_pipeline,
     "fraud_pipeline_bookings_with_fraud": q_fraud_pipeline_bookings_with_fraud,
     "fraud_flags_stream": q_fraud_flags_stream,
@@ -349,6 +376,7 @@ def _streaming_oracle() -> dict:
     return {
         "sales_pipeline": o.ORACLE_SQL["sales_stats"],
         "sales_pipeline_expectations": o.ORACLE_SQL["sales_stats_expectations"],
+        "sales_pipeline_incremental": o.ORACLE_SQL["sales_stats"],
         "fraud_pipeline": o.ORACLE_SQL["fraud_by_party_and_method"],
         "fraud_pipeline_bookings_with_fraud": o.ORACLE_SQL["bookings_with_fraud"],
         "fraud_flags_stream": o.ORACLE_SQL["fraud_flags"],

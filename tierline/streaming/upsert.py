@@ -1,168 +1,40 @@
 """Incremental keyed upsert (AUTO CDC ... STORED AS SCD TYPE 1) into a Parquet
-target, without MERGE.
+target, without MERGE: a ``KeyedFlow`` whose state is the current row per key.
 
-The change feed lands in an append-only streaming table (exactly-once file
-sink). Each run of the flow:
-
-1. lists the committed files of that table and anti-joins them (in Spark)
-   with the manifest of files already merged; only the new names come back;
-2. reads only the new files, quarantines rows with a null key or sequence,
-   reduces them to one row per key (partial + final aggregate, so a key with
-   a third of all changes leaves each map task as one row) and aligns them
-   to the target's buckets;
-3. merges them with the snapshot, which is stored as a table bucketed on the
-   keys: the union keeps the bucket partitioning, so the snapshot is scanned
-   but never shuffled; the result is written bucketed again;
-4. commits version n+1 as ``data_b<B>/`` + ``quarantine/`` and then
-   ``files/`` (the manifest). A version counts once ``files/_SUCCESS``
-   exists, so a crash at any point leaves version n current and the rerun
-   repeats the same merge.
-
-Because the reduction is associative, commutative and idempotent, late rows
-(lower sequence) never win, and any split of the feed into runs gives the
-same target as one batch over all of it.
+Rows with a null key or sequence component are quarantined (kept in the
+version's ``quarantine/``), never applied; they are counted while the merge
+runs, and only scanned for again when there are any. Late rows (lower
+sequence) never win, ties follow the SCD1 rule, and any split of the feed
+into runs gives the same target as one batch over all of it.
 """
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierline.operators.cdc import scd1, scd1_merge, valid_condition
-from tierline.tables import filesystem, register_bucketed, write_bucketed
-
-_DATA = "data_b"
+from tierline.streaming.flows import KeyedFlow
 
 
 @dataclass
-class Scd1Flow:
-    root: str
-    target: str
-    keys: list
-    sequence_by: object
-    buckets: int = 16
-
-    # ---- layout ------------------------------------------------------------
-    def _base(self) -> str:
-        return f"{self.root.rstrip('/')}/{self.target}"
-
-    def _vdir(self, v: int) -> str:
-        return f"{self._base()}/v={v:08d}"
-
-    def _table(self, suffix: str = "") -> str:
-        h = hashlib.sha1(self._base().encode()).hexdigest()[:12]
-        return f"tierline_{self.target}_{h}{suffix}"
-
-    def _list(self, spark: SparkSession, committed: bool) -> list[int]:
-        fs, p, jvm = filesystem(spark, self._base())
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if not (n.startswith("v=") and n[2:].isdigit()):
-                continue
-            if committed and not fs.exists(
-                    jvm.org.apache.hadoop.fs.Path(st.getPath(), "files/_SUCCESS")):
-                continue
-            out.append(int(n[2:]))
-        return sorted(out)
-
-    def _data_dir(self, spark: SparkSession, v: int) -> tuple[str, int]:
-        fs, p, _ = filesystem(spark, self._vdir(v))
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith(_DATA) and n[len(_DATA):].isdigit():
-                return f"{self._vdir(v)}/{n}", int(n[len(_DATA):])
-        raise FileNotFoundError(f"no data folder in {self._vdir(v)}")
+class Scd1Flow(KeyedFlow):
+    sequence_by: object = None
 
-    def current_version(self, spark: SparkSession) -> int | None:
-        c = self._list(spark, committed=True)
-        return c[-1] if c else None
+    def __init__(self, root: str, target: str, keys, sequence_by, buckets: int = 16):
+        super().__init__(root, target, list(keys), buckets)
+        self.sequence_by = sequence_by
 
-    # ---- declare / read --------------------------------------------------------
-    def declare(self, spark: SparkSession, schema) -> int:
-        """Declares the target empty (``create_streaming_table``): commits an
-        empty version 0 with the given schema if no version exists yet."""
-        cur = self.current_version(spark)
-        if cur is not None:
-            return cur
-        empty = spark.createDataFrame([], schema)
-        self._write_version(spark, 0, empty, empty, spark.createDataFrame([], "path string"))
-        return 0
-
-    def read(self, spark: SparkSession, schema=None) -> DataFrame:
-        """The current snapshot as a table bucketed on the keys (joins and
-        aggregates on the keys need no shuffle of it)."""
-        v = self.current_version(spark)
-        if v is None:
-            if schema is None:
-                raise FileNotFoundError(f"{self.target} has no committed version")
-            return spark.createDataFrame([], schema)
-        path, b = self._data_dir(spark, v)
-        return register_bucketed(spark, self._table(), path, self.keys, b,
-                                 self._schema(spark, v, path))
-
-    def _schema(self, spark: SparkSession, v: int, path: str):
-        """Schema from the parquet footers; an empty bucketed write leaves no
-        file, and then the version's quarantine folder (same columns, always
-        written) gives it."""
-        try:
-            return spark.read.parquet(path).schema
-        except Exception:  # noqa: BLE001 - no data file in an empty version
-            return spark.read.parquet(self._vdir(v) + "/quarantine").schema
-
-    def quarantine(self, spark: SparkSession) -> DataFrame | None:
-        """All quarantined rows of the committed versions."""
-        vs = self._list(spark, committed=True)
-        if not vs:
-            return None
-        return spark.read.parquet(*[self._vdir(v) + "/quarantine" for v in vs])
-
-    def _manifest(self, spark: SparkSession, v: int | None) -> DataFrame:
-        if v is None:
-            return spark.createDataFrame([], "path string")
-        return spark.read.parquet(self._vdir(v) + "/files")
-
-    # ---- the merge -----------------------------------------------------------
-    def _write_version(self, spark, v, data, invalid, manifest, obs=None) -> None:
-        base = self._vdir(v)
-        write_bucketed(data, f"{base}/{_DATA}{self.buckets}", self.keys, self.buckets,
-                       self._table(f"_w{v}"))
-        if obs is not None and not (obs.get.get("invalid") or 0):
-            invalid = invalid.limit(0)                 # nothing to keep: no second scan
-        invalid.write.mode("overwrite").parquet(base + "/quarantine")
-        manifest.write.mode("overwrite").parquet(base + "/files")   # commit point
-
-    def run(self, spark: SparkSession, source_path: str) -> int | None:
-        """Merges the source table's new files; returns the current version."""
-        src = spark.read.parquet(source_path)
-        current = self.current_version(spark)
-        files = src.inputFiles()
-        if current is None:
-            new = sorted(files)
-            done = spark.createDataFrame([], "path string")
-        else:
-            done = self._manifest(spark, current)
-            listed = spark.createDataFrame([(f,) for f in files], "path string")
-            new = [r.path for r in listed.join(done, "path", "left_anti").collect()]
-        if not new:
-            return current
-        changes = spark.read.schema(src.schema).parquet(*new)
+    def prepare(self, changes: DataFrame):
         ok = valid_condition(self.keys, self.sequence_by)
         obs = Observation(f"scd1_{self.target}")
         observed = changes.observe(obs, F.count_if(~ok).alias("invalid"))
-        reduced = (scd1(observed, self.keys, self.sequence_by)
-                   .repartition(self.buckets, *self.keys))
-        if current is None:
-            merged = reduced
-        else:
-            merged = scd1_merge(self.read(spark), reduced, self.keys, self.sequence_by)
-        existing = self._list(spark, committed=False)
-        v = (existing[-1] + 1) if existing else 1
-        manifest = done.unionByName(spark.createDataFrame([(f,) for f in new], "path string"))
-        self._write_version(spark, v, merged, changes.filter(~ok), manifest.coalesce(1), obs)
-        return v
+        return observed, changes.filter(~ok), obs
+
+    def reduce(self, rows: DataFrame) -> DataFrame:
+        return scd1(rows, self.keys, self.sequence_by)
+
+    def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
+        return scd1_merge(state, reduced, self.keys, self.sequence_by)
