@@ -11,8 +11,9 @@ Each run of a flow:
 3. merges them with the current state, stored as a table bucketed on the
    keys: the union keeps the bucket partitioning, so the state is scanned
    but never shuffled, and is written back bucketed;
-4. commits version n+1 as ``data_b<B>/``, ``quarantine/``, ``_schema/`` and
-   then ``files/`` (the manifest). A version counts once ``files/_SUCCESS``
+4. commits version n+1 as ``data_b<B>/`` (plus ``quarantine/`` when rows
+   were quarantined, ``_schema/`` when the state is empty) and then
+   ``files/`` (the manifest). A version counts once ``files/_SUCCESS``
    exists, so a crash at any point leaves version n current and the rerun
    repeats the same merge.
 
@@ -28,7 +29,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from tierline.tables import filesystem, register_bucketed, write_bucketed
+from tierline.tables import (
+    exists, filesystem, has_data_files, register_bucketed, write_bucketed,
+)
 
 _DATA = "data_b"
 
@@ -109,15 +112,15 @@ class KeyedFlow:
                 raise FileNotFoundError(f"{self.target} has no committed version")
             return spark.createDataFrame([], schema)
         path, b = self._data_dir(spark, v)
-        schema = spark.read.parquet(self._vdir(v) + "/_schema").schema
+        marker = self._vdir(v) + "/_schema"
+        schema = spark.read.parquet(marker if exists(spark, marker) else path).schema
         return register_bucketed(spark, self._table(), path, self.keys, b, schema)
 
     def quarantine(self, spark: SparkSession) -> DataFrame | None:
-        """All quarantined rows of the committed versions."""
-        vs = self._list(spark, committed=True)
-        if not vs:
-            return None
-        return spark.read.parquet(*[self._vdir(v) + "/quarantine" for v in vs])
+        """All quarantined rows of the committed versions (None if none)."""
+        dirs = [self._vdir(v) + "/quarantine" for v in self._list(spark, committed=True)]
+        dirs = [d for d in dirs if exists(spark, d + "/_SUCCESS")]
+        return spark.read.parquet(*dirs) if dirs else None
 
     def _manifest(self, spark: SparkSession, v: int | None) -> DataFrame:
         if v is None:
@@ -127,12 +130,12 @@ class KeyedFlow:
     # ---- the merge -----------------------------------------------------------
     def _write_version(self, spark, v, data, invalid, manifest, obs=None) -> None:
         base = self._vdir(v)
-        write_bucketed(data, f"{base}/{_DATA}{self.buckets}", self.keys, self.buckets,
-                       self._table(f"_w{v}"))
-        data.limit(0).write.mode("overwrite").parquet(base + "/_schema")   # schema only
-        if obs is None or not (obs.get.get("invalid") or 0):
-            invalid = invalid.limit(0)                 # nothing to keep: no second scan
-        invalid.write.mode("overwrite").parquet(base + "/quarantine")
+        path = f"{base}/{_DATA}{self.buckets}"
+        write_bucketed(data, path, self.keys, self.buckets, self._table(f"_w{v}"))
+        if not has_data_files(spark, path):            # empty state: keep its schema
+            data.limit(0).write.mode("overwrite").parquet(base + "/_schema")
+        if obs is not None and (obs.get.get("invalid") or 0):
+            invalid.write.mode("overwrite").parquet(base + "/quarantine")   # only then scanned
         manifest.write.mode("overwrite").parquet(base + "/files")   # commit point
 
     def run(self, spark: SparkSession, source_path: str) -> int | None:

@@ -68,6 +68,14 @@ def read_version(spark: SparkSession, root: str, name: str, version: int) -> Dat
     return spark.read.parquet(version_path(root, name, version))
 
 
+def has_data_files(spark: SparkSession, path: str) -> bool:
+    """Whether a written folder holds any data file (not only markers)."""
+    fs, p, _ = filesystem(spark, path)
+    if not fs.exists(p):
+        return False
+    return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = filesystem(spark, path)
     return bool(fs.exists(p))
