@@ -36,6 +36,12 @@ def bookings_with_fraud(bookings_df: DataFrame, flags: DataFrame) -> DataFrame:
                     F.col("reason").alias("fraud_reason"))
 
 
+def payment_counts(payments_df: DataFrame) -> DataFrame:
+    """(booking_id, payment_method, _np): payments reduced per booking and
+    method, partial aggregation map-side."""
+    return payments_df.groupBy("booking_id", "payment_method").agg(F.count(F.lit(1)).alias("_np"))
+
+
 def fraud_by_party_and_method(bwf: DataFrame, payments_df: DataFrame) -> DataFrame:
     """COUNT(*) of (booking, payment) pairs per (party_size, payment_method),
     fraud count and rate.
@@ -45,10 +51,16 @@ def fraud_by_party_and_method(bwf: DataFrame, payments_df: DataFrame) -> DataFra
     is_fraud, n) with partial aggregation map-side, so a booking holding a
     third of all payments crosses the network as a few rows. Pair counts are
     the products n_b * n_p, which is exactly the inner join's COUNT(*)."""
-    p = payments_df.groupBy("booking_id", "payment_method").agg(F.count(F.lit(1)).alias("_np"))
+    return fraud_from_counts(bwf, payment_counts(payments_df))
+
+
+def fraud_from_counts(bwf: DataFrame, pay_counts: DataFrame) -> DataFrame:
+    """The gold view from bookings_with_fraud and payment counts
+    (booking_id, payment_method, _np). With both inputs bucketed on
+    booking_id the per-booking reduction and the join need no shuffle."""
     b = (bwf.groupBy("booking_id", F.col("guests_count").alias("party_size"), "is_fraud")
             .agg(F.count(F.lit(1)).alias("_nb")))
-    pairs = (b.join(p, "booking_id")
+    pairs = (b.join(pay_counts.select("booking_id", "payment_method", "_np"), "booking_id")
               .select("party_size", "payment_method", "is_fraud",
                       (F.col("_nb") * F.col("_np")).alias("_n")))
     g = pairs.groupBy("party_size", "payment_method").agg(

@@ -42,6 +42,10 @@ class KeyedFlow:
     target: str
     keys: list
     buckets: int = 16
+    bucket_by: list | None = None       # default: the keys; may be a prefix of them
+
+    def _bucket_keys(self) -> list:
+        return list(self.bucket_by or self.keys)
 
     # ---- what a flow computes (subclasses) -------------------------------------
     def prepare(self, changes: DataFrame) -> tuple[DataFrame, DataFrame, Observation | None]:
@@ -114,7 +118,7 @@ class KeyedFlow:
         path, b = self._data_dir(spark, v)
         marker = self._vdir(v) + "/_schema"
         schema = spark.read.parquet(marker if exists(spark, marker) else path).schema
-        return register_bucketed(spark, self._table(), path, self.keys, b, schema)
+        return register_bucketed(spark, self._table(), path, self._bucket_keys(), b, schema)
 
     def quarantine(self, spark: SparkSession) -> DataFrame | None:
         """All quarantined rows of the committed versions (None if none)."""
@@ -131,7 +135,7 @@ class KeyedFlow:
     def _write_version(self, spark, v, data, invalid, manifest, obs=None) -> None:
         base = self._vdir(v)
         path = f"{base}/{_DATA}{self.buckets}"
-        write_bucketed(data, path, self.keys, self.buckets, self._table(f"_w{v}"))
+        write_bucketed(data, path, self._bucket_keys(), self.buckets, self._table(f"_w{v}"))
         if not has_data_files(spark, path):            # empty state: keep its schema
             data.limit(0).write.mode("overwrite").parquet(base + "/_schema")
         if obs is not None and (obs.get.get("invalid") or 0):
@@ -154,7 +158,7 @@ class KeyedFlow:
             return current
         changes = spark.read.schema(src.schema).parquet(*new)
         rows, invalid, obs = self.prepare(changes)
-        reduced = self.reduce(rows).repartition(self.buckets, *self.keys)
+        reduced = self.reduce(rows).repartition(self.buckets, *self._bucket_keys())
         merged = reduced if current is None else self.combine(self.read(spark), reduced)
         existing = self._list(spark, committed=False)
         v = (existing[-1] + 1) if existing else 1

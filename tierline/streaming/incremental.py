@@ -27,8 +27,9 @@ class PartialsFlow(KeyedFlow):
     an output name to (op, column), op in count | sum | min | max; counts
     merge by summing."""
 
-    def __init__(self, root: str, target: str, keys, partials: dict, buckets: int = 16):
-        super().__init__(root, target, list(keys), buckets)
+    def __init__(self, root: str, target: str, keys, partials: dict, buckets: int = 16,
+                 bucket_by=None):
+        super().__init__(root, target, list(keys), buckets, bucket_by)
         self.partials = partials
 
     def reduce(self, rows: DataFrame) -> DataFrame:

@@ -106,15 +106,26 @@ def fraud_ingest(spark: SparkSession, sf_dir: str, root: str, landing: str,
           append_stream(pays, root, "payments", trigger))
 
 
-def fraud_refresh(spark: SparkSession, root: str) -> None:
-    flow = Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE)
+FRAUD_BUCKETS = 16
+
+
+def fraud_refresh(spark: SparkSession, root: str, buckets: int = FRAUD_BUCKETS) -> None:
+    """Silver and gold from the bronze tables. Bookings (SCD1 state), the
+    silver view and the payment counts (kept incrementally) are all bucketed
+    on booking_id with the same bucket count, so the gold view's
+    per-booking reduction and join read them without a shuffle."""
+    from tierline.streaming.incremental import PartialsFlow
+    flow = Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE, buckets)
     flow.run(spark, data_path(spark, root, "booking_updates"))
     flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
     bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"))
-    tables.publish(bwf, root, "bookings_with_fraud")
-    gold = fraud.fraud_by_party_and_method(
-        tables.read_latest(spark, root, "bookings_with_fraud"),
-        read_table(spark, root, "payments"))
+    tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets)
+    pays = PartialsFlow(root, "payment_counts", ["booking_id", "payment_method"],
+                        {"_np": ("count", "*")}, buckets, bucket_by=["booking_id"])
+    pays.run(spark, data_path(spark, root, "payments"))
+    gold = fraud.fraud_from_counts(
+        tables.read_latest_bucketed(spark, root, "bookings_with_fraud", ["booking_id"], buckets),
+        pays.read(spark))
     tables.publish(gold, root, "fraud_by_party_and_method")
 
 

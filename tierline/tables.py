@@ -161,3 +161,31 @@ def bucketed_copy(df: DataFrame, root: str, name: str, keys, buckets: int | None
     if not exists(spark, path + "/_SUCCESS"):
         write_bucketed(df, path, keys, b, _table_name(path, name + "_w"))
     return register_bucketed(spark, _table_name(path, name), path, keys, b, df.schema)
+
+
+def publish_bucketed(df: DataFrame, root: str, name: str, keys, buckets: int) -> int:
+    """``publish`` with the version written bucketed on ``keys``: readers
+    joining or grouping on the keys (``read_latest_bucketed``) skip the
+    shuffle of this dataset. Plain readers see ordinary Parquet."""
+    spark = df.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    existing = _versions(spark, dataset_path(root, name))
+    v = (existing[-1] + 1) if existing else 1
+    path = version_path(root, name, v)
+    write_bucketed(df, path, keys, buckets, _table_name(path, name + "_w"))
+    if not has_data_files(spark, path):
+        df.limit(0).write.mode("overwrite").parquet(path + "/_schema")
+    return v
+
+
+def read_latest_bucketed(spark: SparkSession, root: str, name: str, keys,
+                         buckets: int) -> DataFrame | None:
+    v = latest_version(spark, root, name)
+    if v is None:
+        return None
+    path = version_path(root, name, v)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    marker = path + "/_schema"
+    schema = spark.read.parquet(marker if exists(spark, marker) else path).schema
+    return register_bucketed(spark, _table_name(dataset_path(root, name), name), path, keys,
+                             buckets, schema)
