@@ -230,3 +230,5 @@ UNION ALL SELECT 'sensor_registry_bronze', COUNT(*) FROM events
 UNION ALL SELECT 'sensor_state_silver', COUNT(*) FROM state
 UNION ALL SELECT 'sensor_zone_silver', COUNT(*) FROM zones
 UNION ALL SELECT 'zone_stats_gold', COUNT(*) FROM gold"""
+
+MEASUREMENT_LOOKUP = f"WITH {_MEAS} SELECT * FROM measurements WHERE id = '42'"

@@ -335,6 +335,13 @@ def q_measurements_stream(spark, sf):
     return ingest.as_double(read_table(spark, _measurements_root(spark, sf), "measurements"))
 
 
+def q_measurements_stream_lookup(spark, sf):
+    """The ingest smoke check: the record with a given id, found by a filter
+    that reaches the parquet scan of the stored table."""
+    return ingest.as_double(read_table(spark, _measurements_root(spark, sf), "measurements")
+                            .filter(ingest.id_is("42")))
+
+
 def q_measurements_stream_after_delete(spark, sf):
     return ingest.as_double(
         tables.read_latest(spark, _measurements_root(spark, sf), "measurements_current"))
@@ -378,6 +385,7 @@ STREAMING_QUERIES = {
     "medallion_pipeline_row_counts": q_medallion_pipeline_row_counts,
     "sensor_readings_expectations": q_sensor_readings_expectations,
     "measurements_stream": q_measurements_stream,
+    "measurements_stream_lookup": q_measurements_stream_lookup,
     "measurements_stream_after_delete": q_measurements_stream_after_delete,
 }
 
@@ -398,6 +406,7 @@ def _streaming_oracle() -> dict:
         "medallion_pipeline_row_counts": o.STREAMED_MEDALLION_COUNTS,
         "sensor_readings_expectations": o.READINGS_EXPECTATIONS,
         "measurements_stream": o.ORACLE_SQL["measurements"],
+        "measurements_stream_lookup": o.MEASUREMENT_LOOKUP,
         "measurements_stream_after_delete": o.ORACLE_SQL["measurements_after_delete"],
     }
 
