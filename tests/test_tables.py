@@ -52,3 +52,33 @@ def test_bucketed_copy_join_does_not_shuffle_it(spark, root):
 def test_preview_is_ordered_top_n(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("k"))
     assert [r.k for r in tables.preview(df, 3, ["k"]).collect()] == [0, 1, 2]
+
+
+def test_retain_keeps_newest_versions(spark, root):
+    for i in range(4):
+        tables.publish(spark.createDataFrame([(i, "x")], SCHEMA), root, "d")
+    spark.createDataFrame([(9, "z")], SCHEMA).write.parquet(tables.version_path(root, "d", 2) + "x")
+    assert tables.retain(spark, root, "d", keep=2) == [1, 2]
+    assert tables.latest_version(spark, root, "d") == 4
+    assert tables.read_version(spark, root, "d", 3).first().k == 2
+    assert not tables.exists(spark, tables.version_path(root, "d", 1))
+
+
+def test_flow_retain_keeps_quarantine_and_current(spark, root):
+    from tierline.streaming.tables import append_stream, data_path, stream_files
+    from tierline.streaming.upsert import Scd1Flow
+    sch = "k string, seq long, payload string"
+    land = root + "/land"
+    flow = Scd1Flow(root, "silver", ["k"], "seq")
+    for batch in ([("a", 1, "x"), (None, 1, "bad")], [("a", 2, "y")], [("b", 1, "z")]):
+        spark.createDataFrame(batch, sch).write.mode("append").parquet(land)
+        append_stream(stream_files(spark, land, sch), root, "bronze").awaitTermination()
+        flow.run(spark, data_path(spark, root, "bronze"))
+    assert flow.retain(spark, keep=1) == [1, 2]
+    assert flow.current_version(spark) == 3
+    assert sorted(tuple(r) for r in flow.read(spark).collect()) == [("a", 2, "y"), ("b", 1, "z")]
+    assert flow.quarantine(spark).count() == 1
+    spark.createDataFrame([("c", 5, "w")], sch).write.mode("append").parquet(land)
+    append_stream(stream_files(spark, land, sch), root, "bronze").awaitTermination()
+    assert flow.run(spark, data_path(spark, root, "bronze")) == 4
+    assert flow.read(spark).count() == 3

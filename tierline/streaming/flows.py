@@ -131,6 +131,36 @@ class KeyedFlow:
             return spark.createDataFrame([], "path string")
         return spark.read.parquet(self._vdir(v) + "/files")
 
+    def retain(self, spark: SparkSession, keep: int = 2) -> list[int]:
+        """Frees all but the newest ``keep`` committed versions: their state
+        and manifest files go, their commit marker and quarantined rows stay.
+        Failed attempts older than the newest committed version are removed."""
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        committed = self._list(spark, committed=True)
+        if not committed:
+            return []
+        newest, kept = committed[-1], set(committed[-keep:])
+        fs, _, jvm = filesystem(spark, self._base())
+        freed = []
+        for v in self._list(spark, committed=False):
+            if v in kept or v > newest:
+                continue
+            vdir = jvm.org.apache.hadoop.fs.Path(self._vdir(v))
+            if v not in committed:
+                fs.delete(vdir, True)                    # a failed attempt
+            else:
+                for st in fs.listStatus(vdir):
+                    n = st.getPath().getName()
+                    if n.startswith(_DATA) or n == "_schema":
+                        fs.delete(st.getPath(), True)
+                    elif n == "files":
+                        for f in fs.listStatus(st.getPath()):
+                            if f.getPath().getName() != "_SUCCESS":
+                                fs.delete(f.getPath(), True)
+            freed.append(v)
+        return freed
+
     # ---- the merge -----------------------------------------------------------
     def _write_version(self, spark, v, data, invalid, manifest, obs=None) -> None:
         base = self._vdir(v)

@@ -205,13 +205,17 @@ class Medallion:
         _wait(*self.queries)
         self.refresh()
 
-    def run_continuous(self, interval_s: float, rounds: int) -> None:
+    def run_continuous(self, interval_s: float, rounds: int, keep: int = 3) -> None:
         """Refreshes silver and gold every ``interval_s`` seconds while the
-        bronze flows run, ``rounds`` times, then stops the flows."""
+        bronze flows run, ``rounds`` times, then stops the flows. Only the
+        newest ``keep`` versions of the silvers and the gold view are kept."""
         try:
             for _ in range(rounds):
                 time.sleep(interval_s)
                 self.refresh()
+                self.state.retain(self.spark, keep)
+                self.zones.retain(self.spark, keep)
+                tables.retain(self.spark, self.root, "zone_stats_gold", keep)
         finally:
             self.stop()
 

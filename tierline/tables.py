@@ -189,3 +189,28 @@ def read_latest_bucketed(spark: SparkSession, root: str, name: str, keys,
     schema = spark.read.parquet(marker if exists(spark, marker) else path).schema
     return register_bucketed(spark, _table_name(dataset_path(root, name), name), path, keys,
                              buckets, schema)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p, _ = filesystem(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def retain(spark: SparkSession, root: str, name: str, keep: int = 2) -> list[int]:
+    """Deletes all but the newest ``keep`` committed versions of a published
+    dataset, and uncommitted leftovers older than the newest committed one.
+    Returns the deleted version numbers. Keep at least 2 while readers may
+    still hold the previous version."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    vs = _versions(spark, dataset_path(root, name))
+    done = [v for v, ok in vs if ok]
+    if not done:
+        return []
+    kept = set(done[-keep:])
+    newest = done[-1]
+    gone = [v for v, ok in vs if v not in kept and (ok or v < newest)]
+    for v in gone:
+        _delete(spark, version_path(root, name, v))
+    return gone
