@@ -75,3 +75,21 @@ def sensor_zone(value) -> Column:
 def owner_slug(email) -> Column:
     """Part of an e-mail before '@', '.' and '-' turned into '_', lower case."""
     return F.lower(F.translate(F.split_part(_col(email), F.lit("@"), F.lit(1)), ".-", "__"))
+
+
+EXACT = "decimal(30,10)"
+
+
+def exact(c) -> Column:
+    """A double measure as an exact decimal (values with up to 10 decimals
+    are represented exactly), so sums and averages do not depend on the
+    order rows are added in."""
+    return _col(c).cast(EXACT)
+
+
+def round_avg(c, digits: int = 2) -> Column:
+    """ROUND(AVG(c), digits) computed exactly: a plain double average depends
+    on summation order, which varies with shuffle fetch order, and flips the
+    half-up rounding when the true average lies on a boundary (6 values
+    averaging 24.195)."""
+    return F.round(F.avg(exact(c)), digits).cast("double")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import tables
+from tierline.functions.scalar import exact
 from tierline.operators.expectations import apply_expectations, observation_report
 from tierline.plans.sales import SALES_EXPECTATIONS
 from tierline.streaming.flows import KeyedFlow
@@ -24,8 +25,8 @@ _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 
 class PartialsFlow(KeyedFlow):
     """State: one row per group with partial aggregates. ``partials`` maps
-    an output name to (op, column), op in count | sum | min | max; counts
-    merge by summing."""
+    an output name to (op, column name or Column), op in count | sum | min |
+    max; counts merge by summing."""
 
     def __init__(self, root: str, target: str, keys, partials: dict, buckets: int = 16,
                  bucket_by=None):
@@ -33,8 +34,11 @@ class PartialsFlow(KeyedFlow):
         self.partials = partials
 
     def reduce(self, rows: DataFrame) -> DataFrame:
-        aggs = [_REDUCE[op](F.lit(1) if col == "*" else F.col(col)).alias(name)
-                for name, (op, col) in self.partials.items()]
+        def column(c):
+            if isinstance(c, str):
+                return F.lit(1) if c == "*" else F.col(c)
+            return c
+        aggs = [_REDUCE[op](column(col)).alias(name) for name, (op, col) in self.partials.items()]
         return rows.groupBy(*self.keys).agg(*aggs)
 
     def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
@@ -69,7 +73,8 @@ class IncrementalSalesStats:
         self.root = root
         self.partials = PartialsFlow(root, "sales_partials", ["product"], {
             "txn_count": ("count", "*"), "units_sold": ("sum", "quantity"),
-            "_price_sum": ("sum", "totalPrice"), "_price_n": ("count", "totalPrice")}, buckets)
+            "_price_sum": ("sum", exact("totalPrice")), "_price_n": ("count", "totalPrice")},
+            buckets)
         self.customers = DistinctFlow(root, "sales_customers", ["product", "customerID"],
                                       "customerID", buckets)
         self.franchises = DistinctFlow(root, "sales_franchises", ["product", "franchiseID"],
@@ -85,8 +90,9 @@ class IncrementalSalesStats:
               .join(f, p.product.eqNullSafe(f._pf), "left"))
         return j.select(
             "product", "txn_count", "units_sold",
-            F.round("_price_sum", 2).alias("gross_revenue"),
-            F.round(F.col("_price_sum") / F.col("_price_n"), 2).alias("avg_txn_value"),
+            F.round("_price_sum", 2).cast("double").alias("gross_revenue"),
+            F.round(F.col("_price_sum") / F.col("_price_n"), 2).cast("double")
+             .alias("avg_txn_value"),
             F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
             F.coalesce("franchises_selling", F.lit(0)).alias("franchises_selling"))
 
