@@ -80,3 +80,18 @@ def test_scale_conf_sizes_partitions(spark):
     assert scale_conf(n)["spark.sql.shuffle.partitions"] == "200"
     big = scale_conf(100 * (1 << 40))  # 100 TiB
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
+
+
+def test_flagged_at_is_utc_in_any_session_zone(spark):
+    import datetime as dt
+    from tierline.functions.scalar import flagged_at
+    from tierline.plans.seed import _as_of_col
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        text = spark.range(1).select(flagged_at(F.lit(0), _as_of_col(None))).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    got = dt.datetime.strptime(text, "%Y-%m-%dT%H:%M:%SZ")
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    assert abs((now - got).total_seconds()) < 120

@@ -36,7 +36,8 @@ def check_files(n_files) -> int:
 
 def _as_of_col(as_of) -> Column:
     if as_of is None:
-        return F.localtimestamp()
+        # now, as UTC wall-clock time: the text ends in a literal 'Z'
+        return F.convert_timezone(None, F.lit("UTC"), F.localtimestamp())
     if isinstance(as_of, Column):
         return as_of
     return F.to_timestamp_ntz(F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")))
