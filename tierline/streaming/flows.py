@@ -41,9 +41,18 @@ class KeyedFlow:
     root: str
     target: str
     keys: list
-    buckets: int = 16
+    buckets: int | None = None          # default: the existing state's, else
+                                        # spark.sql.shuffle.partitions
     bucket_by: list | None = None       # default: the keys; may be a prefix of them
 
+    def resolve_buckets(self, spark: SparkSession) -> int:
+        v = self.current_version(spark)
+        if v is not None:
+            return self._data_dir(spark, v)[1]
+        if self.buckets:
+            return int(self.buckets)
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
     def _bucket_keys(self) -> list:
         return list(self.bucket_by or self.keys)
 
@@ -162,10 +171,11 @@ class KeyedFlow:
         return freed
 
     # ---- the merge -----------------------------------------------------------
-    def _write_version(self, spark, v, data, invalid, manifest, obs=None) -> None:
+    def _write_version(self, spark, v, data, invalid, manifest, obs=None, buckets=None) -> None:
         base = self._vdir(v)
-        path = f"{base}/{_DATA}{self.buckets}"
-        write_bucketed(data, path, self._bucket_keys(), self.buckets, self._table(f"_w{v}"))
+        b = buckets or self.resolve_buckets(spark)
+        path = f"{base}/{_DATA}{b}"
+        write_bucketed(data, path, self._bucket_keys(), b, self._table(f"_w{v}"))
         if not has_data_files(spark, path):            # empty state: keep its schema
             data.limit(0).write.mode("overwrite").parquet(base + "/_schema")
         if obs is not None and (obs.get.get("invalid") or 0):
@@ -188,10 +198,11 @@ class KeyedFlow:
             return current
         changes = spark.read.schema(src.schema).parquet(*new)
         rows, invalid, obs = self.prepare(changes)
-        reduced = self.reduce(rows).repartition(self.buckets, *self._bucket_keys())
+        b = self.resolve_buckets(spark)
+        reduced = self.reduce(rows).repartition(b, *self._bucket_keys())
         merged = reduced if current is None else self.combine(self.read(spark), reduced)
         existing = self._list(spark, committed=False)
         v = (existing[-1] + 1) if existing else 1
         manifest = done.unionByName(spark.createDataFrame([(f,) for f in new], "path string"))
-        self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs)
+        self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs, b)
         return v

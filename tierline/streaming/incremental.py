@@ -28,8 +28,8 @@ class PartialsFlow(KeyedFlow):
     an output name to (op, column name or Column), op in count | sum | min |
     max; counts merge by summing."""
 
-    def __init__(self, root: str, target: str, keys, partials: dict, buckets: int = 16,
-                 bucket_by=None):
+    def __init__(self, root: str, target: str, keys, partials: dict,
+                 buckets: int | None = None, bucket_by=None):
         super().__init__(root, target, list(keys), buckets, bucket_by)
         self.partials = partials
 
@@ -50,7 +50,7 @@ class DistinctFlow(KeyedFlow):
     """State: the distinct (keys) tuples seen so far; rows whose ``value``
     columns are null are not counted (as COUNT(DISTINCT) ignores nulls)."""
 
-    def __init__(self, root: str, target: str, keys, values, buckets: int = 16):
+    def __init__(self, root: str, target: str, keys, values, buckets: int | None = None):
         super().__init__(root, target, list(keys), buckets)
         self.values = [values] if isinstance(values, str) else list(values)
 
@@ -69,7 +69,7 @@ class IncrementalSalesStats:
     ``sales_transactions`` streaming table: partials per product plus the
     (product, customer) and (product, franchise) sets."""
 
-    def __init__(self, root: str, buckets: int = 16):
+    def __init__(self, root: str, buckets: int | None = None):
         self.root = root
         self.partials = PartialsFlow(root, "sales_partials", ["product"], {
             "txn_count": ("count", "*"), "units_sold": ("sum", "quantity"),

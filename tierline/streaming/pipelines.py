@@ -106,17 +106,15 @@ def fraud_ingest(spark: SparkSession, sf_dir: str, root: str, landing: str,
           append_stream(pays, root, "payments", trigger))
 
 
-FRAUD_BUCKETS = 16
-
-
-def fraud_refresh(spark: SparkSession, root: str, buckets: int = FRAUD_BUCKETS) -> None:
+def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) -> None:
     """Silver and gold from the bronze tables. Bookings (SCD1 state), the
     silver view and the payment counts (kept incrementally) are all bucketed
-    on booking_id with the same bucket count, so the gold view's
+    on booking_id with the bookings state's bucket count, so the gold view's
     per-booking reduction and join read them without a shuffle."""
     from tierline.streaming.incremental import PartialsFlow
     flow = Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE, buckets)
     flow.run(spark, data_path(spark, root, "booking_updates"))
+    buckets = flow.resolve_buckets(spark)
     flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
     bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"))
     tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets)

@@ -23,7 +23,7 @@ from tierline.streaming.flows import KeyedFlow
 class Scd1Flow(KeyedFlow):
     sequence_by: object = None
 
-    def __init__(self, root: str, target: str, keys, sequence_by, buckets: int = 16):
+    def __init__(self, root: str, target: str, keys, sequence_by, buckets: int | None = None):
         super().__init__(root, target, list(keys), buckets)
         self.sequence_by = sequence_by
 
