@@ -217,3 +217,28 @@ def test_typed_table_keeps_column_comments(spark, root):
     schema = read_table(spark, root, "measurements").schema
     assert schema["temperature"].dataType.simpleString() == "float"
     assert schema["id"].metadata.get("comment") == "unique id per submission"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 9),
+                          st.sampled_from("pqr")), min_size=1, max_size=30),
+       st.integers(1, 3), st.randoms(use_true_random=False))
+def test_streamed_rounds_equal_batch(spark, data, rounds, rnd):
+    from tierline.session import work_root
+    root = work_root(spark, "prop")
+    land = root + "/land"
+    deliveries = list(data) + rnd.sample(data, k=min(3, len(data)))   # replays
+    rnd.shuffle(deliveries)
+    flow = Scd1Flow(root, "silver", ["k"], "seq")
+    for r in range(rounds):
+        part = deliveries[r::rounds]
+        if not part:
+            continue
+        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(land)
+        append_stream(stream_files(spark, land, SCHEMA), root, "bronze").awaitTermination()
+        flow.run(spark, data_path(spark, root, "bronze"))
+    assert rows(flow.read(spark)) == rows(scd1(spark.createDataFrame(data, SCHEMA), ["k"], "seq"))
