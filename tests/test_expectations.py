@@ -84,3 +84,9 @@ def test_gate_in_stream_raises_with_name(spark, root):
     with pytest.raises(Exception) as e:
         q.awaitTermination()
     assert failed_expectation(e.value) == "known_product"
+
+
+def test_no_expectations_still_counts_rows(spark):
+    df = spark.createDataFrame([("a", 1.0, 1.0)], SCHEMA)
+    out, obs = apply_expectations(df, [])
+    assert out.count() == 1 and obs.get["__rows"] == 1 and obs.get["__dropped"] == 0

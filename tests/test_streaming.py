@@ -242,3 +242,10 @@ def test_streamed_rounds_equal_batch(spark, data, rounds, rnd):
         append_stream(stream_files(spark, land, SCHEMA), root, "bronze").awaitTermination()
         flow.run(spark, data_path(spark, root, "bronze"))
     assert rows(flow.read(spark)) == rows(scd1(spark.createDataFrame(data, SCHEMA), ["k"], "seq"))
+
+
+def test_flow_on_source_without_commits_is_a_no_op(spark, root):
+    from tierline.streaming.tables import table_dir
+    flow = Scd1Flow(root, "silver", ["k"], "seq")
+    empty_sink = table_dir(root, "bronze", 1) + "/data"
+    assert flow.run(spark, empty_sink) is None

@@ -79,9 +79,9 @@ def apply_expectations(df: DataFrame, expectations,
     if len(set(names)) != len(names):
         raise ValueError(f"duplicate expectation names: {names}")
     obs = Observation(name or f"expect_{uuid.uuid4().hex[:8]}")
-    if not expectations:
-        return df, obs
     observed = df.observe(obs, *violation_metrics(expectations))
+    if not expectations:
+        return observed, obs                      # row count only; no gate
     return observed.filter(gate(expectations)), obs
 
 

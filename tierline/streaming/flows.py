@@ -183,9 +183,13 @@ class KeyedFlow:
         manifest.write.mode("overwrite").parquet(base + "/files")   # commit point
 
     def run(self, spark: SparkSession, source_path: str) -> int | None:
-        """Merges the source table's new files; returns the current version."""
-        src = spark.read.parquet(source_path)
+        """Merges the source table's new files; returns the current version.
+        A source that has committed nothing yet leaves the state as it is."""
         current = self.current_version(spark)
+        if not exists(spark, source_path.rstrip("/") + "/_spark_metadata/0") and \
+                not has_data_files(spark, source_path):
+            return current
+        src = spark.read.parquet(source_path)
         files = src.inputFiles()
         if current is None:
             new = sorted(files)

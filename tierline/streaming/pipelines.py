@@ -193,7 +193,7 @@ class Medallion:
         for flow, bronze in ((self.state, "sensor_readings_bronze"),
                              (self.zones, "sensor_registry_bronze")):
             p = data_path(self.spark, self.root, bronze)
-            if p is not None and tables.exists(self.spark, p + "/_spark_metadata/0"):
+            if p is not None:
                 flow.run(self.spark, p)
         if self.state.current_version(self.spark) and self.zones.current_version(self.spark):
             gold = sensors.zone_stats_gold(self.state.read(self.spark), self.zones.read(self.spark))
