@@ -45,10 +45,9 @@ def q_sales_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sales_stats_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Order price stats per priority kept as mergeable partials: one scan
-    builds partials per (priority, chunk) - the older orders and the newer
-    ones, as an incremental refresh would hold them - and the merge folds
-    the chunks into the view."""
+    """Order price stats per priority kept as mergeable partials: partials
+    of the older orders and of the newer ones (as an incremental refresh
+    would hold them), folded into the view by the merge."""
     o = td.table(spark, sf, "orders").select("o_orderpriority", "o_totalprice", "o_orderdate")
     chunk = F.coalesce(F.col("o_orderdate") < F.lit(SPLIT_AT).cast("timestamp_ntz"),
                        F.lit(False)).alias("_older")

@@ -113,7 +113,9 @@ def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) ->
     per-booking reduction and join read them without a shuffle."""
     from tierline.streaming.incremental import PartialsFlow
     flow = Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE, buckets)
-    flow.run(spark, data_path(spark, root, "booking_updates"))
+    source = data_path(spark, root, "booking_updates")
+    flow.declare(spark, spark.read.parquet(source).schema)
+    flow.run(spark, source)
     buckets = flow.resolve_buckets(spark)
     flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
     bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"))
@@ -181,10 +183,13 @@ class Medallion:
               trigger: str = "availableNow") -> Medallion:
         readings = observe_stream(sensors.readings_bronze(readings_feed, seed=7),
                                   sensors.READINGS_EXPECTATIONS, self.CHECKS)
+        registry = sensors.registry_bronze(registry_feed)
+        # the silvers exist (empty) before the first refresh
+        self.state.declare(self.spark, readings.schema)
+        self.zones.declare(self.spark, registry.schema)
         self.queries = [
             append_stream(readings, self.root, "sensor_readings_bronze", trigger),
-            append_stream(sensors.registry_bronze(registry_feed), self.root,
-                          "sensor_registry_bronze", trigger)]
+            append_stream(registry, self.root, "sensor_registry_bronze", trigger)]
         return self
 
     def refresh(self) -> None:
