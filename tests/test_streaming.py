@@ -249,3 +249,11 @@ def test_flow_on_source_without_commits_is_a_no_op(spark, root):
     flow = Scd1Flow(root, "silver", ["k"], "seq")
     empty_sink = table_dir(root, "bronze", 1) + "/data"
     assert flow.run(spark, empty_sink) is None
+
+
+def test_gold_refreshes_only_when_a_silver_changes(spark, root):
+    m = P.Medallion(spark, root).start(*P.medallion_feeds(spark, SF))
+    m.run_triggered()
+    v = tables.latest_version(spark, root, "zone_stats_gold")
+    m.refresh()                                   # no new bronze data
+    assert tables.latest_version(spark, root, "zone_stats_gold") == v
