@@ -10,6 +10,8 @@ Readers take the newest generation that has a committed sink log.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -62,9 +64,10 @@ def append_stream(df: DataFrame, root: str, name: str, trigger: str | None = "av
     elif full_refresh:
         g += 1
     base = table_dir(root, name, g)
+    tag = hashlib.sha1(base.encode()).hexdigest()[:8]      # unique per table folder
     w = (df.writeStream.format("parquet").outputMode("append")
            .option("checkpointLocation", base + "/_checkpoint")
-           .queryName(f"{name}_flow_g{g}"))
+           .queryName(f"{name}_flow_g{g}_{tag}"))
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     return _apply_trigger(w, trigger).start(base + "/data")
