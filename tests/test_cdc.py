@@ -127,3 +127,10 @@ def test_scd2_matches_brute_force(spark, data, parts):
     df = spark.createDataFrame(data, SCHEMA)
     got = sorted((r.k, r[START_AT], r[END_AT]) for r in scd2(df, ["k"], "seq", partitions=parts).collect())
     assert got == _brute_scd2(pd.DataFrame(data, columns=["k", "seq", "payload"]))
+
+
+def test_map_payload_is_supported(spark):
+    df = spark.createDataFrame([("k", 1, {"a": 1}), ("k", 2, {"b": 2})],
+                               "k string, seq long, m map<string,int>")
+    assert scd1(df, ["k"], "seq").first().m == {"b": 2}
+    assert scd2(df, ["k"], "seq").count() == 2

@@ -49,10 +49,17 @@ def split_invalid(df: DataFrame, keys, sequence_by) -> tuple[DataFrame, DataFram
     return df.filter(ok), df.filter(~ok)
 
 
+def _hashable(df: DataFrame, cols) -> list[str]:
+    """Columns Spark can hash (hash expressions refuse maps)."""
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return [c for c in cols if "map<" not in types[c]]
+
+
 def _order(df: DataFrame, keys, seq) -> Column:
     payload = [c for c in df.columns if c not in keys]
+    hashed = _hashable(df, payload)
     parts = [F.col(c) for c in seq]
-    parts.append(F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0))
+    parts.append(F.xxhash64(*[F.col(c) for c in hashed]) if hashed else F.lit(0))
     types = {f.name: f.dataType for f in df.schema.fields}
     parts += [F.col(c) for c in payload if c not in seq and isinstance(types[c], _ORDERABLE)]
     return F.struct(*parts)
@@ -151,7 +158,8 @@ def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None) -
     types = {f.name: f.dataType for f in valid.schema.fields}
     tie = [F.col("_tb").desc()] + [F.col(c).desc() for c in payload
                                    if isinstance(types[c], _ORDERABLE)]
-    tb = F.xxhash64(*[F.col(c) for c in payload]) if payload else F.lit(0).cast("long")
+    hashed = _hashable(valid, payload)
+    tb = F.xxhash64(*[F.col(c) for c in hashed]) if hashed else F.lit(0).cast("long")
     ranged = (valid.withColumn("_tb", tb)
                    .repartitionByRange(n, *[F.col(k) for k in keys], F.col(seq))
                    .sortWithinPartitions(*[F.col(k) for k in keys], F.col(seq), *tie)
