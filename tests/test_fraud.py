@@ -76,3 +76,16 @@ def test_one_way_rates_and_chi2(spark):
     skew = gold.withColumn("fraud_count", F.when(F.col("party_size") == 2, 50)
                            .otherwise(F.col("fraud_count")))
     assert fraud.fraud_independence(skew).first().chi2 > 10
+
+
+def test_significance_matches_chi2_statistic(spark):
+    gold = spark.createDataFrame(
+        # both party sizes 40/200 fraud; method a 20/200 vs method b 60/200
+        [(1, "a", 100, 10, 0.0), (1, "b", 100, 30, 0.0), (2, "a", 100, 10, 0.0), (2, "b", 100, 30, 0.0)],
+        "party_size int, payment_method string, total_bookings long, fraud_count long, "
+        "fraud_rate_pct double")
+    sig = {r.dimension: r for r in fraud.fraud_significance(gold).collect()}
+    joint = fraud.fraud_independence(gold).first()
+    assert abs(sig["party_size x payment_method"].statistic - joint.chi2) < 1e-6
+    assert sig["party_size x payment_method"].dof == 3
+    assert sig["payment_method"].p_value < 0.001 and sig["party_size"].p_value > 0.99

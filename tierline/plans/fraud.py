@@ -101,3 +101,36 @@ def fraud_independence(gold: DataFrame) -> DataFrame:
     return g.agg(F.round(F.sum(term), 6).alias("chi2"),
                     F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).cast("bigint").alias("dof"),
                     F.count(F.lit(1)).alias("cells"))
+
+
+def fraud_significance(gold: DataFrame) -> DataFrame:
+    """Pearson chi-square tests of "fraud is independent of ..." for party
+    size, payment method, and their combination, with p-values from Spark's
+    statistics library. Input is the gold view: one row per (party_size,
+    payment_method), so the contingency tables collected here are bounded by
+    (party sizes x payment methods) x 2 cells, independent of the data size.
+    Rows: dimension, statistic, dof, p_value."""
+    from pyspark.mllib.linalg import Matrices
+    from pyspark.mllib.stat import Statistics
+    spark = gold.sparkSession
+    cells = gold.select("party_size", "payment_method", "total_bookings", "fraud_count").collect()
+    rows = []
+    for dim, key in (("party_size", lambda r: (r.party_size,)),
+                     ("payment_method", lambda r: (r.payment_method,)),
+                     ("party_size x payment_method", lambda r: (r.party_size, r.payment_method))):
+        table: dict = {}
+        for r in cells:
+            fraud_, total = table.get(key(r), (0, 0))
+            table[key(r)] = (fraud_ + int(r.fraud_count), total + int(r.total_bookings))
+        groups = sorted(table, key=repr)
+        if len(groups) < 2:
+            rows.append((dim, None, 0, None))
+            continue
+        # column-major 2 x n matrix: (fraud, not fraud) per group
+        values = []
+        for g in groups:
+            fraud_, total = table[g]
+            values += [float(fraud_), float(total - fraud_)]
+        res = Statistics.chiSqTest(Matrices.dense(2, len(groups), values))
+        rows.append((dim, float(res.statistic), int(res.degreesOfFreedom), float(res.pValue)))
+    return spark.createDataFrame(rows, "dimension string, statistic double, dof int, p_value double")

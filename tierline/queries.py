@@ -101,6 +101,12 @@ def q_fraud_independence_chi2(spark, sf):
     return fraud.fraud_independence(_gold(spark, sf))
 
 
+def q_fraud_significance(spark, sf):
+    """Is fraud related to party size and payment method? Chi-square tests
+    with p-values (no SQL oracle: the p-value needs the chi-square CDF)."""
+    return fraud.fraud_significance(_gold(spark, sf))
+
+
 def q_fraud_flags_preview(spark, sf):
     """Preview of the fraud markers: the five lowest booking ids (a top-5)."""
     from tierline.tables import preview
@@ -246,6 +252,7 @@ BATCH_QUERIES = {
     "fraud_rate_by_party_size": q_fraud_rate_by_party_size,
     "fraud_rate_by_payment_method": q_fraud_rate_by_payment_method,
     "fraud_independence_chi2": q_fraud_independence_chi2,
+    "fraud_significance": q_fraud_significance,
     "fraud_flags_preview": q_fraud_flags_preview,
     "fraud_row_counts": q_fraud_row_counts,
     "seed_fraud_markers": q_seed_fraud_markers,
