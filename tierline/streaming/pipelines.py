@@ -13,6 +13,7 @@ All data goes below a run folder in the session's checkpoint directory.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,14 +118,16 @@ def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) ->
     flow = Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE, buckets)
     source = data_path(spark, root, "booking_updates")
     flow.declare(spark, spark.read.parquet(source).schema)
-    flow.run(spark, source)
     buckets = flow.resolve_buckets(spark)
-    flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
-    bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"))
-    tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets)
     pays = PartialsFlow(root, "payment_counts", ["booking_id", "payment_method"],
                         {"_np": ("count", "*")}, buckets, bucket_by=["booking_id"])
-    pays.run(spark, data_path(spark, root, "payments"))
+    with ThreadPoolExecutor(max_workers=1) as pool:      # independent of the bookings
+        counted = pool.submit(pays.run, spark, data_path(spark, root, "payments"))
+        flow.run(spark, source)
+        flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
+        bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"))
+        tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets)
+        counted.result()
     gold = fraud.fraud_from_counts(
         tables.read_latest_bucketed(spark, root, "bookings_with_fraud", ["booking_id"], buckets),
         pays.read(spark))
@@ -198,11 +201,13 @@ class Medallion:
     def refresh(self) -> None:
         """Silver upserts from whatever bronze committed, then the gold view."""
         self.metrics.collect(self.queries)
-        for flow, bronze in ((self.state, "sensor_readings_bronze"),
-                             (self.zones, "sensor_registry_bronze")):
-            p = data_path(self.spark, self.root, bronze)
-            if p is not None:
-                flow.run(self.spark, p)
+        with ThreadPoolExecutor(max_workers=2) as pool:      # the silvers are independent
+            runs = [pool.submit(flow.run, self.spark, p)
+                    for flow, bronze in ((self.state, "sensor_readings_bronze"),
+                                         (self.zones, "sensor_registry_bronze"))
+                    if (p := data_path(self.spark, self.root, bronze)) is not None]
+            for r in runs:
+                r.result()
         # the gold view is recomputed when either silver moved past the
         # versions it was built from, once both hold merged data
         inputs = (self.state.current_version(self.spark) or 0,
