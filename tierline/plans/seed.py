@@ -66,7 +66,8 @@ def fraud_markers(booking_updates: DataFrame, pct: float = 3.0, method: str = "x
 
 def write_markers(markers: DataFrame, path: str, n_files: int = 5) -> None:
     """JSON lines in at most ``n_files`` files (empty partitions write none).
-    Replaces what the folder held."""
+    Replaces what the folder held. ``n_files`` is also the write parallelism:
+    size it to the number of markers (a few hundred MB per file)."""
     markers.repartition(check_files(n_files)).write.mode("overwrite").json(path)
 
 

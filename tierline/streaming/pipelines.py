@@ -157,17 +157,21 @@ def bookings_in_rounds(spark: SparkSession, sf_dir: str, root: str, rounds: int
 
 
 # ---- L4: continuous medallion ----------------------------------------------------
+# fixed values: the live feed rates (rows per second) of readings and registry
+FEED_RATES = (10, 2)
+
+
 def medallion_feeds(spark: SparkSession, sf_dir: str | None, source: str = "events",
-                    seed_: int = 7) -> tuple[DataFrame, DataFrame]:
+                    rates: tuple[int, int] = FEED_RATES) -> tuple[DataFrame, DataFrame]:
     """(readings feed, registry feed) as streams. 'events': from the events
-    table (registry ticks = event_id div 5); 'rate': the live generators at
-    10 and 2 rows/s."""
+    table (registry ticks = event_id div 5); 'rate': the live generators
+    (10 and 2 rows/s by default)."""
     if source == "events":
         ev = _source(spark, sf_dir, "events")
         return td.readings_feed(spark, sf_dir, events=ev), td.registry_ticks(ev)
     if source == "rate":
-        r = spark.readStream.format("rate").option("rowsPerSecond", "10").load()
-        g = spark.readStream.format("rate").option("rowsPerSecond", "2").load()
+        r = spark.readStream.format("rate").option("rowsPerSecond", str(rates[0])).load()
+        g = spark.readStream.format("rate").option("rowsPerSecond", str(rates[1])).load()
         return r, g
     raise ValueError(f"source must be 'events' or 'rate', got {source!r}")
 
