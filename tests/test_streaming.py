@@ -257,3 +257,15 @@ def test_gold_refreshes_only_when_a_silver_changes(spark, root):
     v = tables.latest_version(spark, root, "zone_stats_gold")
     m.refresh()                                   # no new bronze data
     assert tables.latest_version(spark, root, "zone_stats_gold") == v
+
+
+def test_stream_report_rows(spark, root):
+    from tierline.plans.sensors import READINGS_EXPECTATIONS
+    from tierline.streaming.checks import observe_stream, stream_report
+    land = root + "/land"
+    spark.createDataFrame([(20.0,), (70.0,)], "temperature_c double").write.parquet(land)
+    q = append_stream(observe_stream(stream_files(spark, land, "temperature_c double"),
+                                     READINGS_EXPECTATIONS, "c2"), root, "t")
+    q.awaitTermination()
+    r = stream_report(spark, q, "c2", READINGS_EXPECTATIONS, "t").first()
+    assert (r.input_rows, r.failed_rows, r.output_rows, r.dropped_rows) == (2, 1, 2, 0)

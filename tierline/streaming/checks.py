@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.operators.expectations import violation_metrics, gate, observation_report
+from tierline.operators.expectations import gate, observation_report, violation_metrics
 
 
 def observe_stream(df: DataFrame, expectations, name: str) -> DataFrame:
@@ -17,19 +17,6 @@ def observe_stream(df: DataFrame, expectations, name: str) -> DataFrame:
     return df.observe(name, *violation_metrics(expectations)).filter(gate(expectations))
 
 
-def stream_metrics(query: StreamingQuery, name: str) -> dict:
-    """Sum of the observed counters over the query's retained progress
-    reports (``spark.sql.streaming.numRecentProgressUpdates`` of them)."""
-    total: dict = {}
-    for p in query.recentProgress:
-        row = (p.get("observedMetrics") or {}).get(name)
-        if row is None:
-            continue
-        for k, v in row.asDict().items():
-            total[k] = total.get(k, 0) + int(v or 0)
-    return total
-
-
 class MetricsLog:
     """Observed counters per (query run, batch id), collected from progress
     reports. Calling ``collect`` at least once per
@@ -57,8 +44,7 @@ class MetricsLog:
 
 def stream_report(spark: SparkSession, queries, name: str, expectations,
                   dataset: str) -> DataFrame:
-    total: dict = {}
-    for q in ([queries] if isinstance(queries, StreamingQuery) else queries):
-        for k, v in stream_metrics(q, name).items():
-            total[k] = total.get(k, 0) + v
-    return observation_report(spark, total, expectations, dataset)
+    """The expectation report over the batches the queries still retain."""
+    log = MetricsLog(name)
+    log.collect(queries)
+    return observation_report(spark, log.totals(), expectations, dataset)
