@@ -134,3 +134,14 @@ def test_map_payload_is_supported(spark):
                                "k string, seq long, m map<string,int>")
     assert scd1(df, ["k"], "seq").first().m == {"b": 2}
     assert scd2(df, ["k"], "seq").count() == 2
+
+
+def test_scd2_after_a_shuffle(spark):
+    from tierline.operators.cdc import _scan_only
+    rnd = random.Random(11)
+    data = [("hot", s, "p") for s in rnd.sample(range(5000), 300)]
+    data += [(f"k{rnd.randint(0, 20)}", s, "p") for s in rnd.sample(range(5000), 200)]
+    shuffled = spark.createDataFrame(data, SCHEMA).repartition(7)      # fetch-order rows
+    assert not _scan_only(shuffled)
+    got = sorted((r.k, r[START_AT], r[END_AT]) for r in scd2(shuffled, ["k"], "seq", partitions=16).collect())
+    assert got == _brute_scd2(pd.DataFrame(data, columns=["k", "seq", "payload"]))

@@ -269,3 +269,22 @@ def test_stream_report_rows(spark, root):
     q.awaitTermination()
     r = stream_report(spark, q, "c2", READINGS_EXPECTATIONS, "t").first()
     assert (r.input_rows, r.failed_rows, r.output_rows, r.dropped_rows) == (2, 1, 2, 0)
+
+
+def test_scd2_flow_rounds_equal_batch_history(spark, root):
+    from tierline.operators.cdc import END_AT, START_AT, scd2
+    from tierline.streaming.upsert import Scd2Flow
+    land = root + "/land"
+    data = [("a", 10, "p"), ("b", 5, "q"), ("a", 30, "r"), ("a", 20, "late"), ("b", 1, "early"),
+            ("c", 7, "s"), ("a", 30, "r"), (None, 3, "nokey")]
+    flow = Scd2Flow(root, "history", ["k"], "seq")
+    for batch in (data[:3], data[3:5], data[5:]):
+        spark.createDataFrame(batch, SCHEMA).write.mode("append").parquet(land)
+        append_stream(stream_files(spark, land, SCHEMA), root, "bronze").awaitTermination()
+        flow.run(spark, data_path(spark, root, "bronze"))
+    got = sorted((r.k, r.seq, r.payload, r[START_AT], r[END_AT]) for r in flow.read(spark).collect())
+    exp = sorted((r.k, r.seq, r.payload, r[START_AT], r[END_AT])
+                 for r in scd2(spark.createDataFrame(data, SCHEMA), ["k"], "seq").collect())
+    assert got == exp
+    assert ("a", 20, "late", 20, 30) in got and ("b", 1, "early", 1, 5) in got
+    assert flow.quarantine(spark).count() == 1

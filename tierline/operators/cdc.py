@@ -139,6 +139,32 @@ def _local_successor(keys: list[str], seq: str):
     return run
 
 
+_SCAN_NODES = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD",
+               "SubqueryAlias", "RelationV2"}
+
+
+def _scan_only(df: DataFrame) -> bool:
+    """Whether ``df`` is a scan with projections and filters only: its rows
+    then come in the same order every time it is evaluated. (After a shuffle
+    or a join the order depends on fetch timing.)"""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    for line in plan.splitlines():
+        node = line.lstrip(" :+-").split(" ")[0].split("[")[0]
+        if node and node not in _SCAN_NODES:
+            return False
+    return True
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint below the session's checkpoint folder (survives
+    executor loss; cuts the lineage)."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        from tierline.session import work_root
+        spark.sparkContext.setCheckpointDir(work_root(spark, "checkpoint"))
+    return df.checkpoint(eager=True)
+
+
 def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None) -> DataFrame:
     """History: one row per accepted (key, sequence) with __START_AT = sequence
     and __END_AT = the key's next sequence (null for the current version).
@@ -160,19 +186,19 @@ def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None) -
                                    if isinstance(types[c], _ORDERABLE)]
     hashed = _hashable(valid, payload)
     tb = F.xxhash64(*[F.col(c) for c in hashed]) if hashed else F.lit(0).cast("long")
-    ranged = (valid.withColumn("_tb", tb)
-                   .repartitionByRange(n, *[F.col(k) for k in keys], F.col(seq))
-                   .sortWithinPartitions(*[F.col(k) for k in keys], F.col(seq), *tie)
-                   .withColumn("_pid", F.spark_partition_id()))
     # Both branches below must see the same range partitions. They share an
-    # identical subtree, so Spark reuses the one range exchange; a session
-    # with exchange reuse switched off gets a reliable checkpoint instead
-    # (written below spark.checkpoint.dir, survives executor loss).
+    # identical subtree, so Spark reuses the one range exchange; in case it
+    # does not, its input must arrive in the same order each time (range
+    # bounds come from sampling it): a plain scan does, anything after a
+    # shuffle or join is first cut by a reliable checkpoint. A session with
+    # exchange reuse switched off checkpoints the ranged rows themselves.
+    source = valid if _scan_only(valid) else _checkpointed(valid)
+    ranged = (source.withColumn("_tb", tb)
+                    .repartitionByRange(n, *[F.col(k) for k in keys], F.col(seq))
+                    .sortWithinPartitions(*[F.col(k) for k in keys], F.col(seq), *tie)
+                    .withColumn("_pid", F.spark_partition_id()))
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        from tierline.session import work_root
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(work_root(spark, "checkpoint"))
-        ranged = ranged.checkpoint(eager=True)
+        ranged = _checkpointed(ranged)
     seq_type = types[seq]
     out_schema = T.StructType(ranged.schema.fields + [
         T.StructField("_next", seq_type, True), T.StructField("_plast", T.BooleanType(), False),

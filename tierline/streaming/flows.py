@@ -67,6 +67,10 @@ class KeyedFlow:
     def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
         raise NotImplementedError
 
+    def initial(self, reduced: DataFrame) -> DataFrame:
+        """The first state, from the first reduced rows."""
+        return reduced
+
     # ---- layout ------------------------------------------------------------
     def _base(self) -> str:
         return f"{self.root.rstrip('/')}/{self.target}"
@@ -204,7 +208,7 @@ class KeyedFlow:
         rows, invalid, obs = self.prepare(changes)
         b = self.resolve_buckets(spark)
         reduced = self.reduce(rows).repartition(b, *self._bucket_keys())
-        merged = reduced if current is None else self.combine(self.read(spark), reduced)
+        merged = self.initial(reduced) if current is None else self.combine(self.read(spark), reduced)
         existing = self._list(spark, committed=False)
         v = (existing[-1] + 1) if existing else 1
         manifest = done.unionByName(spark.createDataFrame([(f,) for f in new], "path string"))

@@ -26,7 +26,7 @@ from tierline.session import work_root
 from tierline.sources import testdata as td
 from tierline.streaming.checks import MetricsLog, observe_stream
 from tierline.streaming.tables import append_stream, data_path, read_table, stream_files
-from tierline.streaming.upsert import Scd1Flow
+from tierline.streaming.upsert import Scd1Flow, Scd2Flow
 
 FLAGS_SCHEMA = fraud.FLAG_SCHEMA + ", _corrupt_record string"
 
@@ -156,6 +156,21 @@ def bookings_in_rounds(spark: SparkSession, sf_dir: str, root: str, rounds: int
     return flow
 
 
+def history_in_rounds(spark: SparkSession, sf_dir: str, root: str, rounds: int = 3) -> Scd2Flow:
+    """The events feed delivered in ``rounds`` deliveries (hash split, so
+    sequences arrive out of order); after each one the history of the touched
+    users is re-chained (STORED AS SCD TYPE 2)."""
+    ev = td.table(spark, sf_dir, "events")
+    part_of = F.pmod(F.xxhash64(*[F.col(c) for c in ev.columns]), F.lit(rounds))
+    landing = f"{root.rstrip('/')}/landing/events"
+    flow = Scd2Flow(root, "events_history", ["user_id"], "event_id")
+    for r in range(rounds):
+        ev.filter(part_of == r).write.mode("append").parquet(landing)
+        _wait(append_stream(stream_files(spark, landing, ev.schema), root, "events_bronze"))
+        flow.run(spark, data_path(spark, root, "events_bronze"))
+    return flow
+
+
 # ---- L4: continuous medallion ----------------------------------------------------
 # fixed values: the live feed rates (rows per second) of readings and registry
 FEED_RATES = (10, 2)
@@ -342,6 +357,21 @@ def q_bookings_scd1_stream(spark, sf):
     return Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE).read(spark)
 
 
+def _history_flow(spark, sf) -> Scd2Flow:
+    root = _run_once(spark, sf, "history_rounds", lambda r: history_in_rounds(spark, sf, r))
+    return Scd2Flow(root, "events_history", ["user_id"], "event_id")
+
+
+def q_events_scd2_stream(spark, sf):
+    return _history_flow(spark, sf).read(spark)
+
+
+def q_events_as_of_stream(spark, sf):
+    from tierline.operators.cdc import as_of
+    from tierline.plans.history import midpoint
+    return as_of(_history_flow(spark, sf).read(spark), midpoint(td.table(spark, sf, "events")))
+
+
 def q_medallion_pipeline(spark, sf):
     return tables.read_latest(spark, _medallion_root(spark, sf), "zone_stats_gold")
 
@@ -404,6 +434,8 @@ STREAMING_QUERIES = {
     "fraud_flags_stream": q_fraud_flags_stream,
     "fraud_pipeline_row_counts": q_fraud_pipeline_row_counts,
     "bookings_scd1_stream": q_bookings_scd1_stream,
+    "events_scd2_stream": q_events_scd2_stream,
+    "events_as_of_stream": q_events_as_of_stream,
     "medallion_pipeline": q_medallion_pipeline,
     "sensor_state_silver_stream": q_sensor_state_silver_stream,
     "medallion_pipeline_row_counts": q_medallion_pipeline_row_counts,
@@ -425,6 +457,8 @@ def _streaming_oracle() -> dict:
         "fraud_flags_stream": o.ORACLE_SQL["fraud_flags"],
         "fraud_pipeline_row_counts": o.ORACLE_SQL["fraud_row_counts"],
         "bookings_scd1_stream": o.ORACLE_SQL["bookings_scd1"],
+        "events_scd2_stream": o.ORACLE_SQL["events_scd2"],
+        "events_as_of_stream": o.ORACLE_SQL["events_as_of"],
         "medallion_pipeline": o.ORACLE_SQL["zone_stats_gold"],
         "sensor_state_silver_stream": o.ORACLE_SQL["sensor_state_silver"],
         "medallion_pipeline_row_counts": o.STREAMED_MEDALLION_COUNTS,

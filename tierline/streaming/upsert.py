@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tierline.operators.cdc import scd1, scd1_merge, valid_condition
+from tierline.operators.cdc import END_AT, START_AT, scd1, scd1_merge, scd2, valid_condition
 from tierline.streaming.flows import KeyedFlow
 
 
@@ -38,3 +38,43 @@ class Scd1Flow(KeyedFlow):
 
     def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
         return scd1_merge(state, reduced, self.keys, self.sequence_by)
+
+
+@dataclass
+class Scd2Flow(KeyedFlow):
+    """Incremental history (``STORED AS SCD TYPE 2``): every accepted
+    (key, sequence) is a version with __START_AT / __END_AT.
+
+    A merge recomputes the history only of the keys the new changes touch:
+    those keys' versions are taken from the state by a semi-join (the state is
+    bucketed on the keys, so it is not shuffled), unioned with the new
+    versions and re-chained with ``scd2``; a late change with a lower
+    sequence therefore re-closes the right versions. Untouched keys pass
+    through unchanged."""
+    sequence_by: str = None
+
+    def __init__(self, root: str, target: str, keys, sequence_by: str,
+                 buckets: int | None = None):
+        super().__init__(root, target, list(keys), buckets)
+        self.sequence_by = sequence_by
+
+    def prepare(self, changes: DataFrame):
+        ok = valid_condition(self.keys, self.sequence_by)
+        obs = Observation(f"scd2_{self.target}")
+        observed = changes.observe(obs, F.count_if(~ok).alias("invalid"))
+        return observed, changes.filter(~ok), obs
+
+    def reduce(self, rows: DataFrame) -> DataFrame:
+        # one row per (key, sequence), ties by the SCD1 rule
+        return scd1(rows, self.keys + [self.sequence_by], self.sequence_by)
+
+    def initial(self, reduced: DataFrame) -> DataFrame:
+        return scd2(reduced, self.keys, self.sequence_by)
+
+    def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
+        touched = reduced.select(*self.keys).distinct()
+        old = state.join(touched, self.keys, "left_semi").drop(START_AT, END_AT)
+        rest = state.join(touched, self.keys, "left_anti")
+        rechained = scd2(old.unionByName(reduced.select(*old.columns)), self.keys,
+                         self.sequence_by)
+        return rest.unionByName(rechained)
