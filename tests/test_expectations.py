@@ -90,3 +90,25 @@ def test_no_expectations_still_counts_rows(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0)], SCHEMA)
     out, obs = apply_expectations(df, [])
     assert out.count() == 1 and obs.get["__rows"] == 1 and obs.get["__dropped"] == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_vals = st.one_of(st.none(), st.floats(-100, 2000, allow_nan=False))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), _vals, _vals), max_size=20))
+def test_conservation_property(spark, rows_):
+    exps = [e for e in SALES_EXPECTATIONS if e.action != "fail"]
+    df = spark.createDataFrame(rows_, SCHEMA)
+    rep = {r.expectation: r for r in expectation_report(df, exps, "s").collect()}
+    out, obs = apply_expectations(df, exps)
+    written = out.count()
+    for r in rep.values():
+        assert r.input_rows == len(rows_) == written + r.dropped_rows
+    brute_drop = sum(1 for _, _, rev in rows_ if rev is None or rev < 0)
+    brute_log = sum(1 for _, avg, _ in rows_ if avg is None or not (1 <= avg <= 1000))
+    assert rep["nonneg_revenue"].failed_rows == brute_drop == rep["nonneg_revenue"].dropped_rows
+    assert rep["reasonable_avg_value"].failed_rows == brute_log == obs.get["reasonable_avg_value"]
