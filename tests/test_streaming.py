@@ -288,3 +288,11 @@ def test_scd2_flow_rounds_equal_batch_history(spark, root):
     assert got == exp
     assert ("a", 20, "late", 20, 30) in got and ("b", 1, "early", 1, 5) in got
     assert flow.quarantine(spark).count() == 1
+
+
+def test_fraud_refresh_twice_is_stable(spark, root):
+    P.fraud_pipeline(spark, SF, root)
+    first = rows(tables.read_latest(spark, root, "fraud_by_party_and_method"))
+    P.fraud_refresh(spark, root)                       # no new input: same result, new versions
+    assert tables.latest_version(spark, root, "bookings_with_fraud") == 2
+    assert rows(tables.read_latest(spark, root, "fraud_by_party_and_method")) == first

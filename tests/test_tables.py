@@ -82,3 +82,23 @@ def test_flow_retain_keeps_quarantine_and_current(spark, root):
     append_stream(stream_files(spark, land, sch), root, "bronze").awaitTermination()
     assert flow.run(spark, data_path(spark, root, "bronze")) == 4
     assert flow.read(spark).count() == 3
+
+
+def test_registered_table_comment(spark, root):
+    df = spark.createDataFrame([(1, "a")], SCHEMA)
+    tables.publish_table(df, root, "kpis", comment="Sales KPIs per product")
+    try:
+        assert spark.catalog.getTable("kpis").description == "Sales KPIs per product"
+    finally:
+        spark.sql("DROP TABLE kpis")
+
+
+def test_publish_bucketed_empty_and_full(spark, root):
+    empty = spark.createDataFrame([], SCHEMA)
+    tables.publish_bucketed(empty, root, "b", ["k"], 4)
+    got = tables.read_latest_bucketed(spark, root, "b", ["k"], 4)
+    assert got.count() == 0 and got.columns == ["k", "v"]
+    tables.publish_bucketed(spark.range(50).selectExpr("id AS k", "'x' AS v"), root, "b", ["k"], 4)
+    full = tables.read_latest_bucketed(spark, root, "b", ["k"], 4)
+    assert full.count() == 50
+    assert "Bucketed: true" in full.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
