@@ -112,6 +112,9 @@ def test_delete_by_key(spark, root):
     P.delete_from(spark, root, "measurements", id_is("7"), MEASUREMENTS_SCHEMA)
     after = tables.read_latest(spark, root, "measurements_current")
     assert after.count() == n - 1 and after.filter("id = '7'").count() == 0
+    P.delete_from(spark, root, "measurements", id_is("8"), MEASUREMENTS_SCHEMA)
+    again = tables.read_latest(spark, root, "measurements_current")
+    assert again.count() == n - 2 and again.filter("id IN ('7', '8')").count() == 0
 
 
 def test_medallion_continuous_mode(spark, root):

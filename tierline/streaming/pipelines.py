@@ -281,8 +281,11 @@ def measurements_pipeline(spark: SparkSession, sf_dir: str, root: str,
 
 
 def delete_from(spark: SparkSession, root: str, name: str, predicate, schema=None) -> int:
-    """DELETE FROM name WHERE predicate, as a new published version."""
-    cur = tables.read_latest(spark, root, name)
+    """DELETE FROM name WHERE predicate, as a new version of ``<name>_current``
+    (the table after all deletes so far; starts from the dataset itself)."""
+    cur = tables.read_latest(spark, root, name + "_current")
+    if cur is None:
+        cur = tables.read_latest(spark, root, name)
     if cur is None:
         cur = read_table(spark, root, name, schema)
     return tables.publish(delete_where(cur, predicate), root, name + "_current")
