@@ -145,3 +145,21 @@ def test_scd2_after_a_shuffle(spark):
     assert not _scan_only(shuffled)
     got = sorted((r.k, r[START_AT], r[END_AT]) for r in scd2(shuffled, ["k"], "seq", partitions=16).collect())
     assert got == _brute_scd2(pd.DataFrame(data, columns=["k", "seq", "payload"]))
+
+
+def test_scd2_and_as_of_with_timestamp_sequence(spark):
+    import datetime as dt
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "ts", "event_id")
+    h = scd2(ev, ["user_id"], "ts").collect()
+    pdf = ev.toPandas().rename(columns={"user_id": "k", "ts": "seq"})
+    pdf = pdf.drop_duplicates(["k", "seq"]).sort_values(["k", "seq"])
+    pdf["end"] = pdf.groupby("k")["seq"].shift(-1)
+    exp = sorted((r.k, r.seq.to_pydatetime(), None if pd.isna(r.end) else r.end.to_pydatetime())
+                 for r in pdf.itertuples())
+    assert sorted((r.user_id, r[START_AT], r[END_AT]) for r in h) == exp
+    at = dt.datetime(2024, 1, 2, 12, 0)
+    hist = scd2(ev, ["user_id"], "ts")
+    got = rows(as_of(hist, F.lit(at).cast("timestamp_ntz")), ["user_id", "event_id"])
+    want = rows(scd1(ev.filter(F.col("ts") <= F.lit(at).cast("timestamp_ntz")), ["user_id"], "ts"),
+                ["user_id", "event_id"])
+    assert got == want and len(got) > 0
