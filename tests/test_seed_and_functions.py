@@ -95,3 +95,13 @@ def test_flagged_at_is_utc_in_any_session_zone(spark):
     got = dt.datetime.strptime(text, "%Y-%m-%dT%H:%M:%SZ")
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     assert abs((now - got).total_seconds()) < 120
+
+
+def test_sampling_methods(spark):
+    ids = spark.range(4000).withColumnRenamed("id", "k")
+    n_bern = stable_sample(ids, "k", 25, method="bernoulli", seed=3).count()
+    n_port = stable_sample(ids, "k", 25, method="portable").count()
+    assert 800 < n_bern < 1200 and 800 < n_port < 1200
+    assert stable_sample(ids, "k", 0).count() == 0 and stable_sample(ids, "k", 100).count() == 4000
+    with pytest.raises(ValueError):
+        stable_sample(ids, "k", 10, method="reservoir")
