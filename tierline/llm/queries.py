@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, mixing, sharding
+from tierline.llm import exact_dedup, mixing, quality, sharding, simhash
 from tierline.llm.common import table
 
 N_SHARDS = 24
@@ -22,6 +22,14 @@ def q_op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
                     "slot", "grown_shard"))
 
 
+def q_op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def q_op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def q_op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
@@ -29,6 +37,8 @@ def q_op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_mixing": q_op1_mixing,
     "op3_sharding": q_op3_sharding,
+    "op4_quality": q_op4_quality,
+    "op7_simhash": q_op7_simhash,
     "op9_exact_dedup": q_op9_exact_dedup,
 }
 
