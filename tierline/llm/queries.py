@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import exact_dedup, mixing, quality, sharding, simhash
+from tierline.llm import decontaminate, exact_dedup, mixing, quality, sharding, simhash
 from tierline.llm.common import table
 
 N_SHARDS = 24
@@ -26,6 +26,11 @@ def q_op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def q_op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark")).select(
+        "doc_id", "item_id", "question_found", "question_shingles", "answer_found", "answer_shingles")
+
+
 def q_op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -38,11 +43,33 @@ LLM_QUERIES = {
     "op1_mixing": q_op1_mixing,
     "op3_sharding": q_op3_sharding,
     "op4_quality": q_op4_quality,
+    "op5_decontamination": q_op5_decontamination,
     "op7_simhash": q_op7_simhash,
     "op9_exact_dedup": q_op9_exact_dedup,
 }
 
 LLM_ORACLE = {
+    "op5_decontamination": """
+        WITH iw AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w
+                    FROM benchmark),
+        cut AS (SELECT item_id, w, (2 * len(w) + 2) // 3 AS c FROM iw WHERE len(w) > 0),
+        parts AS (SELECT item_id, 'q' AS part, w[1:c] AS p FROM cut
+                  UNION ALL SELECT item_id, 'a', w[c + 1:] FROM cut),
+        ish AS (SELECT DISTINCT item_id, part, array_to_string(p[i:i + 4], ' ') AS s
+                FROM (SELECT item_id, part, p, unnest(range(1, greatest(len(p) - 4, 1) + 1)) AS i
+                      FROM parts WHERE len(p) > 0)),
+        totals AS (SELECT item_id, count(*) FILTER (part = 'q') AS nq, count(*) FILTER (part = 'a') AS na
+                   FROM ish GROUP BY item_id),
+        dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w
+               FROM documents),
+        dsh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+                FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+                      FROM dw WHERE len(w) > 0)),
+        found AS (SELECT doc_id, item_id, count(*) FILTER (part = 'q') AS fq, count(*) FILTER (part = 'a') AS fa
+                  FROM dsh JOIN ish USING (s) GROUP BY doc_id, item_id)
+        SELECT doc_id, item_id, fq::INT AS question_found, nq::INT AS question_shingles,
+               fa::INT AS answer_found, na::INT AS answer_shingles
+        FROM found JOIN totals USING (item_id) WHERE fq >= 0.8 * nq AND fa >= 0.8 * na""",
     "op9_exact_dedup": """
         WITH n AS (SELECT doc_id, translate(coalesce(text, ''),
                           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
