@@ -44,3 +44,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, held_fold: int,
+                    rows: dict[int, int], id_col: str, text_col: str) -> tuple[DataFrame, dict[int, int]]:
+    """(text, y, h) of a hash sample of the labelled rows, about ``rows[y]`` of
+    class ``y``, and the number of labels per class. Labels of ``held_fold``
+    are left out; ``h`` is a hash of the id. The sample's size is fixed by
+    ``rows``, so its ids and labels can be broadcast and no text is shuffled."""
+    known = (labels.select(F.col("doc_id").alias("id"), F.col(label_col).cast("int").alias("y"))
+             .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull()
+                     & (id_fold(F.col("id"), folds) != held_fold))
+             .groupBy("id").agg(F.max("y").alias("y")))
+    have = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    h = F.xxhash64("id", F.lit("fit"))
+    part = F.pmod(h, F.lit(1 << 20))
+    wanted = F.lit(False)
+    for y, n in have.items():
+        wanted = wanted | ((F.col("y") == y) & (part < int(min(1.0, rows[y] / n) * (1 << 20))))
+    picked = known.filter(wanted).withColumn("h", h)
+    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
+    return (docs.select(F.col(id_col).alias("id"), text).join(F.broadcast(picked), "id")
+            .select("text", "y", "h")), have

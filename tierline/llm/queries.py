@@ -6,7 +6,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm import decontaminate, exact_dedup, mixing, quality, sharding, simhash
+from tierline.llm import (
+    decontaminate,
+    exact_dedup,
+    mixing,
+    quality,
+    sharding,
+    simhash,
+    tokens,
+    toxicity,
+)
 from tierline.llm.common import table
 
 N_SHARDS = 24
@@ -16,6 +25,10 @@ def q_op1_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mixture(table(spark, sf, "documents"))
 
 
+def q_op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def q_op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return (sharding.shard_records(table(spark, sf, "documents"), [1.0] * N_SHARDS)
             .select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
@@ -31,6 +44,15 @@ def q_op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "item_id", "question_found", "question_shingles", "answer_found", "answer_shingles")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def q_op6_token_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.tokens(table(spark, sf, "documents"), tokenizer_path())
+
+
 def q_op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -41,9 +63,11 @@ def q_op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op1_mixing": q_op1_mixing,
+    "op2_toxicity": q_op2_toxicity,
     "op3_sharding": q_op3_sharding,
     "op4_quality": q_op4_quality,
     "op5_decontamination": q_op5_decontamination,
+    "op6_token_ids": q_op6_token_ids,
     "op7_simhash": q_op7_simhash,
     "op9_exact_dedup": q_op9_exact_dedup,
 }
