@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tierline.llm import (
     decontaminate,
     exact_dedup,
+    lines,
     mixing,
     quality,
     sharding,
@@ -61,6 +62,13 @@ def q_op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
 
+def q_op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs).select(
+        "doc_id", "n_lines", "lines_removed", "chunks_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 LLM_QUERIES = {
     "op1_mixing": q_op1_mixing,
     "op2_toxicity": q_op2_toxicity,
@@ -70,9 +78,29 @@ LLM_QUERIES = {
     "op6_token_ids": q_op6_token_ids,
     "op7_simhash": q_op7_simhash,
     "op9_exact_dedup": q_op9_exact_dedup,
+    "op10_line_dedup": q_op10_line_dedup,
 }
 
 LLM_ORACLE = {
+    "op10_line_dedup": """
+        WITH l AS (SELECT doc_id, text, i, line, len(ls) AS n,
+                          ('0x' || substr(md5(line), 1, 8))::BIGINT AS h
+                   FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
+                         WHERE text IS NOT NULL), unnest(ls) WITH ORDINALITY AS u(line, i)),
+        c AS (SELECT *, CASE WHEN i = n OR (i >= 2 AND (lag(h) OVER w * 31 + h) % 2 = 0)
+                             THEN 1 ELSE 0 END AS cut
+              FROM l WINDOW w AS (PARTITION BY doc_id, text ORDER BY i)),
+        k AS (SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id, text ORDER BY i
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM c),
+        p AS (SELECT doc_id, text, pos, count(*) AS n_lines,
+                     string_agg(line, chr(10) ORDER BY i) AS chunk FROM k GROUP BY ALL),
+        r AS (SELECT *, n_lines >= 2 AND row_number() OVER
+                     (PARTITION BY chunk, n_lines >= 2 ORDER BY doc_id, pos) > 1 AS gone FROM p)
+        SELECT doc_id, sum(n_lines)::INT AS n_lines,
+               coalesce(sum(n_lines) FILTER (gone), 0)::INT AS lines_removed,
+               (count(*) FILTER (gone))::INT AS chunks_removed,
+               sha256(coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS text_sha256
+        FROM r GROUP BY doc_id, text""",
     "op5_decontamination": """
         WITH iw AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w
                     FROM benchmark),
