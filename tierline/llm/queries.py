@@ -11,6 +11,7 @@ from tierline.llm import (
     exact_dedup,
     lines,
     mixing,
+    ppm,
     quality,
     sharding,
     simhash,
@@ -58,6 +59,10 @@ def q_op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def q_op8_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    return ppm.score_texts(table(spark, sf, "documents"))
+
+
 def q_op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
@@ -77,6 +82,7 @@ LLM_QUERIES = {
     "op5_decontamination": q_op5_decontamination,
     "op6_token_ids": q_op6_token_ids,
     "op7_simhash": q_op7_simhash,
+    "op8_lm_score": q_op8_lm_score,
     "op9_exact_dedup": q_op9_exact_dedup,
     "op10_line_dedup": q_op10_line_dedup,
 }
