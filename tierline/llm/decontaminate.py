@@ -19,10 +19,10 @@ time). Nothing above the threshold is lost.
 Verification: a retrieved passage is a leak if it holds at least ``OVERLAP`` of
 the five-word shingles of the item's question and of its answer. Items come
 with question and answer columns, or as one text whose first two thirds count
-as the question.
+as the question and the rest as the answer, five words at least each.
 
 Defined results: null and empty texts leak nothing; items without words are
-never found; a part shorter than a shingle is one shingle; an empty item table
+never found; a part shorter than a shingle is one shingle of its length; an empty item table
 finds nothing; repeated rows give the same hits and are reported once per
 (doc_id, item_id).
 """
@@ -66,13 +66,14 @@ def _postings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for item, q, a in zip(pdf["item_id"], pdf["question"], pdf["answer"], strict=True):
             wq, wa = words(q), words(a)
-            if a is None:
-                cut = -(-2 * len(wq) // 3)
-                wq, wa = wq[:cut], wq[cut:]
-            if wq or wa:
-                tf = Counter(wq + wa)
-                rows.append((item, wq, wa, list(tf), list(tf.values())))
-        yield pd.DataFrame(rows, columns=["item_id", "q", "a", "terms", "tf"])
+            tf = Counter(wq + wa)
+            n = len(wq) + len(wa)
+            if a is None:                               # neither part below a shingle
+                cut = -(-2 * n // 3)
+                wq, wa = wq[:max(cut, SHINGLE)], wq[min(cut, max(0, n - SHINGLE)):]
+            if n:
+                rows.append((item, n, wq, wa, list(tf), list(tf.values())))
+        yield pd.DataFrame(rows, columns=["item_id", "len", "q", "a", "terms", "tf"])
 
 
 def item_shards(items: DataFrame, text_col: str = "text", question_col: str | None = None,
@@ -82,8 +83,8 @@ def item_shards(items: DataFrame, text_col: str = "text", question_col: str | No
                          (F.col(answer_col) if answer_col else F.lit(None).cast("string"))
                          .alias("answer"))
     rows = stored(parts.mapInPandas(
-        _postings, "item_id long, q array<string>, a array<string>, terms array<string>, tf array<int>")
-        .withColumn("len", F.size("q") + F.size("a")), "items")
+        _postings, "item_id long, len int, q array<string>, a array<string>, terms array<string>, "
+                   "tf array<int>"), "items")
     df = stored(rows.select(F.explode("terms").alias("term")).groupBy("term")
                 .agg(F.count(F.lit(1)).alias("df")), "terms")
     n, postings = rows.agg(F.count(F.lit(1)), F.sum(F.size("terms"))).collect()[0]
@@ -108,20 +109,19 @@ class ShardIndex:
     """Block-max BM25 index of one shard, as arrays."""
 
     def __init__(self, items: list, df: dict[str, int], n: int, mean_len: float):
-        items = sorted(items, key=lambda r: (len(r.q) + len(r.a), r.item_id is None, r.item_id or 0))
+        items = sorted(items, key=lambda r: (r.len, r.item_id is None, r.item_id or 0))
         self.ids = [r.item_id for r in items]
-        self.parts = [(shingles(r.q), shingles(r.a)) for r in items]
-        self.step = max([MIN_STEP, *(len(r.q) + len(r.a) for r in items)])
+        self.parts = [[(min(SHINGLE, len(w)), shingles(w)) for w in (r.q, r.a)] for r in items]
+        self.step = max([MIN_STEP, *(r.len for r in items)])
         self.vocab: dict[str, int] = {}
         blocks = -(-len(items) // BLOCK)
         entries = []
         for i, r in enumerate(items):
-            length = len(r.q) + len(r.a)
             t = np.array([self.vocab.setdefault(x, len(self.vocab)) for x in r.terms])
             tf = np.array(r.tf, float)
             f = np.array([df[x] for x in r.terms], float)
             w = np.log1p((n - f + 0.5) / (f + 0.5)) * tf * (K1 + 1) / (
-                tf + K1 * (1 - B + B * length / mean_len))
+                tf + K1 * (1 - B + B * r.len / mean_len))
             entries.append((i, t, w / w.sum()))
         self.block_max = np.zeros((len(self.vocab), blocks), np.float32)
         self.blocks = []
@@ -186,9 +186,9 @@ class ShardIndex:
     def _verified(self, texts: list[list[str]]):
         best: dict[tuple[int, int], tuple] = {}
         for i, at, item, score in self.search(texts):
-            have = shingles(texts[i][at:at + 2 * self.step])
-            q, a = self.parts[item]
-            fq, fa = len(q & have), len(a & have)
+            passage = texts[i][at:at + 2 * self.step]
+            (_, q), (_, a) = self.parts[item]
+            fq, fa = (len(s & shingles(passage, k)) for k, s in self.parts[item])
             if fq >= OVERLAP * len(q) and fa >= OVERLAP * len(a):
                 best[i, item] = max(best.get((i, item), (0.0,)), (score, fq, len(q), fa, len(a)))
         for (i, item), found in sorted(best.items()):
@@ -205,7 +205,7 @@ def build_shards(items: DataFrame, **cols) -> Iterator[ShardIndex]:
         shard = rows.filter((F.col("band") == key.band) & (F.col("sub") == key["sub"]))
         terms = (shard.select(F.explode("terms").alias("term")).distinct()
                  .join(df, "term").collect())
-        yield ShardIndex(shard.select("item_id", "q", "a", "terms", "tf").collect(),
+        yield ShardIndex(shard.select("item_id", "len", "q", "a", "terms", "tf").collect(),
                          {r.term: r.df for r in terms}, n, mean_len)
 
 

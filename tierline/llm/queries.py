@@ -111,8 +111,8 @@ LLM_ORACLE = {
         WITH iw AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w
                     FROM benchmark),
         cut AS (SELECT item_id, w, (2 * len(w) + 2) // 3 AS c FROM iw WHERE len(w) > 0),
-        parts AS (SELECT item_id, 'q' AS part, w[1:c] AS p FROM cut
-                  UNION ALL SELECT item_id, 'a', w[c + 1:] FROM cut),
+        parts AS (SELECT item_id, 'q' AS part, w[1:greatest(c, 5)] AS p FROM cut
+                  UNION ALL SELECT item_id, 'a', w[least(c, greatest(len(w) - 5, 0)) + 1:] FROM cut),
         ish AS (SELECT DISTINCT item_id, part, array_to_string(p[i:i + 4], ' ') AS s
                 FROM (SELECT item_id, part, p, unnest(range(1, greatest(len(p) - 4, 1) + 1)) AS i
                       FROM parts WHERE len(p) > 0)),

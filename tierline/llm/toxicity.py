@@ -181,7 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds: i
         return None
 
     def fit_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values(["h", "text"], kind="stable")
+        parts = list(batches)
+        if not parts:
+            return
+        pdf = pd.concat(parts, ignore_index=True).sort_values(["h", "text"], kind="stable")
         y, half = pdf["y"].to_numpy() == 1, pdf["h"].to_numpy() % 2 == 0
         if {*y[half]} == {*y[~half]} == {True, False}:
             m = fit(pdf["text"].tolist(), y, half,
