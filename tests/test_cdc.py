@@ -5,7 +5,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tierline.operators.cdc import END_AT, START_AT, as_of, scd1, scd1_merge, scd2, split_invalid
+from tierline.operators.cdc import (
+    END_AT, START_AT, _hot_slices, as_of, scd1, scd1_merge, scd2, split_invalid,
+)
 
 SCHEMA = "k string, seq long, payload string"
 
@@ -76,13 +78,11 @@ def test_scd2_hot_key_split_across_partitions(spark):
     data = [("hot", s, "p") for s in rnd.sample(range(10000), 400)]
     data += [(f"k{rnd.randint(0, 30)}", s, "p") for s in rnd.sample(range(10000), 300)]
     df = spark.createDataFrame(data, SCHEMA)
-    h = scd2(df, ["k"], "seq", partitions=16)
+    h = scd2(df, ["k"], "seq", partitions=4, hot_rows=20)
     got = sorted((r.k, r[START_AT], r[END_AT]) for r in h.collect())
     assert got == _brute_scd2(pd.DataFrame(data, columns=["k", "seq", "payload"]))
-    # the hot key really spans several range partitions
-    spans = (df.repartitionByRange(16, "k", "seq").withColumn("p", F.spark_partition_id())
-               .filter("k = 'hot'").select("p").distinct().count())
-    assert spans > 2
+    bounds = _hot_slices(df, ["k"], "seq", 4, 20).collect()
+    assert [r.k for r in bounds] == ["hot"] and len(bounds[0]._bounds) > 20     # really cut
 
 
 def test_as_of_equals_scd1_of_prefix(spark):
@@ -125,7 +125,8 @@ def test_scd2_ties_follow_scd1_rule(spark):
        st.integers(1, 9))
 def test_scd2_matches_brute_force(spark, data, parts):
     df = spark.createDataFrame(data, SCHEMA)
-    got = sorted((r.k, r[START_AT], r[END_AT]) for r in scd2(df, ["k"], "seq", partitions=parts).collect())
+    got = sorted((r.k, r[START_AT], r[END_AT])
+                 for r in scd2(df, ["k"], "seq", partitions=parts, hot_rows=3).collect())
     assert got == _brute_scd2(pd.DataFrame(data, columns=["k", "seq", "payload"]))
 
 
@@ -137,13 +138,12 @@ def test_map_payload_is_supported(spark):
 
 
 def test_scd2_after_a_shuffle(spark):
-    from tierline.operators.cdc import _scan_only
     rnd = random.Random(11)
     data = [("hot", s, "p") for s in rnd.sample(range(5000), 300)]
     data += [(f"k{rnd.randint(0, 20)}", s, "p") for s in rnd.sample(range(5000), 200)]
     shuffled = spark.createDataFrame(data, SCHEMA).repartition(7)      # fetch-order rows
-    assert not _scan_only(shuffled)
-    got = sorted((r.k, r[START_AT], r[END_AT]) for r in scd2(shuffled, ["k"], "seq", partitions=16).collect())
+    got = sorted((r.k, r[START_AT], r[END_AT])
+                 for r in scd2(shuffled, ["k"], "seq", partitions=4, hot_rows=20).collect())
     assert got == _brute_scd2(pd.DataFrame(data, columns=["k", "seq", "payload"]))
 
 
@@ -163,3 +163,25 @@ def test_scd2_and_as_of_with_timestamp_sequence(spark):
     want = rows(scd1(ev.filter(F.col("ts") <= F.lit(at).cast("timestamp_ntz")), ["user_id"], "ts"),
                 ["user_id", "event_id"])
     assert got == want and len(got) > 0
+
+
+def test_scd2_keeps_payloads_exact(spark):
+    """Big nullable integers, the last day of the calendar, NaN keys; also when sliced."""
+    rows_ = [(float("nan"), i, 9007199254740993 + i if i % 3 else None, "9999-12-31 23:59:59", "x")
+             for i in range(60)] + [(1.5, 1, None, None, None), (1.5, 4, 9007199254740993, None, "y")]
+    df = spark.createDataFrame(rows_, "k double, seq long, big long, at string, s string") \
+        .withColumn("at", F.col("at").cast("timestamp_ntz"))
+    for hot in (10, 10**6):
+        got = scd2(df, ["k"], "seq", partitions=1, hot_rows=hot)
+        assert got.filter("isnan(k) AND big IS NOT NULL").agg(F.max("big")).first()[0] == 9007199254740993 + 59
+        nan = {r.seq: r[END_AT] for r in got.filter("isnan(k)").drop("at").collect()}
+        assert nan == {i: i + 1 if i < 59 else None for i in range(60)}
+        other = sorted((r.seq, r.big, r[END_AT]) for r in got.filter("k = 1.5").drop("at").collect())
+        assert other == [(1, None, 4), (4, 9007199254740993, None)]
+        assert got.filter("at = timestamp_ntz'9999-12-31 23:59:59'").count() == 60
+
+
+def test_merge_takes_new_columns(spark):
+    snap = spark.createDataFrame([("a", 1, "x"), ("b", 5, "y")], SCHEMA)
+    ch = spark.createDataFrame([("a", 2, "z", 7)], SCHEMA + ", extra int")
+    assert rows(scd1_merge(snap, ch, ["k"], "seq")) == [("a", 2, "z", 7), ("b", 5, "y", None)]

@@ -39,10 +39,11 @@ def test_entry(spark):
 def test_every_query_has_a_check():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"seed_fraud_markers", "fraud_significance"}
+    bare = {n for n in set(q) - set(o) if n != "pipeline" and not n.startswith("op")}
+    assert bare == set()        # the training-data queries have tests of their own
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E._LLM_QUERIES)))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     got = [tuple(r) for r in df.collect()]

@@ -97,6 +97,25 @@ def test_flagged_at_is_utc_in_any_session_zone(spark):
     assert abs((now - got).total_seconds()) < 120
 
 
+def test_small_shares_and_spread_columns(spark):
+    ids = spark.range(2_000_000).withColumnRenamed("id", "k")
+    for method in ("xxhash64", "portable"):
+        for pct in (0.004, 0.015):
+            n, want = stable_sample(ids, "k", pct, method=method).count(), 20_000 * pct
+            assert abs(n - want) < 6 * want ** 0.5
+    marks = seed.fraud_markers(spark.range(100_000).withColumnRenamed("id", "booking_id"), 3.0,
+                               method="portable", digest="portable")
+    tenths = {int(r.confidence * 100) for r in marks.collect()}
+    assert tenths == set(range(70, 100))        # selection says nothing about the columns
+
+
+def test_non_finite_values_are_not_hidden(spark):
+    from tierline.functions.scalar import round_avg, round_sum
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("b", 1.25), ("b", 2.5)], "g string, x double")
+    got = {r.g: (r.s, r.m) for r in df.groupBy("g").agg(round_sum("x").alias("s"), round_avg("x").alias("m")).collect()}
+    assert got["a"][0] != got["a"][0] and got["a"][1] != got["a"][1] and got["b"] == (3.75, 1.88)
+
+
 def test_sampling_methods(spark):
     ids = spark.range(4000).withColumnRenamed("id", "k")
     n_bern = stable_sample(ids, "k", 25, method="bernoulli", seed=3).count()

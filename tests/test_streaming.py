@@ -108,13 +108,26 @@ def test_medallion_rate_micro_batch_ratio(spark, root):
 def test_delete_by_key(spark, root):
     P.measurements_pipeline(spark, SF, root)
     n = read_table(spark, root, "measurements").count()
-    from tierline.plans.ingest import MEASUREMENTS_SCHEMA, id_is
+    from tierline.plans.ingest import MEASUREMENTS_SCHEMA, id_is, land
     P.delete_from(spark, root, "measurements", id_is("7"), MEASUREMENTS_SCHEMA)
     after = tables.read_latest(spark, root, "measurements_current")
     assert after.count() == n - 1 and after.filter("id = '7'").count() == 0
     P.delete_from(spark, root, "measurements", id_is("8"), MEASUREMENTS_SCHEMA)
     again = tables.read_latest(spark, root, "measurements_current")
     assert again.count() == n - 2 and again.filter("id IN ('7', '8')").count() == 0
+    # a line that is no record, a record that fails a check, and a new one
+    new = spark.createDataFrame([("new", "Oslo", 1.0, ""), ("bad", "", 2.0, "")], MEASUREMENTS_SCHEMA)
+    land(new, root + "/landing/measurements")
+    spark.createDataFrame([("{not json",)], "value string").write.mode("append").text(
+        root + "/landing/measurements")
+    P.ingest_landing(spark, root + "/landing/measurements", root)
+    P.delete_from(spark, root, "measurements", id_is("8"), MEASUREMENTS_SCHEMA)
+    after = tables.read_latest(spark, root, "measurements_current")
+    assert after.count() == n - 1 and after.filter("id = 'new'").count() == 1
+    assert read_table(spark, root, "measurements_set_aside").count() == 2
+    report = {r.expectation: r for r in tables.read_latest(spark, root, "measurements_expectations").collect()}
+    assert report["line_parsed"].failed_rows == 1 and report["city_present"].failed_rows == 2
+    assert report["line_parsed"].input_rows == 2 * n + 3 and report["line_parsed"].dropped_rows == 2
 
 
 def test_medallion_continuous_mode(spark, root):
@@ -296,6 +309,110 @@ def test_scd2_flow_rounds_equal_batch_history(spark, root):
 def test_fraud_refresh_twice_is_stable(spark, root):
     P.fraud_pipeline(spark, SF, root)
     first = rows(tables.read_latest(spark, root, "fraud_by_party_and_method"))
-    P.fraud_refresh(spark, root)                       # no new input: same result, new versions
+    flags = read_table(spark, root, "fraud_flags").count()
+    P.fraud_pipeline(spark, SF, root)                  # no new input: same result, new versions
     assert tables.latest_version(spark, root, "bookings_with_fraud") == 2
     assert rows(tables.read_latest(spark, root, "fraud_by_party_and_method")) == first
+    P.fraud_pipeline(spark, SF, root, reseed=True)     # drawn anew: the flags table is reloaded
+    assert read_table(spark, root, "fraud_flags").count() == flags
+    assert rows(tables.read_latest(spark, root, "fraud_by_party_and_method")) == first
+
+
+def test_flow_follows_a_full_refresh_and_asked_buckets(spark, root):
+    from tierline.streaming.incremental import PartialsFlow
+    land = root + "/land"
+    flow = PartialsFlow(root, "sums", ["k"], {"n": ("count", "*"), "total": ("sum", "seq")}, buckets=4)
+    for part in ([("x", 1, ""), ("x", 2, "")], [("y", 5, "")]):
+        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(land)
+        append_stream(stream_files(spark, land, SCHEMA), root, "b").awaitTermination()
+        flow.run(spark, data_path(spark, root, "b"))
+    assert rows(flow.read(spark)) == [("x", 2, 3), ("y", 1, 5)]
+    append_stream(stream_files(spark, land, SCHEMA), root, "b", full_refresh=True).awaitTermination()
+    flow.run(spark, data_path(spark, root, "b"))
+    assert rows(flow.read(spark)) == [("x", 2, 3), ("y", 1, 5)]          # not doubled
+    wider = PartialsFlow(root, "sums", ["k"], flow.partials, buckets=8)
+    spark.createDataFrame([("x", 10, "")], SCHEMA).write.mode("append").parquet(land)
+    append_stream(stream_files(spark, land, SCHEMA), root, "b").awaitTermination()
+    wider.run(spark, data_path(spark, root, "b"))
+    assert wider._data_dir(spark, wider.current_version(spark))[1] == 8
+    assert rows(wider.read(spark)) == [("x", 3, 13), ("y", 1, 5)]
+
+
+def test_dimension_copy_follows_its_source(spark, root):
+    src = root + "/dim"
+    spark.createDataFrame([(1, "a")], "k long, v string").write.parquet(src)
+    read = lambda: tables.bucketed_copy(spark.read.parquet(src), root, "dim_by_k", ["k"], 4)
+    assert read().count() == 1
+    spark.createDataFrame([(2, "b")], "k long, v string").write.mode("append").parquet(src)
+    assert read().count() == 2
+
+
+def test_metrics_of_many_batches_are_kept_or_missed_loudly(spark, root):
+    from tierline.plans.sensors import READINGS_EXPECTATIONS
+    from tierline.streaming.checks import MetricsLog, observe_stream
+    import pytest
+    land, sch = root + "/land", "temperature_c double"
+    spark.createDataFrame([(float(i),) for i in range(40)], sch).repartition(40).write.parquet(land)
+    flow = lambda: append_stream(observe_stream(
+        stream_files(spark, land, sch, max_files=1), READINGS_EXPECTATIONS, "many"), root, "t")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "10")
+    try:
+        late = MetricsLog("many")
+        q = flow()
+        log = MetricsLog("many", spark, root + "/log")
+        log.wait(q, poll_s=0.2)
+        late.collect(q)
+        log.store()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert log.totals()["__rows"] == 40
+    with pytest.raises(RuntimeError, match="not collected"):
+        late.totals()
+    # a restart goes on from the stored counters
+    spark.createDataFrame([(99.0,)], sch).write.mode("append").parquet(land)
+    again = MetricsLog("many", spark, root + "/log")
+    again.wait(flow())
+    assert again.totals()["__rows"] == 41 and again.totals()["valid_temperature"] == 1
+
+
+def test_continuous_runs_until_stopped_and_dead_flows_raise(spark, root):
+    import threading
+    import pytest
+    stop, seen = threading.Event(), []
+
+    def sales_then_stop():
+        while not stop.is_set():
+            if tables.latest_version(spark, root, "sales_stats"):
+                seen.append(True)
+                stop.set()
+            stop.wait(0.5)
+    watcher = threading.Thread(target=sales_then_stop)
+    watcher.start()
+    P.sales_continuous(spark, SF, root, 1.0, stop)
+    watcher.join()
+    assert seen and tables.read_latest(spark, root, "sales_stats").count() == 6
+    P.fraud_continuous(spark, SF, root, 2.0, rounds=4)
+    assert tables.read_latest(spark, root, "fraud_by_party_and_method") is not None
+    bad = spark.readStream.format("rate").option("rowsPerSecond", 50).load() \
+        .select(F.raise_error(F.lit("broken feed")).cast("string").alias("x"))
+    q = append_stream(bad, root, "dead", "1 second")
+    with pytest.raises(Exception, match="broken feed"):
+        P.run_until([q], lambda: None, 1.0, rounds=20)
+
+
+def test_streams_by_catalog_name_and_registered_views(spark, root):
+    from tierline.streaming.tables import name_table, stream_by_name
+    land = root + "/land"
+    spark.createDataFrame([("a", 1, "x")], SCHEMA).write.parquet(land)
+    append_stream(stream_files(spark, land, SCHEMA), root, "bronze").awaitTermination()
+    name_table(spark, root, "bronze", "named_bronze")
+    append_stream(stream_by_name(spark, "named_bronze"), root, "copy").awaitTermination()
+    assert rows(read_table(spark, root, "copy")) == [("a", 1, "x")]
+    tables.publish(spark.createDataFrame([(1,)], "n int"), root, "sales_stats")
+    names = P.register_published(spark, root, "t1_")
+    assert names == ["t1_sales_stats"] and "Sales figures" in spark.catalog.getTable(names[0]).description
+    tables.publish(spark.createDataFrame([(1, 2)], "n int, m int"), root, "sales_stats")
+    P.register_published(spark, root, "t1_")
+    assert spark.table("t1_sales_stats").columns == ["n", "m"]        # a new column is seen
+    for t in ("named_bronze", "t1_sales_stats"):
+        spark.sql(f"DROP TABLE {t}")

@@ -25,6 +25,8 @@ FLAG_AGE_DAYS = 90        # flagged_at = as_of - (h % 90) days
 
 _PRIME = 1000003
 _MULT = 7919
+SELECT_PRIME = 2147483647
+SELECT_MULT = 1220703125
 
 
 def _col(c) -> Column:
@@ -37,6 +39,13 @@ def key_hash(key) -> Column:
     return F.abs(F.hash(_col(key)).cast("bigint"))
 
 
+def portable_select_hash(key) -> Column:
+    """A hash of an integral key in [0, 2^31 - 1) for choosing keys, independent
+    of ``portable_key_hash`` (which fills the chosen keys' columns)."""
+    k = F.pmod(_col(key).cast("bigint"), F.lit(SELECT_PRIME))
+    return F.pmod(k * F.lit(SELECT_MULT), F.lit(SELECT_PRIME))
+
+
 def portable_key_hash(key) -> Column:
     """A non-negative integer hash of an integral key that plain SQL engines
     can compute too: ((key mod p) * 7919) mod p with p = 1000003."""
@@ -83,13 +92,26 @@ EXACT = "decimal(30,10)"
 def exact(c) -> Column:
     """A double measure as an exact decimal (values with up to 10 decimals
     are represented exactly), so sums and averages do not depend on the
-    order rows are added in."""
-    return _col(c).cast(EXACT)
+    order rows are added in. Null for NaN and infinities."""
+    return F.when(~not_finite(c), _col(c)).cast(EXACT)
+
+
+def not_finite(c) -> Column:
+    d = _col(c).cast("double")
+    return F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
+
+
+def round_sum(c, digits: int = 2) -> Column:
+    """ROUND(SUM(c), digits) computed exactly; as the plain double sum (NaN,
+    infinity) where a value is not finite."""
+    exactly = F.round(F.sum(exact(c)), digits).cast("double")
+    return F.when(F.max(not_finite(c)), F.sum(_col(c).cast("double"))).otherwise(exactly)
 
 
 def round_avg(c, digits: int = 2) -> Column:
     """ROUND(AVG(c), digits) computed exactly: a plain double average depends
     on summation order, which varies with shuffle fetch order, and flips the
     half-up rounding when the true average lies on a boundary (6 values
-    averaging 24.195)."""
-    return F.round(F.avg(exact(c)), digits).cast("double")
+    averaging 24.195). Where a value is not finite, as the double average."""
+    exactly = F.round(F.avg(exact(c)), digits).cast("double")
+    return F.when(F.max(not_finite(c)), F.avg(_col(c).cast("double"))).otherwise(exactly)

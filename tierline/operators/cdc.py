@@ -9,18 +9,16 @@ or a null sequence component are never applied (see ``split_invalid``).
 
 Scale: SCD1 is ``groupBy(keys).agg(max_by(row, order))`` - a partial aggregate
 runs before the shuffle, so a key holding a third of all rows is reduced to one
-row per input partition map-side. SCD2 needs the successor of every version;
-instead of a window per key (one task per key), rows are range-partitioned on
-(keys, sequence), the successor is found inside each partition, and the one
-row per partition whose key continues into the next partition is patched from
-a table of partition heads (one row per partition, broadcast).
+row per input partition map-side. SCD2 needs the successor of every version: a
+window per key, where a hot key (more than a quarter of a partition's share of
+all rows) is cut into slices of its sequence first, so no task holds a hot key
+whole; the last version of a slice takes its end from the next slice's head.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,7 +57,7 @@ def _order(df: DataFrame, keys, seq) -> Column:
     payload = [c for c in df.columns if c not in keys]
     hashed = _hashable(df, payload)
     parts = [F.col(c) for c in seq]
-    parts.append(F.xxhash64(*[F.col(c) for c in hashed]) if hashed else F.lit(0))
+    parts.append((F.xxhash64(*[F.col(c) for c in hashed]) if hashed else F.lit(0)).alias("_tie"))
     types = {f.name: f.dataType for f in df.schema.fields}
     parts += [F.col(c) for c in payload if c not in seq and isinstance(types[c], _ORDERABLE)]
     return F.struct(*parts)
@@ -69,8 +67,13 @@ def _reduce(valid: DataFrame, keys: list[str], seq: list[str], columns) -> DataF
     payload = [c for c in columns if c not in keys]
     if not payload:
         return valid.select(*keys).distinct()
-    won = valid.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in payload]), _order(valid, keys, seq)).alias("_w"))
+    types = {f.name: f.dataType for f in valid.schema.fields}
+    order = _order(valid, keys, seq)
+    if all(isinstance(types[c], _ORDERABLE) or c in seq for c in payload) and "_tie" not in payload:
+        won = F.max(order)                  # the order holds the whole row
+    else:
+        won = F.max_by(F.struct(*[F.col(c) for c in payload]), order)
+    won = valid.groupBy(*keys).agg(won.alias("_w"))
     return won.select(*[F.col(k) if k in keys else F.col(f"_w.{k}").alias(k) for k in columns])
 
 
@@ -86,137 +89,66 @@ def scd1_merge(snapshot: DataFrame, changes: DataFrame, keys, sequence_by) -> Da
     target as one batch over all of them. The snapshot is valid by
     construction; only the changes are filtered, before the union, so a
     snapshot bucketed on the keys keeps its partitioning through the union
-    and is not shuffled."""
+    and is not shuffled. A column new in the changes is added (null in older
+    rows); one they lack is null in theirs."""
     keys, seq = _as_list(keys), _as_list(sequence_by)
-    ch = changes.select(*snapshot.columns).filter(valid_condition(keys, seq))
-    return _reduce(snapshot.unionByName(ch), keys, seq, snapshot.columns)
-
-
-def _local_successor(keys: list[str], seq: str):
-    """Per partition, sorted by (keys, seq, tie-break desc), batch by batch
-    with one row carried over: drops the losers of (key, seq) ties (all but
-    the first row of a run), finds the next version of the same key inside
-    the partition, and marks the partition's first and last rows. Memory is
-    one Arrow batch, not the partition."""
-    ident = list(keys) + [seq]
-
-    def step(pdf: pd.DataFrame) -> pd.DataFrame:
-        dup = pd.Series(True, index=pdf.index)
-        for c in ident:
-            dup &= pdf[c].shift(1).eq(pdf[c]).fillna(False).astype(bool)
-        pdf = pdf[~dup].reset_index(drop=True)
-        s = pdf[seq]
-        if pd.api.types.is_integer_dtype(s.dtype):
-            s = s.astype("Int64")          # keep 64-bit sequences exact
-        same = pd.Series(True, index=pdf.index)
-        for k in keys:
-            same &= pdf[k].shift(-1).eq(pdf[k]).fillna(False).astype(bool)
-        pdf["_next"] = s.shift(-1).where(same)
-        pdf["_plast"] = False
-        return pdf
-
-    def run(batches):
-        carry = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            head = carry is None
-            if carry is not None:
-                pdf = pd.concat([carry.drop(columns=["_next", "_plast", "_phead"]), pdf],
-                                ignore_index=True)
-            was_head = bool(carry["_phead"].iloc[0]) if carry is not None else True
-            pdf = step(pdf)
-            pdf["_phead"] = False
-            if head or was_head:
-                pdf.loc[pdf.index[0], "_phead"] = True
-            if len(pdf) > 1:
-                yield pdf.iloc[:-1]
-            carry = pdf.iloc[[-1]].reset_index(drop=True)
-        if carry is not None:
-            carry["_next"] = carry["_next"].iloc[:0].reindex([0])
-            carry["_plast"] = True
-            yield carry
-    return run
-
-
-_SCAN_NODES = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD",
-               "SubqueryAlias", "RelationV2"}
-
-
-def _scan_only(df: DataFrame) -> bool:
-    """Whether ``df`` is a scan with projections and filters only: its rows
-    then come in the same order every time it is evaluated. (After a shuffle
-    or a join the order depends on fetch timing.)"""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    for line in plan.splitlines():
-        node = line.lstrip(" :+-").split(" ")[0].split("[")[0]
-        if node and node not in _SCAN_NODES:
-            return False
-    return True
-
-
-def _checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint below the session's checkpoint folder (survives
-    executor loss; cuts the lineage)."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        from tierline.session import work_root
-        spark.sparkContext.setCheckpointDir(work_root(spark, "checkpoint"))
-    return df.checkpoint(eager=True)
-
-
-def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None) -> DataFrame:
+    ch = changes.filter(valid_condition(keys, seq))
+    both = snapshot.unionByName(ch, allowMissingColumns=True)
+    return _reduce(both, keys, seq, both.columns)
+
+
+SLICES = 64              # sequence slices of a hot key, about
+HOT_ROWS = 20_000        # a key with fewer rows is never sliced
+
+
+def _hot_slices(valid: DataFrame, keys: list[str], seq: str, partitions: int,
+                hot_rows: int) -> DataFrame:
+    """(keys, _bounds) of the hot keys: those with more rows than ``hot_rows``
+    and than a quarter of a partition's share of the table, so at most
+    ``4 * partitions`` keys. The bounds are a hash sample of the sequence."""
+    total = valid.agg(F.count(F.lit(1))).scalar()
+    limit = F.greatest(F.lit(hot_rows), total / (4 * partitions))
+    hot = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > limit)
+    one_in = F.ceil(F.col("_n") / SLICES)
+    return (valid.select(*keys, seq).join(F.broadcast(hot), keys)
+            .filter(F.pmod(F.xxhash64(seq), one_in) == 0)
+            .groupBy(*keys).agg(F.sort_array(F.collect_set(seq)).alias("_bounds")))
+
+
+def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None,
+         hot_rows: int = HOT_ROWS) -> DataFrame:
     """History: one row per accepted (key, sequence) with __START_AT = sequence
     and __END_AT = the key's next sequence (null for the current version).
     Rows sharing (key, sequence) collapse by the SCD1 tie rule.
 
-    One shuffle of the data: a range exchange on (keys, sequence). Ties are
-    resolved inside the sorted partitions (equal (key, sequence) rows are
-    adjacent there), successors found by the streaming pandas pass, and the
-    one continuing row per partition is patched from the partition heads."""
-    keys = _as_list(keys)
-    seq = sequence_by
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    One shuffle of the rows, by (key, slice); a key that is not hot has one
+    slice. Everything stays in the JVM, so any payload passes unchanged."""
+    keys, seq = _as_list(keys), sequence_by
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     valid = df.filter(valid_condition(keys, [seq]))
     cols = valid.columns
     payload = [c for c in cols if c not in keys and c != seq]
     types = {f.name: f.dataType for f in valid.schema.fields}
-    tie = [F.col("_tb").desc()] + [F.col(c).desc() for c in payload
-                                   if isinstance(types[c], _ORDERABLE)]
     hashed = _hashable(valid, payload)
-    tb = F.xxhash64(*[F.col(c) for c in hashed]) if hashed else F.lit(0).cast("long")
-    # Both branches below must see the same range partitions. They share an
-    # identical subtree, so Spark reuses the one range exchange; in case it
-    # does not, its input must arrive in the same order each time (range
-    # bounds come from sampling it): a plain scan does, anything after a
-    # shuffle or join is first cut by a reliable checkpoint. A session with
-    # exchange reuse switched off checkpoints the ranged rows themselves.
-    source = valid if _scan_only(valid) else _checkpointed(valid)
-    ranged = (source.withColumn("_tb", tb)
-                    .repartitionByRange(n, *[F.col(k) for k in keys], F.col(seq))
-                    .sortWithinPartitions(*[F.col(k) for k in keys], F.col(seq), *tie)
-                    .withColumn("_pid", F.spark_partition_id()))
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        ranged = _checkpointed(ranged)
-    seq_type = types[seq]
-    out_schema = T.StructType(ranged.schema.fields + [
-        T.StructField("_next", seq_type, True), T.StructField("_plast", T.BooleanType(), False),
-        T.StructField("_phead", T.BooleanType(), False)])
-    local = ranged.mapInPandas(_local_successor(keys, seq), out_schema)
-    # first (keys, seq) of every non-empty partition: one row per partition,
-    # taken from the same mapInPandas output
-    heads = local.filter("_phead").select(
-        "_pid", F.struct(*[F.col(k) for k in keys], F.col(seq)).alias("_head"))
-    succ = heads.select("_pid", F.lead("_head").over(Window.orderBy("_pid")).alias("_succ"))
-    patched = local.join(F.broadcast(succ), "_pid", "left")
-    cont = F.lit(True)
-    for k in keys:
-        cont = cont & (F.col(f"_succ.{k}") == F.col(k))
-    end = F.coalesce(F.col("_next"),
-                     F.when(F.col("_plast") & F.coalesce(cont, F.lit(False)),
-                            F.col(f"_succ.{seq}")))
-    return patched.select(*cols, F.col(seq).alias(START_AT), end.alias(END_AT))
+    tie = [F.xxhash64(*[F.col(c) for c in hashed]).desc()] if hashed else []
+    tie += [F.col(c).desc() for c in payload if isinstance(types[c], _ORDERABLE)]
+    # at most 4 * partitions keys
+    hot = F.broadcast(_hot_slices(valid, keys, seq, n, hot_rows))
+    place = F.size(F.filter("_bounds", lambda b: b <= F.col(seq)))
+    sliced = valid.join(hot, keys, "left").withColumn(
+        "_slice", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(place))
+    # the next slice's first sequence, for hot keys: at most that many slices
+    heads = (sliced.filter(F.col("_bounds").isNotNull()).groupBy(*keys, "_slice")
+             .agg(F.min(seq).alias("_head"))
+             .select(*keys, "_slice", F.lead("_head").over(
+                 Window.partitionBy(*keys).orderBy("_slice")).alias("_after")))
+    run = Window.partitionBy(*keys, "_slice").orderBy(F.col(seq), *tie)
+    versions = (sliced.withColumn("_before", F.lag(seq).over(run))
+                .filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col(seq)))
+                .withColumn("_next", F.lead(seq).over(run)))
+    ended = versions.join(F.broadcast(heads), [*keys, "_slice"], "left")
+    return ended.select(*cols, F.col(seq).alias(START_AT),
+                        F.coalesce("_next", "_after").alias(END_AT))
 
 
 def as_of(history: DataFrame, at) -> DataFrame:

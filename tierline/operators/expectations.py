@@ -24,7 +24,17 @@ ACTIONS = ("log", "drop", "fail")
 ERROR_PREFIX = "EXPECT"
 
 REPORT_SCHEMA = ("dataset string, expectation string, action string, input_rows bigint, "
-                 "failed_rows bigint, output_rows bigint, dropped_rows bigint")
+                 "failed_rows bigint, output_rows bigint, dropped_rows bigint, "
+                 "written_pct double, dropped_pct double")
+
+
+def _percent(part, whole) -> Column:
+    return F.round(F.when(F.col(whole) > 0, F.col(part) * 100.0 / F.col(whole)), 2)
+
+
+def _with_shares(report: DataFrame) -> DataFrame:
+    return (report.withColumn("written_pct", _percent("output_rows", "input_rows"))
+                  .withColumn("dropped_pct", _percent("dropped_rows", "input_rows")))
 
 
 @dataclass(frozen=True)
@@ -87,12 +97,13 @@ def apply_expectations(df: DataFrame, expectations,
 
 def expectation_report(df: DataFrame, expectations, dataset: str) -> DataFrame:
     """The report as a DataFrame computed from the ungated input: one row per
-    expectation with input, failed, output (written) and dropped row counts.
+    expectation with input, failed, output (written) and dropped row counts
+    and shares.
     One aggregate pass (partial + final), then a 1-row unpivot."""
     agg = df.agg(*violation_metrics(expectations))
     rows = [F.struct(F.lit(e.name).alias("expectation"), F.lit(e.action).alias("action"),
                      F.col(e.name).alias("failed_rows")) for e in expectations]
-    return (agg.select(F.col("__rows").alias("input_rows"),
+    return _with_shares(agg.select(F.col("__rows").alias("input_rows"),
                        F.col("__dropped").alias("dropped_rows"),
                        F.explode(F.array(*rows)).alias("r"))
                .select(F.lit(dataset).alias("dataset"), "r.expectation", "r.action",
@@ -109,7 +120,7 @@ def observation_report(spark: SparkSession, obs: Observation | dict, expectation
     n, dropped = int(m.get("__rows", 0) or 0), int(m.get("__dropped", 0) or 0)
     rows = [(dataset, e.name, e.action, n, int(m.get(e.name, 0) or 0), n - dropped, dropped)
             for e in expectations]
-    return spark.createDataFrame(rows, REPORT_SCHEMA)
+    return _with_shares(spark.createDataFrame(rows, REPORT_SCHEMA.split(", written_pct")[0]))
 
 
 def failed_expectation(exc: BaseException) -> str | None:

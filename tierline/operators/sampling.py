@@ -7,12 +7,15 @@ cluster layout, and each key independently with probability pct/100.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.functions.scalar import portable_key_hash
+from tierline.functions.scalar import SELECT_PRIME, portable_select_hash
 
 METHODS = ("xxhash64", "portable", "bernoulli")
+STEPS = 1 << 40         # of the xxhash64 threshold
 
 
 def check_percent(pct: float) -> float:
@@ -26,13 +29,14 @@ def check_percent(pct: float) -> float:
 
 
 def sample_condition(key: str, pct: float, method: str = "xxhash64", seed: int = 42) -> Column:
-    """Keep condition in 1/10000 steps of a percent-of-keys threshold."""
-    pct = check_percent(pct)
-    threshold = F.lit(int(round(pct * 100)))
+    """Keep condition: the key's hash is below pct / 100 of the hash range.
+    The hash is not the one that derived columns use."""
+    share = check_percent(pct) / 100.0
     if method == "xxhash64":
-        return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(10000)) < threshold
+        return F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(STEPS)) < F.lit(
+            math.ceil(share * STEPS))
     if method == "portable":
-        return F.pmod(portable_key_hash(key), F.lit(10000)) < threshold
+        return portable_select_hash(key) < F.lit(math.ceil(share * SELECT_PRIME))
     raise ValueError(f"method must be one of {METHODS}, got {method!r}")
 
 

@@ -9,7 +9,7 @@ twice, a booking without payment is absent), as in the workshop's SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.operators.cdc import scd1
@@ -103,34 +103,50 @@ def fraud_independence(gold: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("cells"))
 
 
+TERMS = 1000            # of the series below; enough for x up to a + 300
+
+
+def chi2_p_value(statistic: Column, dof: Column) -> Column:
+    """P(X >= statistic) for a chi-square variable: one minus the regularised
+    lower incomplete gamma function at a = dof / 2, x = statistic / 2, by its
+    power series ``x^a e^-x / Gamma(a + 1) * (1 + x/(a+1) + x^2/((a+1)(a+2)) + ...)``."""
+    a, x = dof / F.lit(2.0), statistic / F.lit(2.0)
+    # Gamma(a + 1) = a (a - 1) ... down to Gamma(1) = 1 or Gamma(1/2) = sqrt(pi)
+    steps = F.sequence(F.lit(0), F.ceil(a).cast("int") - 1)
+    log_gamma = F.aggregate(steps, F.lit(0.0), lambda acc, i: acc + F.log(a - i)) + F.when(
+        dof % 2 == 1, F.lit(0.5) * F.log(F.pi())).otherwise(F.lit(0.0))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def add(acc: Column, n: Column) -> Column:
+        term = acc["term"] * x / (a + n)
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, add, lambda acc: acc["sum"])
+    lower = F.exp(a * F.log(x) - x - log_gamma) * series
+    return (F.when(dof < 1, F.lit(None).cast("double")).when(x <= 0, F.lit(1.0))
+            .when(x > a * 2 + 300, F.lit(0.0))
+            .otherwise(F.greatest(F.lit(1.0) - lower, F.lit(0.0))))
+
+
 def fraud_significance(gold: DataFrame) -> DataFrame:
     """Pearson chi-square tests of "fraud is independent of ..." for party
-    size, payment method, and their combination, with p-values from Spark's
-    statistics library. Input is the gold view: one row per (party_size,
-    payment_method), so the contingency tables collected here are bounded by
-    (party sizes x payment methods) x 2 cells, independent of the data size.
-    Rows: dimension, statistic, dof, p_value."""
-    from pyspark.mllib.linalg import Matrices
-    from pyspark.mllib.stat import Statistics
-    spark = gold.sparkSession
-    cells = gold.select("party_size", "payment_method", "total_bookings", "fraud_count").collect()
-    rows = []
-    for dim, key in (("party_size", lambda r: (r.party_size,)),
-                     ("payment_method", lambda r: (r.payment_method,)),
-                     ("party_size x payment_method", lambda r: (r.party_size, r.payment_method))):
-        table: dict = {}
-        for r in cells:
-            fraud_, total = table.get(key(r), (0, 0))
-            table[key(r)] = (fraud_ + int(r.fraud_count), total + int(r.total_bookings))
-        groups = sorted(table, key=repr)
-        if len(groups) < 2:
-            rows.append((dim, None, 0, None))
-            continue
-        # column-major 2 x n matrix: (fraud, not fraud) per group
-        values = []
-        for g in groups:
-            fraud_, total = table[g]
-            values += [float(fraud_), float(total - fraud_)]
-        res = Statistics.chiSqTest(Matrices.dense(2, len(groups), values))
-        rows.append((dim, float(res.statistic), int(res.degreesOfFreedom), float(res.pValue)))
-    return spark.createDataFrame(rows, "dimension string, statistic double, dof int, p_value double")
+    size, payment method, and their combination. Everything is an aggregate
+    over the gold view, which has one row per combination. Rows: dimension,
+    statistic, dof, p_value (both to 6 digits; null with fewer than two groups)."""
+    label = lambda name, *cols: F.struct(
+        F.lit(name).alias("dimension"), F.to_json(F.struct(*cols)).alias("level"))
+    levels = F.explode(F.array(
+        label("party_size", "party_size"), label("payment_method", "payment_method"),
+        label("party_size x payment_method", "party_size", "payment_method")))
+    cells = (gold.select(levels.alias("l"), "total_bookings", "fraud_count")
+             .groupBy("l.dimension", "l.level")
+             .agg(F.sum("total_bookings").alias("n"), F.sum("fraud_count").alias("f")))
+    whole = Window.partitionBy("dimension")
+    shared = cells.withColumn("share", F.sum("f").over(whole) / F.sum("n").over(whole))
+    fraud_, other = F.col("n") * F.col("share"), F.col("n") * (1 - F.col("share"))
+    off = F.pow(F.col("f") - fraud_, 2)         # both columns are off by as much
+    term = F.when((fraud_ > 0) & (other > 0), off / fraud_ + off / other).otherwise(F.lit(0.0))
+    tests = shared.groupBy("dimension").agg(F.sum(term).alias("s"),
+                                            (F.count(F.lit(1)) - 1).cast("int").alias("dof"))
+    return tests.select("dimension", F.round(F.when(F.col("dof") > 0, F.col("s")), 6).alias("statistic"),
+                        "dof", F.round(chi2_p_value(F.col("s"), F.col("dof")), 6).alias("p_value"))

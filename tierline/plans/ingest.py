@@ -6,7 +6,7 @@ and appends to ``measurements``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +25,17 @@ RECORD_EXPECTATIONS = [
     Expectation("temperature_parsed", "temperature IS NOT NULL", "drop"),
 ]
 
+# the same on the landed lines, none of which stops the stream
+LANDING_EXPECTATIONS = [
+    Expectation("line_parsed", "_corrupt_record IS NULL", "drop"),
+    Expectation("city_present", "length(city) > 0", "drop"),
+    Expectation("temperature_parsed", "temperature IS NOT NULL", "drop"),
+]
+
+# what the ingest stream sets aside instead of stopping: lines that do not
+# parse and records that would fail a check
+SET_ASIDE = "_corrupt_record IS NOT NULL OR coalesce(length(city), 0) = 0 OR temperature IS NULL"
+
 
 def records_from_values(df: DataFrame, city: str = "city", temperature: str = "temperature",
                         comment: str = "comment", id_col: str | None = None) -> DataFrame:
@@ -81,5 +92,6 @@ def as_double(measurements: DataFrame) -> DataFrame:
     return measurements.withColumn("temperature", F.col("temperature").cast("double"))
 
 
-def id_is(value) -> Column:
-    return F.col("id") == F.lit(str(value))
+def id_is(value) -> str:
+    """SQL condition on the record id (as text, so that it can be kept)."""
+    return "id = '" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tierline.functions.scalar import round_avg
+from tierline.functions.scalar import round_avg, round_sum
 from tierline.operators.expectations import (
     Expectation, apply_expectations, expectation_report,
 )
@@ -32,7 +32,7 @@ def sales_aggregate(tx: DataFrame) -> DataFrame:
     return tx.groupBy("product").agg(
         F.count(F.lit(1)).alias("txn_count"),
         F.sum("quantity").alias("units_sold"),
-        F.round(F.sum("totalPrice"), 2).alias("gross_revenue"),
+        round_sum("totalPrice").alias("gross_revenue"),
         round_avg("totalPrice").alias("avg_txn_value"),
         F.count_distinct("customerID").alias("unique_customers"),
         F.count_distinct("franchiseID").alias("franchises_selling"))

@@ -103,7 +103,7 @@ def q_fraud_independence_chi2(spark, sf):
 
 def q_fraud_significance(spark, sf):
     """Is fraud related to party size and payment method? Chi-square tests
-    with p-values (no SQL oracle: the p-value needs the chi-square CDF)."""
+    with p-values."""
     return fraud.fraud_significance(_gold(spark, sf))
 
 
@@ -126,11 +126,12 @@ def q_fraud_row_counts(spark, sf):
 
 
 def q_seed_fraud_markers(spark, sf):
-    """The seeding job end to end: distinct ids, hash-threshold selection,
-    murmur3-derived columns, 5 JSON files, read back."""
+    """The seeding job end to end: distinct ids, hash-threshold selection
+    (by the hash SQL engines share), murmur3-derived columns, 5 JSON files,
+    read back."""
     path = work_root(spark, "seed") + "/booking_fraud_flags"
     return seed.seed_fraud_markers(spark, td.booking_updates(spark, sf), path,
-                                   pct=FRAUD_PCT, n_files=5)
+                                   pct=FRAUD_PCT, n_files=5, method="portable")
 
 
 # ---- continuous medallion (L4), batch form ----------------------------------
@@ -218,7 +219,7 @@ def q_owner_slug(spark, sf):
     return c.select("c_custkey", email.alias("email"), owner_slug(email).alias("owner_slug"))
 
 
-# ---- the same datasets as Spark SQL over temp views ------------------------------
+# ---- some views as Spark SQL over catalog tables ---------------------------------
 def q_sales_stats_sql(spark, sf):
     from tierline.plans import sql
     return sql.run(spark, sf, sql.SALES_STATS)

@@ -1,8 +1,9 @@
 """Session construction and the shared working folder.
 
 All intermediate and published data goes below the folder the cluster names in
-``spark.checkpoint.dir`` (a shared file system on a real cluster). Only when the
-session has none (local tests) is a fresh folder under /tmp set.
+``spark.checkpoint.dir`` (a shared file system on a real cluster). Only a local
+master without one gets a fresh folder under /tmp; on a cluster that is an
+error, since other machines would not see it.
 """
 
 from __future__ import annotations
@@ -24,13 +25,22 @@ SCALE_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def is_local(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app_name: str = "tierline", extra: dict | None = None) -> SparkSession:
+    """A session with ``SCALE_CONF``. Sizes (shuffle partitions, driver memory)
+    are chosen for local masters only; a cluster keeps its own unless given."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g"))
+         .config("spark.ui.showConsoleProgress", "false"))
+    if is_local(master):
+        b = b.config("spark.driver.memory", "8g")
+        shuffle_partitions = shuffle_partitions or 8
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -48,11 +58,13 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
 def work_root(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the shared checkpoint folder for one run.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a /tmp folder only
-    when the session names none (as in local tests).
+    Reads ``spark.checkpoint.dir`` from the session; a local master that names
+    none (as in tests) gets a /tmp folder, any other raises.
     """
     base = _checkpoint_dir(spark)
     if not base:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tierline-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(base)
     base = base.rstrip("/")

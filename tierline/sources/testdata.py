@@ -8,7 +8,7 @@ dataset needs are selected so the parquet scan reads just those.
 | booking_updates     | lineitem (key l_orderkey, several updates per key)  |
 | payments            | orders                                              |
 | readings feed       | events, one tick per event                          |
-| registry feed       | events, one tick per five events                    |
+| registry feed       | events, one tick per five events, reported by each  |
 | measurement records | events ⋈ customer ⋈ nation                          |
 """
 
@@ -79,22 +79,13 @@ def readings_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = N
         F.col("value").alias("reading"))
 
 
-def registry_ticks(events: DataFrame) -> DataFrame:
-    """Per event, the registry tick it belongs to: (timestamp, value =
-    event_id div 5). Five rows per tick; streams use this form, and reducing
-    it per tick gives ``registry_feed``."""
-    return events.select(F.col("ts").alias("timestamp"),
-                         F.expr("event_id div 5").alias("value"))
-
-
-def registry_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rate-shaped feed at a fifth of the readings rate: one tick per block of
-    five consecutive events (tick = event_id div 5, time = first event time).
-    Every event is covered; the block reduction is a partial+final aggregate."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts")
-    return (ev.groupBy(F.expr("event_id div 5").alias("value"))
-              .agg(F.min("ts").alias("timestamp"))
-              .select("timestamp", "value"))
+def registry_feed(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """Rate-shaped feed of registry ticks, for batch and stream alike: every
+    event reports the tick it belongs to (event_id div 5), so five reports per
+    tick, ordered by ``event``."""
+    src = events if events is not None else table(spark, sf_dir, "events")
+    return src.select(F.col("ts").alias("timestamp"), F.expr("event_id div 5").alias("value"),
+                      F.col("event_id").alias("event"))
 
 
 def measurement_records(spark: SparkSession, sf_dir: str,

@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tierline.operators.expectations import gate, observation_report, violation_metrics
+from tierline.tables import exists
+
+LOG_SCHEMA = "query string, batch bigint, metric string, value bigint"
 
 
 def observe_stream(df: DataFrame, expectations, name: str) -> DataFrame:
@@ -18,26 +21,62 @@ def observe_stream(df: DataFrame, expectations, name: str) -> DataFrame:
 
 
 class MetricsLog:
-    """Observed counters per (query run, batch id), collected from progress
-    reports. Calling ``collect`` at least once per
-    ``spark.sql.streaming.numRecentProgressUpdates`` batches keeps every
-    batch; a batch seen twice is counted once."""
+    """Observed counters per (query, batch id), collected from progress
+    reports. A query keeps only its last
+    ``spark.sql.streaming.numRecentProgressUpdates`` reports, so ``collect``
+    (or ``wait``, which collects while it waits) must come round more often;
+    if it did not, ``totals`` raises instead of missing a batch.
+
+    With ``path`` the counters outlive the process: ``store`` appends them to
+    that folder and a new log starts from it. A batch that a restarted query
+    ran again is counted once, as it ran last."""
 
-    def __init__(self, name: str):
-        self.name = name
+    def __init__(self, name: str, spark: SparkSession | None = None, path: str | None = None):
+        self.name, self.spark, self.path = name, spark, path
         self.batches: dict = {}
+        self.ran: dict = {}
+        self.stored: set = set()
+        if path and exists(spark, path):
+            for r in spark.read.schema(LOG_SCHEMA).parquet(path).collect():
+                self.batches.setdefault((r.query, r.batch), {})[r.metric] = r.value
+            self.stored = set(self.batches)
 
     def collect(self, queries) -> None:
         for q in ([queries] if isinstance(queries, StreamingQuery) else queries):
             for p in q.recentProgress:
                 row = (p.get("observedMetrics") or {}).get(self.name)
                 if row is not None:
-                    self.batches[(p.get("runId"), p.get("batchId"))] = row.asDict()
+                    key = (str(p.get("id")), int(p.get("batchId")))
+                    self.batches[key] = row.asDict()
+                    self.ran.setdefault(key[0], set()).add(key[1])
+                    self.stored.discard(key)
+
+    def wait(self, *queries, poll_s: float = 1.0) -> None:
+        """Awaits the queries, collecting all the while; raises their error."""
+        for q in queries:
+            while not q.awaitTermination(poll_s):
+                self.collect(queries)
+        self.collect(queries)
+
+    def store(self) -> None:
+        rows = [(q, b, m, int(v or 0)) for (q, b), row in self.batches.items()
+                if (q, b) not in self.stored for m, v in row.items()]
+        if self.path and rows:
+            self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+            self.stored = set(self.batches)
 
     def totals(self) -> dict:
+        """Counters summed over the batches of the newest query (a full
+        refresh starts a new one)."""
+        if not self.batches:
+            return {}
+        newest = next(reversed(self.ran)) if self.ran else next(reversed(self.batches))[0]
+        seen = sorted(b for q, b in self.batches if q == newest)
+        if seen != list(range(seen[-1] + 1)):
+            raise RuntimeError(f"{self.name}: progress of some batches was not collected in time")
         total: dict = {}
-        for row in self.batches.values():
-            for k, v in row.items():
+        for (q, _), row in self.batches.items():
+            for k, v in row.items() if q == newest else ():
                 total[k] = total.get(k, 0) + int(v or 0)
         return total
 

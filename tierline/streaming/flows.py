@@ -3,8 +3,10 @@ incrementally from the new files of an append-only streaming table.
 
 Each run of a flow:
 
-1. lists the committed files of the source table and anti-joins them (in
-   Spark) with the manifest of files already merged; only new names return;
+1. lists the committed files of the source table (their names, on the
+   driver) and anti-joins them (in Spark) with the manifest of files already
+   merged. A source whose generation changed (a full refresh) starts the
+   state afresh from all of its files;
 2. reads only the new files and reduces them to one row per key with a
    partial + final aggregate (a key holding a third of the rows leaves every
    map task as one row), aligned to the state's buckets;
@@ -18,8 +20,9 @@ Each run of a flow:
    repeats the same merge.
 
 Subclasses say how rows reduce (``reduce``) and how reduced rows merge with
-the state (``combine``); both must be associative, commutative and
-idempotent on replays for the runs to equal one batch over everything.
+the state (``combine``); both must be associative and commutative for the runs
+to equal one batch over everything. Each file is merged once, so sums need not
+be idempotent.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.tables import (
     exists, filesystem, has_data_files, register_bucketed, write_bucketed,
@@ -46,11 +50,13 @@ class KeyedFlow:
     bucket_by: list | None = None       # default: the keys; may be a prefix of them
 
     def resolve_buckets(self, spark: SparkSession) -> int:
+        """The asked bucket count (the next merge moves a state that has
+        another), else the state's, else the session's partitions."""
+        if self.buckets:
+            return int(self.buckets)
         v = self.current_version(spark)
         if v is not None:
             return self._data_dir(spark, v)[1]
-        if self.buckets:
-            return int(self.buckets)
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def _bucket_keys(self) -> list:
@@ -67,6 +73,9 @@ class KeyedFlow:
     def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
         raise NotImplementedError
 
+    # whether ``combine`` leaves rows in the state's buckets
+    aligned = True
+
     def initial(self, reduced: DataFrame) -> DataFrame:
         """The first state, from the first reduced rows."""
         return reduced
@@ -175,11 +184,12 @@ class KeyedFlow:
         return freed
 
     # ---- the merge -----------------------------------------------------------
-    def _write_version(self, spark, v, data, invalid, manifest, obs=None, buckets=None) -> None:
+    def _write_version(self, spark, v, data, invalid, manifest, obs=None, buckets=None,
+                       aligned=False) -> None:
         base = self._vdir(v)
         b = buckets or self.resolve_buckets(spark)
         path = f"{base}/{_DATA}{b}"
-        write_bucketed(data, path, self._bucket_keys(), b, self._table(f"_w{v}"))
+        write_bucketed(data, path, self._bucket_keys(), b, self._table(f"_w{v}"), aligned)
         if not has_data_files(spark, path):            # empty state: keep its schema
             data.limit(0).write.mode("overwrite").parquet(base + "/_schema")
         if obs is not None and (obs.get.get("invalid") or 0):
@@ -198,19 +208,30 @@ class KeyedFlow:
         if current is None:
             new = sorted(files)
             done = spark.createDataFrame([], "path string")
+        elif self._other_generation(spark, current, source_path):
+            current, new = None, sorted(files)
+            done = spark.createDataFrame([], "path string")
         else:
             done = self._manifest(spark, current)
             listed = spark.createDataFrame([(f,) for f in files], "path string")
             new = [r.path for r in listed.join(done, "path", "left_anti").collect()]
         if not new:
-            return current
+            return self.current_version(spark)
         changes = spark.read.schema(src.schema).parquet(*new)
         rows, invalid, obs = self.prepare(changes)
         b = self.resolve_buckets(spark)
         reduced = self.reduce(rows).repartition(b, *self._bucket_keys())
         merged = self.initial(reduced) if current is None else self.combine(self.read(spark), reduced)
+        same = current is None or self._data_dir(spark, current)[1] == b
         existing = self._list(spark, committed=False)
         v = (existing[-1] + 1) if existing else 1
         manifest = done.unionByName(spark.createDataFrame([(f,) for f in new], "path string"))
-        self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs, b)
+        self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs, b,
+                            self.aligned and same)
         return v
+
+    def _other_generation(self, spark: SparkSession, version: int, source_path: str) -> bool:
+        """Whether the version holds files of another generation of the source."""
+        here = "/".join(source_path.rstrip("/").split("/")[-3:]) + "/"
+        return not self._manifest(spark, version).filter(
+            ~F.col("path").contains(here)).isEmpty()

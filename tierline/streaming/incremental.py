@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline import tables
-from tierline.functions.scalar import exact
+from tierline.functions.scalar import exact, not_finite
 from tierline.operators.expectations import apply_expectations, observation_report
 from tierline.plans.sales import SALES_EXPECTATIONS
 from tierline.streaming.flows import KeyedFlow
@@ -75,7 +75,8 @@ class IncrementalSalesStats:
         self.root = root
         self.partials = PartialsFlow(root, "sales_partials", ["product"], {
             "txn_count": ("count", "*"), "units_sold": ("sum", "quantity"),
-            "_price_sum": ("sum", exact("totalPrice")), "_price_n": ("count", "totalPrice")},
+            "_price_sum": ("sum", exact("totalPrice")), "_price_n": ("count", "totalPrice"),
+            "_price_odd": ("count", F.when(not_finite("totalPrice"), 1))},
             buckets)
         self.customers = DistinctFlow(root, "sales_customers", ["product", "customerID"],
                                       "customerID", buckets)
@@ -90,11 +91,13 @@ class IncrementalSalesStats:
                  .agg(F.count(F.lit(1)).alias("franchises_selling")))
         j = (p.join(c, p.product.eqNullSafe(c._pc), "left")
               .join(f, p.product.eqNullSafe(f._pf), "left"))
+        def finite(c):                      # a NaN or infinity makes the figure NaN
+            return F.when(F.col("_price_odd") > 0, F.lit(float("nan"))).otherwise(c.cast("double"))
+
         return j.select(
             "product", "txn_count", "units_sold",
-            F.round("_price_sum", 2).cast("double").alias("gross_revenue"),
-            F.round(F.col("_price_sum") / F.col("_price_n"), 2).cast("double")
-             .alias("avg_txn_value"),
+            finite(F.round("_price_sum", 2)).alias("gross_revenue"),
+            finite(F.round(F.col("_price_sum") / F.col("_price_n"), 2)).alias("avg_txn_value"),
             F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
             F.coalesce("franchises_selling", F.lit(0)).alias("franchises_selling"))
 

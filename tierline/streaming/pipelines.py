@@ -4,29 +4,29 @@ Each runner ingests through append-only streaming tables (bronze), upserts
 with ``Scd1Flow`` (silver), and publishes materialized views as versioned
 Parquet (gold). ``trigger='availableNow'`` is the triggered update: process
 all available input, refresh the views, stop. A processing-time trigger is
-the continuous mode: the same definitions, bronze flows keep running and
-``refresh`` is called on an interval until ``stop``.
+the continuous mode: the same definitions, bronze flows keep running and the
+views are refreshed on an interval until a stop event is set (``run_until``).
 
 All data goes below a run folder in the session's checkpoint directory.
 """
 
 from __future__ import annotations
 
-import time
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline import tables
 from tierline.operators.expectations import observation_report
 from tierline.operators.maintenance import dedupe, delete_where
 from tierline.plans import fraud, ingest, sales, seed, sensors
-from tierline.session import work_root
 from tierline.sources import testdata as td
 from tierline.streaming.checks import MetricsLog, observe_stream
 from tierline.streaming.tables import append_stream, data_path, read_table, stream_files
-from tierline.streaming.upsert import Scd1Flow, Scd2Flow
+from tierline.streaming.upsert import Scd1Flow
 
 FLAGS_SCHEMA = fraud.FLAG_SCHEMA + ", _corrupt_record string"
 
@@ -41,6 +41,35 @@ def _wait(*queries):
         q.awaitTermination()
 
 
+def committed(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether a streaming table holds a committed batch."""
+    path = data_path(spark, root, name)
+    return path is not None and tables.exists(spark, path + "/_spark_metadata/0")
+
+
+def run_until(queries, refresh, interval_s: float, stop: threading.Event | None = None,
+              rounds: int | None = None) -> None:
+    """Calls ``refresh`` every ``interval_s`` seconds while the flows run,
+    until ``stop`` is set (or ``rounds`` times), then stops them. A flow that
+    died raises its error."""
+    def raise_failed():
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
+
+    stop, done = stop or threading.Event(), 0
+    try:
+        while not stop.is_set() and (rounds is None or done < rounds):
+            stop.wait(interval_s)
+            raise_failed()
+            refresh()
+            done += 1
+        raise_failed()
+    finally:
+        for q in queries:
+            q.stop()
+
+
 # ---- L2: sales -----------------------------------------------------------------
 def _sales_dimensions(spark: SparkSession, sf_dir: str, root: str) -> tuple[DataFrame, DataFrame]:
     """The tables every micro-batch of line items joins with, bucketed once on
@@ -53,15 +82,21 @@ def _sales_dimensions(spark: SparkSession, sf_dir: str, root: str) -> tuple[Data
     return orders, part
 
 
-def sales_pipeline(spark: SparkSession, sf_dir: str, root: str,
-                   trigger: str = "availableNow", full_refresh: bool = False) -> dict:
-    """sales_transactions (streaming table) -> sales_stats (view with
-    expectations) + its expectation report. A FAIL expectation raises and
-    leaves the previous sales_stats version current."""
+def sales_ingest(spark: SparkSession, sf_dir: str, root: str, trigger: str = "availableNow",
+                 full_refresh: bool = False, max_files: int | None = None) -> list:
+    """The bronze flow of the sales pipeline, started."""
     orders, part = _sales_dimensions(spark, sf_dir, root)
-    tx = td.sales_transactions(spark, sf_dir, lineitem=_source(spark, sf_dir, "lineitem"),
-                               orders=orders, part=part)
-    _wait(append_stream(tx, root, "sales_transactions", trigger, full_refresh))
+    tx = td.sales_transactions(spark, sf_dir, orders=orders, part=part,
+                               lineitem=_source(spark, sf_dir, "lineitem", max_files))
+    return [append_stream(tx, root, "sales_transactions", trigger, full_refresh)]
+
+
+def sales_refresh(spark: SparkSession, root: str) -> dict:
+    """sales_stats (view with expectations) and its expectation report from
+    what bronze committed. A FAIL expectation raises and leaves the previous
+    sales_stats version current."""
+    if not committed(spark, root, "sales_transactions"):
+        return {}
     stats, obs = sales.sales_stats(read_table(spark, root, "sales_transactions"))
     v = tables.publish(stats, root, "sales_stats")
     report = observation_report(spark, obs, sales.SALES_EXPECTATIONS, "sales_stats")
@@ -69,28 +104,28 @@ def sales_pipeline(spark: SparkSession, sf_dir: str, root: str,
     return {"sales_stats": v}
 
 
-def sales_in_rounds(spark: SparkSession, sf_dir: str, root: str, rounds: int = 3) -> None:
-    """The line items delivered in ``rounds`` deliveries (a hash split of all
-    rows); after each one the bronze stream runs and the incrementally
-    maintained view folds in only the new rows."""
-    from tierline.streaming.incremental import IncrementalSalesStats
-    li = td.table(spark, sf_dir, "lineitem")
-    part_of = F.pmod(F.xxhash64(*[F.col(c) for c in li.columns]), F.lit(rounds))
-    landing = f"{root.rstrip('/')}/landing/lineitem"
-    orders, part = _sales_dimensions(spark, sf_dir, root)
-    view = IncrementalSalesStats(root)
-    for r in range(rounds):
-        li.filter(part_of == r).write.mode("append").parquet(landing)
-        tx = td.sales_transactions(spark, sf_dir, lineitem=stream_files(spark, landing, li.schema),
-                                   orders=orders, part=part)
-        _wait(append_stream(tx, root, "sales_transactions"))
-        view.refresh(spark, data_path(spark, root, "sales_transactions"))
+def sales_pipeline(spark: SparkSession, sf_dir: str, root: str, full_refresh: bool = False,
+                   max_files: int | None = None) -> dict:
+    """One triggered update: all available line items, then the view."""
+    _wait(*sales_ingest(spark, sf_dir, root, "availableNow", full_refresh, max_files))
+    return sales_refresh(spark, root)
+
+
+def sales_continuous(spark: SparkSession, sf_dir: str, root: str, interval_s: float = 5.0,
+                     stop: threading.Event | None = None, rounds: int | None = None) -> None:
+    """Bronze runs on an interval and the view follows until ``stop`` is set."""
+    run_until(sales_ingest(spark, sf_dir, root, f"{interval_s} seconds"),
+              lambda: sales_refresh(spark, root), interval_s, stop, rounds)
 
 
 # ---- L3: fraud -----------------------------------------------------------------
 def seed_landing(spark: SparkSession, sf_dir: str, root: str, pct: float = 3.0,
-                 n_files: int = 5) -> str:
+                 n_files: int = 5, again: bool = False) -> str:
+    """Seeds the landing folder once; ``again`` replaces what it holds (files
+    of new names, so the flags table then needs a full refresh)."""
     path = f"{root.rstrip('/')}/landing/booking_fraud_flags"
+    if not again and tables.exists(spark, path + "/_SUCCESS"):
+        return path
     markers = seed.fraud_markers(td.booking_updates(spark, sf_dir), pct,
                                  method="portable", digest="portable")
     seed.write_markers(markers, path, n_files)
@@ -98,23 +133,26 @@ def seed_landing(spark: SparkSession, sf_dir: str, root: str, pct: float = 3.0,
 
 
 def fraud_ingest(spark: SparkSession, sf_dir: str, root: str, landing: str,
-                 trigger: str = "availableNow") -> None:
-    """The three bronze flows, run together."""
+                 trigger: str = "availableNow", refresh_flags: bool = False) -> list:
+    """The three bronze flows, started together."""
     updates = td.booking_updates(spark, sf_dir, lineitem=_source(spark, sf_dir, "lineitem"))
     flags = stream_files(spark, landing, FLAGS_SCHEMA, fmt="json",
                          options={"columnNameOfCorruptRecord": "_corrupt_record"})
     pays = td.payments(spark, sf_dir, orders=_source(spark, sf_dir, "orders"))
-    _wait(append_stream(updates, root, "booking_updates", trigger),
-          append_stream(flags, root, "fraud_flags", trigger),
-          append_stream(pays, root, "payments", trigger))
+    return [append_stream(updates, root, "booking_updates", trigger),
+            append_stream(flags, root, "fraud_flags", trigger, refresh_flags),
+            append_stream(pays, root, "payments", trigger)]
 
 
 def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) -> None:
     """Silver and gold from the bronze tables. Bookings (SCD1 state), the
     silver view and the payment counts (kept incrementally) are all bucketed
     on booking_id with the bookings state's bucket count, so the gold view's
-    per-booking reduction and join read them without a shuffle."""
+    per-booking reduction and join read them without a shuffle. Nothing
+    happens until all three bronze tables hold a commit."""
     from tierline.streaming.incremental import PartialsFlow
+    if not all(committed(spark, root, t) for t in ("booking_updates", "fraud_flags", "payments")):
+        return
     flow = Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE, buckets)
     source = data_path(spark, root, "booking_updates")
     flow.declare(spark, spark.read.parquet(source).schema)
@@ -126,7 +164,8 @@ def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) ->
         flow.run(spark, source)
         flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
         bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"))
-        tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets)
+        tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets,
+                                aligned=True)
         counted.result()
     gold = fraud.fraud_from_counts(
         tables.read_latest_bucketed(spark, root, "bookings_with_fraud", ["booking_id"], buckets),
@@ -135,40 +174,20 @@ def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) ->
 
 
 def fraud_pipeline(spark: SparkSession, sf_dir: str, root: str, pct: float = 3.0,
-                   n_files: int = 5) -> None:
-    landing = seed_landing(spark, sf_dir, root, pct, n_files)
-    fraud_ingest(spark, sf_dir, root, landing)
+                   n_files: int = 5, reseed: bool = False) -> None:
+    """One triggered update. Flags are seeded on the first run only, so a rerun
+    delivers none twice; ``reseed`` draws them anew and reloads their table."""
+    landing = seed_landing(spark, sf_dir, root, pct, n_files, reseed)
+    _wait(*fraud_ingest(spark, sf_dir, root, landing, refresh_flags=reseed))
     fraud_refresh(spark, root)
 
 
-def bookings_in_rounds(spark: SparkSession, sf_dir: str, root: str, rounds: int = 3) -> Scd1Flow:
-    """The CDC feed delivered in ``rounds`` deliveries (a hash split of all
-    rows, so sequences arrive out of order), each landed, streamed into
-    bronze and merged before the next arrives."""
-    feed = td.booking_updates(spark, sf_dir)
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in feed.columns]), F.lit(rounds))
-    landing = f"{root.rstrip('/')}/landing/booking_updates"
-    flow = Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE)
-    for r in range(rounds):
-        feed.filter(part == r).write.mode("append").parquet(landing)
-        _wait(append_stream(stream_files(spark, landing, feed.schema), root, "booking_updates"))
-        flow.run(spark, data_path(spark, root, "booking_updates"))
-    return flow
-
-
-def history_in_rounds(spark: SparkSession, sf_dir: str, root: str, rounds: int = 3) -> Scd2Flow:
-    """The events feed delivered in ``rounds`` deliveries (hash split, so
-    sequences arrive out of order); after each one the history of the touched
-    users is re-chained (STORED AS SCD TYPE 2)."""
-    ev = td.table(spark, sf_dir, "events")
-    part_of = F.pmod(F.xxhash64(*[F.col(c) for c in ev.columns]), F.lit(rounds))
-    landing = f"{root.rstrip('/')}/landing/events"
-    flow = Scd2Flow(root, "events_history", ["user_id"], "event_id")
-    for r in range(rounds):
-        ev.filter(part_of == r).write.mode("append").parquet(landing)
-        _wait(append_stream(stream_files(spark, landing, ev.schema), root, "events_bronze"))
-        flow.run(spark, data_path(spark, root, "events_bronze"))
-    return flow
+def fraud_continuous(spark: SparkSession, sf_dir: str, root: str, interval_s: float = 5.0,
+                     stop: threading.Event | None = None, rounds: int | None = None) -> None:
+    """Bronze runs on an interval, silver and gold follow until ``stop`` is set."""
+    landing = seed_landing(spark, sf_dir, root)
+    run_until(fraud_ingest(spark, sf_dir, root, landing, f"{interval_s} seconds"),
+              lambda: fraud_refresh(spark, root), interval_s, stop, rounds)
 
 
 # ---- L4: continuous medallion ----------------------------------------------------
@@ -179,11 +198,11 @@ FEED_RATES = (10, 2)
 def medallion_feeds(spark: SparkSession, sf_dir: str | None, source: str = "events",
                     rates: tuple[int, int] = FEED_RATES) -> tuple[DataFrame, DataFrame]:
     """(readings feed, registry feed) as streams. 'events': from the events
-    table (registry ticks = event_id div 5); 'rate': the live generators
+    table, as in batch; 'rate': the live generators
     (10 and 2 rows/s by default)."""
     if source == "events":
         ev = _source(spark, sf_dir, "events")
-        return td.readings_feed(spark, sf_dir, events=ev), td.registry_ticks(ev)
+        return td.readings_feed(spark, sf_dir, events=ev), td.registry_feed(spark, sf_dir, events=ev)
     if source == "rate":
         r = spark.readStream.format("rate").option("rowsPerSecond", str(rates[0])).load()
         g = spark.readStream.format("rate").option("rowsPerSecond", str(rates[1])).load()
@@ -199,10 +218,9 @@ class Medallion:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.state = Scd1Flow(root, "sensor_state_silver", ["sensor_id"], "reading_seq")
-        self.zones = Scd1Flow(root, "sensor_zone_silver", ["sensor_id"], "registry_seq")
+        self.zones = Scd1Flow(root, "sensor_zone_silver", ["sensor_id"], sensors.ZONE_SEQUENCE)
         self.queries = []
-        self.metrics = MetricsLog(self.CHECKS)
-        self.gold_inputs = None         # silver versions behind the last gold
+        self.metrics = MetricsLog(self.CHECKS, spark, f"{root.rstrip('/')}/{self.CHECKS}")
 
     def start(self, readings_feed: DataFrame, registry_feed: DataFrame,
               trigger: str = "availableNow") -> Medallion:
@@ -220,6 +238,7 @@ class Medallion:
     def refresh(self) -> None:
         """Silver upserts from whatever bronze committed, then the gold view."""
         self.metrics.collect(self.queries)
+        self.metrics.store()
         with ThreadPoolExecutor(max_workers=2) as pool:      # the silvers are independent
             runs = [pool.submit(flow.run, self.spark, p)
                     for flow, bronze in ((self.state, "sensor_readings_bronze"),
@@ -231,26 +250,38 @@ class Medallion:
         # versions it was built from, once both hold merged data
         inputs = (self.state.current_version(self.spark) or 0,
                   self.zones.current_version(self.spark) or 0)
-        if min(inputs) > 0 and inputs != self.gold_inputs:
+        if min(inputs) > 0 and inputs != self.gold_inputs():
             gold = sensors.zone_stats_gold(self.state.read(self.spark), self.zones.read(self.spark))
-            tables.publish(gold, self.root, "zone_stats_gold")
-            self.gold_inputs = inputs
+            v = tables.publish(gold, self.root, "zone_stats_gold")
+            tables.publish(self.spark.createDataFrame([(v, *inputs)], self.INPUTS), self.root,
+                           "zone_stats_gold_inputs")
+
+    INPUTS = "gold_version int, state_version int, zone_version int"
+
+    def gold_inputs(self) -> tuple[int, int] | None:
+        """The silver versions behind the last gold view, as stored with it."""
+        made = tables.read_latest(self.spark, self.root, "zone_stats_gold_inputs")
+        row = None if made is None else made.first()
+        return None if row is None else (row.state_version, row.zone_version)
 
     def run_triggered(self) -> None:
-        _wait(*self.queries)
+        self.metrics.wait(*self.queries)
         self.refresh()
 
-    def run_continuous(self, interval_s: float, rounds: int, keep: int = 3) -> None:
+    def run_continuous(self, interval_s: float, rounds: int | None = None, keep: int = 3,
+                       stop: threading.Event | None = None) -> None:
         """Refreshes silver and gold every ``interval_s`` seconds while the
-        bronze flows run, ``rounds`` times, then stops the flows. Only the
-        newest ``keep`` versions of the silvers and the gold view are kept."""
+        bronze flows run, until ``stop`` is set (or ``rounds`` times); a flow
+        that died raises. Only the newest ``keep`` versions of the silvers and
+        the gold view are kept."""
+        def step():
+            self.refresh()
+            self.state.retain(self.spark, keep)
+            self.zones.retain(self.spark, keep)
+            for name in ("zone_stats_gold", "zone_stats_gold_inputs"):
+                tables.retain(self.spark, self.root, name, keep)
         try:
-            for _ in range(rounds):
-                time.sleep(interval_s)
-                self.refresh()
-                self.state.retain(self.spark, keep)
-                self.zones.retain(self.spark, keep)
-                tables.retain(self.spark, self.root, "zone_stats_gold", keep)
+            run_until(self.queries, step, interval_s, stop, rounds)
         finally:
             self.stop()
 
@@ -267,209 +298,78 @@ class Medallion:
 
 
 # ---- L1: ingest ------------------------------------------------------------------
-def measurements_pipeline(spark: SparkSession, sf_dir: str, root: str,
-                          producers: int = 2) -> None:
-    """Every producer delivers all records (at-least-once) as JSON lines; the
-    stream parses them and keeps one row per id (RocksDB state at scale)."""
+def ingest_landing(spark: SparkSession, landing: str, root: str, within: str | None = None) -> None:
+    """The landed JSON lines so far into ``measurements``, one row per id.
+    Lines that do not parse and records that fail a check go to
+    ``measurements_set_aside`` and the ingest goes on; the counts are
+    published as ``measurements_expectations``. With ``within`` (such as
+    '7 days') ids are remembered that long after their ingest, which bounds
+    the state; without, for ever."""
+    schema = T.StructType([*ingest.MEASUREMENTS_SCHEMA.fields,
+                           T.StructField("_corrupt_record", T.StringType())])
+    parsed = stream_files(spark, landing, schema, fmt="json",
+                          options={"columnNameOfCorruptRecord": "_corrupt_record"})
+    good = observe_stream(parsed, ingest.LANDING_EXPECTATIONS, "measurement_checks") \
+        .drop("_corrupt_record")
+    if within:
+        good = dedupe(good.withColumn("_ingested", F.current_timestamp()), ["id"], "_ingested",
+                      within).drop("_ingested")
+    else:
+        good = dedupe(good, ["id"])
+    log = MetricsLog("measurement_checks", spark, f"{root.rstrip('/')}/measurement_checks")
+    log.wait(append_stream(good, root, "measurements"),
+             append_stream(parsed.filter(ingest.SET_ASIDE), root, "measurements_set_aside"))
+    log.store()
+    tables.publish(observation_report(spark, log.totals(), ingest.LANDING_EXPECTATIONS, "measurements"),
+                   root, "measurements_expectations")
+
+
+def measurements_pipeline(spark: SparkSession, sf_dir: str, root: str, producers: int = 2) -> None:
+    """Every producer delivers all records (at-least-once) as JSON lines."""
     landing = f"{root.rstrip('/')}/landing/measurements"
     recs = td.measurement_records(spark, sf_dir)
     for _ in range(producers):
         ingest.land(recs, landing)
-    parsed = stream_files(spark, landing, ingest.MEASUREMENTS_SCHEMA, fmt="json")
-    checked = observe_stream(parsed, ingest.RECORD_EXPECTATIONS, "measurement_checks")
-    _wait(append_stream(dedupe(checked, ["id"]), root, "measurements"))
-
-
-def delete_from(spark: SparkSession, root: str, name: str, predicate, schema=None) -> int:
-    """DELETE FROM name WHERE predicate, as a new version of ``<name>_current``
-    (the table after all deletes so far; starts from the dataset itself)."""
-    cur = tables.read_latest(spark, root, name + "_current")
-    if cur is None:
-        cur = tables.read_latest(spark, root, name)
-    if cur is None:
-        cur = read_table(spark, root, name, schema)
-    return tables.publish(delete_where(cur, predicate), root, name + "_current")
-
-
-# ---- registered queries -------------------------------------------------------
-_RUNS: dict = {}
-
-
-def _run_once(spark: SparkSession, sf_dir: str, name: str, fn) -> str:
-    """Runs a pipeline once per (application, scale, pipeline); the published
-    datasets of that run serve every query that reads them."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _RUNS:
-        root = work_root(spark, name)
-        fn(root)
-        _RUNS[key] = root
-    return _RUNS[key]
-
-
-def _sales_root(spark, sf):
-    return _run_once(spark, sf, "sales", lambda r: sales_pipeline(spark, sf, r))
-
-
-def _fraud_root(spark, sf):
-    return _run_once(spark, sf, "fraud", lambda r: fraud_pipeline(spark, sf, r))
-
-
-def _medallion_root(spark, sf):
-    def go(r):
-        m = Medallion(spark, r).start(*medallion_feeds(spark, sf))
-        m.run_triggered()
-        tables.publish(m.expectation_report(), r, "sensor_readings_expectations")
-    return _run_once(spark, sf, "medallion", go)
-
-
-def _measurements_root(spark, sf):
-    def go(r):
-        measurements_pipeline(spark, sf, r)
-        delete_from(spark, r, "measurements", ingest.id_is("42"), ingest.MEASUREMENTS_SCHEMA)
-    return _run_once(spark, sf, "measurements", go)
-
-
-def q_sales_pipeline(spark, sf):
-    return tables.read_latest(spark, _sales_root(spark, sf), "sales_stats")
-
-
-def q_sales_pipeline_incremental(spark, sf):
-    root = _run_once(spark, sf, "sales_rounds", lambda r: sales_in_rounds(spark, sf, r))
-    return tables.read_latest(spark, root, "sales_stats")
-
-
-def q_sales_pipeline_expectations(spark, sf):
-    return tables.read_latest(spark, _sales_root(spark, sf), "sales_stats_expectations")
-
-
-def q_fraud_pipeline(spark, sf):
-    return tables.read_latest(spark, _fraud_root(spark, sf), "fraud_by_party_and_method")
-
-
-def q_fraud_pipeline_bookings_with_fraud(spark, sf):
-    return tables.read_latest(spark, _fraud_root(spark, sf), "bookings_with_fraud")
-
-
-def q_fraud_flags_stream(spark, sf):
-    return (read_table(spark, _fraud_root(spark, sf), "fraud_flags")
-            .filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record"))
-
-
-def q_bookings_scd1_stream(spark, sf):
-    root = _run_once(spark, sf, "bookings_rounds", lambda r: bookings_in_rounds(spark, sf, r))
-    return Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE).read(spark)
-
-
-def _history_flow(spark, sf) -> Scd2Flow:
-    root = _run_once(spark, sf, "history_rounds", lambda r: history_in_rounds(spark, sf, r))
-    return Scd2Flow(root, "events_history", ["user_id"], "event_id")
-
-
-def q_events_scd2_stream(spark, sf):
-    return _history_flow(spark, sf).read(spark)
-
-
-def q_events_as_of_stream(spark, sf):
-    from tierline.operators.cdc import as_of
-    from tierline.plans.history import midpoint
-    return as_of(_history_flow(spark, sf).read(spark), midpoint(td.table(spark, sf, "events")))
-
-
-def q_medallion_pipeline(spark, sf):
-    return tables.read_latest(spark, _medallion_root(spark, sf), "zone_stats_gold")
-
-
-def q_sensor_state_silver_stream(spark, sf):
-    root = _medallion_root(spark, sf)
-    return Scd1Flow(root, "sensor_state_silver", ["sensor_id"], "reading_seq").read(spark)
-
-
-def q_sensor_readings_expectations(spark, sf):
-    return tables.read_latest(spark, _medallion_root(spark, sf), "sensor_readings_expectations")
-
-
-def q_measurements_stream(spark, sf):
-    return ingest.as_double(read_table(spark, _measurements_root(spark, sf), "measurements"))
-
-
-def q_measurements_stream_lookup(spark, sf):
-    """The ingest smoke check: the record with a given id, found by a filter
-    that reaches the parquet scan of the stored table."""
-    return ingest.as_double(read_table(spark, _measurements_root(spark, sf), "measurements")
-                            .filter(ingest.id_is("42")))
-
-
-def q_measurements_stream_after_delete(spark, sf):
-    return ingest.as_double(
-        tables.read_latest(spark, _measurements_root(spark, sf), "measurements_current"))
-
-
-def q_fraud_pipeline_row_counts(spark, sf):
-    root = _fraud_root(spark, sf)
-    flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
-    return sensors.row_counts({
-        "booking_updates": read_table(spark, root, "booking_updates"),
-        "bookings": Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE).read(spark),
-        "fraud_flags": flags,
-        "payments": read_table(spark, root, "payments"),
-        "bookings_with_fraud": tables.read_latest(spark, root, "bookings_with_fraud"),
-        "fraud_by_party_and_method": tables.read_latest(spark, root, "fraud_by_party_and_method")})
-
-
-def q_medallion_pipeline_row_counts(spark, sf):
-    root = _medallion_root(spark, sf)
-    return sensors.row_counts({
-        "sensor_readings_bronze": read_table(spark, root, "sensor_readings_bronze"),
-        "sensor_registry_bronze": read_table(spark, root, "sensor_registry_bronze"),
-        "sensor_state_silver": Scd1Flow(root, "sensor_state_silver", ["sensor_id"],
-                                        "reading_seq").read(spark),
-        "sensor_zone_silver": Scd1Flow(root, "sensor_zone_silver", ["sensor_id"],
-                                       "registry_seq").read(spark),
-        "zone_stats_gold": tables.read_latest(spark, root, "zone_stats_gold")})
-
-
-STREAMING_QUERIES = {
-    "sales_pipeline": q_sales_pipeline,
-    "sales_pipeline_expectations": q_sales_pipeline_expectations,
-    "sales_pipeline_incremental": q_sales_pipeline_incremental,
-    "fraud_pipeline": q_fraud_pipeline,
-    "fraud_pipeline_bookings_with_fraud": q_fraud_pipeline_bookings_with_fraud,
-    "fraud_flags_stream": q_fraud_flags_stream,
-    "fraud_pipeline_row_counts": q_fraud_pipeline_row_counts,
-    "bookings_scd1_stream": q_bookings_scd1_stream,
-    "events_scd2_stream": q_events_scd2_stream,
-    "events_as_of_stream": q_events_as_of_stream,
-    "medallion_pipeline": q_medallion_pipeline,
-    "sensor_state_silver_stream": q_sensor_state_silver_stream,
-    "medallion_pipeline_row_counts": q_medallion_pipeline_row_counts,
-    "sensor_readings_expectations": q_sensor_readings_expectations,
-    "measurements_stream": q_measurements_stream,
-    "measurements_stream_lookup": q_measurements_stream_lookup,
-    "measurements_stream_after_delete": q_measurements_stream_after_delete,
+    ingest_landing(spark, landing, root)
+
+
+def delete_from(spark: SparkSession, root: str, name: str, predicate: str, schema=None) -> int:
+    """DELETE FROM name WHERE predicate (SQL text). The table itself is append
+    only: the predicates so far are kept in ``<name>_deletes`` and the table
+    without the rows of any of them is published as ``<name>_current``, so
+    rows that came since are in it (and a predicate also holds for them)."""
+    kept = tables.read_latest(spark, root, name + "_deletes")
+    predicates = [] if kept is None else [r.predicate for r in kept.collect()]
+    if predicate not in predicates:
+        predicates.append(predicate)
+    tables.publish(spark.createDataFrame([(p,) for p in predicates], "predicate string").coalesce(1),
+                   root, name + "_deletes")
+    left = tables.read_latest(spark, root, name)
+    if left is None:
+        left = read_table(spark, root, name, schema)
+    for p in predicates:
+        left = delete_where(left, p)
+    return tables.publish(left, root, name + "_current")
+
+
+# ---- the catalog -----------------------------------------------------------------
+COMMENTS = {
+    "sales_stats": "Sales figures per product, products without revenue dropped",
+    "bookings_with_fraud": "Current bookings with their fraud flag",
+    "fraud_by_party_and_method": "Payments and frauds per party size and payment method",
+    "zone_stats_gold": "Current sensors and temperatures per zone",
+    "measurements_current": "Ingested measurements without the deleted ones",
 }
 
 
-def _streaming_oracle() -> dict:
-    from tierline import oracle as o
-    return {
-        "sales_pipeline": o.ORACLE_SQL["sales_stats"],
-        "sales_pipeline_expectations": o.ORACLE_SQL["sales_stats_expectations"],
-        "sales_pipeline_incremental": o.ORACLE_SQL["sales_stats"],
-        "fraud_pipeline": o.ORACLE_SQL["fraud_by_party_and_method"],
-        "fraud_pipeline_bookings_with_fraud": o.ORACLE_SQL["bookings_with_fraud"],
-        "fraud_flags_stream": o.ORACLE_SQL["fraud_flags"],
-        "fraud_pipeline_row_counts": o.ORACLE_SQL["fraud_row_counts"],
-        "bookings_scd1_stream": o.ORACLE_SQL["bookings_scd1"],
-        "events_scd2_stream": o.ORACLE_SQL["events_scd2"],
-        "events_as_of_stream": o.ORACLE_SQL["events_as_of"],
-        "medallion_pipeline": o.ORACLE_SQL["zone_stats_gold"],
-        "sensor_state_silver_stream": o.ORACLE_SQL["sensor_state_silver"],
-        "medallion_pipeline_row_counts": o.STREAMED_MEDALLION_COUNTS,
-        "sensor_readings_expectations": o.READINGS_EXPECTATIONS,
-        "measurements_stream": o.ORACLE_SQL["measurements"],
-        "measurements_stream_lookup": o.MEASUREMENT_LOOKUP,
-        "measurements_stream_after_delete": o.ORACLE_SQL["measurements_after_delete"],
-    }
-
-
-STREAMING_ORACLE = _streaming_oracle()
+def register_published(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """Names the newest version of every published view below ``root`` in the
+    catalog, with comment and properties; returns the names."""
+    out = []
+    for name, comment in COMMENTS.items():
+        v = tables.latest_version(spark, root, name)
+        if v is not None:
+            tables.register(spark, prefix + name, tables.version_path(root, name, v), comment,
+                            {"quality": "gold", "version": str(v)})
+            out.append(prefix + name)
+    return out

@@ -95,6 +95,19 @@ def read_table_stream(spark: SparkSession, root: str, name: str, schema) -> Data
     return spark.readStream.schema(schema).parquet(data_path(spark, root, name))
 
 
+def name_table(spark: SparkSession, root: str, name: str, table: str | None = None) -> str:
+    """Names the current generation of a streaming table in the catalog, for
+    ``stream_by_name`` and SQL; returns the name."""
+    from tierline.tables import register
+    register(spark, table or name, data_path(spark, root, name))
+    return table or name
+
+
+def stream_by_name(spark: SparkSession, table: str) -> DataFrame:
+    """A catalog table as a streaming source (``STREAM(table)``)."""
+    return spark.readStream.table(table)
+
+
 def stream_files(spark: SparkSession, path: str, schema, fmt: str = "parquet",
                  max_files: int | None = None, options: dict | None = None) -> DataFrame:
     """Streaming read of a folder (new files are picked up incrementally). A

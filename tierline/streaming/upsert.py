@@ -46,16 +46,17 @@ class Scd2Flow(KeyedFlow):
     (key, sequence) is a version with __START_AT / __END_AT.
 
     A merge recomputes the history only of the keys the new changes touch:
-    those keys' versions are taken from the state by a semi-join (the state is
-    bucketed on the keys, so it is not shuffled), unioned with the new
-    versions and re-chained with ``scd2``; a late change with a lower
+    those keys' versions are taken from the state by a semi-join, unioned with
+    the new versions and re-chained with ``scd2``; a late change with a lower
     sequence therefore re-closes the right versions. Untouched keys pass
-    through unchanged."""
+    through unchanged. The state is bucketed on (keys, sequence), so the
+    history of a hot key spreads over all buckets."""
     sequence_by: str = None
+    aligned = False
 
     def __init__(self, root: str, target: str, keys, sequence_by: str,
                  buckets: int | None = None):
-        super().__init__(root, target, list(keys), buckets)
+        super().__init__(root, target, list(keys), buckets, [*keys, sequence_by])
         self.sequence_by = sequence_by
 
     def prepare(self, changes: DataFrame):

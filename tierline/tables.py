@@ -89,9 +89,13 @@ def register(spark: SparkSession, table: str, path: str, comment: str | None = N
              properties: dict | None = None) -> None:
     """Names a published version in the session catalog (``spark.read.table``
     and SQL ``FROM table`` then resolve to it), with a table comment and
-    properties. Re-registering points the name at the new location."""
-    exists_ = spark.catalog.tableExists(table)
-    if not exists_:
+    properties. Re-registering points the name at the new location, with the
+    new version's columns."""
+    known = spark.catalog.tableExists(table)
+    if known and spark.table(table).schema != spark.read.parquet(path).schema:
+        spark.sql(f"DROP TABLE {table}")            # external: files stay
+        known = False
+    if not known:
         ddl = f"CREATE TABLE {table} USING parquet LOCATION {_sql_str(path)}"
         if comment:
             ddl += f" COMMENT {_sql_str(comment)}"
@@ -134,10 +138,15 @@ def register_bucketed(spark: SparkSession, table: str, path: str, keys, buckets:
     return spark.table(table)
 
 
-def write_bucketed(df: DataFrame, path: str, keys, buckets: int, table: str) -> None:
+def write_bucketed(df: DataFrame, path: str, keys, buckets: int, table: str,
+                   aligned: bool = False) -> None:
     """Writes ``df`` bucketed and sorted on ``keys`` (the writer needs a
-    catalog entry; it is dropped again, the files stay)."""
+    catalog entry; it is dropped again, the files stay). Rows that are not
+    ``aligned`` to the buckets yet are first, else every task would write a
+    file for every bucket."""
     spark = df.sparkSession
+    if not aligned:
+        df = df.repartition(int(buckets), *keys)
     if spark.catalog.tableExists(table):
         spark.sql(f"DROP TABLE {table}")
     (df.write.bucketBy(int(buckets), *keys).sortBy(*keys).option("path", path)
@@ -150,20 +159,36 @@ def _table_name(path: str, name: str) -> str:
     return f"tierline_{name}_{hashlib.sha1(path.encode()).hexdigest()[:12]}"
 
 
+def source_state(df: DataFrame) -> str:
+    """A digest of the files behind ``df`` (names, sizes, times); another one
+    each time for a DataFrame without files."""
+    import hashlib
+    import uuid
+    spark, state = df.sparkSession, hashlib.sha1()
+    files = sorted(df.inputFiles())
+    for f in files:
+        fs, p, _ = filesystem(spark, f)
+        st = fs.getFileStatus(p)
+        state.update(f"{f} {st.getLen()} {st.getModificationTime()}\n".encode())
+    return state.hexdigest()[:16] if files else uuid.uuid4().hex[:16]
+
+
 def bucketed_copy(df: DataFrame, root: str, name: str, keys, buckets: int | None = None) -> DataFrame:
-    """A copy of ``df`` bucketed on ``keys`` below ``root`` (written once,
-    reused while it exists): the way to join a large, slowly changing table
-    with every micro-batch of a stream without shuffling the table each time."""
+    """A copy of ``df`` bucketed on ``keys`` below ``root``, written again
+    when the files behind ``df`` changed: the way to join a large, slowly
+    changing table with every micro-batch of a stream without shuffling the
+    table each time."""
     spark = df.sparkSession
     keys = [keys] if isinstance(keys, str) else list(keys)
     b = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
-    path = f"{dataset_path(root, name)}/b={b}"
+    path = f"{dataset_path(root, name)}/b={b}-{source_state(df)}"
     if not exists(spark, path + "/_SUCCESS"):
         write_bucketed(df, path, keys, b, _table_name(path, name + "_w"))
     return register_bucketed(spark, _table_name(path, name), path, keys, b, df.schema)
 
 
-def publish_bucketed(df: DataFrame, root: str, name: str, keys, buckets: int) -> int:
+def publish_bucketed(df: DataFrame, root: str, name: str, keys, buckets: int,
+                     aligned: bool = False) -> int:
     """``publish`` with the version written bucketed on ``keys``: readers
     joining or grouping on the keys (``read_latest_bucketed``) skip the
     shuffle of this dataset. Plain readers see ordinary Parquet."""
@@ -172,7 +197,7 @@ def publish_bucketed(df: DataFrame, root: str, name: str, keys, buckets: int) ->
     existing = _versions(spark, dataset_path(root, name))
     v = (existing[-1][0] + 1) if existing else 1
     path = version_path(root, name, v)
-    write_bucketed(df, path, keys, buckets, _table_name(path, name + "_w"))
+    write_bucketed(df, path, keys, buckets, _table_name(path, name + "_w"), aligned)
     if not has_data_files(spark, path):
         df.limit(0).write.mode("overwrite").parquet(path + "/_schema")
     return v
