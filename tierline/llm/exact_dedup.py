@@ -51,7 +51,8 @@ def frequent_candidates(d: DataFrame, tracked: int = TRACKED) -> DataFrame:
                .groupBy("_p").agg(F.expr(f"approx_top_k_accumulate(item, {tracked})").alias("s")))
     level1 = (by_part.groupBy((F.col("_p") % MERGE_GROUPS).alias("_g"))
               .agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s")))
-    top = level1.agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+    # a constant key: unlike a global aggregate it makes no buffer for empty partitions
+    top = level1.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
     return (top.select(F.explode(F.expr(f"approx_top_k_estimate(s, {tracked})")).alias("e"))
             .select(F.unhex("e.item").alias("digest")))
 
