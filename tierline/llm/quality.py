@@ -7,12 +7,12 @@ indicator is scaled by its class log-count ratio, rows are brought to unit
 length, and a linear hinge-loss model is fitted by dual coordinate descent and
 interpolated with its mean weight as in the method's paper.
 
-Scale: the class counts behind the ratios are sums over every labelled training
-row (per-task arrays, one row per feature and task shuffled). The descent runs
-in one task over a hash sample of about ``SAMPLE_ROWS`` labelled rows, the
-documented bound; a fifth of it calibrates the margin (Platt) instead. What the
-driver holds and ships is two arrays of ``2 ** BITS`` floats, whatever the
-corpus. Scoring is one pass over the texts.
+Scale: the model is fitted on a hash sample of the labelled rows, at most about
+``SAMPLE_ROWS`` of them, half of each class where there are enough: the
+documented bound. Their features are made where the texts are and only they
+meet in the one task that fits; a fifth of the sample calibrates the margin
+(Platt). What the driver holds and ships is two arrays of ``2 ** BITS`` floats,
+whatever the corpus. Scoring is one pass over all whole texts, no shuffle.
 
 Defined results: a null text counts as empty; an empty text has the bias
 feature only and gets the score the model gives it; without labelled rows of
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm.common import id_fold, stored
+from tierline.llm.common import id_fold, labelled_sample
 
 BITS = 18
 SIZE = 1 << BITS
@@ -147,54 +147,44 @@ def margin(f: np.ndarray, w: np.ndarray, r: np.ndarray) -> float:
 
 
 # ---- Spark ---------------------------------------------------------------------------
-def _class_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts = np.zeros((2, SIZE), np.int64)
-    for pdf in batches:
-        for text, y in zip(pdf["text"], pdf["y"], strict=True):
-            counts[int(y), features(text)] += 1
-    f = np.flatnonzero(counts.sum(axis=0))
-    yield pd.DataFrame({"feature": f, "neg": counts[0, f], "pos": counts[1, f]})
-
-
 def _features_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         yield pd.DataFrame({"h": pdf["h"], "y": pdf["y"],
                             "f": [features(t).astype("<i4").tobytes() for t in pdf["text"]]})
 
 
+def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parts = list(batches)
+    if not parts:
+        return
+    pdf = pd.concat(parts, ignore_index=True).sort_values(["h", "y"], kind="stable")
+    rows = [np.frombuffer(b, "<i4") for b in pdf["f"]]
+    good, held = pdf["y"].to_numpy() == 1, pdf["h"].to_numpy() % 5 == 0
+    counts = np.zeros((2, SIZE))
+    for f, y in zip(rows, good, strict=True):
+        counts[int(y), f] += 1
+    if {*good[held]} == {*good[~held]} == {True, False}:
+        r = log_ratios(counts[1], counts[0])
+        w, a, b = fit_rows(rows, good, r, held)
+        yield pd.DataFrame({"w": [w.astype("<f8").tobytes()], "r": [r.astype("<f8").tobytes()],
+                            "a": [a], "b": [b]})
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", folds: int = 5,
           held_fold: int = 0, sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id",
           text_col: str = "text"):
     """(weights, ratios, a, b) or None if a class has no labelled row. Labels
     of the fold ``held_fold`` are not used."""
-    known = (labels.select(F.col("doc_id").alias("id"), F.col(label_col).cast("int").alias("y"))
-             .filter(F.col("y").isin(0, 1) & (id_fold(F.col("id"), folds) != held_fold))
-             .groupBy("id").agg(F.max("y").alias("y")))
-    rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-            .filter(id_fold(F.col("id"), folds) != held_fold)
-            .join(known, "id").select("text", "y", F.xxhash64("id", F.lit("fit")).alias("h")))
-    rows = stored(rows, "labelled")
-    n = rows.count()
-    counts = (rows.select("text", "y").mapInPandas(_class_counts, "feature long, neg long, pos long")
-              .groupBy("feature").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos")).toPandas())
-    pos, neg = np.zeros(SIZE), np.zeros(SIZE)
-    pos[counts["feature"]], neg[counts["feature"]] = counts["pos"], counts["neg"]
-    if not (n and pos[0] and neg[0]):
+    rows, have = labelled_sample(docs, labels, label_col, folds, held_fold,
+                                 {0: sample_rows // 2, 1: sample_rows // 2}, id_col, text_col)
+    if len(have) < 2:
+        return None
+    got = (rows.mapInPandas(_features_of, "h long, y int, f binary").repartition(1)
+           .mapInPandas(_fit, "w binary, r binary, a double, b double").collect())
+    if not got:
         return None
-    r = log_ratios(pos, neg)
-
-    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(batches), ignore_index=True).sort_values("h", kind="stable")
-        feats = [np.frombuffer(b, "<i4") for b in pdf["f"]]
-        good, held = pdf["y"].to_numpy() == 1, pdf["h"].to_numpy() % 5 == 0
-        w, a, b = fit_rows(feats, good, r, held)
-        yield pd.DataFrame({"w": [w.astype("<f8").tobytes()], "a": [a], "b": [b]})
-
-    share = min(1.0, sample_rows / n)
-    got = (rows.filter((F.pmod(F.col("h"), F.lit(1 << 20)) < int(share * (1 << 20))))
-           .mapInPandas(_features_of, "h long, y int, f binary")
-           .repartition(1).mapInPandas(fit, "w binary, a double, b double").collect())
-    return np.frombuffer(got[0]["w"], "<f8"), r, got[0]["a"], got[0]["b"]
+    m = got[0]
+    return np.frombuffer(m.w, "<f8"), np.frombuffer(m.r, "<f8"), m.a, m.b
 
 
 def score_column(spark: SparkSession, model, text: Column) -> Column:
