@@ -56,3 +56,19 @@ def test_query_matches_oracle(spark, con, name):
     idx = [rel.columns.index(c) for c in df.columns]
     exp = [tuple(r[i] for i in idx) for r in rel.fetchall()]
     assert _norm(got) == _norm(exp)
+
+
+def test_everything_else_works_without_the_optional_folder(tmp_path):
+    import os
+    import shutil
+    import subprocess
+    import sys
+    here = os.path.dirname(os.path.abspath(E.__file__))
+    shutil.copytree(os.path.join(here, "tierline"), tmp_path / "tierline",
+                    ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(here, "__spark_entry__.py"), tmp_path)
+    code = ("import __spark_entry__ as e; q = e.queries(); o = e.oracle_sql(); "
+            "assert 'sales_stats' in q and 'pipeline' not in q and set(o) == set(q), set(q) ^ set(o); "
+            "assert not any(n.startswith('op') for n in q)")
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True,
+                   env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
