@@ -38,7 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     cuts the lineage with files that outlive any executor."""
     spark = df.sparkSession
     path = f"{work_root(spark, name)}/{name}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -40,7 +40,7 @@ from tierline.llm.common import stored, word_count
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3.0
-GROUP = 2048
+GROUP = 1024
 SEED = 1
 MAX_SOURCES = 100_000   # the source table is planned on the driver up to here
 
@@ -165,8 +165,10 @@ def copies(docs: DataFrame, keep: list[Column], weights=WEIGHTS, max_repeat: flo
     settled, level = None, 0
     n = todo.groupBy("source_no").count().agg(F.max("count")).collect()[0][0] or 0
     while n > 1:
-        groups = max(1, -(-n // GROUP))
-        dealt = (todo.withColumn("grp", F.pmod(F.xxhash64("h", F.lit(level)), F.lit(groups)))
+        # a row per source: at most MAX_SOURCES
+        groups = todo.groupBy("source_no").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
+        dealt = (todo.join(F.broadcast(groups), "source_no")
+                 .withColumn("grp", F.pmod(F.xxhash64("h", F.lit(level)), F.col("groups")))
                  .withColumn("rnd", _uniform(F.col("h"), F.lit(level), F.lit("x")))
                  .repartition("source_no", "grp")
                  # neighbours of like size exchange mass: totals stay close for any subset
@@ -184,7 +186,8 @@ def copies(docs: DataFrame, keep: list[Column], weights=WEIGHTS, max_repeat: flo
                        .otherwise(0.0).alias("prob"))
     rounded = (last if settled is None else settled.unionByName(last)) \
         .withColumnRenamed("prob", "extra")
-    out = sized.join(rounded, "row", "left")
+    # one decision per row: as large a table as the documents, so never broadcast
+    out = sized.join(rounded.hint("merge"), "row", "left")
     loose = F.when(_uniform(F.col("h"), F.lit("empty")) < F.col("frac"), 1.0).otherwise(0.0)
     n_copies = (F.col("whole") + F.coalesce("extra", F.when(~exact, loose), F.lit(0.0))).cast("long")
     return out.select(*[F.col(f"keep.{f}").alias(f) for f in fields], "size", "source_size",
