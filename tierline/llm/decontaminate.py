@@ -32,6 +32,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -141,7 +142,7 @@ class ShardIndex:
         step, get, v = self.step, self.vocab.get, len(self.vocab)
         term, chunk, first, owner = [], [], 0, []
         for i, w in enumerate(texts):
-            t = np.fromiter((get(x, -1) for x in w), np.int64, len(w))
+            t = np.fromiter(map(get, w, repeat(-1)), np.int64, len(w))
             at = np.flatnonzero(t >= 0)
             term.append(t[at])
             chunk.append(at // step + first)
