@@ -36,6 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 from tierline.llm.common import id_fold, shuffle_parts, stored
 
 ORDER = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 PIECE = 1 << 20         # positions looked at together
 END = 10
 SHARDS_PER_PARTITION = 4
@@ -80,21 +81,40 @@ class Stream:
             key = (key << np.uint64(8)) | sym.astype(np.uint64)
         return key
 
-    def words(self) -> tuple[np.ndarray, np.ndarray]:
-        """(hash, document number) of every token, the end token's hash is 0."""
-        inside = np.flatnonzero((self.a != 32) & (self.a != END))
-        ends = np.arange(len(self.ends))
+    def words(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(hash, document number) of the tokens, piece by piece; the end
+        token's hash is 0."""
+        at = 0
+        while at < len(self.a):
+            stop = at + PIECE
+            while stop < len(self.a):                   # a piece ends behind a word
+                gap = np.flatnonzero(self._gap(self.a[stop - 1:stop + PIECE]))
+                if len(gap):
+                    stop += int(gap[0])
+                    break
+                stop += PIECE
+            yield self._words(at, min(stop, len(self.a)))
+            at = stop
+
+    @staticmethod
+    def _gap(a: np.ndarray) -> np.ndarray:
+        return (a == 32) | (a == END)
+
+    def _words(self, at: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
+        a = self.a[at:stop]
+        ends = np.searchsorted(self.ends, np.flatnonzero(a == END) + at, side="right")
+        inside = np.flatnonzero(~self._gap(a))
         if not len(inside):
             return np.zeros(len(ends), np.uint64), ends
         head = np.flatnonzero(np.r_[True, np.diff(inside) > 1])
         length = np.diff(np.r_[head, len(inside)])
         place = np.arange(len(inside)) - np.repeat(head, length)
         powers = np.cumprod(np.full(int(length.max()), _ODD, np.uint64), dtype=np.uint64)
-        value = (self.a[inside].astype(np.uint64) + np.uint64(1)) * powers[place]
+        value = (a[inside].astype(np.uint64) + np.uint64(1)) * powers[place]
         h = np.add.reduceat(value, head)
         h = (h ^ (h >> np.uint64(32))) * _ODD
         h = np.maximum(h ^ (h >> np.uint64(29)), np.uint64(1))
-        doc = np.searchsorted(self.ends, inside[head], side="right")
+        doc = np.searchsorted(self.ends, inside[head] + at, side="right")
         return np.r_[h, np.zeros(len(ends), np.uint64)], np.r_[doc, ends]
 
 
@@ -119,9 +139,14 @@ def vocabulary(s: Stream, held: np.ndarray):
         if len(keys) > 8:
             keys, counts = ([x] for x in merge(keys, counts))
     yield NGRAM, *merge(keys, counts)
-    h, doc = s.words()
-    u, inv = np.unique(h, return_inverse=True)
-    yield WORD, u, np.bincount(inv, weights=train[doc], minlength=len(u)).astype(np.int64)
+    keys, counts = [], []
+    for h, doc in s.words():
+        u, inv = np.unique(h, return_inverse=True)
+        keys.append(u)
+        counts.append(np.bincount(inv, weights=train[doc], minlength=len(u)))
+        if len(keys) > 8:
+            keys, counts = ([x] for x in merge(keys, counts))
+    yield WORD, *merge(keys, counts)
 
 
 # ---- the trie ---------------------------------------------------------------------------
@@ -186,22 +211,24 @@ def log_probabilities(keys: np.ndarray, levels: list[Level]) -> np.ndarray:
 
 
 # ---- Spark --------------------------------------------------------------------------------
-def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
     number = TaskContext.get().partitionId() << 32
+    kinds = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.string())), ("held", pa.list_(pa.bool_())),
+                       ("lens", pa.list_(pa.int64())), ("text", pa.binary())])
     ids, held, texts, size = [], [], [], 0
 
-    def row() -> pd.DataFrame:
-        return pd.DataFrame({"block": [number], "ids": [ids], "held": [held],
-                             "lens": [[len(t) for t in texts]], "text": [b"".join(
-                                 x for t in texts for x in (t, b"\n"))]})
-    for pdf in batches:
-        for doc, h, text in zip(pdf["id"], pdf["held"], pdf["text"], strict=True):
-            t = normalised(text)
-            ids.append(None if pd.isna(doc) else doc)
-            held.append(bool(h))
-            texts.append(t)
-            size += len(t) + 1
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {"block": [number], "ids": [ids], "held": [held], "lens": [[len(t) - 1 for t in texts]],
+             "text": [b"".join(texts)]}, schema=kinds)
+    for batch in batches:
+        doc, fold, text = (batch.column(c) for c in ("id", "held", "text"))
+        for i in range(batch.num_rows):                 # one text at a time in Python
+            ids.append(doc[i].as_py())
+            held.append(bool(fold[i].as_py()))
+            texts.append(normalised(text[i].as_py()) + b"\n")
+            size += len(texts[-1])
             if size >= BLOCK_BYTES:
                 yield row()
                 number += 1
@@ -293,13 +320,15 @@ def _score(block: pd.DataFrame, answers: pd.DataFrame, n: int, v: int) -> pd.Dat
         doc = np.searchsorted(s.ends, np.arange(at, stop), side="right")
         score += np.bincount(doc, weights=value, minlength=len(score))
     words, counts = table(WORD)
-    h, doc = s.words()
-    c = counts[np.searchsorted(words, h)]
-    base = np.bincount(doc, weights=np.log10((c + 0.5) / (n + 0.5 * (v + 1))), minlength=len(score))
+    base, tokens, known = (np.zeros(len(score)) for _ in range(3))
+    for h, doc in s.words():
+        c = counts[np.searchsorted(words, h)]
+        for total, of_token in ((base, np.log10((c + 0.5) / (n + 0.5 * (v + 1)))),
+                                (tokens, np.ones(len(c))), (known, c > 0)):
+            total += np.bincount(doc, weights=of_token, minlength=len(score))
     return pd.DataFrame({
-        "doc_id": list(r.ids), "held_out": list(r.held), "n_tokens": np.bincount(doc, minlength=len(score)),
-        "n_known": np.bincount(doc, weights=c > 0, minlength=len(score)).astype(np.int64),
-        "train_tokens": n, "base_score": base, "score": score})
+        "doc_id": list(r.ids), "held_out": list(r.held), "n_tokens": tokens.astype(np.int64),
+        "n_known": known.astype(np.int64), "train_tokens": n, "base_score": base, "score": score})
 
 
 def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, id_col: str = "doc_id",
@@ -309,7 +338,7 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, id_col: str
     spark = docs.sparkSession
     blocks = stored(docs.select(F.col(id_col).cast("string").alias("id"),
                                 (id_fold(F.col(id_col), folds) == held_fold).alias("held"),
-                                F.col(text_col).alias("text")).mapInPandas(_blocks, BLOCKS), "blocks")
+                                F.col(text_col).alias("text")).mapInArrow(_blocks, BLOCKS), "blocks")
     shards = SHARDS_PER_PARTITION * shuffle_parts(spark)
     asks = stored(blocks.mapInPandas(lambda it: _ask(it, shards), "shard int, kind byte, "
                                      "block long, keys binary, counts binary"), "asks")
