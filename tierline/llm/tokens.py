@@ -38,6 +38,7 @@ import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +56,8 @@ STEPS = 512
 CHECK_EVERY = 256
 MIN_BITS = 18           # the frequencies of a table sum to 2 ** bits
 LOW = np.uint64(1 << 31)
-PIECES = 500_000
+PIECES = 1_000_000
+KEPT_CHARS = 6
 AT_ONCE = 20_000
 GROUP_CHARS = 4_000_000
 
@@ -71,6 +73,8 @@ class Encoder:
     _loaded: dict[str, Encoder] = {}
     _RUNS = re.compile(r"\s (?:\s|\Z)|\0")
 
+    _MARKED = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\\[-`{-~]+)\\Z")
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -90,7 +94,7 @@ class Encoder:
         return cls._loaded[path]
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
+        return [array("I", e.ids).tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -117,17 +121,24 @@ class Encoder:
             # a piece is known by its text after the space; a first one by a mark before it
             pieces = ["\0" + first, *rest] if first else rest
             cut.append(pieces)
-            new.update(p for p in pieces if p not in known)
+            new |= set(pieces).difference(known)
+        # letters and the marks after them are apart to the tokenizer: "word," is "word" and ","
+        marked = [(p, *m.groups()) for p in new if (m := self._MARKED.match(p))]
+        new.difference_update([p for p, _, _ in marked])
+        new.update(w for _, w, _ in marked if w not in known)
+        new.update(x for x in {"\0" + m for _, _, m in marked} if x not in known)
         unknown = list(new)
         for i in range(0, len(unknown), AT_ONCE):
             part = unknown[i:i + AT_ONCE]
             plain = [p[1:] if p[:1] == "\0" else " " + p for p in part]
             known.update(zip(part, self._library(plain), strict=True))
+        known.update([(p, known[w] + known["\0" + m]) for p, w, m in marked])
         for text, pieces in zip(texts, cut, strict=True):
             yield self._library([text])[0] if pieces is None else b"".join(
                 map(known.__getitem__, pieces))
-        if len(known) > PIECES:
-            known.clear()
+        if len(known) > PIECES:                         # short pieces are the frequent ones
+            short = {p: ids for p, ids in known.items() if len(p) <= KEPT_CHARS}
+            self.known = short if len(short) < PIECES // 2 else {}
 
 
 # ---- coder -------------------------------------------------------------------------
