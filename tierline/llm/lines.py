@@ -79,10 +79,11 @@ def removals(keyed: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     places = _places(keyed, min_lines)
     repeated = stored(places.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
                       .filter("n > 1").select("hash"), "repeated")
-    found = stored(places.join(repeated, "hash", "left_semi"), "found")
+    # what repeats and what goes grows with the corpus: neither is broadcast
+    found = stored(places.join(repeated.hint("merge"), "hash", "left_semi"), "found")
     place = F.struct("doc_id", "id_key", "text_key", "pos")
-    first = found.groupBy("hash", "chunk").agg(F.min(place).alias("first"))
-    return (found.join(first, ["hash", "chunk"])
+    first = stored(found.groupBy("hash", "chunk").agg(F.min(place).alias("first")), "first")
+    return (found.join(first.hint("merge"), ["hash", "chunk"])
             .filter(~F.col("first").eqNullSafe(place))
             .groupBy("id_key", "text_key").agg(F.collect_set("pos").alias("gone")))
 
@@ -97,7 +98,7 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_
     base = docs.select(F.struct(*cols).alias("doc"),
                        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id_key"),
                        F.xxhash64(text_col).alias("text_key"))
-    parts = (base.join(gone, ["id_key", "text_key"], "left")
+    parts = (base.join(gone.hint("merge"), ["id_key", "text_key"], "left")
              .withColumn("parts", F.transform(
                  chunks(F.col(text)), lambda c, i: F.struct(
                      c["n_lines"].alias("n_lines"), c["chunk"].alias("chunk"),
