@@ -169,6 +169,28 @@ def test_shards_of_items_find_the_same(spark, monkeypatch):
     assert found() == whole and whole
 
 
+@pytest.mark.parametrize("shard_items", [1024, 8])
+def test_question_and_answer_far_apart(spark, monkeypatch, shard_items):
+    monkeypatch.setattr(decontaminate, "SHARD_ITEMS", shard_items)
+    rng = random.Random(5)
+    fresh = lambda n: [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    items = [(i, fresh(rng.randint(4, 10) * 3)) for i in range(40)]
+    # 40: all words but one are in every item, and that one is lost by a single shingle
+    common = fresh(30)
+    items = [(i, w + common) for i, w in items] + [(40, ["rare", *common])]
+    rows = []
+    for i, w in items:
+        cut = -(-2 * len(w) // 3)
+        lost = 1 if i == 40 else 0
+        rows.append((i, " ".join(fresh(40) + w[lost:cut] + fresh(500) + w[cut:] + fresh(40))))
+        rows.append((100 + i, " ".join(fresh(40) + w[:cut] + fresh(500))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert {(i, i) for i in range(41)} <= got and all(d < 100 for d, _ in got)
+    assert {r.doc_id for r in decontaminate.without_leaks(docs, bench).collect()} == {*range(100, 141)}
+
+
 # ---- op6 --------------------------------------------------------------------------------
 def test_coder_round_trip_and_checkpoints():
     rng = np.random.default_rng(0)

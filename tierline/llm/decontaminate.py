@@ -1,23 +1,24 @@
 """Benchmark decontamination by a BM25 index with block-max pruning (operator 5).
 
 Index: the test items are the documents of a BM25 inverted index; an item's
-impacts are divided by the score it gives itself, so a passage holding all of
+impacts are divided by the score it gives itself, so a text holding all of
 its words scores 1 against it, long item or short. Items are sorted by length
 and cut into shards of at most ``SHARD_ITEMS`` items and ``SHARD_POSTINGS``
 postings, the proven bound of what is broadcast; each shard is one pass over
 the texts. A shard's items form blocks of ``BLOCK``, and for every term the
 index holds its largest impact in the shard and in each block.
 
-Search: every training text is cut into overlapping passages as long as twice
-the shard's longest item, stepping by half, so a copied item lies whole inside
-some passage. Each passage is a query: it is dropped if the sum of its terms'
-largest impacts stays below the threshold, then block by block with the blocks'
-bounds, and only items of the surviving blocks are scored (the pruning rule of
-block-max WAND, run over arrays of passages instead of one list cursor at a
-time). Nothing above the threshold is lost.
-
-Verification: a retrieved passage is a leak if it holds at least ``OVERLAP`` of
-the five-word shingles of the item's question and of its answer. Items come
+Search: every training text is one query of its different words: it is dropped
+if the sum of its terms' largest impacts stays below the threshold, then block
+by block with the blocks' bounds, and only items of the surviving blocks are
+scored (the pruning rule of block-max WAND, run over arrays of texts instead of
+one list cursor at a time). An item's threshold is ``RETRIEVE`` or, if lower,
+the least score that a text passing the verification can have (``least_score``),
+so nothing the verification would accept is lost, wherever in the text the
+pieces stand and whichever items share the shard.
+
+Verification: a retrieved text is a leak if the whole of it holds at least
+``OVERLAP`` of the five-word shingles of the item's question and of its answer. Items come
 with question and answer columns, or as one text whose first two thirds count
 as the question and the rest as the answer, five words at least each.
 
@@ -29,6 +30,7 @@ finds nothing; repeated rows give the same hits and are reported once per
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -42,13 +44,12 @@ from pyspark.sql import functions as F
 from tierline.llm.common import stored
 
 K1, B = 1.2, 0.75
-RETRIEVE = 0.5          # share of an item's own score a passage must reach
+RETRIEVE = 0.5          # share of an item's own score a text must reach
 OVERLAP = 0.8
 SHINGLE = 5
 BLOCK = 16
 SHARD_ITEMS = 1024
 SHARD_POSTINGS = 500_000
-MIN_STEP = 16
 WORDS_AT_ONCE = 1_000_000
 WORDS = re.compile(r"[^\W_]+")
 
@@ -106,6 +107,28 @@ def item_shards(items: DataFrame, text_col: str = "text", question_col: str | No
     return rows, df, n
 
 
+def least_score(parts: list[list[str]], weight: dict[str, float]) -> float:
+    """A score that no text holding ``OVERLAP`` of each part's shingles is below.
+    A term is missing only if all shingles with it are, and a missing shingle
+    counts for ``SHINGLE`` terms at most: the dearest such terms, the last one
+    in part (a fractional knapsack, never below what a text can lose)."""
+    room, holds, may = 0, Counter(), set(weight)
+    for w in parts:
+        found = shingles(w, min(SHINGLE, len(w)))
+        spare = len(found) - math.ceil(OVERLAP * len(found))
+        here = Counter(t for s in found for t in set(s.split(" ")))
+        may -= {t for t, c in here.items() if c > spare}
+        holds += here
+        room += SHINGLE * spare
+    lost = 0.0
+    for t in sorted(may, key=lambda t: weight[t] / holds[t], reverse=True):
+        lost += weight[t] * min(1.0, room / holds[t])
+        room -= holds[t]
+        if room <= 0:
+            break
+    return sum(weight.values()) - lost
+
+
 class ShardIndex:
     """Block-max BM25 index of one shard, as arrays."""
 
@@ -113,17 +136,19 @@ class ShardIndex:
         items = sorted(items, key=lambda r: (r.len, r.item_id is None, r.item_id or 0))
         self.ids = [r.item_id for r in items]
         self.parts = [[(min(SHINGLE, len(w)), shingles(w)) for w in (r.q, r.a)] for r in items]
-        self.step = max([MIN_STEP, *(r.len for r in items)])
         self.vocab: dict[str, int] = {}
         blocks = -(-len(items) // BLOCK)
-        entries = []
+        entries, least = [], []
         for i, r in enumerate(items):
             t = np.array([self.vocab.setdefault(x, len(self.vocab)) for x in r.terms])
             tf = np.array(r.tf, float)
             f = np.array([df[x] for x in r.terms], float)
             w = np.log1p((n - f + 0.5) / (f + 0.5)) * tf * (K1 + 1) / (
                 tf + K1 * (1 - B + B * r.len / mean_len))
-            entries.append((i, t, w / w.sum()))
+            w /= w.sum()
+            entries.append((i, t, w))
+            least.append(min(RETRIEVE, least_score([r.q, r.a], dict(zip(r.terms, w.tolist(), strict=True)))))
+        self.least = np.array(least) - 1e-4             # below any rounding of the sums
         self.block_max = np.zeros((len(self.vocab), blocks), np.float32)
         self.blocks = []
         for b in range(blocks):
@@ -136,43 +161,33 @@ class ShardIndex:
             self.blocks.append((terms, impact))
         self.term_max = self.block_max.max(axis=1)
 
-    def search(self, texts: list[list[str]], threshold: float = RETRIEVE):
-        """(text number, word offset of the passage, item number, score) of
-        every passage and item with a score of at least ``threshold``."""
-        step, get, v = self.step, self.vocab.get, len(self.vocab)
-        term, chunk, first, owner = [], [], 0, []
+    def search(self, texts: list[list[str]]):
+        """(text number, item number, score) of every text and item with a
+        score of at least the item's threshold, text by text."""
+        get, v = self.vocab.get, len(self.vocab)
+        key = [np.zeros(0, np.int64)]
         for i, w in enumerate(texts):
-            t = np.fromiter(map(get, w, repeat(-1)), np.int64, len(w))
-            at = np.flatnonzero(t >= 0)
-            term.append(t[at])
-            chunk.append(at // step + first)
-            chunks = len(w) // step + 2                 # one empty chunk between texts
-            owner.append((first, i))
-            first += chunks
-        if not term:
-            return
-        key = np.unique(np.concatenate(chunk) * v + np.concatenate(term))
-        c, t = np.divmod(key, v)
-        eps = threshold - 1e-5
-        total = np.bincount(c, weights=self.term_max[t], minlength=first + 1)
-        maybe = np.flatnonzero(total[:-1] + total[1:] >= eps)
-        starts, numbers = np.array([o[0] for o in owner]), [o[1] for o in owner]
-        lo, hi = np.searchsorted(c, maybe), np.searchsorted(c, maybe + 2)
-        for p, x, y in zip(maybe.tolist(), lo.tolist(), hi.tolist(), strict=True):
-            q = np.unique(t[x:y])
+            t = np.unique(np.fromiter(map(get, w, repeat(-1)), np.int64, len(w)))
+            key.append(t[t >= 0] + i * v)
+        c, t = np.divmod(np.concatenate(key), v)
+        total = np.bincount(c, weights=self.term_max[t], minlength=len(texts))
+        maybe = np.flatnonzero(total >= self.least.min())
+        lo, hi = np.searchsorted(c, maybe), np.searchsorted(c, maybe + 1)
+        block_least = np.minimum.reduceat(self.least, np.arange(0, len(self.least), BLOCK))
+        for i, x, y in zip(maybe.tolist(), lo.tolist(), hi.tolist(), strict=True):
+            q = t[x:y]
             bound = self.block_max[q].sum(axis=0)
-            for b in np.flatnonzero(bound >= eps).tolist():
+            for b in np.flatnonzero(bound >= block_least).tolist():
                 terms, impact = self.blocks[b]
                 at = np.searchsorted(terms, q)
                 at[at == len(terms)] = 0
                 score = impact[at[terms[at] == q]].sum(axis=0)
-                for j in np.flatnonzero(score >= eps).tolist():
-                    o = int(np.searchsorted(starts, p, side="right")) - 1
-                    yield numbers[o], (p - int(starts[o])) * step, b * BLOCK + j, float(score[j])
+                for j in np.flatnonzero(score >= self.least[b * BLOCK:(b + 1) * BLOCK]).tolist():
+                    yield i, b * BLOCK + j, float(score[j])
 
     def leaks(self, texts: list[str | None]):
         """(text number, item number, score, found and all shingles of the
-        question, of the answer) of the verified leaks, each pair's best passage."""
+        question, of the answer) of the verified leaks."""
         batch: list[list[str]] = []
         at, size = 0, 0
         for i, text in enumerate([*texts, None]):
@@ -185,15 +200,17 @@ class ShardIndex:
                 size += len(batch[-1])
 
     def _verified(self, texts: list[list[str]]):
-        best: dict[tuple[int, int], tuple] = {}
-        for i, at, item, score in self.search(texts):
-            passage = texts[i][at:at + 2 * self.step]
-            (_, q), (_, a) = self.parts[item]
-            fq, fa = (len(s & shingles(passage, k)) for k, s in self.parts[item])
-            if fq >= OVERLAP * len(q) and fa >= OVERLAP * len(a):
-                best[i, item] = max(best.get((i, item), (0.0,)), (score, fq, len(q), fa, len(a)))
-        for (i, item), found in sorted(best.items()):
-            yield i, (item, *found)
+        of, held = -1, {}
+        for i, item, score in self.search(texts):
+            if i != of:
+                of, held = i, {}
+            found = []
+            for k, s in self.parts[item]:
+                if k not in held:
+                    held[k] = shingles(texts[i], k)
+                found += [len(s & held[k]), len(s)]
+            if found[0] >= OVERLAP * found[1] and found[2] >= OVERLAP * found[3]:
+                yield i, (item, score, *found)
 
 
 def build_shards(items: DataFrame, **cols) -> Iterator[ShardIndex]:
@@ -213,7 +230,7 @@ def build_shards(items: DataFrame, **cols) -> Iterator[ShardIndex]:
 # ---- Spark --------------------------------------------------------------------------
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                **cols) -> DataFrame:
-    """One row per leaked (doc_id, item_id): the BM25 score of the best passage
+    """One row per leaked (doc_id, item_id): the BM25 score of the text
     and the shingles of question and answer found in it."""
     spark = docs.sparkSession
     schema = ("doc_id long, item_id long, score double, question_found int, question_shingles int, "
