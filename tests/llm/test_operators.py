@@ -299,3 +299,38 @@ def test_line_dedup(spark, odd_docs, empty_docs):
     out = lines.dedup_lines(clash)
     assert out.columns[:len(clash.columns)] == clash.columns and out.count() == odd_docs.count()
     assert lines.dedup_lines(empty_docs).count() == 0
+
+
+def test_planted_passages_go_whole(spark, odd_docs, empty_docs):
+    rng = random.Random(3)
+    fresh = lambda n: [f"own {rng.getrandbits(40)}" for _ in range(n)]
+    caught = Counter()
+    rows, planted = [], {}
+    for size in range(1, 13):
+        passage = [f"{size} {k} " + " ".join(f"w{rng.getrandbits(30)}" for _ in range(52)) for k in range(size)]
+        for copy in range(10):
+            doc = len(rows)
+            before, after = fresh(rng.randint(0, 4)), fresh(rng.randint(0, 4))
+            planted[doc] = (size, copy, before + after)
+            rows.append((doc, "\n".join(before + passage + after)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in lines.dedup_passages(docs).collect()}
+    for doc, (size, copy, own) in planted.items():
+        r = out[doc]
+        if copy == 0:
+            assert r.text == rows[doc][1] and r.lines_removed == r.runs_removed == 0
+        else:
+            caught[size] += r.text == "\n".join(own) and (r.lines_removed, r.runs_removed) == (size, 1)
+    assert caught == Counter(dict.fromkeys(range(1, 13), 9))
+    # one short line alone is no passage; overlapping runs, null ids, repeated rows
+    odd = [(1, "a\nb\nc"), (2, "b\nc\nd"), (3, "a\nb\nc\nd"), (4, "x\nb\ny"), (5, None), (6, ""),
+           (7, "p\nq"), (7, "p\nq"), (None, "c\nd\ne"), (8, "z\nz\nz")]
+    got = Counter(map(tuple, lines.dedup_passages(
+        spark.createDataFrame(odd, "doc_id long, text string")).collect()))
+    assert got == Counter([(1, "a\nb\nc", 3, 0, 0), (2, "", 3, 3, 1), (3, "", 4, 4, 1), (4, "x\nb\ny", 3, 0, 0),
+                           (5, None, 0, 0, 0), (6, "", 1, 0, 0), (7, "p\nq", 2, 0, 0), (7, "p\nq", 2, 0, 0),
+                           (None, "c\nd\ne", 3, 0, 0), (8, "z", 3, 2, 1)])
+    clash = odd_docs.withColumn("gone", F.lit(1)).withColumn("text_key", F.lit("k"))
+    out = lines.dedup_passages(clash)
+    assert out.columns[:len(clash.columns)] == clash.columns and out.count() == odd_docs.count()
+    assert lines.dedup_passages(empty_docs).count() == 0

@@ -20,6 +20,18 @@ Defined results: a null text stays null and has 0 lines; an empty text is one
 empty line; a null id sorts before others; rows that repeat in id and text are
 one document, they keep and lose the same chunks; a document all of whose
 chunks go has the empty text. Other columns are carried along unread.
+
+``dedup_passages`` is the same job without anchors: chunks miss a passage whose
+cuts fall into its neighbours, most of all a short one. Its units are every two
+neighbouring lines and every line of over ``MIN_WORDS`` words. A line goes if it
+lies in a unit that stands at an earlier place too, so every run of two lines or
+more, or of one such line, goes whole wherever it was seen before, whatever
+stands around it. Every different line of the corpus stays at its first place at
+least. A longer run needs no search of its own: it is repeated only if all of
+its units are. Units are equal if their SHA-256 is; only that and their place
+are shuffled (a partial aggregate for the first places, a join by merge for the
+others), and one join of the texts with the lines to remove rebuilds them. Of
+three or more equal neighbouring lines one stays, and blank lines are lines.
 """
 
 from __future__ import annotations
@@ -27,11 +39,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import stored
+from tierline.llm.common import stored, word_count
 
 WINDOW = 2
 DIVISOR = 2
 MIN_LINES = 2
+MIN_WORDS = 50
 BASE = 31
 
 
@@ -114,3 +127,65 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_
         F.coalesce(total(F.col("parts")), F.lit(0)).alias("n_lines"),
         F.coalesce(total(lost), F.lit(0)).alias("lines_removed"),
         F.greatest(F.size(lost), F.lit(0)).alias("chunks_removed"))
+
+
+def units(text: Column, min_words: int = MIN_WORDS) -> Column:
+    """Array of (line, pair, single) of a text: the digests of a line with its
+    follower, and of the line alone if it is of over ``min_words`` words."""
+    digest = lambda x: F.unhex(F.sha2(x.cast("binary"), 256))
+    # so many words need as many separators: shorter lines are not counted
+    long = lambda x: (F.length(x) > 2 * min_words) & (word_count(x) > min_words)
+
+    def cut(s: Column) -> Column:
+        return F.transform(s["l"], lambda x, i: F.struct(
+            i.alias("line"),
+            F.when(i < F.size(s["l"]) - 1, digest(F.concat(x, F.lit("\n"), F.get(s["l"], i + 1)))).alias("pair"),
+            F.when(long(x), digest(x)).alias("single")))
+
+    made = F.transform(F.array(F.struct(F.split(text, "\n", -1).alias("l"))), cut)
+    return F.when(text.isNotNull(), F.get(made, F.lit(0)))
+
+
+def repeated_lines(keyed: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(id_key, text_key, gone): numbers of the lines to remove."""
+    by_line = (keyed.filter(F.col("text").isNotNull())
+               .select("doc_id", "text_key", F.explode(units(F.col("text"), min_words)).alias("u")))
+    both = F.array(F.struct(F.lit(2).alias("size"), F.col("u.pair").alias("unit")),
+                   F.struct(F.lit(1).alias("size"), F.col("u.single").alias("unit")))
+    places = (by_line.select(F.struct("doc_id", "text_key", "u.line").alias("place"),
+                             F.explode(both).alias("b"))
+              .filter(F.col("b.unit").isNotNull()).select("b.unit", "b.size", "place"))
+    first = stored(places.groupBy("unit").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+                   .filter("n > 1").drop("n"), "first")
+    again = (places.join(first.hint("merge"), "unit").filter(~F.col("first").eqNullSafe(F.col("place")))
+             .select(F.coalesce(F.col("place.doc_id").cast("string"), F.lit("")).alias("id_key"),
+                     "place.text_key", "place.line", "size"))
+    of = lambda n: F.collect_set(F.when(F.col("size") == n, F.col("line")))
+    return (again.groupBy("id_key", "text_key").agg(of(1).alias("one"), of(2).alias("two"))
+            .select("id_key", "text_key", F.array_union(
+                "one", F.array_union("two", F.transform("two", lambda i: i + 1))).alias("gone")))
+
+
+def dedup_passages(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
+                   text_col: str = "text") -> DataFrame:
+    """``docs`` with every line cut out of the text that is part of a passage
+    seen before, and the columns ``n_lines``, ``lines_removed`` and
+    ``runs_removed`` at the end."""
+    gone = stored(repeated_lines(_keyed(docs, id_col, text_col), min_words), "gone")
+    cols = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    text = F.col(f"doc.c{docs.columns.index(text_col)}")
+    base = docs.select(F.struct(*cols).alias("doc"),
+                       F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id_key"),
+                       F.xxhash64(text_col).alias("text_key"))
+    joined = base.join(gone.hint("merge"), ["id_key", "text_key"], "left")
+    lines = F.split(text, "\n", -1)
+    rest = lambda s: F.array_except(F.sequence(F.lit(0), F.size(s["l"]) - 1), F.col("gone"))
+    clean = F.get(F.transform(F.array(F.struct(lines.alias("l"))), lambda s: F.array_join(
+        F.transform(rest(s), lambda i: F.get(s["l"], i)), "\n")), F.lit(0))
+    starts = F.array_except("gone", F.transform("gone", lambda i: i + 1))
+    return joined.select(
+        *[(F.when(F.col("gone").isNull(), text).otherwise(clean) if c == text_col
+           else F.col(f"doc.c{i}")).alias(c) for i, c in enumerate(docs.columns)],
+        F.when(text.isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).alias("lines_removed"),
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size(starts)).alias("runs_removed"))

@@ -74,6 +74,13 @@ def q_op10_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def q_op10_passage_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return lines.dedup_passages(docs).select(
+        "doc_id", "n_lines", "lines_removed", "runs_removed",
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 LLM_QUERIES = {
     "op1_mixing": q_op1_mixing,
     "op2_toxicity": q_op2_toxicity,
@@ -85,6 +92,7 @@ LLM_QUERIES = {
     "op8_lm_score": q_op8_lm_score,
     "op9_exact_dedup": q_op9_exact_dedup,
     "op10_line_dedup": q_op10_line_dedup,
+    "op10_passage_dedup": q_op10_passage_dedup,
 }
 
 LLM_ORACLE = {
@@ -107,6 +115,25 @@ LLM_ORACLE = {
                (count(*) FILTER (gone))::INT AS chunks_removed,
                sha256(coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS text_sha256
         FROM r GROUP BY doc_id, text""",
+    "op10_passage_dedup": """
+        WITH l AS (SELECT doc_id, text, i, line FROM
+                   (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents
+                    WHERE text IS NOT NULL), unnest(ls) WITH ORDINALITY AS u(line, i)),
+        u AS (SELECT doc_id, text, i, 1 AS size, line AS unit FROM l
+              WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) > 50
+              UNION ALL
+              SELECT a.doc_id, a.text, a.i, 2, a.line || chr(10) || b.line
+              FROM l a JOIN l b ON a.doc_id = b.doc_id AND a.text = b.text AND b.i = a.i + 1),
+        r AS (SELECT *, rank() OVER (PARTITION BY unit ORDER BY doc_id, i) > 1 AS again FROM u),
+        g AS (SELECT DISTINCT doc_id, text, i + k AS i FROM r, range(2) AS o(k) WHERE again AND k < size),
+        s AS (SELECT l.*, g.i IS NOT NULL AS gone FROM l LEFT JOIN g
+              ON g.doc_id = l.doc_id AND g.text = l.text AND g.i = l.i),
+        t AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id, text ORDER BY i), false)
+                     AS starts FROM s)
+        SELECT doc_id, count(*)::INT AS n_lines, (count(*) FILTER (gone))::INT AS lines_removed,
+               (count(*) FILTER (starts))::INT AS runs_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS text_sha256
+        FROM t GROUP BY doc_id, text""",
     "op5_decontamination": """
         WITH iw AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+') AS w
                     FROM benchmark),
