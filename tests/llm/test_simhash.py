@@ -104,3 +104,25 @@ def test_forest_follows_edges_within_radius():
     want = {(i, j) for i in range(500) for j in range(500)
             if group[i] == group[j] and int(fps[i] ^ fps[j]).bit_count() <= 3}
     assert got == want
+
+
+def test_component_of_null_ids_keeps_one_row(spark):
+    rng = random.Random(11)
+    words = [f"w{rng.getrandbits(40)}" for _ in range(2000)]
+    texts = [" ".join([*words[:i * 300], "changed", *words[i * 300 + 1:]]) for i in range(1, 7)]
+    rows = [(None, t) for t in texts] + [(None, " ".join(rng.sample(words, 40))), (7, "one text"),
+                                         (7, " ".join(rng.sample(words, 50)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    prints = [int(r.fingerprint, 16) for r in simhash.near_duplicates(docs.limit(6)).collect()]
+    near = {p for p in prints if any(0 < (p ^ q).bit_count() <= simhash.RADIUS for q in prints)}
+    assert len(near) > 1
+    parts = [{p} for p in set(prints)]
+    for p in set(prints):
+        for q in set(prints):
+            if (p ^ q).bit_count() <= simhash.RADIUS:
+                joined = set().union(*(x for x in parts if p in x or q in x))
+                parts = [x for x in parts if not x & joined] + [joined]
+    assert len(parts) < len(set(prints))
+    kept = simhash.dedup(docs)
+    assert kept.filter(F.col("text").contains("changed")).count() == len(parts)
+    assert kept.count() == len(parts) + 3

@@ -252,8 +252,9 @@ def connected(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def component_of(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, component_id) of every distinct fingerprint of ``prints``
-    (doc_id, fp): the smallest doc_id reachable over links."""
+    """(fp, root, component_id) of every distinct fingerprint of ``prints``
+    (doc_id, fp): the component's root fingerprint and the smallest doc_id
+    reachable over links (null if all ids are)."""
     uniq = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
     edges = links(uniq.select("fp"), radius)
     comp = stored(connected(edges), "components")
@@ -261,7 +262,8 @@ def component_of(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     low = (tagged.filter(F.col("root").isNotNull()).groupBy("root")
            .agg(F.min("rep").alias("low")))
     return (tagged.join(low, "root", "left")
-            .select("fp", F.coalesce("low", "rep").alias("component_id")))
+            .select("fp", F.coalesce("root", "fp").alias("root"),
+                    F.coalesce("low", "rep").alias("component_id")))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
@@ -285,7 +287,7 @@ def dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     prints = stored(base.select("doc_id", "row", fingerprint_column(F.col(text), shingle)
                                 .alias("fp")), "prints")
     keep = (prints.join(component_of(prints.select("doc_id", "fp"), radius), "fp")
-            .groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")))
+            .groupBy("root")
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("k"))
             .select("k.row"))
     return (base.join(keep, "row", "left_semi")
