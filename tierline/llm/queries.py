@@ -7,12 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm import (
+    collocations,
     decontaminate,
     exact_dedup,
     lines,
+    manifest,
     mixing,
     ppm,
     quality,
+    quality_rules,
     sharding,
     simhash,
     tokens,
@@ -81,6 +84,20 @@ def q_op10_passage_dedup(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def q_op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+def q_op12_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return quality_rules.classify(table(spark, sf, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", F.round("posterior", 3).alias("posterior"))
+
+
+def q_op13_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf, "documents"))
+
+
 LLM_QUERIES = {
     "op1_mixing": q_op1_mixing,
     "op2_toxicity": q_op2_toxicity,
@@ -93,6 +110,9 @@ LLM_QUERIES = {
     "op9_exact_dedup": q_op9_exact_dedup,
     "op10_line_dedup": q_op10_line_dedup,
     "op10_passage_dedup": q_op10_passage_dedup,
+    "op11_collocations": q_op11_collocations,
+    "op12_quality_rules": q_op12_quality_rules,
+    "op13_manifest": q_op13_manifest,
 }
 
 LLM_ORACLE = {
@@ -162,4 +182,135 @@ LLM_ORACLE = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)""",
+    "op11_collocations": r"""
+        WITH p AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+                          string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+        q AS (SELECT id, lang, i, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+              FROM p, unnest(ps) WITH ORDINALITY AS u(piece, i)),
+        nn AS (SELECT lang, sum(len(w))::BIGINT AS n FROM q GROUP BY lang),
+        g AS (SELECT lang, len(ws)::INT AS m, ws, count(*) AS f
+              FROM (SELECT lang, w[i:i + m - 1] AS ws FROM
+                    (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+                     FROM (SELECT lang, w, unnest([1, 2, 3, 4, 5]) AS m FROM q) WHERE len(w) >= m))
+              GROUP BY lang, ws HAVING count(*) >= 100),
+        c AS (SELECT g.lang, g.ws, g.f AS a, k, l.f AS l, r.f AS r, n,
+                     ((1000::HUGEINT * g.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+              FROM (SELECT *, unnest(range(1, m)) AS k FROM g WHERE m >= 2) g
+              JOIN g l ON l.lang = g.lang AND l.ws = g.ws[1:k]
+              JOIN g r ON r.lang = g.lang AND r.ws = g.ws[k + 1:]
+              JOIN nn ON nn.lang = g.lang),
+        b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+        s AS (SELECT lang, ws[i:i + k - 1] AS ws, max(f) AS longer
+              FROM (SELECT *, unnest(range(1, m - k + 2)) AS i
+                    FROM (SELECT *, unnest(range(2, m)) AS k FROM g WHERE m >= 3)) GROUP BY ALL),
+        z AS (SELECT b.lang, array_to_string(b.ws, ' ') AS phrase, a, l, r, n, score
+              FROM b LEFT JOIN s ON s.lang = b.lang AND s.ws = b.ws WHERE s.ws IS NULL OR 100 * longer < 100 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score FROM z QUALIFY rank <= 2000""",
+    "op12_quality_rules": r"""
+        WITH RECURSIVE d AS (
+          SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                 list_filter(string_split(coalesce(text, ''), chr(10)),
+                             lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+        x AS (SELECT row, i, w[i:i + 2] AS win FROM (SELECT row, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+        again AS (SELECT row, i FROM x QUALIFY count(*) OVER (PARTITION BY row, win) > 1),
+        reps AS (SELECT row, count(DISTINCT i + k) AS n FROM again, range(3) AS o(k) GROUP BY row),
+        m AS (SELECT d.row, doc_id, len(w) AS n_words, len(list_distinct(w)) AS n_distinct,
+                     coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                     length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+                     length(t) - length(translate(t, '.!?', '')) AS n_marks,
+                     len(regexp_extract_all(t, '[^\p{L}\x20\x09-\x0D]')) AS n_other,
+                     len(regexp_extract_all(t, '\p{Lu}')) AS n_capitals,
+                     len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+                     coalesce(reps.n, 0) AS n_repeat_words
+              FROM d LEFT JOIN reps ON reps.row = d.row),
+        v AS (SELECT *, CASE WHEN n_words = 0 THEN [0, 0, 0, 0, 0, 0, 0, 0] ELSE [
+                CASE WHEN word_chars BETWEEN 3 * n_words AND 10 * n_words THEN 1
+                     WHEN 2 * word_chars < 5 * n_words OR word_chars > 14 * n_words THEN 2 ELSE 0 END,
+                CASE WHEN 100 * n_symbols <= n_words THEN 1 WHEN 10 * n_symbols >= n_words THEN 2 ELSE 0 END,
+                CASE WHEN 10 * n_repeat_words <= n_words THEN 1
+                     WHEN 10 * n_repeat_words >= 3 * n_words THEN 2 ELSE 0 END,
+                CASE WHEN n_lines < 2 THEN 0 WHEN 10 * n_dup_lines <= n_lines THEN 1
+                     WHEN 10 * n_dup_lines >= 3 * n_lines THEN 2 ELSE 0 END,
+                CASE WHEN 10 * n_other <= word_chars THEN 1 WHEN 10 * n_other >= 3 * word_chars THEN 2 ELSE 0 END,
+                CASE WHEN n_words BETWEEN 3 * n_marks AND 60 * n_marks THEN 1
+                     WHEN 2 * n_words < 3 * n_marks OR n_words > 200 * n_marks THEN 2 ELSE 0 END,
+                CASE WHEN 100 * n_capitals <= 15 * word_chars THEN 1
+                     WHEN 100 * n_capitals >= 40 * word_chars THEN 2 ELSE 0 END,
+                CASE WHEN n_words < 50 THEN 0 WHEN n_distinct * n_distinct >= 16 * n_words THEN 1
+                     WHEN n_distinct * n_distinct < 4 * n_words THEN 2 ELSE 0 END] END AS votes FROM m),
+        pat AS MATERIALIZED (SELECT votes, count(*) AS n FROM v GROUP BY votes),
+        pr AS MATERIALIZED (SELECT votes, n, j, votes[j] AS vote FROM pat, range(1, 9) AS r(j)),
+        start AS (SELECT k, j, CASE WHEN k = 0 THEN 0.8 ELSE 0.2 / 8 END::DOUBLE AS share0,
+                         CASE WHEN k = 0 THEN 0.9 WHEN k = j THEN 0.1 ELSE 0.8 END::DOUBLE AS good0
+                  FROM range(9) AS a(k), range(1, 9) AS b(j)),
+        em AS (
+          SELECT 0 AS round, k, j, share0 AS share, good0 AS good FROM start
+          UNION ALL
+          SELECT round + 1, k, j, share, least(rate, first_value(rate) OVER (PARTITION BY j ORDER BY k),
+                                               CASE WHEN k = j THEN 0.5 ELSE 1 END)
+          FROM (
+            SELECT round, k, j,
+                   (weight + 5 * share0) / (sum(weight) OVER (PARTITION BY j) + 5) AS share,
+                   (yes + 5 * good0) / (voted + 5) AS rate
+            FROM (SELECT round, q.k, pr.j, sum(q.w) AS weight,
+                         sum(CASE WHEN vote = 1 THEN q.w ELSE 0 END) AS yes,
+                         sum(CASE WHEN vote > 0 THEN q.w ELSE 0 END) AS voted
+                  FROM (SELECT round, votes, k, n * p / sum(p) OVER (PARTITION BY votes) AS w
+                        FROM (SELECT round, votes, n, k,
+                                     first(share) * exp(sum(CASE vote WHEN 1 THEN ln(good) WHEN 2 THEN ln(1 - good)
+                                                            ELSE 0 END)) AS p
+                              FROM em JOIN pr ON pr.j = em.j WHERE round < 30 GROUP BY round, votes, n, k)) q
+                  JOIN pr ON pr.votes = q.votes GROUP BY round, q.k, pr.j)
+            JOIN start USING (k, j))),
+        post AS (SELECT votes, sum(p) FILTER (k = 0) / sum(p) AS posterior
+                 FROM (SELECT votes, k, first(share) * exp(sum(CASE vote WHEN 1 THEN ln(good) WHEN 2 THEN ln(1 - good)
+                                                               ELSE 0 END)) AS p
+                       FROM em JOIN pr ON pr.j = em.j WHERE round = 30 GROUP BY votes, k) GROUP BY votes)
+        SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols,
+               n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+               n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+               NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND posterior >= 0.5 AS kept,
+               round(posterior, 3) AS posterior
+        FROM v JOIN post USING (votes)""",
+    "op13_manifest": r"""
+        WITH RECURSIVE f AS (
+          SELECT row_number() OVER () AS row, doc_id, source, text,
+                 coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                 || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                 flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+                         lambda c: list_transform(range(8), lambda k: (ord(c) >> k) & 1))) AS bits FROM documents),
+        e AS (SELECT *, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                     replace(text, chr(10), '') AS cut,
+                     doc_id IS NULL OR (list_reduce(list_prepend(4294967295::BIGINT, bits), lambda s, b:
+                         xor(s >> 1, CASE WHEN xor(s, b) & 1 = 1 THEN 3988292384 ELSE 0 END)) & 1) = 1 AS hit FROM f),
+        p AS (SELECT row, doc_id, source, leaf,
+                     CASE WHEN hit THEN sha256(head || coalesce(strlen(cut) || ':' || cut, '-')) ELSE leaf END AS now,
+                     dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree,
+                     row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                     count(*) OVER (PARTITION BY source) AS n FROM e),
+        nodes AS (SELECT 0 AS level, tree, pos, leaf AS d, n FROM p
+                  UNION ALL SELECT level + 1, tree, pos // 3, sha256(string_agg(d, '' ORDER BY pos)), (n + 2) // 3
+                  FROM nodes WHERE n > 1 GROUP BY level, tree, pos // 3, n),
+        tops AS (SELECT tree - 1 AS pos, d, count(*) OVER () AS n FROM nodes WHERE n = 1),
+        upper AS (SELECT 0 AS level, pos, d, n FROM tops
+                  UNION ALL SELECT level + 1, pos // 3, sha256(string_agg(d, '' ORDER BY pos)), (n + 2) // 3
+                  FROM upper WHERE n > 1 GROUP BY level, pos // 3, n),
+        sides AS MATERIALIZED (
+          SELECT level, tree, pos, coalesce(string_agg(d, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                 coalesce(string_agg(d, '') OVER (w ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+          FROM (SELECT level, tree, pos, d FROM nodes WHERE n > 1 UNION ALL SELECT level, 0, pos, d FROM upper WHERE n > 1)
+          WINDOW w AS (PARTITION BY level, tree, pos // 3 ORDER BY pos)),
+        own AS (SELECT row, tree, 0 AS level, pos, now AS d, '' AS proof FROM p
+                UNION ALL SELECT row, tree, level + 1, own.pos // 3, sha256(l || d || r), proof || l || r
+                FROM own JOIN sides USING (level, tree) WHERE sides.pos = own.pos),
+        went AS (SELECT row, tree, 0 AS level, tree - 1 AS pos, d, proof FROM own QUALIFY level = max(level) OVER (PARTITION BY row)
+                 UNION ALL SELECT row, went.tree, went.level + 1, went.pos // 3, sha256(l || d || r), proof || l || r
+                 FROM went JOIN sides ON sides.level = went.level AND sides.tree = 0 AND sides.pos = went.pos),
+        done AS (SELECT row, d, proof FROM went QUALIFY level = max(level) OVER (PARTITION BY row))
+        SELECT doc_id, leaf, tops.d AS subroot, top.d AS root, sha256(proof) AS proof_sha256, done.d AS folded_root,
+               done.d = top.d AS verified
+        FROM p JOIN done USING (row) JOIN tops ON tops.pos = p.tree - 1 JOIN upper top ON top.n = 1""",
 }
