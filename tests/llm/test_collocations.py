@@ -95,10 +95,10 @@ def count_with(texts, **kw):
     runs = [r for t in texts for r in counter.add("x", t.encode())] + list(counter.finish())
     assert counter.size == 0 and all(len(g.trie.root) == 0 for g in counter.langs.values())
     held = defaultdict(list)
-    for part, _, windows, counts in runs:
-        run = C._unpack(windows, counts)
-        assert run == sorted(run)
-        held[part].append(run)
+    for part, _, *run in runs:
+        words, windows, counts = C._unpack(*run)
+        assert words == sorted(set(words)) and windows.T.tolist() == sorted(windows.T.tolist())
+        held[part].append((words, windows, counts))
     total = Counter()
     for part in held.values():
         for phrase, _, n in C.merge_runs(part, 1):
@@ -131,11 +131,15 @@ def test_trie_bursts_and_gives_back_whole_subtrees(monkeypatch):
             rest = rest << C.ID_BITS | i
         trie.add(first, [rest], [2])
         want[first, rest] += 2
-    assert {(f, r): n for f in trie.root for r, n in trie.windows(f)} == dict(want)
+    def held(first):
+        return {(first, head | k): n for head, c in trie.containers(first) for k, n in c.items()}
+
+    assert {k: n for f in trie.root for k, n in held(f).items()} == dict(want)
     assert trie.size == len(want) and any(type(h) is C.HatTrie.Node for h in trie.root.values())
     taken = trie.take(0.4)
-    assert taken and all(f not in trie.root for f, _ in taken)
-    assert trie.size == len(want) - sum(len(w) for _, w in taken)
+    windows = sum(len(held(f)) for f in taken)
+    assert 0.4 * len(want) <= windows < len(want)
+    assert sum(trie.drop(f) for f in taken) == windows and trie.size == len(want) - windows
 
 
 def test_a_word_outside_the_filter_ends_a_window():

@@ -12,11 +12,12 @@ Plan.
    containers of the remaining ids. A container that outgrows ``BURST`` entries
    bursts into one container per next word. When the trie holds ``LIMIT``
    windows its largest subtrees are spilled whole as sorted runs, one per
-   prefix partition (a hash of the language and the first three words).
+   prefix partition (a hash of the language and the first three words). The
+   subtree of a pair of words also leaves its total, as a two-word window of a
+   partition of its own, so a hot pair's windows need not meet in one task.
 3. A prefix partition merges its runs in order; equal windows add up, and the
-   count of every phrase is the count of the windows it begins. Phrases of
-   three words and more are complete there; two-word phrases, whose windows may
-   lie in several partitions, are added up by one more aggregate.
+   count of a phrase is the sum over the windows that begin with it. Every
+   phrase is complete in its partition.
 4. Cuts, scores and the removal of parts of longer phrases are joins and
    aggregates on the phrase; the best of a language are chosen in two steps, so
    that no task holds all phrases of a language.
@@ -55,7 +56,7 @@ BURST = 4096                # entries of a container before it becomes a trie no
 LIMIT = 600_000             # windows a task's trie holds before it spills
 CHUNK = 500_000             # windows counted by sorting before they enter the trie
 SLICE = 1 << 20             # bytes of text cut into words at once
-PARTS_PER_TASK = 8
+PARTS_PER_TASK = 2
 RANK_GROUPS = 64
 ID_BITS = 21
 KNOWN = 700_000             # words a task remembers; with those of a slice below 2**ID_BITS
@@ -77,78 +78,82 @@ class HatTrie:
     a word id to a node or container; a container (a dict within a node) maps
     the packed remaining ids to a count. Depth: at most three words."""
 
-    __slots__ = ("root", "size", "words")
+    __slots__ = ("root", "sizes", "words")
 
     class Node(dict):
         """word id -> node or container"""
 
     def __init__(self, words: int):
-        self.words, self.root, self.size = words, self.Node(), 0
+        self.words, self.root, self.sizes = words, self.Node(), {}
 
-    def add(self, first: int, rests, counts) -> None:
-        held = self.root.get(first)
-        if held is None:
-            held = self.root[first] = {}
-        self.root[first] = self._add(held, self.words - 2, rests, counts)
+    @property
+    def size(self) -> int:
+        return sum(self.sizes.values())
 
-    def _add(self, held: dict, later: int, rests, counts) -> dict:
+    def add(self, first: int, rests, counts) -> int:
+        """Adds windows of one first word; returns how many were new."""
+        held, new = self._add(self.root.get(first, {}), self.words - 2, rests, counts)
+        self.root[first] = held
+        self.sizes[first] = self.sizes.get(first, 0) + new
+        return new
+
+    def _add(self, held: dict, later: int, rests, counts) -> tuple[dict, int]:
         """Adds to a node or container whose keys begin with one word and go
-        on with ``later`` more; returns what takes its place."""
+        on with ``later`` more; (what takes its place, new windows)."""
         shift = later * ID_BITS
         if type(held) is dict:
             before, get = len(held), held.get
             for r, n in zip(rests, counts):
                 held[r] = get(r, 0) + n
-            self.size += len(held) - before
+            new = len(held) - before
             if len(held) <= BURST or later <= self.words - 4 or later <= 0:
-                return held
+                return held, new
             node, mask = self.Node(), (1 << shift) - 1              # burst
             for r, n in held.items():
                 node.setdefault(r >> shift, {})[r & mask] = n
-            return node
-        mask, by_word = (1 << shift) - 1, {}
+            return node, new
+        mask, by_word, new = (1 << shift) - 1, {}, 0
         for r, n in zip(rests, counts):
             part = by_word.setdefault(r >> shift, ([], []))
             part[0].append(r & mask)
             part[1].append(n)
         for word, (rest, n) in by_word.items():
-            held[word] = self._add(held.get(word, {}), later - 1, rest, n)
-        return held
-
-    def _walk(self, held: dict, later: int, head: int) -> Iterator[tuple[int, int]]:
-        if type(held) is dict:
-            for r, n in held.items():
-                yield (head << ((later + 1) * ID_BITS)) | r, n
-        else:
-            for word, below in held.items():
-                yield from self._walk(below, later - 1, (head << ID_BITS) | word)
-
-    def windows(self, first: int) -> Iterator[tuple[int, int]]:
-        """(packed rest, count) of the windows below a first word."""
-        return self._walk(self.root[first], self.words - 2, 0)
-
-    def take(self, share: float) -> list[tuple[int, list]]:
-        """Removes the largest subtrees, about ``share`` of all windows;
-        returns (first word, windows) of each."""
-        sizes = {w: sum(1 for _ in self.windows(w)) for w in self.root}
+            held[word], more = self._add(held.get(word, {}), later - 1, rest, n)
+            new += more
+        return held, new
+
+    def containers(self, first: int) -> Iterator[tuple[int, dict]]:
+        """(packed ids above it, container) of the containers below a first word."""
+        def walk(held, later, head):
+            if type(held) is dict:
+                yield head << ((later + 1) * ID_BITS), held
+            else:
+                for word, below in held.items():
+                    yield from walk(below, later - 1, head << ID_BITS | word)
+        return walk(self.root[first], self.words - 2, 0)
+
+    def take(self, share: float) -> list[int]:
+        """The first words of the largest subtrees, about ``share`` of all windows."""
         goal, out = self.size * share, []
-        for word in sorted(sizes, key=sizes.get, reverse=True):
+        for word in sorted(self.sizes, key=self.sizes.get, reverse=True):
             if goal <= 0:
                 break
-            out.append((word, list(self.windows(word))))
-            del self.root[word]
-            self.size -= sizes[word]
-            goal -= sizes[word]
+            out.append(word)
+            goal -= self.sizes[word]
         return out
 
+    def drop(self, first: int) -> int:
+        del self.root[first]
+        return self.sizes.pop(first)
+
 
 class _Language:
     """One language's word ids and trie within a task."""
 
     def __init__(self, lang: bytes, words: int):
         self.seed = xxhash.xxh64_intdigest(lang, 42)
-        self.ids, self.names, self.trie = {END: -1}, [], HatTrie(words)
-        self.keys = []
+        self.ids, self.names, self.hashes = {END: -1}, [], []
+        self.trie, self.keys = HatTrie(words), []
 
 
 def _slices(text: bytes, size: int) -> Iterator[tuple[bytes, bool]]:
@@ -193,17 +198,22 @@ class WindowCounter:
         self.size = self.buffered = 0
 
     def _id(self, lang: _Language, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word, lang.seed) & ((1 << FILTER_BITS) - 1)
-        if not self.marked[h >> 3] >> (h & 7) & 1:
+        h = xxhash.xxh64_intdigest(word, lang.seed)
+        bit = h & ((1 << FILTER_BITS) - 1)
+        if not self.marked[bit >> 3] >> (bit & 7) & 1:
             return -1
         lang.names.append(word)
+        lang.hashes.append(h)
         return len(lang.names) - 1
 
     def _ids(self, lang: _Language, words: list[bytes]) -> np.ndarray:
         known = lang.ids
-        for w in set(words).difference(known):
-            known[w] = self._id(lang, w)
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        ids = list(map(known.get, words))
+        if None in ids:
+            for w in set(words).difference(known):
+                known[w] = self._id(lang, w)
+            ids = map(known.get, words)
+        return np.fromiter(ids, np.int64, len(words))
 
     def add(self, name: str, text: bytes) -> Iterator[tuple]:
         """Counts one text (or several, joined by ``END``); yields the runs
@@ -236,15 +246,13 @@ class WindowCounter:
         """Sorts the buffered windows, adds their counts to the tries."""
         for lang in self.langs.values():
             if lang.keys:
-                before = lang.trie.size
-                self._insert(lang.trie, np.concatenate(lang.keys))
+                self.size += self._insert(lang.trie, np.concatenate(lang.keys))
                 lang.keys = []
-                self.size += lang.trie.size - before
         self.buffered = 0
 
-    def _insert(self, trie: HatTrie, keys: np.ndarray) -> None:
+    def _insert(self, trie: HatTrie, keys: np.ndarray) -> int:
         if not len(keys):
-            return
+            return 0
         order = np.lexsort((keys[:, 1], keys[:, 0]))
         hi, lo = keys[order, 0], keys[order, 1]
         new = np.flatnonzero(np.concatenate([[True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])]))
@@ -254,77 +262,132 @@ class WindowCounter:
         shift = (self.words - 2) * ID_BITS
         rests = [(s << shift) | r for s, r in zip(second, lo[new].tolist())]
         cut = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])).tolist()
-        for a, b in zip(cut, [*cut[1:], len(rests)]):
-            trie.add(int(first[a]), rests[a:b], counts[a:b])
+        return sum(trie.add(int(first[a]), rests[a:b], counts[a:b])
+                   for a, b in zip(cut, [*cut[1:], len(rests)]))
 
     def _spill(self, share: float) -> Iterator[tuple]:
-        """(partition, language, windows, counts) of the largest subtrees, a
-        sorted run per prefix partition."""
-        mask = (1 << ID_BITS) - 1
-        shifts = [k * ID_BITS for k in range(self.words - 2, -1, -1)]
-        deep = (self.words - 3) * ID_BITS                 # what follows the third word
+        """(partition, language, words, windows, counts) of the largest
+        subtrees, a sorted run per prefix partition."""
         for name, lang in self.langs.items():
-            runs, names, before = {}, lang.names, lang.trie.size
-            for first, windows in lang.trie.take(share):
-                head, part_of = names[first - 1], {}
-                for rest, n in windows:
-                    ids = [(rest >> s) & mask for s in shifts]
-                    phrase = b" ".join([head, *[names[i - 1] for i in ids if i], b""])
-                    part = part_of.get(rest >> deep)
-                    if part is None:
-                        start = b" ".join(phrase.split(b" ", 3)[:3])
-                        part = xxhash.xxh64_intdigest(start, lang.seed) % self.parts
-                        part_of[rest >> deep] = part
-                    runs.setdefault(part, []).append((phrase, n))
-            self.size -= before - lang.trie.size
-            for part, run in runs.items():
-                run.sort()
-                yield part, name, *_pack(run)
-
-
-def _pack(run: list[tuple[bytes, int]]) -> tuple[bytes, bytes]:
-    """A sorted run as two compressed columns; no window holds a line end."""
+            taken = lang.trie.take(share)
+            if taken:
+                columns, counts = self._columns(lang.trie, taken)
+                self.size -= sum(lang.trie.drop(first) for first in taken)
+                for part, run in self._runs(lang, *_with_pairs(columns, counts)):
+                    yield part, name, *_pack(*run)
+
+    def _columns(self, trie: HatTrie, firsts: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
+        """The windows of subtrees as one array of ids (from 1, 0 for none) per
+        word, and their counts."""
+        low_bits, mask = (self.words - 2) * ID_BITS, (1 << ID_BITS) - 1
+        low_mask = (1 << low_bits) - 1
+        first, second, low, counts = [], [], [], []
+        for f in firsts:
+            for head, held in trie.containers(f):
+                n = len(held)
+                first.append(np.full(n, f, np.int64))
+                if head:                        # the second word is above the container
+                    second.append(np.full(n, head >> low_bits, np.int64))
+                    low.append(np.fromiter(held, np.int64, n) | (head & low_mask))
+                else:
+                    second.append(np.fromiter((k >> low_bits for k in held), np.int64, n))
+                    low.append(np.fromiter((k & low_mask for k in held), np.int64, n))
+                counts.append(np.fromiter(held.values(), np.int64, n))
+        low = np.concatenate(low)
+        later = [(low >> k * ID_BITS) & mask for k in range(self.words - 3, -1, -1)]
+        return [np.concatenate(first), np.concatenate(second), *later], np.concatenate(counts)
+
+    def _runs(self, lang: _Language, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[tuple]:
+        """(partition, (words, columns, counts)), both in the order of the words."""
+        used = np.flatnonzero(np.bincount(np.concatenate(columns), minlength=1))
+        used = used[used > 0]
+        names = [lang.names[i - 1] for i in used]
+        order = sorted(range(len(names)), key=names.__getitem__)
+        rank = np.zeros(used[-1] + 1, np.int64)
+        rank[used[order]] = np.arange(1, len(used) + 1)
+        hashes = np.zeros(used[-1] + 1, np.uint64)
+        hashes[used] = np.array([lang.hashes[i - 1] for i in used], np.uint64)
+        mix = np.full(len(counts), lang.seed, np.uint64)
+        for c in columns[:3]:
+            mix = (mix ^ hashes[c]) * np.uint64(0x9E3779B97F4A7C15)
+            mix ^= mix >> np.uint64(29)
+        part = (mix % np.uint64(self.parts)).astype(np.int64)
+        columns = [rank[c] for c in columns]
+        keys = _keys([part, *columns])
+        order_of = np.lexsort(keys[::-1])
+        columns, counts, part = [c[order_of] for c in columns], counts[order_of], part[order_of]
+        names = np.array([names[i] for i in order], object)
+        starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        for a, b in zip(starts, [*starts[1:], len(part)]):
+            own = [c[a:b] for c in columns]
+            seen = np.zeros(len(names) + 1, bool)
+            for c in own:
+                seen[c] = True
+            seen[0] = False
+            local = np.cumsum(seen)             # ids within the run, still in order
+            local[0] = 0
+            yield int(part[a]), (names[np.flatnonzero(seen) - 1].tolist(), [local[c] for c in own],
+                                 counts[a:b])
+
+
+def _keys(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Two columns (below 2**31) per sort key."""
+    return [columns[i] << 31 | columns[i + 1] if i + 1 < len(columns) else columns[i]
+            for i in range(0, len(columns), 2)]
+
+
+def _with_pairs(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Replaces the windows of two words by the totals of all windows' first
+    two words."""
+    pair = columns[0] << 31 | columns[1]
+    pairs, at = np.unique(pair, return_inverse=True)
+    totals = np.bincount(at, counts, len(pairs)).astype(np.int64)     # exact below 2**53
+    longer = columns[2] > 0
+    none = np.zeros(len(pairs), np.int64)
+    ends = [pairs >> 31, pairs & ((1 << 31) - 1), *[none] * (len(columns) - 2)]
+    return ([np.concatenate([c[longer], e]) for c, e in zip(columns, ends)],
+            np.concatenate([counts[longer], totals]))
+
+
+def _pack(words: list[bytes], columns: list[np.ndarray], counts: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """A run as compressed columns; no word holds a line end."""
     press = zstandard.ZstdCompressor(1).compress
-    return (press(b"\n".join([w for w, _ in run])),
-            press(np.array([n for _, n in run], np.int64).tobytes()))
+    return (press(b"\n".join(words)), press(np.stack(columns).astype(np.int32).tobytes()),
+            press(counts.astype(np.int64).tobytes()))
 
 
-def _unpack(windows: bytes, counts: bytes) -> list[tuple[bytes, int]]:
+def _unpack(words: bytes, windows: bytes, counts: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     grow = zstandard.ZstdDecompressor().decompress
-    return list(zip(grow(windows).split(b"\n"), np.frombuffer(grow(counts), np.int64).tolist()))
-
-
-def merge_runs(runs: list[list[tuple[bytes, int]]], min_count: int) -> Iterator[tuple[bytes, int, int]]:
-    """(phrase, words, count) from the sorted runs of one partition: every
-    phrase of three words or more that reaches ``min_count``, and every phrase
-    of two words with its windows' count in this partition. One pass over the
-    merged order; open phrases are the prefixes of the last window."""
-    merged = [w for run in runs for w in run]
-    merged.sort()                                 # runs are in order: sorting merges them
-    last, totals = [], []
-    for phrase, n in merged:
-        words = phrase.split(b" ")
-        words.pop()                               # a window ends with a blank
-        same = 0
-        for a, b in zip(last, words):
-            if a != b:
-                break
-            same += 1
-        while len(totals) > same:
-            total, k = totals.pop(), len(totals) + 1
-            if k == 2 or (k > 2 and total >= min_count):
-                yield b" ".join(last[:k]), k, total
-            if totals:
-                totals[-1] += total
-        totals.extend([0] * (len(words) - len(totals)))
-        last = words
-        totals[-1] += n
-    while totals:
-        total, k = totals.pop(), len(totals) + 1
-        if k == 2 or (k > 2 and total >= min_count):
-            yield b" ".join(last[:k]), k, total
-        if totals:
-            totals[-1] += total
+    n = np.frombuffer(grow(counts), np.int64)
+    return grow(words).split(b"\n"), np.frombuffer(grow(windows), np.int32).reshape(-1, len(n)), n
+
+
+def merge_runs(runs: list[tuple], min_count: int) -> Iterator[tuple[bytes, int, int]]:
+    """(phrase, words, count) of the phrases of one partition that reach
+    ``min_count``, from its sorted runs."""
+    names = sorted(set().union(*[words for words, _, _ in runs]))
+    id_of = {w: i for i, w in enumerate(names, 1)}
+    columns = [[] for _ in runs[0][1]]
+    for words, windows, _ in runs:
+        to = np.fromiter(map(id_of.__getitem__, words), np.int64, len(words))
+        to = np.concatenate([[0], to])          # runs stay sorted: both are in the words' order
+        for held, ids in zip(columns, windows):
+            held.append(to[ids])
+    columns = [np.concatenate(c) for c in columns]
+    counts = np.concatenate([n for _, _, n in runs])
+    order = np.lexsort(_keys(columns)[::-1])
+    columns, counts = [c[order] for c in columns], counts[order]
+    for k in range(2, len(columns) + 1):
+        # pairs stand as totals of their own, longer phrases are their windows' beginnings
+        rows = np.flatnonzero(columns[2] == 0 if k == 2 else columns[k - 1] > 0)
+        if not len(rows):
+            continue
+        ids = [c[rows] for c in columns[:k]]
+        new = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in ids], axis=0)])
+        starts = np.flatnonzero(new)
+        sums = np.add.reduceat(counts[rows], starts)
+        for i in np.flatnonzero(sums >= min_count):
+            yield b" ".join(names[c[starts[i]] - 1] for c in ids), k, int(sums[i])
 
 
 # ---- counting on Spark -----------------------------------------------------------------
@@ -347,7 +410,7 @@ def word_filter(spark: SparkSession, frequent: DataFrame) -> bytes:
     return bytes(out)
 
 
-RUN_SCHEMA = "part long, lang string, windows binary, counts binary"
+RUN_SCHEMA = "part long, lang string, words binary, windows binary, counts binary"
 COUNT_SCHEMA = "lang string, phrase string, words int, f long"
 
 
@@ -366,11 +429,10 @@ def phrase_counts(texts: DataFrame, frequent: DataFrame, min_count: int = MIN_CO
         counter = WindowCounter(marked.value, max_words, parts)
 
         def batch(runs) -> pa.RecordBatch:
-            cols = list(zip(*runs)) or [[]] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()),
-                 pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary())],
-                names=["part", "lang", "windows", "counts"])
+            cols = list(zip(*runs)) or [[]] * 5
+            types = [pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                              names=["part", "lang", "words", "windows", "counts"])
 
         for b in batches:
             joined: dict[str, list] = {}
@@ -391,7 +453,7 @@ def phrase_counts(texts: DataFrame, frequent: DataFrame, min_count: int = MIN_CO
             rows.extend((key[1], p.decode(), k, n) for p, k, n in merge_runs(runs, min_count))
 
         for df in batches:
-            for part, lang, windows, counts in df.itertuples(index=False, name=None):
+            for part, lang, *run in df.itertuples(index=False, name=None):
                 if (part, lang) != key:
                     if key is not None:
                         flush()
@@ -399,17 +461,15 @@ def phrase_counts(texts: DataFrame, frequent: DataFrame, min_count: int = MIN_CO
                     if len(rows) > 20_000:
                         yield pd.DataFrame(rows, columns=names)
                         rows = []
-                runs.append(_unpack(windows, counts))
+                runs.append(_unpack(*run))
         if key is not None:
             flush()
         yield pd.DataFrame(rows, columns=names)
 
     runs = (texts.select("lang", F.col("text").cast("binary").alias("text"))
             .mapInArrow(count, RUN_SCHEMA))
-    merged = (runs.repartition(tasks, "part").sortWithinPartitions("part", "lang")
-              .mapInPandas(merge, COUNT_SCHEMA))
-    return (merged.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
-            .filter(F.col("f") >= min_count))
+    return (runs.repartition(tasks, "part").sortWithinPartitions("part", "lang")
+            .mapInPandas(merge, COUNT_SCHEMA))
 
 
 # ---- scores ------------------------------------------------------------------------------
