@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def random_texts(seed, n=60):
             for _ in range(n)]
 
 
-@pytest.mark.parametrize("seed,longest", [(1, 5), (2, 3), (3, 4)])
+@pytest.mark.parametrize("seed,longest", [(1, 5), (2, 3), (3, 4), (4, 2)])
 def test_equals_brute_force(spark, monkeypatch, seed, longest):
     monkeypatch.setattr(C, "PARTS_PER_TASK", 2)
     rows = [(t, ["x", "y", None][i % 3]) for i, t in enumerate(random_texts(seed))]
@@ -89,9 +90,12 @@ def test_products_beyond_64_bits(spark):
     assert got == 1000 * a * n // (l * r)
 
 
-def count_with(texts, **kw):
+ALL_WORDS = b"\xff" * (1 << (C.WORD_BITS - 3))
+
+
+def count_with(texts, words, **kw):
     """The counter and merge alone, all words marked."""
-    counter = C.WindowCounter(b"\xff" * (1 << (C.FILTER_BITS - 3)), 5, 7, **kw)
+    counter = C.WindowCounter(ALL_WORDS, words, 7, **kw)
     runs = [r for t in texts for r in counter.add("x", t.encode())] + list(counter.finish())
     assert counter.size == 0 and all(len(g.trie.root) == 0 for g in counter.langs.values())
     held = defaultdict(list)
@@ -108,15 +112,16 @@ def count_with(texts, **kw):
 
 @pytest.mark.parametrize("bounds", [{}, {"limit": 5, "chunk": 7}, {"limit": 50, "chunk": 20, "known": 3},
                                     {"piece": 3, "limit": 9, "chunk": 4}, {"piece": 1}])
-def test_small_bounds_change_nothing(monkeypatch, bounds):
+@pytest.mark.parametrize("words", [2, 5])
+def test_small_bounds_change_nothing(monkeypatch, bounds, words):
     monkeypatch.setattr(C, "BURST", 3)
     texts = random_texts(9, 12)
     want = Counter()
     for t in texts:
         for w in pieces(t):
-            for m in range(2, 6):
+            for m in [2] if words == 2 else [3, 4, 5]:
                 want.update(" ".join(w[i:i + m]) for i in range(len(w) - m + 1))
-    got, runs = count_with(texts, **bounds)
+    got, runs = count_with(texts, words, **bounds)
     assert got == want
     assert "limit" not in bounds or runs > 7
 
@@ -142,9 +147,18 @@ def test_trie_bursts_and_gives_back_whole_subtrees(monkeypatch):
     assert sum(trie.drop(f) for f in taken) == windows and trie.size == len(want) - windows
 
 
-def test_a_word_outside_the_filter_ends_a_window():
-    counter = C.WindowCounter(bytes(1 << (C.FILTER_BITS - 3)), 5, 3)
-    assert list(counter.add("x", b"a b c d")) + list(counter.finish()) == []
+def test_unmarked_words_and_pairs_end_a_window():
+    none = C.WindowCounter(bytes(1 << (C.WORD_BITS - 3)), 5, 3)
+    assert list(none.add("x", b"a b c d")) + list(none.finish()) == []
+    seed = C._seed(b"x")
+    h = [np.array([C.xxhash.xxh64_intdigest(w, seed)], np.uint64) for w in (b"a", b"b", b"c", b"d", b"e")]
+    bits = bytearray(1 << (C.PAIR_BITS - 3))
+    for i in (0, 1, 3):                                 # not: c d
+        bit = int(C.pair_bits(h[i], h[i + 1])[0])
+        bits[bit >> 3] |= 1 << (bit & 7)
+    counter = C.WindowCounter(ALL_WORDS, 5, 3, bytes(bits))
+    runs = list(counter.add("x", b"a b c d e")) + list(counter.finish())
+    assert [p for r in runs for p in C.merge_runs([C._unpack(*r[2:])], 1)] == [(b"a b c", 3, 1)]
 
 
 def test_text_over_a_slice(spark):

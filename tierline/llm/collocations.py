@@ -2,19 +2,19 @@
 
 Plan.
 
-1. Words are counted per language by an ordinary partial + final aggregate.
-   Only words seen ``min_count`` times can be part of a phrase seen that often;
-   they are marked in a bitmap of ``FILTER_BITS`` hashed bits (4 MB whatever the
-   corpus), the one thing that is broadcast. A wrongly marked word costs work,
-   never a result.
-2. Every task counts its windows, up to ``max_words`` marked words of one
-   piece, in a HAT-trie: a shallow trie over word ids whose leaves are hash
-   containers of the remaining ids. A container that outgrows ``BURST`` entries
-   bursts into one container per next word. When the trie holds ``LIMIT``
-   windows its largest subtrees are spilled whole as sorted runs, one per
-   prefix partition (a hash of the language and the first three words). The
-   subtree of a pair of words also leaves its total, as a two-word window of a
-   partition of its own, so a hot pair's windows need not meet in one task.
+1. Words are counted per language by an ordinary partial + final aggregate,
+   then pairs of words, then windows of three words and more, each level only
+   where all parts of the level below are frequent: a phrase seen ``min_count``
+   times has no part seen less. The frequent words and pairs are marked in
+   bitmaps of hashed bits (``WORD_BITS``, ``PAIR_BITS``: 4 and 8 MB whatever the
+   corpus), all that is broadcast. A wrongly marked part costs work, never a
+   result.
+2. Every task counts its windows in a HAT-trie: a shallow trie over word ids
+   whose leaves are hash containers of the remaining ids. A container that
+   outgrows ``BURST`` entries bursts into one container per next word. When the
+   trie holds ``LIMIT`` windows its largest subtrees are spilled whole as sorted
+   runs, one per prefix partition: a hash of the language and the pair, or the
+   first three words of a longer window.
 3. A prefix partition merges its runs in order; equal windows add up, and the
    count of a phrase is the sum over the windows that begin with it. Every
    phrase is complete in its partition.
@@ -51,7 +51,7 @@ SCALE = 1000
 NO_LANG = "und"
 # a word: no blank, tab or mark that ends a piece (Java syntax)
 PIECE_WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
-FILTER_BITS = 25            # 2**25 bits = 4 MB
+WORD_BITS, PAIR_BITS = 25, 26       # 2**25 bits = 4 MB
 BURST = 4096                # entries of a container before it becomes a trie node
 LIMIT = 600_000             # windows a task's trie holds before it spills
 CHUNK = 500_000             # windows counted by sorting before they enter the trie
@@ -147,14 +147,37 @@ class HatTrie:
         return self.sizes.pop(first)
 
 
+def _seed(lang: bytes) -> int:
+    return xxhash.xxh64_intdigest(lang, 42)
+
+
+def pair_bits(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The filter bit of pairs of word hashes."""
+    h = (left ^ (right * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
+
+def _is_marked(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    return (bitmap[bits >> 3] >> (bits & 7).astype(np.uint8) & 1).astype(bool)
+
+
 class _Language:
     """One language's word ids and trie within a task."""
 
     def __init__(self, lang: bytes, words: int):
-        self.seed = xxhash.xxh64_intdigest(lang, 42)
-        self.ids, self.names, self.hashes = {END: -1}, [], []
+        self.seed = _seed(lang)
+        self.ids, self.names = {END: -1}, []
+        self.hashes = np.zeros(1024, np.uint64)         # of the names, and room for more
         self.trie, self.keys = HatTrie(words), []
 
+    def new_id(self, word: bytes, h: int) -> int:
+        n = len(self.names)
+        if n == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros(n, np.uint64)])
+        self.hashes[n] = h
+        self.names.append(word)
+        return n
+
 
 def _slices(text: bytes, size: int) -> Iterator[tuple[bytes, bool]]:
     """Cuts a mapped text after blanks or piece ends; (slice, whether a piece
@@ -169,17 +192,23 @@ def _slices(text: bytes, size: int) -> Iterator[tuple[bytes, bool]]:
     yield text[at:], False
 
 
-def window_keys(ids: np.ndarray, words: int, starts: int) -> np.ndarray:
+def window_keys(ids: np.ndarray, words: int, starts: int, follows: np.ndarray | None = None) -> np.ndarray:
     """Packed windows, (first, rest) as two columns, that start at one of the
-    first ``starts`` positions and have two words or more; -1 ends a window."""
+    first ``starts`` positions: pairs, or three words and more where ``words``
+    allows them. -1 ends a window, and so does a pair that ``follows`` denies
+    (by the position of its first word)."""
     n = len(ids)
     padded = np.concatenate([ids, np.full(words, -1, np.int64)])
+    if follows is not None:
+        follows = np.concatenate([follows, np.zeros(words, bool)])
     cols, alive = [], np.ones(n, bool)
     for k in range(words):
         col = padded[k:k + n]
         alive = alive & (col >= 0)
+        if k and follows is not None:
+            alive = alive & follows[k - 1:k - 1 + n]
         cols.append(np.where(alive, col + 1, 0))
-    use = (cols[1] > 0) & (np.arange(n) < starts)
+    use = (cols[min(words, 3) - 1] > 0) & (np.arange(n) < starts)
     hi = (cols[0][use] << ID_BITS) | cols[1][use]
     lo = np.zeros(len(hi), np.int64)
     for col in cols[2:]:
@@ -188,23 +217,27 @@ def window_keys(ids: np.ndarray, words: int, starts: int) -> np.ndarray:
 
 
 class WindowCounter:
-    """Counts the windows of a task's texts; hands out sorted runs."""
+    """Counts the windows of a task's texts; hands out sorted runs. ``marked``
+    is the bitmap of words, ``pairs`` that of pairs (None: every pair counts)."""
 
-    def __init__(self, marked: bytes, words: int, parts: int, limit: int = LIMIT,
-                 chunk: int = CHUNK, piece: int = SLICE, known: int = KNOWN):
+    def __init__(self, marked: bytes, words: int, parts: int, pairs: bytes | None = None,
+                 limit: int = LIMIT, chunk: int = CHUNK, piece: int = SLICE, known: int = KNOWN):
         self.marked, self.words, self.parts = marked, words, parts
+        self.pairs = None if pairs is None else np.frombuffer(pairs, np.uint8)
         self.limit, self.chunk, self.piece, self.known = limit, chunk, piece, known
         self.langs: dict[str, _Language] = {}
         self.size = self.buffered = 0
 
     def _id(self, lang: _Language, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word, lang.seed)
-        bit = h & ((1 << FILTER_BITS) - 1)
-        if not self.marked[bit >> 3] >> (bit & 7) & 1:
-            return -1
-        lang.names.append(word)
-        lang.hashes.append(h)
-        return len(lang.names) - 1
+        bit = h & ((1 << WORD_BITS) - 1)
+        return lang.new_id(word, h) if self.marked[bit >> 3] >> (bit & 7) & 1 else -1
+
+    def _follows(self, lang: _Language, ids: np.ndarray) -> np.ndarray | None:
+        if self.pairs is None:
+            return None
+        h = lang.hashes[ids]                # what a -1 finds is of no account
+        return np.append(_is_marked(self.pairs, pair_bits(h[:-1], h[1:])), False)[:len(ids)]
 
     def _ids(self, lang: _Language, words: list[bytes]) -> np.ndarray:
         known = lang.ids
@@ -228,7 +261,8 @@ class WindowCounter:
             if lang is None:
                 lang = self.langs[name] = _Language(name.encode(), self.words)
             keep = self.words - 1 if goes_on else 0
-            keys = window_keys(self._ids(lang, words), self.words, len(words) - keep)
+            ids = self._ids(lang, words)
+            keys = window_keys(ids, self.words, len(words) - keep, self._follows(lang, ids))
             tail = words[-keep:] if keep else []
             lang.keys.append(keys)
             self.buffered += len(keys)
@@ -273,7 +307,7 @@ class WindowCounter:
             if taken:
                 columns, counts = self._columns(lang.trie, taken)
                 self.size -= sum(lang.trie.drop(first) for first in taken)
-                for part, run in self._runs(lang, *_with_pairs(columns, counts)):
+                for part, run in self._runs(lang, columns, counts):
                     yield part, name, *_pack(*run)
 
     def _columns(self, trie: HatTrie, firsts: list[int]) -> tuple[list[np.ndarray], np.ndarray]:
@@ -306,7 +340,7 @@ class WindowCounter:
         rank = np.zeros(used[-1] + 1, np.int64)
         rank[used[order]] = np.arange(1, len(used) + 1)
         hashes = np.zeros(used[-1] + 1, np.uint64)
-        hashes[used] = np.array([lang.hashes[i - 1] for i in used], np.uint64)
+        hashes[used] = lang.hashes[used - 1]
         mix = np.full(len(counts), lang.seed, np.uint64)
         for c in columns[:3]:
             mix = (mix ^ hashes[c]) * np.uint64(0x9E3779B97F4A7C15)
@@ -336,19 +370,6 @@ def _keys(columns: list[np.ndarray]) -> list[np.ndarray]:
             for i in range(0, len(columns), 2)]
 
 
-def _with_pairs(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Replaces the windows of two words by the totals of all windows' first
-    two words."""
-    pair = columns[0] << 31 | columns[1]
-    pairs, at = np.unique(pair, return_inverse=True)
-    totals = np.bincount(at, counts, len(pairs)).astype(np.int64)     # exact below 2**53
-    longer = columns[2] > 0
-    none = np.zeros(len(pairs), np.int64)
-    ends = [pairs >> 31, pairs & ((1 << 31) - 1), *[none] * (len(columns) - 2)]
-    return ([np.concatenate([c[longer], e]) for c, e in zip(columns, ends)],
-            np.concatenate([counts[longer], totals]))
-
-
 def _pack(words: list[bytes], columns: list[np.ndarray], counts: np.ndarray) -> tuple[bytes, bytes, bytes]:
     """A run as compressed columns; no word holds a line end."""
     press = zstandard.ZstdCompressor(1).compress
@@ -377,9 +398,8 @@ def merge_runs(runs: list[tuple], min_count: int) -> Iterator[tuple[bytes, int,
     counts = np.concatenate([n for _, _, n in runs])
     order = np.lexsort(_keys(columns)[::-1])
     columns, counts = [c[order] for c in columns], counts[order]
-    for k in range(2, len(columns) + 1):
-        # pairs stand as totals of their own, longer phrases are their windows' beginnings
-        rows = np.flatnonzero(columns[2] == 0 if k == 2 else columns[k - 1] > 0)
+    for k in range(min(len(columns), 3), len(columns) + 1):
+        rows = np.flatnonzero(columns[k - 1] > 0)
         if not len(rows):
             continue
         ids = [c[rows] for c in columns[:k]]
@@ -398,35 +418,47 @@ def word_counts(texts: DataFrame) -> DataFrame:
             .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f")))
 
 
-def word_filter(spark: SparkSession, frequent: DataFrame) -> bytes:
-    """The bitmap of the frequent words' hashes: fixed size, at most
-    2**FILTER_BITS / 32768 rows of 4 KB reach the driver."""
-    bit = (F.pmod(F.xxhash64("lang", "word"), F.lit(1 << FILTER_BITS)) + 1).alias("bit")
-    rows = (frequent.select(bit).groupBy(F.bitmap_bucket_number("bit").alias("k"))
+def bitmap(rows: DataFrame, bit: Column, bits: int) -> bytes:
+    """The hashed bits of ``rows`` as a bitmap of a fixed size; at most
+    2**bits / 32768 rows of 4 KB reach the driver."""
+    rows = (rows.select((bit + 1).alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
-    out = bytearray(1 << (FILTER_BITS - 3))
+    out = bytearray(1 << (bits - 3))
     for r in rows:
         out[(r.k - 1) * 4096:r.k * 4096] = r.bits
     return bytes(out)
 
 
 RUN_SCHEMA = "part long, lang string, words binary, windows binary, counts binary"
-COUNT_SCHEMA = "lang string, phrase string, words int, f long"
+COUNT_SCHEMA = "lang string, phrase string, words int, f long, bit long"
 
 
 def phrase_counts(texts: DataFrame, frequent: DataFrame, min_count: int = MIN_COUNT,
                   max_words: int = MAX_WORDS) -> DataFrame:
     """(lang, phrase, words, f) of all phrases of 2 to ``max_words`` words seen
-    at least ``min_count`` times."""
-    if not 3 <= max_words <= 5:
-        raise ValueError("max_words must be 3, 4 or 5")
-    spark = texts.sparkSession
-    tasks = shuffle_parts(spark)
+    at least ``min_count`` times, given the words seen so often."""
+    if not 2 <= max_words <= 5:
+        raise ValueError("max_words must be 2 to 5")
+    context = texts.sparkSession.sparkContext
+    words = context.broadcast(bitmap(frequent, F.pmod(F.xxhash64("lang", "word"), F.lit(1 << WORD_BITS)),
+                                     WORD_BITS))
+    pairs = stored(window_counts(texts, words, None, 2, min_count), "pairs")
+    if max_words == 2:
+        return pairs.drop("bit")
+    marked = context.broadcast(bitmap(pairs, F.col("bit"), PAIR_BITS))
+    longer = stored(window_counts(texts, words, marked, max_words, min_count), "longer")
+    return pairs.unionByName(longer).drop("bit")
+
+
+def window_counts(texts: DataFrame, marked, pairs, max_words: int, min_count: int) -> DataFrame:
+    """(lang, phrase, words, f, bit) of the frequent pairs (``max_words`` 2) or
+    phrases of three words and more, by tries; ``bit`` is a pair's filter bit.
+    ``marked`` and ``pairs`` are the broadcast bitmaps (no pairs: None)."""
+    tasks = shuffle_parts(texts.sparkSession)
     parts = tasks * PARTS_PER_TASK
-    marked = spark.sparkContext.broadcast(word_filter(spark, frequent))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = WindowCounter(marked.value, max_words, parts)
+        counter = WindowCounter(marked.value, max_words, parts, pairs and pairs.value)
 
         def batch(runs) -> pa.RecordBatch:
             cols = list(zip(*runs)) or [[]] * 5
@@ -446,11 +478,16 @@ def phrase_counts(texts: DataFrame, frequent: DataFrame, min_count: int = MIN_CO
         yield batch(list(counter.finish()))
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["lang", "phrase", "words", "f"]
+        names = ["lang", "phrase", "words", "f", "bit"]
         key, runs, rows = None, [], []
 
+        def bit(phrase: bytes, seed: int) -> int:
+            h = np.array([xxhash.xxh64_intdigest(w, seed) for w in phrase.split(b" ")[:2]], np.uint64)
+            return int(pair_bits(h[:1], h[1:])[0])
+
         def flush():
-            rows.extend((key[1], p.decode(), k, n) for p, k, n in merge_runs(runs, min_count))
+            seed = _seed(key[1].encode())
+            rows.extend((key[1], p.decode(), k, n, bit(p, seed)) for p, k, n in merge_runs(runs, min_count))
 
         for df in batches:
             for part, lang, *run in df.itertuples(index=False, name=None):
@@ -491,7 +528,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = M
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     words = stored(word_counts(texts), "words")
     frequent = words.filter(F.col("f") >= min_count)
-    phrases = stored(phrase_counts(texts, frequent, min_count, max_words), "phrases")
+    phrases = phrase_counts(texts, frequent, min_count, max_words)
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     counts = (phrases.select("lang", "phrase", "f")
               .unionByName(frequent.select("lang", F.col("word").alias("phrase"), "f")))
