@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tierline import tables
@@ -416,3 +417,81 @@ def test_streams_by_catalog_name_and_registered_views(spark, root):
     assert spark.table("t1_sales_stats").columns == ["n", "m"]        # a new column is seen
     for t in ("named_bronze", "t1_sales_stats"):
         spark.sql(f"DROP TABLE {t}")
+
+
+# ---- counts from stored data -------------------------------------------------------
+def landed_counts(report):
+    return {r.expectation: (r.input_rows, r.failed_rows, r.output_rows, r.dropped_rows)
+            for r in report.collect()}
+
+
+def test_counts_survive_a_crash_before_the_report(spark, root, monkeypatch):
+    """An error after the batches are committed and before the report: the next
+    run, with or without new input, reports every row."""
+    from tierline.plans import ingest
+    landing = root + "/landing"
+    sch = "id string, city string, temperature float, comment string"
+    ingest.land(spark.createDataFrame([("1", "Oslo", 3.0, ""), ("2", "", 4.0, ""), ("3", "Rome", None, "")],
+                                      sch), landing)
+    publish = tables.publish
+    monkeypatch.setattr(tables, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError, match="crash"):
+        P.ingest_landing(spark, landing, root)
+    monkeypatch.setattr(tables, "publish", publish)
+    want = {"line_parsed": (3, 0, 1, 2), "city_present": (3, 1, 1, 2), "temperature_parsed": (3, 1, 1, 2)}
+    P.ingest_landing(spark, landing, root)
+    assert landed_counts(tables.read_latest(spark, root, "measurements_expectations")) == want
+    ingest.land(spark.createDataFrame([("4", "Bonn", 1.0, ""), ("1", "Oslo", 3.0, "")], sch), landing)
+    P.ingest_landing(spark, landing, root)
+    got = landed_counts(tables.read_latest(spark, root, "measurements_expectations"))
+    assert got["city_present"] == (5, 1, 3, 2)
+    assert sorted(r.id for r in read_table(spark, root, "measurements").collect()) == ["1", "4"]
+    assert sorted(r.id for r in read_table(spark, root, "measurements_set_aside").collect()) == ["2", "3"]
+
+
+def test_a_crash_between_the_landed_table_and_the_next_one_loses_nothing(spark, root, monkeypatch):
+    from tierline.plans import ingest
+    landing = root + "/landing"
+    sch = "id string, city string, temperature float, comment string"
+    ingest.land(spark.createDataFrame([("1", "Oslo", 3.0, "")], sch), landing)
+    monkeypatch.setattr(P, "dedupe", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+    with pytest.raises(RuntimeError, match="crash"):
+        P.ingest_landing(spark, landing, root)
+    monkeypatch.undo()
+    P.ingest_landing(spark, landing, root)
+    assert [r.id for r in read_table(spark, root, "measurements").collect()] == ["1"]
+    assert landed_counts(tables.read_latest(spark, root, "measurements_expectations"))["line_parsed"] \
+        == (1, 0, 1, 0)
+
+
+def test_medallion_report_after_a_restart(spark, root):
+    """A new process knows the counts of the batches an old one committed."""
+    first = P.Medallion(spark, root).start(*P.medallion_feeds(spark, SF))
+    for q in first.queries:
+        q.awaitTermination()                       # and dies here
+    again = P.Medallion(spark, root).start(*P.medallion_feeds(spark, SF))
+    again.run_triggered()
+    r = again.expectation_report().first()
+    n = spark.read.parquet(f"{SF}/events.parquet").count()
+    assert (r.dataset, r.input_rows, r.failed_rows, r.output_rows) == ("sensor_readings_bronze", n, 0, n)
+    assert "_violations" not in again.state.read(spark).columns
+
+
+def test_flagged_streams_keep_drop_and_fail_apart(spark, root):
+    from tierline.operators.expectations import Expectation
+    from tierline.streaming.checks import flag, passing, stored_report
+    checks = [Expectation("small", "v < 10", "log"), Expectation("even", "v % 2 = 0", "drop"),
+              Expectation("known", "v IS NOT NULL", "fail")]
+    land = root + "/land"
+    spark.createDataFrame([(v,) for v in (2, 3, 12, 13)], "v int").write.parquet(land)
+    empty = stored_report(spark, root, "t", checks).collect()
+    assert [(r.input_rows, r.failed_rows) for r in empty] == [(0, 0)] * 3
+    flow = lambda: append_stream(flag(stream_files(spark, land, "v int"), checks), root, "t")
+    flow().awaitTermination()
+    got = landed_counts(stored_report(spark, root, "t", checks))
+    assert got == {"small": (4, 2, 2, 2), "even": (4, 2, 2, 2), "known": (4, 0, 2, 2)}
+    assert sorted(r.v for r in passing(read_table(spark, root, "t"), checks).collect()) == [2, 12]
+    spark.createDataFrame([(None,), (4,)], "v int").write.mode("append").parquet(land)
+    with pytest.raises(Exception, match="EXPECT known"):
+        flow().awaitTermination()
+    assert landed_counts(stored_report(spark, root, "t", checks)) == got       # nothing committed

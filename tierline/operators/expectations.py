@@ -123,6 +123,47 @@ def observation_report(spark: SparkSession, obs: Observation | dict, expectation
     return _with_shares(spark.createDataFrame(rows, REPORT_SCHEMA.split(", written_pct")[0]))
 
 
+# the column a checked streaming table carries: bit i is set where the row
+# violates expectation i
+VIOLATIONS = "_violations"
+
+
+def violation_mask(expectations) -> Column:
+    """The violated expectations of a row as a bitmask (62 at most)."""
+    if len(expectations) > 62:
+        raise ValueError("at most 62 expectations on one dataset")
+    mask = F.lit(0).cast("long")
+    for i, e in enumerate(expectations):
+        mask = mask + F.when(e.holds(), F.lit(0)).otherwise(F.lit(1 << i)).cast("long")
+    return mask
+
+
+def drop_bits(expectations) -> int:
+    """The bits of the DROP (and FAIL) expectations: rows with one of them are
+    not part of the dataset."""
+    return sum(1 << i for i, e in enumerate(expectations) if e.action != "log")
+
+
+def mask_report(flagged: DataFrame, expectations, dataset: str) -> DataFrame:
+    """The report from rows that carry ``VIOLATIONS``: rows are counted per
+    different mask (map-side first; only that column is read), then per
+    expectation."""
+    mask, n = F.col(VIOLATIONS), F.col("n")
+    per_mask = flagged.groupBy(VIOLATIONS).agg(F.count(F.lit(1)).alias("n"))
+    gone = F.when(mask.bitwiseAND(F.lit(drop_bits(expectations))) != 0, n).otherwise(0)
+    sums = [F.sum(n).alias("__rows"), F.sum(gone).alias("__dropped")]
+    sums += [F.sum(F.when(mask.bitwiseAND(F.lit(1 << i)) != 0, n).otherwise(0)).alias(e.name)
+             for i, e in enumerate(expectations)]
+    rows = [F.struct(F.lit(e.name).alias("expectation"), F.lit(e.action).alias("action"),
+                     F.coalesce(F.col(e.name), F.lit(0)).alias("failed_rows")) for e in expectations]
+    total, dropped = (F.coalesce(F.col(c), F.lit(0)) for c in ("__rows", "__dropped"))
+    return _with_shares(per_mask.agg(*sums).select(total.alias("input_rows"), dropped.alias("dropped_rows"),
+                                                   F.explode(F.array(*rows)).alias("r"))
+                        .select(F.lit(dataset).alias("dataset"), "r.expectation", "r.action", "input_rows",
+                                "r.failed_rows", (F.col("input_rows") - F.col("dropped_rows"))
+                                .alias("output_rows"), "dropped_rows"))
+
+
 def failed_expectation(exc: BaseException) -> str | None:
     """Name of the FAIL expectation that aborted an update, if any."""
     text = str(exc)

@@ -32,10 +32,6 @@ LANDING_EXPECTATIONS = [
     Expectation("temperature_parsed", "temperature IS NOT NULL", "drop"),
 ]
 
-# what the ingest stream sets aside instead of stopping: lines that do not
-# parse and records that would fail a check
-SET_ASIDE = "_corrupt_record IS NOT NULL OR coalesce(length(city), 0) = 0 OR temperature IS NULL"
-
 
 def records_from_values(df: DataFrame, city: str = "city", temperature: str = "temperature",
                         comment: str = "comment", id_col: str | None = None) -> DataFrame:

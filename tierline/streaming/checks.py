@@ -1,18 +1,53 @@
-"""Expectations on streams: violations counted per micro-batch with
-``observe`` (no extra job), summed from the query's progress reports.
-FAIL and DROP work on streams through the same gate filter as in batch."""
+"""Expectations on streams.
+
+What the pipelines report is counted from stored data: ``flag`` adds the
+violated expectations of every row as a bitmask, the streaming table keeps it
+with the row, and ``stored_report`` counts the masks of the committed files. A
+crash at any point loses no count: what is committed is counted, what is not is
+run again. FAIL stops the stream before its batch is committed; a row that
+violates a DROP expectation stays in the flagged table for the count, and
+``passing`` leaves it out of everything behind it.
+
+For watching a running query there are also counters per micro-batch from
+``observe``, collected from its progress reports (``MetricsLog``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tierline.operators.expectations import gate, observation_report, violation_metrics
+from pyspark.sql import functions as F
+
+from tierline.operators.expectations import (
+    VIOLATIONS, drop_bits, gate, mask_report, observation_report, violation_mask, violation_metrics,
+)
+from tierline.streaming.tables import read_table
 from tierline.tables import exists
 
 LOG_SCHEMA = "query string, batch bigint, metric string, value bigint"
 
 
+def flag(df: DataFrame, expectations) -> DataFrame:
+    """Adds every row's violations; a FAIL expectation stops the stream."""
+    fails = [e for e in expectations if e.action == "fail"]
+    kept = df.filter(gate(fails)) if fails else df
+    return kept.withColumn(VIOLATIONS, violation_mask(expectations))
+
+
+def passing(flagged: DataFrame, expectations) -> DataFrame:
+    """The rows that belong to the dataset, without the mask."""
+    bits = F.lit(drop_bits(expectations))
+    return flagged.filter(F.col(VIOLATIONS).bitwiseAND(bits) == 0).drop(VIOLATIONS)
+
+
+def stored_report(spark: SparkSession, root: str, table: str, expectations,
+                  dataset: str | None = None) -> DataFrame:
+    """The report over the committed rows of a flagged streaming table (its
+    current generation); before the first commit all counts are 0."""
+    rows = read_table(spark, root, table, f"{VIOLATIONS} bigint")
+    return mask_report(rows.select(VIOLATIONS), expectations, dataset or table)
+
+
 def observe_stream(df: DataFrame, expectations, name: str) -> DataFrame:
     """Counts every expectation on each micro-batch, then applies the gate."""
     if not expectations:

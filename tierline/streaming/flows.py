@@ -33,6 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.operators.expectations import VIOLATIONS
 from tierline.tables import (
     exists, filesystem, has_data_files, register_bucketed, write_bucketed,
 )
@@ -217,7 +218,7 @@ class KeyedFlow:
             new = [r.path for r in listed.join(done, "path", "left_anti").collect()]
         if not new:
             return self.current_version(spark)
-        changes = spark.read.schema(src.schema).parquet(*new)
+        changes = spark.read.schema(src.schema).parquet(*new).drop(VIOLATIONS)
         rows, invalid, obs = self.prepare(changes)
         b = self.resolve_buckets(spark)
         reduced = self.reduce(rows).repartition(b, *self._bucket_keys())

@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline import tables
-from tierline.operators.expectations import observation_report
+from tierline.operators.expectations import VIOLATIONS, observation_report
 from tierline.operators.maintenance import dedupe, delete_where
 from tierline.plans import fraud, ingest, sales, seed, sensors
 from tierline.sources import testdata as td
-from tierline.streaming.checks import MetricsLog, observe_stream
-from tierline.streaming.tables import append_stream, data_path, read_table, stream_files
+from tierline.streaming.checks import flag, passing, stored_report
+from tierline.streaming.tables import append_stream, data_path, read_table, read_table_stream, stream_files
 from tierline.streaming.upsert import Scd1Flow
 
 FLAGS_SCHEMA = fraud.FLAG_SCHEMA + ", _corrupt_record string"
@@ -213,22 +213,18 @@ def medallion_feeds(spark: SparkSession, sf_dir: str | None, source: str = "even
 class Medallion:
     """Bronze flows + silver upserts + gold view of the sensor pipeline."""
 
-    CHECKS = "sensor_readings_checks"
-
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
         self.state = Scd1Flow(root, "sensor_state_silver", ["sensor_id"], "reading_seq")
         self.zones = Scd1Flow(root, "sensor_zone_silver", ["sensor_id"], sensors.ZONE_SEQUENCE)
         self.queries = []
-        self.metrics = MetricsLog(self.CHECKS, spark, f"{root.rstrip('/')}/{self.CHECKS}")
 
     def start(self, readings_feed: DataFrame, registry_feed: DataFrame,
               trigger: str = "availableNow") -> Medallion:
-        readings = observe_stream(sensors.readings_bronze(readings_feed, seed=7),
-                                  sensors.READINGS_EXPECTATIONS, self.CHECKS)
+        readings = flag(sensors.readings_bronze(readings_feed, seed=7), sensors.READINGS_EXPECTATIONS)
         registry = sensors.registry_bronze(registry_feed)
         # the silvers exist (empty) before the first refresh
-        self.state.declare(self.spark, readings.schema)
+        self.state.declare(self.spark, readings.drop(VIOLATIONS).schema)
         self.zones.declare(self.spark, registry.schema)
         self.queries = [
             append_stream(readings, self.root, "sensor_readings_bronze", trigger),
@@ -237,8 +233,6 @@ class Medallion:
 
     def refresh(self) -> None:
         """Silver upserts from whatever bronze committed, then the gold view."""
-        self.metrics.collect(self.queries)
-        self.metrics.store()
         with ThreadPoolExecutor(max_workers=2) as pool:      # the silvers are independent
             runs = [pool.submit(flow.run, self.spark, p)
                     for flow, bronze in ((self.state, "sensor_readings_bronze"),
@@ -265,7 +259,7 @@ class Medallion:
         return None if row is None else (row.state_version, row.zone_version)
 
     def run_triggered(self) -> None:
-        self.metrics.wait(*self.queries)
+        _wait(*self.queries)
         self.refresh()
 
     def run_continuous(self, interval_s: float, rounds: int | None = None, keep: int = 3,
@@ -288,39 +282,40 @@ class Medallion:
     def stop(self) -> None:
         for q in self.queries:
             q.stop()
-        self.metrics.collect(self.queries)
 
     def expectation_report(self) -> DataFrame:
-        """Counts of the readings expectation over every batch seen so far."""
-        self.metrics.collect(self.queries)
-        return observation_report(self.spark, self.metrics.totals(),
-                                  sensors.READINGS_EXPECTATIONS, "sensor_readings_bronze")
+        """Counts of the readings expectation over all committed readings."""
+        return stored_report(self.spark, self.root, "sensor_readings_bronze",
+                             sensors.READINGS_EXPECTATIONS)
 
 
 # ---- L1: ingest ------------------------------------------------------------------
 def ingest_landing(spark: SparkSession, landing: str, root: str, within: str | None = None) -> None:
     """The landed JSON lines so far into ``measurements``, one row per id.
-    Lines that do not parse and records that fail a check go to
-    ``measurements_set_aside`` and the ingest goes on; the counts are
-    published as ``measurements_expectations``. With ``within`` (such as
-    '7 days') ids are remembered that long after their ingest, which bounds
+    Every parsed line is kept with its violations in ``measurements_landed``;
+    lines that do not parse and records that fail a check go on to
+    ``measurements_set_aside``, the others to ``measurements``. The counts over
+    the landed lines are published as ``measurements_expectations``. A crash
+    between any two steps is made good by the next call. With ``within`` (such
+    as '7 days') ids are remembered that long after their ingest, which bounds
     the state; without, for ever."""
     schema = T.StructType([*ingest.MEASUREMENTS_SCHEMA.fields,
                            T.StructField("_corrupt_record", T.StringType())])
     parsed = stream_files(spark, landing, schema, fmt="json",
                           options={"columnNameOfCorruptRecord": "_corrupt_record"})
-    good = observe_stream(parsed, ingest.LANDING_EXPECTATIONS, "measurement_checks") \
-        .drop("_corrupt_record")
+    checks = ingest.LANDING_EXPECTATIONS
+    landed = flag(parsed, checks)
+    _wait(append_stream(landed, root, "measurements_landed"))
+    stored = read_table_stream(spark, root, "measurements_landed", landed.schema)
+    good = passing(stored, checks).drop("_corrupt_record")
     if within:
         good = dedupe(good.withColumn("_ingested", F.current_timestamp()), ["id"], "_ingested",
                       within).drop("_ingested")
     else:
         good = dedupe(good, ["id"])
-    log = MetricsLog("measurement_checks", spark, f"{root.rstrip('/')}/measurement_checks")
-    log.wait(append_stream(good, root, "measurements"),
-             append_stream(parsed.filter(ingest.SET_ASIDE), root, "measurements_set_aside"))
-    log.store()
-    tables.publish(observation_report(spark, log.totals(), ingest.LANDING_EXPECTATIONS, "measurements"),
+    bad = stored.filter(F.col(VIOLATIONS) != 0).drop(VIOLATIONS)
+    _wait(append_stream(good, root, "measurements"), append_stream(bad, root, "measurements_set_aside"))
+    tables.publish(stored_report(spark, root, "measurements_landed", checks, "measurements"),
                    root, "measurements_expectations")
 
 
