@@ -495,3 +495,80 @@ def test_flagged_streams_keep_drop_and_fail_apart(spark, root):
     with pytest.raises(Exception, match="EXPECT known"):
         flow().awaitTermination()
     assert landed_counts(stored_report(spark, root, "t", checks)) == got       # nothing committed
+
+
+# ---- merges that leave the target's files alone ------------------------------------
+def _deliver(spark, root, flow, data, schema=SCHEMA):
+    land = root + "/land"
+    spark.createDataFrame(data, schema).write.mode("append").parquet(land)
+    append_stream(stream_files(spark, land, schema), root, "bronze").awaitTermination()
+    return flow.run(spark, data_path(spark, root, "bronze"))
+
+
+def _files(spark, flow, v):
+    fs, p, _ = tables.filesystem(spark, flow._data_dir(spark, v)[0])
+    return {(st.getPath().toString(), st.getModificationTime()): st.getLen()
+            for st in fs.listStatus(p) if st.getPath().getName().endswith(".parquet")}
+
+
+def test_a_merge_writes_its_changes_and_nothing_else(spark, root):
+    from tierline.operators.cdc import scd1
+    flow = Scd1Flow(root, "silver", ["k"], "seq", buckets=4)
+    data = [(f"k{i}", 1, f"p{i}") for i in range(5000)]
+    first = _deliver(spark, root, flow, data)
+    before = _files(spark, flow, first)
+    late = [("k7", 2, "new"), ("k7", 0, "old"), ("fresh", 1, "x")]
+    second = _deliver(spark, root, flow, late)
+    assert _files(spark, flow, first) == before                 # the target's files are untouched
+    assert sum(_files(spark, flow, second).values()) < sum(before.values()) / 5
+    written = spark.read.parquet(flow._data_dir(spark, second)[0])
+    assert {r.k for r in written.collect()} == {"k7", "fresh"}
+    got = flow.read(spark)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert plan.count("Bucketed: true") == 2
+    assert rows(got) == rows(scd1(spark.createDataFrame(data + late, SCHEMA), ["k"], "seq"))
+
+
+def test_many_merges_equal_one_and_fold(spark, root, monkeypatch):
+    """Deltas are folded into one another, then into the state; every version
+    reads the same as one batch, also after old ones are freed."""
+    from tierline.operators.cdc import scd1
+    from tierline.streaming import flows
+    monkeypatch.setattr(flows, "MAX_DELTAS", 2)
+    flow = Scd1Flow(root, "silver", ["k"], "seq", buckets=2)
+    data = [(f"k{i}", 1, "p" * 50 + str(i)) for i in range(1000)]
+    _deliver(spark, root, flow, data)
+    kinds = []
+    for r in range(9):
+        change = [(f"k{i}", r, f"r{r}") for i in range(r, 1000, 400 if r < 5 else 3)] + [(None, r, "no key")]
+        v = _deliver(spark, root, flow, change)
+        data += change
+        first = flow._data_dir(spark, v)[2]
+        kinds.append("whole" if first is None else "own" if first == v else "folded")
+        if r % 3 == 2:
+            flow.retain(spark, 2)
+            assert len(flow._chain(spark, v)) <= 3
+        want = scd1(spark.createDataFrame([d for d in data if d[0]], SCHEMA), ["k"], "seq")
+        assert rows(flow.read(spark)) == rows(want)
+    assert set(kinds) == {"own", "folded", "whole"}
+    assert flow.quarantine(spark).count() == 9
+
+
+def test_a_crash_before_the_commit_of_a_delta(spark, root, monkeypatch):
+    flow = Scd1Flow(root, "silver", ["k"], "seq", buckets=2)
+    _deliver(spark, root, flow, [("a", 1, "p"), ("b", 1, "p")])
+    write = flow._write_version
+
+    def torn(spark_, v, data, *rest, **kw):
+        write(spark_, v, data, *rest, **kw)
+        fs, _, jvm = tables.filesystem(spark_, root)
+        fs.delete(jvm.org.apache.hadoop.fs.Path(flow._vdir(v) + "/files"), True)      # not committed
+        raise RuntimeError("crash")
+    monkeypatch.setattr(flow, "_write_version", torn)
+    with pytest.raises(RuntimeError):
+        _deliver(spark, root, flow, [("a", 2, "q")])
+    monkeypatch.undo()
+    assert rows(flow.read(spark)) == [("a", 1, "p"), ("b", 1, "p")]
+    flow.run(spark, data_path(spark, root, "bronze"))
+    assert rows(flow.read(spark)) == [("a", 2, "q"), ("b", 1, "p")]

@@ -10,14 +10,18 @@ Each run of a flow:
 2. reads only the new files and reduces them to one row per key with a
    partial + final aggregate (a key holding a third of the rows leaves every
    map task as one row), aligned to the state's buckets;
-3. merges them with the current state, stored as a table bucketed on the
-   keys: the union keeps the bucket partitioning, so the state is scanned
-   but never shuffled, and is written back bucketed;
-4. commits version n+1 as ``data_b<B>/`` (plus ``quarantine/`` when rows
-   were quarantined, ``_schema/`` when the state is empty) and then
-   ``files/`` (the manifest). A version counts once ``files/_SUCCESS``
-   exists, so a crash at any point leaves version n current and the rerun
-   repeats the same merge.
+3. writes them, bucketed on the keys, as a delta on top of the state; the
+   state's own files are neither read nor written, so a merge costs what its
+   changes cost, however large the target. Readers combine the state with its
+   deltas: all are bucketed alike and the union keeps the bucket partitioning,
+   so nothing is shuffled. Every ``MAX_DELTAS`` merges the deltas are folded
+   into one, or into the state once they hold half as many bytes: a row is
+   rewritten a number of times that grows with the logarithm of the target;
+4. commits version n+1 as ``delta_b<B>_from<k>/`` (the changes of versions k to
+   n+1) or ``data_b<B>/`` (the whole state), plus ``quarantine/`` when rows were
+   quarantined, ``_schema/`` when there are none, and then ``files/`` (the
+   manifest). A version counts once ``files/_SUCCESS`` exists, so a crash at
+   any point leaves version n current and the rerun repeats the same merge.
 
 Subclasses say how rows reduce (``reduce``) and how reduced rows merge with
 the state (``combine``); both must be associative and commutative for the runs
@@ -38,7 +42,8 @@ from tierline.tables import (
     exists, filesystem, has_data_files, register_bucketed, write_bucketed,
 )
 
-_DATA = "data_b"
+_DATA, _DELTA = "data_b", "delta_b"
+MAX_DELTAS = 6
 
 
 @dataclass
@@ -74,7 +79,8 @@ class KeyedFlow:
     def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
         raise NotImplementedError
 
-    # whether ``combine`` leaves rows in the state's buckets
+    # whether ``combine`` leaves rows in the state's buckets and takes any
+    # number of reduced rows per key, so that deltas can wait to be combined
     aligned = True
 
     def initial(self, reduced: DataFrame) -> DataFrame:
@@ -107,14 +113,35 @@ class KeyedFlow:
             out.append(int(n[2:]))
         return sorted(out)
 
-    def _data_dir(self, spark: SparkSession, v: int) -> tuple[str, int]:
+    def _data_dir(self, spark: SparkSession, v: int) -> tuple[str, int, int | None]:
+        """(folder, bucket count, first version of a delta or None for a whole
+        state) of a version."""
         fs, p, _ = filesystem(spark, self._vdir(v))
         for st in fs.listStatus(p):
             n = st.getPath().getName()
             if n.startswith(_DATA) and n[len(_DATA):].isdigit():
-                return f"{self._vdir(v)}/{n}", int(n[len(_DATA):])
+                return f"{self._vdir(v)}/{n}", int(n[len(_DATA):]), None
+            if n.startswith(_DELTA):
+                buckets, first = n[len(_DELTA):].split("_from")
+                return f"{self._vdir(v)}/{n}", int(buckets), int(first)
         raise FileNotFoundError(f"no data folder in {self._vdir(v)}")
 
+    def _chain(self, spark: SparkSession, v: int) -> list[int]:
+        """The versions that make up the state at version ``v``: the whole one,
+        then the deltas on top of it. At most ``MAX_DELTAS`` + 1."""
+        committed, out = self._list(spark, committed=True), []
+        while True:
+            out.append(v)
+            first = self._data_dir(spark, v)[2]
+            if first is None:
+                return out[::-1]
+            v = max(c for c in committed if c < first)
+
+    def _bytes(self, spark: SparkSession, v: int) -> int:
+        path = self._data_dir(spark, v)[0]
+        fs, p, _ = filesystem(spark, path)
+        return fs.getContentSummary(p).getLength() if has_data_files(spark, path) else 0
+
     def current_version(self, spark: SparkSession) -> int | None:
         c = self._list(spark, committed=True)
         return c[-1] if c else None
@@ -138,10 +165,15 @@ class KeyedFlow:
             if schema is None:
                 raise FileNotFoundError(f"{self.target} has no committed version")
             return spark.createDataFrame([], schema)
-        path, b = self._data_dir(spark, v)
+        whole, *deltas = [self._part(spark, c) for c in self._chain(spark, v)]
+        return self.combine(whole, _union(deltas)) if deltas else whole
+
+    def _part(self, spark: SparkSession, v: int) -> DataFrame:
+        path, b, first = self._data_dir(spark, v)
         marker = self._vdir(v) + "/_schema"
         schema = spark.read.parquet(marker if exists(spark, marker) else path).schema
-        return register_bucketed(spark, self._table(), path, self._bucket_keys(), b, schema)
+        return register_bucketed(spark, self._table("" if first is None else f"_d{v}"), path,
+                                 self._bucket_keys(), b, schema)
 
     def quarantine(self, spark: SparkSession) -> DataFrame | None:
         """All quarantined rows of the committed versions (None if none)."""
@@ -163,7 +195,8 @@ class KeyedFlow:
         committed = self._list(spark, committed=True)
         if not committed:
             return []
-        newest, kept = committed[-1], set(committed[-keep:])
+        newest = committed[-1]
+        kept = set(committed[-keep:]).union(*[self._chain(spark, v) for v in committed[-keep:]])
         fs, _, jvm = filesystem(spark, self._base())
         freed = []
         for v in self._list(spark, committed=False):
@@ -175,7 +208,7 @@ class KeyedFlow:
             else:
                 for st in fs.listStatus(vdir):
                     n = st.getPath().getName()
-                    if n.startswith(_DATA) or n == "_schema":
+                    if n.startswith((_DATA, _DELTA)) or n == "_schema":
                         fs.delete(st.getPath(), True)
                     elif n == "files":
                         for f in fs.listStatus(st.getPath()):
@@ -186,10 +219,10 @@ class KeyedFlow:
 
     # ---- the merge -----------------------------------------------------------
     def _write_version(self, spark, v, data, invalid, manifest, obs=None, buckets=None,
-                       aligned=False) -> None:
+                       aligned=False, first=None) -> None:
         base = self._vdir(v)
         b = buckets or self.resolve_buckets(spark)
-        path = f"{base}/{_DATA}{b}"
+        path = f"{base}/{_DATA}{b}" if first is None else f"{base}/{_DELTA}{b}_from{first}"
         write_bucketed(data, path, self._bucket_keys(), b, self._table(f"_w{v}"), aligned)
         if not has_data_files(spark, path):            # empty state: keep its schema
             data.limit(0).write.mode("overwrite").parquet(base + "/_schema")
@@ -222,17 +255,40 @@ class KeyedFlow:
         rows, invalid, obs = self.prepare(changes)
         b = self.resolve_buckets(spark)
         reduced = self.reduce(rows).repartition(b, *self._bucket_keys())
-        merged = self.initial(reduced) if current is None else self.combine(self.read(spark), reduced)
-        same = current is None or self._data_dir(spark, current)[1] == b
         existing = self._list(spark, committed=False)
         v = (existing[-1] + 1) if existing else 1
+        merged, first, aligned = self._merged(spark, current, reduced, v, b)
         manifest = done.unionByName(spark.createDataFrame([(f,) for f in new], "path string"))
-        self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs, b,
-                            self.aligned and same)
+        self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs, b, aligned, first)
         return v
 
+    def _merged(self, spark: SparkSession, current: int | None, reduced: DataFrame, v: int,
+                b: int) -> tuple[DataFrame, int | None, bool]:
+        """(what version ``v`` stores, first version of the delta or None for
+        the whole state, whether it is in the buckets already)."""
+        if current is None:
+            return self.initial(reduced), None, self.aligned
+        same = self._data_dir(spark, current)[1] == b
+        if not (self.aligned and same):
+            return self.combine(self.read(spark), reduced), None, False
+        whole, *deltas = self._chain(spark, current)
+        size = self._bytes(spark, whole)
+        if size and len(deltas) < MAX_DELTAS:
+            return reduced, v, True
+        if 2 * sum(self._bytes(spark, d) for d in deltas) >= size:
+            return self.combine(self.read(spark), reduced), None, True
+        oldest, *later = [self._part(spark, d) for d in deltas]
+        return self.combine(oldest, _union([*later, reduced])), self._data_dir(spark, deltas[0])[2], True
+
     def _other_generation(self, spark: SparkSession, version: int, source_path: str) -> bool:
         """Whether the version holds files of another generation of the source."""
         here = "/".join(source_path.rstrip("/").split("/")[-3:]) + "/"
         return not self._manifest(spark, version).filter(
             ~F.col("path").contains(here)).isEmpty()
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
