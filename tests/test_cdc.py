@@ -185,3 +185,22 @@ def test_merge_takes_new_columns(spark):
     snap = spark.createDataFrame([("a", 1, "x"), ("b", 5, "y")], SCHEMA)
     ch = spark.createDataFrame([("a", 2, "z", 7)], SCHEMA + ", extra int")
     assert rows(scd1_merge(snap, ch, ["k"], "seq")) == [("a", 2, "z", 7), ("b", 5, "y", None)]
+
+
+def test_a_repeated_pair_never_meets_in_one_window(spark):
+    """Three quarters of all rows repeat one (key, sequence): they collapse in
+    a partial aggregate, and the rest is what brute force makes of it."""
+    import re
+    from pyspark.sql import functions as F
+    pair = spark.range(30_000).select(F.lit("a").alias("k"), F.lit(5).cast("long").alias("seq"),
+                                      (F.col("id") % 7).cast("string").alias("v"))
+    other = spark.range(10_000).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("k"),
+                                       F.col("id").alias("seq"), F.lit("x").alias("v"))
+    df = pair.unionByName(other)
+    h = scd2(df, ["k"], "seq", partitions=4, hot_rows=100)
+    text = h._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Aggregate\(key=\[k#\d+, seq#\d+L\], functions=\[partial_max", text)
+    got = {(r.k, r.seq): r[END_AT] for r in h.collect()}
+    seqs = {"a": sorted({5, *range(0, 10_000, 2)}), "b": list(range(1, 10_000, 2))}
+    want = {(k, s): n for k, held in seqs.items() for s, n in zip(held, [*held[1:], None])}
+    assert got == want

@@ -1,5 +1,7 @@
+import math
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tierline.plans import fraud
@@ -86,3 +88,45 @@ def test_significance_matches_chi2_statistic(spark):
     assert abs(sig["party_size x payment_method"].statistic - joint.chi2) < 1e-6
     assert sig["party_size x payment_method"].dof == 3
     assert sig["payment_method"].p_value < 0.001 and sig["party_size"].p_value > 0.99
+
+
+def _p(spark, statistic, dof):
+    from tierline.plans.fraud import chi2_p_value
+    df = spark.createDataFrame([(statistic, dof)], "s double, d int")
+    return df.select(chi2_p_value(F.col("s"), F.col("d")).alias("p")).first().p
+
+
+@pytest.mark.parametrize("statistic,dof,p", [
+    (50.0, 1, 0.0), (3.841459, 1, 0.05), (18.307038, 10, 0.05), (0.5, 40, 1.0), (63.690740, 40, 0.01)])
+def test_p_values_of_few_groups(spark, statistic, dof, p):
+    assert abs(_p(spark, statistic, dof) - p) < 1e-6
+
+
+@pytest.mark.parametrize("statistic,dof", [
+    (400_000.0, 400_000), (400_300.0, 400_000), (403_600.0, 400_000), (4_000_000.0, 400_000),
+    (9_999.0, 9_999), (10_600.0, 9_999), (9_000.0, 9_999), (12_000.0, 3_000)])
+def test_p_values_of_many_groups(spark, statistic, dof):
+    """Against Wilson and Hilferty's cube root, good to some 1e-5 here."""
+    z = ((statistic / dof) ** (1 / 3) - (1 - 2 / (9 * dof))) / math.sqrt(2 / (9 * dof))
+    assert abs(_p(spark, statistic, dof) - 0.5 * math.erfc(z / math.sqrt(2))) < 2e-5
+
+
+def test_sql_form_counts_flags_that_are_not_fraud(spark, root):
+    """A cleared and a null flag multiply payments and are no fraud, in SQL as
+    in the DataFrame form."""
+    from tierline import tables
+    from tierline.plans import fraud, sql
+    bookings = spark.createDataFrame([(1, 2), (2, 2), (3, 4)], "booking_id long, guests_count int")
+    flags = spark.createDataFrame(
+        [(1, "fraud", "r", "t", 0.9), (1, "cleared", "r", "t", 0.9), (2, None, "r", "t", 0.9)],
+        fraud.FLAG_SCHEMA)
+    payments = spark.createDataFrame([(1, "card"), (2, "card"), (3, "cash")],
+                                     "booking_id long, payment_method string")
+    names = {}
+    for name, df in (("bookings", bookings), ("fraud_flags", flags), ("payments", payments)):
+        names[name] = f"{name}_{root.rsplit('-', 1)[1]}"
+        tables.publish_table(df, root, names[name])
+    got = spark.sql(sql.FRAUD_BY_PARTY_AND_METHOD.format(**names))
+    want = fraud.fraud_by_party_and_method(fraud.bookings_with_fraud(bookings, flags), payments)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert (2, "card", 3, 1, 33.33) in set(map(tuple, got.collect()))

@@ -572,3 +572,28 @@ def test_a_crash_before_the_commit_of_a_delta(spark, root, monkeypatch):
     assert rows(flow.read(spark)) == [("a", 1, "p"), ("b", 1, "p")]
     flow.run(spark, data_path(spark, root, "bronze"))
     assert rows(flow.read(spark)) == [("a", 2, "q"), ("b", 1, "p")]
+
+
+# ---- deletes hold for the rows of their time --------------------------------------
+def test_a_row_that_comes_after_a_delete_stays(spark, root):
+    land, schema = root + "/land", "id int, v int"
+
+    def insert(*data):
+        spark.createDataFrame(list(data), schema).write.mode("append").parquet(land)
+        append_stream(stream_files(spark, land, schema), root, "t").awaitTermination()
+
+    def left():
+        return sorted(map(tuple, P.remaining(spark, root, "t", schema).collect()))
+
+    P.delete_from(spark, root, "t", "id = 1", schema)               # nothing there yet
+    insert((1, 10), (2, 20))
+    P.delete_from(spark, root, "t", "id = 1", schema)
+    assert left() == [(2, 20)]
+    insert((1, 11), (3, 30), (None, 1))
+    P.delete_from(spark, root, "t", "id = 2", schema)
+    P.delete_from(spark, root, "t", "id = 2", schema)               # again: no further effect
+    want = {(1, 11), (3, 30), (None, 1)}
+    assert set(map(tuple, tables.read_latest(spark, root, "t_current").collect())) == want
+    assert set(map(tuple, P.remaining(spark, root, "t", schema).collect())) == want
+    P.delete_from(spark, root, "t", "true", schema)
+    assert P.remaining(spark, root, "t", schema).count() == 0

@@ -121,31 +121,27 @@ def scd2(df: DataFrame, keys, sequence_by: str, partitions: int | None = None,
     and __END_AT = the key's next sequence (null for the current version).
     Rows sharing (key, sequence) collapse by the SCD1 tie rule.
 
-    One shuffle of the rows, by (key, slice); a key that is not hot has one
+    Rows that repeat a (key, sequence) collapse in a partial aggregate before
+    they are shuffled, so such a pair may hold any share of the rows; the
+    versions are then shuffled by (key, slice); a key that is not hot has one
     slice. Everything stays in the JVM, so any payload passes unchanged."""
     keys, seq = _as_list(keys), sequence_by
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     valid = df.filter(valid_condition(keys, [seq]))
     cols = valid.columns
-    payload = [c for c in cols if c not in keys and c != seq]
-    types = {f.name: f.dataType for f in valid.schema.fields}
-    hashed = _hashable(valid, payload)
-    tie = [F.xxhash64(*[F.col(c) for c in hashed]).desc()] if hashed else []
-    tie += [F.col(c).desc() for c in payload if isinstance(types[c], _ORDERABLE)]
+    single = _reduce(valid, [*keys, seq], [seq], cols)
     # at most 4 * partitions keys
     hot = F.broadcast(_hot_slices(valid, keys, seq, n, hot_rows))
     place = F.size(F.filter("_bounds", lambda b: b <= F.col(seq)))
-    sliced = valid.join(hot, keys, "left").withColumn(
+    sliced = single.join(hot, keys, "left").withColumn(
         "_slice", F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(place))
     # the next slice's first sequence, for hot keys: at most that many slices
     heads = (sliced.filter(F.col("_bounds").isNotNull()).groupBy(*keys, "_slice")
              .agg(F.min(seq).alias("_head"))
              .select(*keys, "_slice", F.lead("_head").over(
                  Window.partitionBy(*keys).orderBy("_slice")).alias("_after")))
-    run = Window.partitionBy(*keys, "_slice").orderBy(F.col(seq), *tie)
-    versions = (sliced.withColumn("_before", F.lag(seq).over(run))
-                .filter(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(F.col(seq)))
-                .withColumn("_next", F.lead(seq).over(run)))
+    run = Window.partitionBy(*keys, "_slice").orderBy(seq)
+    versions = sliced.withColumn("_next", F.lead(seq).over(run))
     ended = versions.join(F.broadcast(heads), [*keys, "_slice"], "left")
     return ended.select(*cols, F.col(seq).alias(START_AT),
                         F.coalesce("_next", "_after").alias(END_AT))

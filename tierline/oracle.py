@@ -272,9 +272,7 @@ ORACLE_SQL = {
         f"WITH {_MEAS} SELECT * FROM measurements WHERE NOT coalesce(id = '42', false)",
     "owner_slug": OWNER_SLUG,
     "sales_stats_sql": f"WITH {_TX.format(product='p_type')}, {_STATS} SELECT * FROM stats",
-    "bookings_with_fraud_sql": f"WITH {_BWF} SELECT * FROM bwf",
     "fraud_by_party_and_method_sql": f"WITH {_GOLD} SELECT * FROM gold",
-    "zone_stats_gold_sql": f"WITH {_SILVERS} SELECT * FROM gold",
 }
 
 READINGS_EXPECTATIONS = f"""WITH {_READINGS}

@@ -103,13 +103,13 @@ def fraud_independence(gold: DataFrame) -> DataFrame:
                     F.count(F.lit(1)).alias("cells"))
 
 
-TERMS = 1000            # of the series below; enough for x up to a + 300
-
-
 def chi2_p_value(statistic: Column, dof: Column) -> Column:
     """P(X >= statistic) for a chi-square variable: one minus the regularised
     lower incomplete gamma function at a = dof / 2, x = statistic / 2, by its
-    power series ``x^a e^-x / Gamma(a + 1) * (1 + x/(a+1) + x^2/((a+1)(a+2)) + ...)``."""
+    power series ``x^a e^-x / Gamma(a + 1) * (1 + x/(a+1) + x^2/((a+1)(a+2)) + ...)``.
+    The terms grow up to the (x - a)-th and fall off within a few sqrt(x) behind
+    it. From ``x = a + sqrt(40 a) + 20`` on the value is below e^-20 (the
+    Laurent-Massart bound) and 0 is returned."""
     a, x = dof / F.lit(2.0), statistic / F.lit(2.0)
     # Gamma(a + 1) = a (a - 1) ... down to Gamma(1) = 1 or Gamma(1/2) = sqrt(pi)
     steps = F.sequence(F.lit(0), F.ceil(a).cast("int") - 1)
@@ -121,10 +121,13 @@ def chi2_p_value(statistic: Column, dof: Column) -> Column:
         term = acc["term"] * x / (a + n)
         return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
 
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), start, add, lambda acc: acc["sum"])
+    far = x > a + F.sqrt(a * 40) + 20
+    terms = F.ceil(F.greatest(F.when(far, F.lit(0.0)).otherwise(x - a), F.lit(0.0))
+                   + F.sqrt(F.least(x, a * 2 + 300)) * 12 + 50).cast("int")
+    series = F.aggregate(F.sequence(F.lit(1), terms), start, add, lambda acc: acc["sum"])
     lower = F.exp(a * F.log(x) - x - log_gamma) * series
     return (F.when(dof < 1, F.lit(None).cast("double")).when(x <= 0, F.lit(1.0))
-            .when(x > a * 2 + 300, F.lit(0.0))
+            .when(far, F.lit(0.0))
             .otherwise(F.greatest(F.lit(1.0) - lower, F.lit(0.0))))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tierline import tables
-from tierline.plans import fraud, sensors
+from tierline.plans import fraud
 from tierline.plans.seed import fraud_markers
 from tierline.session import work_root
 from tierline.sources import testdata as td
@@ -30,22 +30,15 @@ SELECT product, sum(n) AS txn_count, sum(units) AS units_sold,
 FROM spent JOIN shops USING (product) GROUP BY product
 """
 
-BOOKINGS_WITH_FRAUD = """
-SELECT b.*, f.flag = 'fraud' AS is_fraud, f.confidence AS fraud_confidence, f.reason AS fraud_reason
-FROM {fraud_flags} f JOIN {bookings} b USING (booking_id)
-UNION ALL
-SELECT b.*, false, CAST(NULL AS DOUBLE), CAST(NULL AS STRING)
-FROM {bookings} b LEFT ANTI JOIN {fraud_flags} f USING (booking_id)
-"""
-
 FRAUD_BY_PARTY_AND_METHOD = """
 WITH paid AS (
   SELECT booking_id, payment_method, count(*) AS times FROM {payments} GROUP BY ALL),
 flagged AS (
-  SELECT booking_id, count(*) AS flags FROM {fraud_flags} WHERE flag = 'fraud' GROUP BY booking_id),
+  SELECT booking_id, count(*) AS flags, count_if(flag = 'fraud') AS bad
+  FROM {fraud_flags} GROUP BY booking_id),
 weighed AS (
   SELECT guests_count, payment_method, times * coalesce(flags, 1) AS pairs,
-         times * coalesce(flags, 0) AS frauds
+         times * coalesce(bad, 0) AS frauds
   FROM {bookings} JOIN paid USING (booking_id) LEFT JOIN flagged USING (booking_id))
 SELECT guests_count AS party_size, payment_method, sum(pairs) AS total_bookings,
        sum(frauds) AS fraud_count,
@@ -53,15 +46,6 @@ SELECT guests_count AS party_size, payment_method, sum(pairs) AS total_bookings,
 FROM weighed GROUP BY ALL
 """
 
-ZONE_STATS_GOLD = """
-SELECT zone, count(*) AS sensor_count, count(*) FILTER (WHERE status = 'HOT') AS hot_sensors,
-       CAST(round(avg(exactly), 2) AS DOUBLE) AS avg_temp_c,
-       round(min(temperature_c), 2) AS min_temp_c, round(max(temperature_c), 2) AS max_temp_c
-FROM (SELECT sensor_id, status, temperature_c, CAST(temperature_c AS DECIMAL(30,10)) AS exactly
-      FROM {sensor_state_silver}) NATURAL JOIN {sensor_zone_silver} GROUP BY zone
-"""
-
-
 def _inputs(spark: SparkSession, sf_dir: str) -> dict:
     """The tables the statements may name, as functions."""
     updates = td.booking_updates(spark, sf_dir)
@@ -70,10 +54,6 @@ def _inputs(spark: SparkSession, sf_dir: str) -> dict:
         "bookings": lambda: fraud.bookings(updates),
         "fraud_flags": lambda: fraud_markers(updates, 3.0, method="portable", digest="portable"),
         "payments": lambda: td.payments(spark, sf_dir),
-        "sensor_state_silver": lambda: sensors.state_silver(
-            sensors.readings_bronze(td.readings_feed(spark, sf_dir))),
-        "sensor_zone_silver": lambda: sensors.zone_silver(
-            sensors.registry_bronze(td.registry_feed(spark, sf_dir))),
     }
 
 

@@ -225,21 +225,11 @@ def q_sales_stats_sql(spark, sf):
     return sql.run(spark, sf, sql.SALES_STATS)
 
 
-def q_bookings_with_fraud_sql(spark, sf):
-    from tierline.plans import sql
-    return sql.run(spark, sf, sql.BOOKINGS_WITH_FRAUD)
-
-
 def q_fraud_by_party_and_method_sql(spark, sf):
     from tierline.plans import sql
     return sql.run(spark, sf, sql.FRAUD_BY_PARTY_AND_METHOD)
 
 
-def q_zone_stats_gold_sql(spark, sf):
-    from tierline.plans import sql
-    return sql.run(spark, sf, sql.ZONE_STATS_GOLD)
-
-
 BATCH_QUERIES = {
     "sales_stats": q_sales_stats,
     "sales_stats_expectations": q_sales_stats_expectations,
@@ -272,7 +262,5 @@ BATCH_QUERIES = {
     "measurements_after_delete": q_measurements_after_delete,
     "owner_slug": q_owner_slug,
     "sales_stats_sql": q_sales_stats_sql,
-    "bookings_with_fraud_sql": q_bookings_with_fraud_sql,
     "fraud_by_party_and_method_sql": q_fraud_by_party_and_method_sql,
-    "zone_stats_gold_sql": q_zone_stats_gold_sql,
 }

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tierline import tables
 from tierline.operators.expectations import VIOLATIONS, observation_report
-from tierline.operators.maintenance import dedupe, delete_where
+from tierline.operators.maintenance import dedupe
 from tierline.plans import fraud, ingest, sales, seed, sensors
 from tierline.sources import testdata as td
 from tierline.streaming.checks import flag, passing, stored_report
@@ -328,23 +328,37 @@ def measurements_pipeline(spark: SparkSession, sf_dir: str, root: str, producers
     ingest_landing(spark, landing, root)
 
 
+def _deletable(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
+    """The stored rows with their place: file and row number within it."""
+    rows = tables.read_latest(spark, root, name)
+    if rows is None:
+        rows = read_table(spark, root, name, schema)
+        if data_path(spark, root, name) is None:                 # nothing stored, no places
+            return rows.withColumn("_file", F.lit("")).withColumn("_row", F.lit(0).cast("long"))
+    return rows.select("*", F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.row_index").alias("_row"))
+
+
+def remaining(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
+    """The rows of a table that no delete has removed, as they are now."""
+    rows = _deletable(spark, root, name, schema)
+    gone = f"{root.rstrip('/')}/{name}_deleted_rows"
+    if tables.exists(spark, gone + "/_SUCCESS"):
+        gone = spark.read.schema("_file string, _row bigint").parquet(gone)
+        rows = rows.join(gone, ["_file", "_row"], "left_anti")
+    return rows.drop("_file", "_row")
+
+
 def delete_from(spark: SparkSession, root: str, name: str, predicate: str, schema=None) -> int:
     """DELETE FROM name WHERE predicate (SQL text). The table itself is append
-    only: the predicates so far are kept in ``<name>_deletes`` and the table
-    without the rows of any of them is published as ``<name>_current``, so
-    rows that came since are in it (and a predicate also holds for them)."""
-    kept = tables.read_latest(spark, root, name + "_deletes")
-    predicates = [] if kept is None else [r.predicate for r in kept.collect()]
-    if predicate not in predicates:
-        predicates.append(predicate)
-    tables.publish(spark.createDataFrame([(p,) for p in predicates], "predicate string").coalesce(1),
-                   root, name + "_deletes")
-    left = tables.read_latest(spark, root, name)
-    if left is None:
-        left = read_table(spark, root, name, schema)
-    for p in predicates:
-        left = delete_where(left, p)
-    return tables.publish(left, root, name + "_current")
+    only: the places (file, row number) of the rows that match now are added to
+    ``<name>_deleted_rows``, in one commit, and what is left is published as
+    ``<name>_current``. A row that comes later stays, whatever its values; a
+    delete that is run again finds nothing more to remove."""
+    hits = _deletable(spark, root, name, schema).filter(F.coalesce(F.expr(predicate), F.lit(False)))
+    (hits.select("_file", "_row").write.mode("append")
+         .parquet(f"{root.rstrip('/')}/{name}_deleted_rows"))
+    return tables.publish(remaining(spark, root, name, schema), root, name + "_current")
 
 
 # ---- the catalog -----------------------------------------------------------------
