@@ -597,3 +597,77 @@ def test_a_row_that_comes_after_a_delete_stays(spark, root):
     assert set(map(tuple, P.remaining(spark, root, "t", schema).collect())) == want
     P.delete_from(spark, root, "t", "true", schema)
     assert P.remaining(spark, root, "t", schema).count() == 0
+
+
+# ---- line items that come before their order -----------------------------------------
+def _late_tables(spark, root):
+    sf = root + "/sf"
+    spark.createDataFrame([(1, 7, 1, 2.0, 10.0), (2, 7, 1, 3.0, 20.0), (3, 8, 2, 1.0, 5.0)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_quantity double, "
+                          "l_extendedprice double").write.parquet(f"{sf}/lineitem.parquet")
+    spark.createDataFrame([(1, 100)], "o_orderkey long, o_custkey long").write.parquet(f"{sf}/orders.parquet")
+    spark.createDataFrame([(7, "T")], "p_partkey long, p_type string").write.parquet(f"{sf}/part.parquet")
+    return sf
+
+
+def _sold(spark, root):
+    return {r["product"]: (r.txn_count, r.gross_revenue, r.unique_customers)
+            for r in tables.read_latest(spark, root, "sales_stats").collect()}
+
+
+def test_a_line_item_may_come_before_its_order_and_part(spark, root):
+    sf = _late_tables(spark, root)
+    P.sales_pipeline(spark, sf, root)
+    assert _sold(spark, root) == {"T": (1, 10.0, 1)}
+    spark.createDataFrame([(2, 200), (3, 100)], "o_orderkey long, o_custkey long") \
+        .write.mode("append").parquet(f"{sf}/orders.parquet")
+    P.sales_pipeline(spark, sf, root)
+    assert _sold(spark, root) == {"T": (2, 30.0, 2)}
+    spark.createDataFrame([(8, "U")], "p_partkey long, p_type string") \
+        .write.mode("append").parquet(f"{sf}/part.parquet")
+    for _ in range(2):
+        P.sales_pipeline(spark, sf, root)
+        assert _sold(spark, root) == {"T": (2, 30.0, 2), "U": (1, 5.0, 1)}
+
+
+def test_late_orders_reach_the_view_of_a_running_pipeline(spark, root):
+    """The flows were started before the order came."""
+    sf = _late_tables(spark, root)
+    flows = P.sales_ingest(spark, sf, root, "1 seconds")
+    try:
+        for q in flows:
+            q.processAllAvailable()
+        P.sales_refresh(spark, sf, root)
+        assert _sold(spark, root) == {"T": (1, 10.0, 1)}
+        spark.createDataFrame([(2, 200)], "o_orderkey long, o_custkey long") \
+            .write.mode("append").parquet(f"{sf}/orders.parquet")
+        P.sales_refresh(spark, sf, root)
+        assert _sold(spark, root) == {"T": (2, 30.0, 2)}
+    finally:
+        for q in flows:
+            q.stop()
+
+
+@pytest.mark.parametrize("folded", [1, 6])
+def test_sums_and_sets_over_many_deltas(spark, root, monkeypatch, folded):
+    """Deltas of sums and of distinct pairs count once, read before and after
+    they are folded."""
+    from tierline.streaming import flows
+    from tierline.streaming.incremental import DistinctFlow, PartialsFlow
+    monkeypatch.setattr(flows, "MAX_DELTAS", folded)
+    sums = PartialsFlow(root, "sums", ["k"], {"n": ("count", "*"), "total": ("sum", "seq")}, 4)
+    pairs = DistinctFlow(root, "pairs", ["k", "payload"], "payload", 4)
+    data = []
+    for r in range(5):
+        change = [(f"k{i % 7}", i + r, f"p{(i * r) % 5}") for i in range(60)]
+        _deliver(spark, root, sums, change)
+        pairs.run(spark, data_path(spark, root, "bronze"))
+        data += change
+        want = {}
+        for k, seq, _ in data:
+            n, t = want.get(k, (0, 0))
+            want[k] = (n + 1, t + seq)
+        assert {x.k: (x.n, x.total) for x in sums.read(spark).collect()} == want
+        assert rows(pairs.read(spark)) == sorted({(k, p) for k, _, p in data})
+        late = spark.createDataFrame([("k1", 5, "x"), ("new", 1, "y")], SCHEMA)
+        assert sums.combine(sums.read(spark), sums.reduce(late)).count() == 8

@@ -29,23 +29,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# what a line item still waits for: null once it is complete
+PENDING = "_pending"
+
+
 def sales_transactions(spark: SparkSession, sf_dir: str, product: str = "p_type",
                        lineitem: DataFrame | None = None, orders: DataFrame | None = None,
-                       part: DataFrame | None = None) -> DataFrame:
+                       part: DataFrame | None = None, waiting: bool = False) -> DataFrame:
     """product, quantity, totalPrice, customerID, franchiseID; ``product`` is
-    the part column that names the product (p_type: 6 values, p_brand: 25)."""
+    the part column that names the product (p_type: 6 values, p_brand: 25).
+    ``waiting`` keeps the line items whose order or part is not there yet, with
+    the keys they wait for in ``_pending`` (null in complete rows)."""
     li = (lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
     o = (orders if orders is not None else table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey")
     p = (part if part is not None else table(spark, sf_dir, "part")).select("p_partkey", product)
-    return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(p, li.l_partkey == p.p_partkey)
+    how = "left" if waiting else "inner"
+    keys = F.when(F.col("o_orderkey").isNull() | F.col("p_partkey").isNull(),
+                  F.struct("l_orderkey", "l_partkey")).alias(PENDING)
+    return (li.join(o, li.l_orderkey == o.o_orderkey, how)
+              .join(p, li.l_partkey == p.p_partkey, how)
               .select(F.col(product).alias("product"),
                       F.col("l_quantity").alias("quantity"),
                       F.col("l_extendedprice").alias("totalPrice"),
                       F.col("o_custkey").alias("customerID"),
-                      F.col("l_suppkey").alias("franchiseID")))
+                      F.col("l_suppkey").alias("franchiseID"), *([keys] if waiting else [])))
+
+
+def late_transactions(spark: SparkSession, sf_dir: str, stored: DataFrame,
+                      product: str = "p_type") -> DataFrame:
+    """The transactions among the stored waiting rows whose order and part
+    have come since."""
+    items = stored.filter(F.col(PENDING).isNotNull()).select(
+        f"{PENDING}.*", F.col("franchiseID").alias("l_suppkey"), F.col("quantity").alias("l_quantity"),
+        F.col("totalPrice").alias("l_extendedprice"))
+    return sales_transactions(spark, sf_dir, product, lineitem=items)
 
 
 def booking_updates(spark: SparkSession, sf_dir: str,

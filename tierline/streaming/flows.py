@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.operators.expectations import VIOLATIONS
+from tierline.sources.testdata import PENDING
 from tierline.tables import (
     exists, filesystem, has_data_files, register_bucketed, write_bucketed,
 )
@@ -172,8 +173,13 @@ class KeyedFlow:
         path, b, first = self._data_dir(spark, v)
         marker = self._vdir(v) + "/_schema"
         schema = spark.read.parquet(marker if exists(spark, marker) else path).schema
-        return register_bucketed(spark, self._table("" if first is None else f"_d{v}"), path,
+        part = register_bucketed(spark, self._table("" if first is None else f"_d{v}"), path,
                                  self._bucket_keys(), b, schema)
+        if first is None:
+            return part
+        # A union of plain columnar scans does not put equal buckets together,
+        # though it says so; this filter, true for every row, makes its input rows.
+        return part.filter(F.hash(*self._bucket_keys()) >= F.lit(-(1 << 31)))
 
     def quarantine(self, spark: SparkSession) -> DataFrame | None:
         """All quarantined rows of the committed versions (None if none)."""
@@ -252,6 +258,8 @@ class KeyedFlow:
         if not new:
             return self.current_version(spark)
         changes = spark.read.schema(src.schema).parquet(*new).drop(VIOLATIONS)
+        if PENDING in src.columns:                     # waiting rows are no changes yet
+            changes = changes.filter(F.col(PENDING).isNull()).drop(PENDING)
         rows, invalid, obs = self.prepare(changes)
         b = self.resolve_buckets(spark)
         reduced = self.reduce(rows).repartition(b, *self._bucket_keys())

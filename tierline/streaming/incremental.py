@@ -83,11 +83,17 @@ class IncrementalSalesStats:
         self.franchises = DistinctFlow(root, "sales_franchises", ["product", "franchiseID"],
                                        "franchiseID", buckets)
 
-    def view(self, spark: SparkSession) -> DataFrame:
-        p = self.partials.read(spark)
-        c = (self.customers.read(spark).groupBy(F.col("product").alias("_pc"))
+    def view(self, spark: SparkSession, late: DataFrame | None = None) -> DataFrame:
+        """The view over the states and, beside them, ``late`` transactions
+        (stored waiting, complete by now)."""
+        def state(flow: KeyedFlow) -> DataFrame:
+            held = flow.read(spark)
+            return held if late is None else flow.combine(held, flow.reduce(late))
+
+        p = state(self.partials)
+        c = (state(self.customers).groupBy(F.col("product").alias("_pc"))
                  .agg(F.count(F.lit(1)).alias("unique_customers")))
-        f = (self.franchises.read(spark).groupBy(F.col("product").alias("_pf"))
+        f = (state(self.franchises).groupBy(F.col("product").alias("_pf"))
                  .agg(F.count(F.lit(1)).alias("franchises_selling")))
         j = (p.join(c, p.product.eqNullSafe(c._pc), "left")
               .join(f, p.product.eqNullSafe(f._pf), "left"))
@@ -101,7 +107,7 @@ class IncrementalSalesStats:
             F.coalesce("unique_customers", F.lit(0)).alias("unique_customers"),
             F.coalesce("franchises_selling", F.lit(0)).alias("franchises_selling"))
 
-    def refresh(self, spark: SparkSession, source_path: str) -> int:
+    def refresh(self, spark: SparkSession, source_path: str, late: DataFrame | None = None) -> int:
         """Folds the new rows into the states, then publishes the gated view
         and its expectation report; returns the view version."""
         # the three states are independent: their jobs run concurrently
@@ -109,7 +115,7 @@ class IncrementalSalesStats:
             for f in [pool.submit(flow.run, spark, source_path)
                       for flow in (self.partials, self.customers, self.franchises)]:
                 f.result()
-        gated, obs = apply_expectations(self.view(spark), SALES_EXPECTATIONS, "sales_stats")
+        gated, obs = apply_expectations(self.view(spark, late), SALES_EXPECTATIONS, "sales_stats")
         v = tables.publish(gated, self.root, "sales_stats")
         tables.publish(observation_report(spark, obs, SALES_EXPECTATIONS, "sales_stats"),
                        self.root, "sales_stats_expectations")

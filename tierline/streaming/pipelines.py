@@ -84,20 +84,31 @@ def _sales_dimensions(spark: SparkSession, sf_dir: str, root: str) -> tuple[Data
 
 def sales_ingest(spark: SparkSession, sf_dir: str, root: str, trigger: str = "availableNow",
                  full_refresh: bool = False, max_files: int | None = None) -> list:
-    """The bronze flow of the sales pipeline, started."""
+    """The bronze flow of the sales pipeline, started. Every line item is
+    stored; one whose order or part is not in the tables yet waits there with
+    its keys (``_pending``)."""
     orders, part = _sales_dimensions(spark, sf_dir, root)
     tx = td.sales_transactions(spark, sf_dir, orders=orders, part=part,
-                               lineitem=_source(spark, sf_dir, "lineitem", max_files))
+                               lineitem=_source(spark, sf_dir, "lineitem", max_files), waiting=True)
     return [append_stream(tx, root, "sales_transactions", trigger, full_refresh)]
 
 
-def sales_refresh(spark: SparkSession, root: str) -> dict:
+def settled_sales(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """The complete transactions: those stored complete, and the waiting line
+    items whose order and part are there now. The few waiting rows are joined
+    with the tables as they are at each read, so nothing has to be moved."""
+    stored = read_table(spark, root, "sales_transactions")
+    return (stored.filter(F.col(td.PENDING).isNull()).drop(td.PENDING)
+            .unionByName(td.late_transactions(spark, sf_dir, stored)))
+
+
+def sales_refresh(spark: SparkSession, sf_dir: str, root: str) -> dict:
     """sales_stats (view with expectations) and its expectation report from
-    what bronze committed. A FAIL expectation raises and leaves the previous
+    what bronze committed and the orders and parts of this moment. A FAIL expectation raises and leaves the previous
     sales_stats version current."""
     if not committed(spark, root, "sales_transactions"):
         return {}
-    stats, obs = sales.sales_stats(read_table(spark, root, "sales_transactions"))
+    stats, obs = sales.sales_stats(settled_sales(spark, sf_dir, root))
     v = tables.publish(stats, root, "sales_stats")
     report = observation_report(spark, obs, sales.SALES_EXPECTATIONS, "sales_stats")
     tables.publish(report, root, "sales_stats_expectations")
@@ -108,14 +119,14 @@ def sales_pipeline(spark: SparkSession, sf_dir: str, root: str, full_refresh: bo
                    max_files: int | None = None) -> dict:
     """One triggered update: all available line items, then the view."""
     _wait(*sales_ingest(spark, sf_dir, root, "availableNow", full_refresh, max_files))
-    return sales_refresh(spark, root)
+    return sales_refresh(spark, sf_dir, root)
 
 
 def sales_continuous(spark: SparkSession, sf_dir: str, root: str, interval_s: float = 5.0,
                      stop: threading.Event | None = None, rounds: int | None = None) -> None:
     """Bronze runs on an interval and the view follows until ``stop`` is set."""
     run_until(sales_ingest(spark, sf_dir, root, f"{interval_s} seconds"),
-              lambda: sales_refresh(spark, root), interval_s, stop, rounds)
+              lambda: sales_refresh(spark, sf_dir, root), interval_s, stop, rounds)
 
 
 # ---- L3: fraud -----------------------------------------------------------------
@@ -290,15 +301,18 @@ class Medallion:
 
 
 # ---- L1: ingest ------------------------------------------------------------------
-def ingest_landing(spark: SparkSession, landing: str, root: str, within: str | None = None) -> None:
+REMEMBERED = "7 days"       # how long a producer may repeat a record
+
+
+def ingest_landing(spark: SparkSession, landing: str, root: str,
+                   within: str | None = REMEMBERED) -> None:
     """The landed JSON lines so far into ``measurements``, one row per id.
     Every parsed line is kept with its violations in ``measurements_landed``;
     lines that do not parse and records that fail a check go on to
     ``measurements_set_aside``, the others to ``measurements``. The counts over
     the landed lines are published as ``measurements_expectations``. A crash
-    between any two steps is made good by the next call. With ``within`` (such
-    as '7 days') ids are remembered that long after their ingest, which bounds
-    the state; without, for ever."""
+    between any two steps is made good by the next call. Ids are remembered for
+    ``within`` after their ingest, which bounds the state; None: for ever."""
     schema = T.StructType([*ingest.MEASUREMENTS_SCHEMA.fields,
                            T.StructField("_corrupt_record", T.StringType())])
     parsed = stream_files(spark, landing, schema, fmt="json",

@@ -17,7 +17,9 @@ from tierline.streaming.pipelines import (
     Medallion, _sales_dimensions, delete_from, fraud_pipeline, ingest_landing, measurements_pipeline,
     medallion_feeds, sales_pipeline,
 )
-from tierline.streaming.tables import append_stream, data_path, read_table, stream_files
+from tierline.streaming.tables import (
+    append_stream, data_path, name_table, read_table, stream_by_name, stream_files,
+)
 from tierline.streaming.upsert import Scd1Flow, Scd2Flow
 
 
@@ -28,9 +30,10 @@ def sales_round(spark: SparkSession, sf_dir: str, root: str, full_refresh: bool
     schema = td.table(spark, sf_dir, "lineitem").schema
     orders, part = _sales_dimensions(spark, sf_dir, root)
     landed = stream_files(spark, f"{root.rstrip('/')}/landing/lineitem", schema)
-    tx = td.sales_transactions(spark, sf_dir, lineitem=landed, orders=orders, part=part)
+    tx = td.sales_transactions(spark, sf_dir, lineitem=landed, orders=orders, part=part, waiting=True)
     append_stream(tx, root, "sales_transactions", full_refresh=full_refresh).awaitTermination()
-    IncrementalSalesStats(root).refresh(spark, data_path(spark, root, "sales_transactions"))
+    late = td.late_transactions(spark, sf_dir, read_table(spark, root, "sales_transactions"))
+    IncrementalSalesStats(root).refresh(spark, data_path(spark, root, "sales_transactions"), late)
 
 
 def sales_in_rounds(spark: SparkSession, sf_dir: str, root: str, rounds: int = 3) -> None:
@@ -271,7 +274,36 @@ def q_medallion_pipeline_row_counts(spark, sf):
         "zone_stats_gold": tables.read_latest(spark, root, "zone_stats_gold")})
 
 
+def q_payments_stream_by_name(spark, sf):
+    """A streaming table read as a stream by its catalog name into another one."""
+    def go(r):
+        pays = td.payments(spark, sf, orders=stream_files(
+            spark, f"{sf}/orders.parquet", td.table(spark, sf, "orders").schema))
+        append_stream(pays, r, "payments").awaitTermination()
+        name = name_table(spark, r, "payments", "payments_" + r.rsplit("-", 1)[1])
+        append_stream(stream_by_name(spark, name), r, "payments_copy").awaitTermination()
+    return read_table(spark, _run_once(spark, sf, "payments_by_name", go), "payments_copy")
+
+
+def q_sales_pipeline_late_orders(spark, sf):
+    """The line items arrive when two thirds of the orders are missing; the
+    view that follows the other orders holds them all."""
+    def go(r):
+        early = f"{r}/early"
+        for name in ("lineitem", "part"):
+            td.table(spark, sf, name).write.parquet(f"{early}/{name}.parquet")
+        orders = td.table(spark, sf, "orders")
+        first = F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0
+        orders.filter(first).write.parquet(f"{early}/orders.parquet")
+        sales_pipeline(spark, early, r)
+        orders.filter(~first).write.mode("append").parquet(f"{early}/orders.parquet")
+        sales_pipeline(spark, early, r)
+    return tables.read_latest(spark, _run_once(spark, sf, "sales_late", go), "sales_stats")
+
+
 STREAMING_QUERIES = {
+    "payments_stream_by_name": q_payments_stream_by_name,
+    "sales_pipeline_late_orders": q_sales_pipeline_late_orders,
     "sales_pipeline": q_sales_pipeline,
     "sales_pipeline_expectations": q_sales_pipeline_expectations,
     "sales_pipeline_incremental": q_sales_pipeline_incremental,
@@ -301,6 +333,9 @@ STREAMING_QUERIES = {
 def _streaming_oracle() -> dict:
     from tierline import oracle as o
     return {
+        "payments_stream_by_name": """SELECT o_orderkey AS booking_id, o_orderpriority AS payment_method,
+                                      o_totalprice AS amount, o_orderdate AS paid_at FROM orders""",
+        "sales_pipeline_late_orders": o.ORACLE_SQL["sales_stats"],
         "sales_pipeline": o.ORACLE_SQL["sales_stats"],
         "sales_pipeline_expectations": o.ORACLE_SQL["sales_stats_expectations"],
         "sales_pipeline_incremental": o.ORACLE_SQL["sales_stats"],
