@@ -511,8 +511,10 @@ def _files(spark, flow, v):
             for st in fs.listStatus(p) if st.getPath().getName().endswith(".parquet")}
 
 
-def test_a_merge_writes_its_changes_and_nothing_else(spark, root):
+def test_a_merge_writes_its_changes_and_nothing_else(spark, root, monkeypatch):
     from tierline.operators.cdc import scd1
+    from tierline.streaming import flows
+    monkeypatch.setattr(flows, "WHOLE_BYTES", 0)
     flow = Scd1Flow(root, "silver", ["k"], "seq", buckets=4)
     data = [(f"k{i}", 1, f"p{i}") for i in range(5000)]
     first = _deliver(spark, root, flow, data)
@@ -536,6 +538,7 @@ def test_many_merges_equal_one_and_fold(spark, root, monkeypatch):
     from tierline.operators.cdc import scd1
     from tierline.streaming import flows
     monkeypatch.setattr(flows, "MAX_DELTAS", 2)
+    monkeypatch.setattr(flows, "WHOLE_BYTES", 0)
     flow = Scd1Flow(root, "silver", ["k"], "seq", buckets=2)
     data = [(f"k{i}", 1, "p" * 50 + str(i)) for i in range(1000)]
     _deliver(spark, root, flow, data)
@@ -556,6 +559,8 @@ def test_many_merges_equal_one_and_fold(spark, root, monkeypatch):
 
 
 def test_a_crash_before_the_commit_of_a_delta(spark, root, monkeypatch):
+    from tierline.streaming import flows
+    monkeypatch.setattr(flows, "WHOLE_BYTES", 0)
     flow = Scd1Flow(root, "silver", ["k"], "seq", buckets=2)
     _deliver(spark, root, flow, [("a", 1, "p"), ("b", 1, "p")])
     write = flow._write_version
@@ -655,6 +660,7 @@ def test_sums_and_sets_over_many_deltas(spark, root, monkeypatch, folded):
     from tierline.streaming import flows
     from tierline.streaming.incremental import DistinctFlow, PartialsFlow
     monkeypatch.setattr(flows, "MAX_DELTAS", folded)
+    monkeypatch.setattr(flows, "WHOLE_BYTES", 0)
     sums = PartialsFlow(root, "sums", ["k"], {"n": ("count", "*"), "total": ("sum", "seq")}, 4)
     pairs = DistinctFlow(root, "pairs", ["k", "payload"], "payload", 4)
     data = []

@@ -16,7 +16,8 @@ Each run of a flow:
    deltas: all are bucketed alike and the union keeps the bucket partitioning,
    so nothing is shuffled. Every ``MAX_DELTAS`` merges the deltas are folded
    into one, or into the state once they hold half as many bytes: a row is
-   rewritten a number of times that grows with the logarithm of the target;
+   rewritten a number of times that grows with the logarithm of the target. A
+   state of a few KB (``WHOLE_BYTES``) is written whole;
 4. commits version n+1 as ``delta_b<B>_from<k>/`` (the changes of versions k to
    n+1) or ``data_b<B>/`` (the whole state), plus ``quarantine/`` when rows were
    quarantined, ``_schema/`` when there are none, and then ``files/`` (the
@@ -45,6 +46,7 @@ from tierline.tables import (
 
 _DATA, _DELTA = "data_b", "delta_b"
 MAX_DELTAS = 6
+WHOLE_BYTES = 64 << 10      # a state this small is cheaper written again than read in parts
 
 
 @dataclass
@@ -281,9 +283,9 @@ class KeyedFlow:
             return self.combine(self.read(spark), reduced), None, False
         whole, *deltas = self._chain(spark, current)
         size = self._bytes(spark, whole)
-        if size and len(deltas) < MAX_DELTAS:
+        if size > WHOLE_BYTES and len(deltas) < MAX_DELTAS:
             return reduced, v, True
-        if 2 * sum(self._bytes(spark, d) for d in deltas) >= size:
+        if size <= WHOLE_BYTES or 2 * sum(self._bytes(spark, d) for d in deltas) >= size:
             return self.combine(self.read(spark), reduced), None, True
         oldest, *later = [self._part(spark, d) for d in deltas]
         return self.combine(oldest, _union([*later, reduced])), self._data_dir(spark, deltas[0])[2], True
