@@ -677,3 +677,45 @@ def test_sums_and_sets_over_many_deltas(spark, root, monkeypatch, folded):
         assert rows(pairs.read(spark)) == sorted({(k, p) for k, _, p in data})
         late = spark.createDataFrame([("k1", 5, "x"), ("new", 1, "y")], SCHEMA)
         assert sums.combine(sums.read(spark), sums.reduce(late)).count() == 8
+
+
+@pytest.mark.parametrize("late_s", [0, 3600])
+def test_a_merge_looks_only_at_files_since_the_last_one(spark, root, monkeypatch, late_s):
+    from tierline.operators.cdc import scd1
+    from tierline.streaming import flows
+    monkeypatch.setattr(flows, "LATE_S", late_s)
+    flow, data = Scd1Flow(root + "/a b", "silver", ["k"], "seq", 2), []
+    for r in range(4):
+        change = [(f"k{i}", r, f"p{r}") for i in range(r, 9, 2)]
+        data += change
+        v = _deliver(spark, root, flow, change)
+        assert flow.run(spark, data_path(spark, root, "bronze")) == v            # nothing new
+    assert rows(flow.read(spark)) == rows(scd1(spark.createDataFrame(data, SCHEMA), ["k"], "seq"))
+    source = spark.read.parquet(data_path(spark, root, "bronze"))
+    n_files = len(source.inputFiles())
+    kept = flow._manifest(spark, v)
+    if late_s:
+        assert kept.count() == n_files
+    else:
+        assert kept.count() < n_files
+        plan = flow._written_since(source, kept, v)
+        assert plan.count() == kept.count()                                      # only the newest files
+
+
+def test_a_source_refreshed_to_nothing_empties_the_state(spark, root):
+    flow = Scd1Flow(root, "silver", ["k"], "seq", 2)
+    _deliver(spark, root, flow, [("a", 1, "p")])
+    empty = root + "/none"
+    spark.createDataFrame([], SCHEMA).write.parquet(empty)
+    append_stream(stream_files(spark, empty, SCHEMA), root, "bronze", full_refresh=True).awaitTermination()
+    for _ in range(2):
+        flow.run(spark, data_path(spark, root, "bronze"))
+        assert flow.read(spark).count() == 0
+
+
+def test_a_source_whose_path_has_blanks(spark, root):
+    from tierline.streaming.incremental import PartialsFlow
+    flow = PartialsFlow(root + "/x", "n", ["k"], {"n": ("count", "*")}, 2)
+    for r in range(3):
+        _deliver(spark, root + "/with blank", flow, [("a", r, "p"), ("b", r, "p")])
+    assert rows(flow.read(spark)) == [("a", 3), ("b", 3)]

@@ -58,10 +58,13 @@ def sales_transactions(spark: SparkSession, sf_dir: str, product: str = "p_type"
 
 
 def late_transactions(spark: SparkSession, sf_dir: str, stored: DataFrame,
-                      product: str = "p_type") -> DataFrame:
+                      product: str = "p_type") -> DataFrame | None:
     """The transactions among the stored waiting rows whose order and part
-    have come since."""
-    items = stored.filter(F.col(PENDING).isNotNull()).select(
+    have come since; None when no row waits."""
+    waiting = stored.filter(F.col(PENDING).isNotNull())
+    if waiting.isEmpty():
+        return None
+    items = waiting.select(
         f"{PENDING}.*", F.col("franchiseID").alias("l_suppkey"), F.col("quantity").alias("l_quantity"),
         F.col("totalPrice").alias("l_extendedprice"))
     return sales_transactions(spark, sf_dir, product, lineitem=items)

@@ -3,10 +3,12 @@ incrementally from the new files of an append-only streaming table.
 
 Each run of a flow:
 
-1. lists the committed files of the source table (their names, on the
-   driver) and anti-joins them (in Spark) with the manifest of files already
-   merged. A source whose generation changed (a full refresh) starts the
-   state afresh from all of its files;
+1. finds the source's committed files that were written since the newest one
+   already merged, less an hour for clocks that differ (``LATE_S``), and are not
+   in the manifest, which keeps the names of that hour. Only new names reach
+   the driver, and neither they nor the manifest grow with the history. A
+   source whose generation changed (a full refresh) starts the state afresh
+   from all of its files;
 2. reads only the new files and reduces them to one row per key with a
    partial + final aggregate (a key holding a third of the rows leaves every
    map task as one row), aligned to the state's buckets;
@@ -34,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +48,8 @@ from tierline.tables import (
 )
 
 _DATA, _DELTA = "data_b", "delta_b"
+MANIFEST = "path string, modified bigint"      # as Spark names a file; milliseconds
+LATE_S = 3600               # how far a file's time may lie behind an older file's
 MAX_DELTAS = 6
 WHOLE_BYTES = 64 << 10      # a state this small is cheaper written again than read in parts
 
@@ -157,7 +162,7 @@ class KeyedFlow:
         if cur is not None:
             return cur
         empty = spark.createDataFrame([], schema)
-        self._write_version(spark, 0, empty, empty, spark.createDataFrame([], "path string"))
+        self._write_version(spark, 0, empty, empty, spark.createDataFrame([], MANIFEST))
         return 0
 
     def read(self, spark: SparkSession, schema=None) -> DataFrame:
@@ -191,8 +196,8 @@ class KeyedFlow:
 
     def _manifest(self, spark: SparkSession, v: int | None) -> DataFrame:
         if v is None:
-            return spark.createDataFrame([], "path string")
-        return spark.read.parquet(self._vdir(v) + "/files")
+            return spark.createDataFrame([], MANIFEST)
+        return spark.read.schema(MANIFEST).parquet(self._vdir(v) + "/files")
 
     def retain(self, spark: SparkSession, keep: int = 2) -> list[int]:
         """Frees all but the newest ``keep`` committed versions: their state
@@ -246,20 +251,16 @@ class KeyedFlow:
                 not has_data_files(spark, source_path):
             return current
         src = spark.read.parquet(source_path)
-        files = src.inputFiles()
-        if current is None:
-            new = sorted(files)
-            done = spark.createDataFrame([], "path string")
-        elif self._other_generation(spark, current, source_path):
-            current, new = None, sorted(files)
-            done = spark.createDataFrame([], "path string")
-        else:
-            done = self._manifest(spark, current)
-            listed = spark.createDataFrame([(f,) for f in files], "path string")
-            new = [r.path for r in listed.join(done, "path", "left_anti").collect()]
-        if not new:
-            return self.current_version(spark)
-        changes = spark.read.schema(src.schema).parquet(*new).drop(VIOLATIONS)
+        refreshed = current is not None and self._other_generation(spark, current, source_path)
+        if refreshed:
+            current = None
+        done = self._manifest(spark, current)
+        listed = self._written_since(src, done, current)
+        new = listed.join(done, "path", "left_anti").collect()
+        if not new and not refreshed:
+            return current
+        files = spark.read.schema(src.schema).parquet(*[unquote(r.path) for r in new]) if new else src.limit(0)
+        changes = files.drop(VIOLATIONS)
         if PENDING in src.columns:                     # waiting rows are no changes yet
             changes = changes.filter(F.col(PENDING).isNull()).drop(PENDING)
         rows, invalid, obs = self.prepare(changes)
@@ -268,10 +269,26 @@ class KeyedFlow:
         existing = self._list(spark, committed=False)
         v = (existing[-1] + 1) if existing else 1
         merged, first, aligned = self._merged(spark, current, reduced, v, b)
-        manifest = done.unionByName(spark.createDataFrame([(f,) for f in new], "path string"))
+        manifest = done.unionByName(spark.createDataFrame(new, MANIFEST))
+        newest = max((r.modified for r in new), default=0)
+        manifest = manifest.filter(F.col("modified").isNull()
+                                   | (F.col("modified") >= newest - 1000 * LATE_S))
         self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs, b, aligned, first)
         return v
 
+    def _written_since(self, src: DataFrame, done: DataFrame, current: int | None) -> DataFrame:
+        """(path, modified) of the source's committed files with rows, as of the
+        manifest's newest file less ``LATE_S``. The condition is on file
+        metadata, so older files are left out when the scan is planned; of the
+        others only the row counts are read."""
+        mark = done.agg(F.max("modified").alias("m")).first().m if current is not None else None
+        if mark is not None:
+            since = F.timestamp_millis(F.lit(mark - 1000 * LATE_S))
+            src = src.filter(F.col("_metadata.file_modification_time") >= since)
+        files = src.select(F.col("_metadata.file_path").alias("path"),
+                           F.unix_millis("_metadata.file_modification_time").alias("modified"))
+        return files.distinct()
+
     def _merged(self, spark: SparkSession, current: int | None, reduced: DataFrame, v: int,
                 b: int) -> tuple[DataFrame, int | None, bool]:
         """(what version ``v`` stores, first version of the delta or None for
@@ -293,8 +310,8 @@ class KeyedFlow:
     def _other_generation(self, spark: SparkSession, version: int, source_path: str) -> bool:
         """Whether the version holds files of another generation of the source."""
         here = "/".join(source_path.rstrip("/").split("/")[-3:]) + "/"
-        return not self._manifest(spark, version).filter(
-            ~F.col("path").contains(here)).isEmpty()
+        same = F.col("path").contains(here) | F.col("path").contains(quote(here, safe="/=:,+@&$!*'();~"))
+        return not self._manifest(spark, version).filter(~same).isEmpty()
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -98,8 +98,9 @@ def settled_sales(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     items whose order and part are there now. The few waiting rows are joined
     with the tables as they are at each read, so nothing has to be moved."""
     stored = read_table(spark, root, "sales_transactions")
-    return (stored.filter(F.col(td.PENDING).isNull()).drop(td.PENDING)
-            .unionByName(td.late_transactions(spark, sf_dir, stored)))
+    complete = stored.filter(F.col(td.PENDING).isNull()).drop(td.PENDING)
+    late = td.late_transactions(spark, sf_dir, stored)
+    return complete if late is None else complete.unionByName(late)
 
 
 def sales_refresh(spark: SparkSession, sf_dir: str, root: str) -> dict:
