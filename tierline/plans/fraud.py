@@ -66,9 +66,47 @@ def fraud_from_counts(bwf: DataFrame, pay_counts: DataFrame) -> DataFrame:
     g = pairs.groupBy("party_size", "payment_method").agg(
         F.sum("_n").alias("total_bookings"),
         F.sum(F.when(F.col("is_fraud"), F.col("_n")).otherwise(F.lit(0))).alias("fraud_count"))
-    return g.select("party_size", "payment_method", "total_bookings", "fraud_count",
-                    F.round(F.col("fraud_count") * 100.0 / F.col("total_bookings"), 2)
-                     .cast("double").alias("fraud_rate_pct"))
+    return with_rate(g)
+
+
+def flag_partials() -> dict:
+    """Flags per booking: how many rows the left join gives it, and how many of
+    them are fraud (partials of an incremental count)."""
+    return {"_flags": ("count", "*"), "_frauds": ("count", F.when(F.col("flag") == "fraud", 1))}
+
+
+def pair_counts(bookings_df: DataFrame, flag_counts: DataFrame, pay_counts: DataFrame) -> DataFrame:
+    """(party_size, payment_method, total_bookings, fraud_count) out of counts
+    per booking: flags (``flag_partials``) and payments. Equal to the gold view's
+    counts; with inputs bucketed on booking_id nothing but the last partial
+    sums is shuffled."""
+    f = flag_counts.select("booking_id", "_flags", "_frauds")
+    b = bookings_df.select("booking_id", F.col("guests_count").alias("party_size"))
+    pays = pay_counts.select("booking_id", "payment_method", "_np")
+    pairs = b.join(f, "booking_id", "left").join(pays, "booking_id")
+    return pairs.groupBy("party_size", "payment_method").agg(
+        F.sum(F.greatest(F.coalesce("_flags", F.lit(0)), F.lit(1)) * F.col("_np")).alias("total_bookings"),
+        F.sum(F.coalesce("_frauds", F.lit(0)) * F.col("_np")).alias("fraud_count"))
+
+
+def with_rate(counts: DataFrame) -> DataFrame:
+    """The gold view from its counts."""
+    return counts.select("party_size", "payment_method", "total_bookings", "fraud_count",
+                         F.round(F.col("fraud_count") * 100.0 / F.col("total_bookings"), 2)
+                          .cast("double").alias("fraud_rate_pct"))
+
+
+def retracted(gold: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """Counts of the gold view after some bookings changed: what they counted
+    before is taken off, what they count now is added; a cell without a pair
+    goes. All three reduce map-side to a row per cell."""
+    cells = ["party_size", "payment_method"]
+    off = before.select(*cells, (-F.col("total_bookings")).alias("total_bookings"),
+                        (-F.col("fraud_count")).alias("fraud_count"))
+    both = gold.select(*off.columns).unionByName(off).unionByName(after.select(*off.columns))
+    return (both.groupBy(*cells).agg(F.sum("total_bookings").alias("total_bookings"),
+                                     F.sum("fraud_count").alias("fraud_count"))
+            .filter("total_bookings > 0"))
 
 
 def fraud_rate_by(gold: DataFrame, dimension: str) -> DataFrame:

@@ -165,10 +165,11 @@ class KeyedFlow:
         self._write_version(spark, 0, empty, empty, spark.createDataFrame([], MANIFEST))
         return 0
 
-    def read(self, spark: SparkSession, schema=None) -> DataFrame:
-        """The current state as a table bucketed on the keys (joins and
-        aggregates on the keys need no shuffle of it)."""
-        v = self.current_version(spark)
+    def read(self, spark: SparkSession, schema=None, version: int | None = None) -> DataFrame:
+        """The current state (or that of an earlier version that ``retain`` has
+        not freed) as a table bucketed on the keys (joins and aggregates on the
+        keys need no shuffle of it)."""
+        v = self.current_version(spark) if version is None else version
         if v is None:
             if schema is None:
                 raise FileNotFoundError(f"{self.target} has no committed version")
@@ -176,6 +177,23 @@ class KeyedFlow:
         whole, *deltas = [self._part(spark, c) for c in self._chain(spark, v)]
         return self.combine(whole, _union(deltas)) if deltas else whole
 
+    def changed_since(self, spark: SparkSession, version: int) -> DataFrame | None:
+        """The keys that merges after ``version`` wrote (with a folded delta
+        some older ones too), read from their deltas alone. None where that
+        cannot be told: the state was written whole since, or ``version`` was
+        freed."""
+        chain = self._chain(spark, self.current_version(spark))
+        try:
+            before = self._chain(spark, version)
+        except (FileNotFoundError, ValueError):
+            return None
+        if before[0] != chain[0]:
+            return None
+        parts = [self._part(spark, c) for c in chain if c > version]
+        if not parts:
+            return self._part(spark, chain[0]).select(*self.keys).limit(0)
+        return _union([p.select(*self.keys) for p in parts]).distinct()
+
     def _part(self, spark: SparkSession, v: int) -> DataFrame:
         path, b, first = self._data_dir(spark, v)
         marker = self._vdir(v) + "/_schema"

@@ -28,12 +28,13 @@ _MERGE = {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
 class PartialsFlow(KeyedFlow):
     """State: one row per group with partial aggregates. ``partials`` maps
     an output name to (op, column name or Column), op in count | sum | min |
-    max; counts merge by summing."""
+    max; counts merge by summing. Rows that ``only`` (a condition) refuses
+    are not counted."""
 
     def __init__(self, root: str, target: str, keys, partials: dict,
-                 buckets: int | None = None, bucket_by=None):
+                 buckets: int | None = None, bucket_by=None, only=None):
         super().__init__(root, target, list(keys), buckets, bucket_by)
-        self.partials = partials
+        self.partials, self.only = partials, only
 
     def reduce(self, rows: DataFrame) -> DataFrame:
         def column(c):
@@ -41,6 +42,8 @@ class PartialsFlow(KeyedFlow):
                 return F.lit(1) if c == "*" else F.col(c)
             return c
         aggs = [_REDUCE[op](column(col)).alias(name) for name, (op, col) in self.partials.items()]
+        if self.only is not None:
+            rows = rows.filter(self.only)
         return rows.groupBy(*self.keys).agg(*aggs)
 
     def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:

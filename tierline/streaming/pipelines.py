@@ -25,6 +25,7 @@ from tierline.operators.maintenance import dedupe
 from tierline.plans import fraud, ingest, sales, seed, sensors
 from tierline.sources import testdata as td
 from tierline.streaming.checks import flag, passing, stored_report
+from tierline.streaming.incremental import PartialsFlow
 from tierline.streaming.tables import append_stream, data_path, read_table, read_table_stream, stream_files
 from tierline.streaming.upsert import Scd1Flow
 
@@ -158,11 +159,11 @@ def fraud_ingest(spark: SparkSession, sf_dir: str, root: str, landing: str,
 
 def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) -> None:
     """Silver and gold from the bronze tables. Bookings (SCD1 state), the
-    silver view and the payment counts (kept incrementally) are all bucketed
-    on booking_id with the bookings state's bucket count, so the gold view's
-    per-booking reduction and join read them without a shuffle. Nothing
-    happens until all three bronze tables hold a commit."""
-    from tierline.streaming.incremental import PartialsFlow
+    silver view and the counts of flags and payments per booking (kept
+    incrementally) are all bucketed on booking_id with the bookings state's
+    bucket count, so they meet without a shuffle. The gold view is advanced by
+    the bookings that changed (``_fraud_counts``). Nothing happens until all
+    three bronze tables hold a commit."""
     if not all(committed(spark, root, t) for t in ("booking_updates", "fraud_flags", "payments")):
         return
     flow = Scd1Flow(root, "bookings", ["booking_id"], td.BOOKING_SEQUENCE, buckets)
@@ -171,18 +172,50 @@ def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) ->
     buckets = flow.resolve_buckets(spark)
     pays = PartialsFlow(root, "payment_counts", ["booking_id", "payment_method"],
                         {"_np": ("count", "*")}, buckets, bucket_by=["booking_id"])
-    with ThreadPoolExecutor(max_workers=1) as pool:      # independent of the bookings
-        counted = pool.submit(pays.run, spark, data_path(spark, root, "payments"))
+    marks = PartialsFlow(root, "flag_counts", ["booking_id"], fraud.flag_partials(), buckets,
+                         only=F.col("_corrupt_record").isNull())
+    with ThreadPoolExecutor(max_workers=2) as pool:      # independent of the bookings
+        counted = [pool.submit(f.run, spark, data_path(spark, root, t))
+                   for f, t in ((pays, "payments"), (marks, "fraud_flags"))]
         flow.run(spark, source)
         flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
         bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"))
         tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets,
                                 aligned=True)
-        counted.result()
-    gold = fraud.fraud_from_counts(
-        tables.read_latest_bucketed(spark, root, "bookings_with_fraud", ["booking_id"], buckets),
-        pays.read(spark))
-    tables.publish(gold, root, "fraud_by_party_and_method")
+        for c in counted:
+            c.result()
+    inputs = [f.current_version(spark) for f in (flow, marks, pays)]
+    v = tables.publish(fraud.with_rate(_fraud_counts(spark, root, flow, marks, pays)), root,
+                       "fraud_by_party_and_method")
+    tables.publish(spark.createDataFrame([(v, *inputs)], FRAUD_INPUTS), root, "fraud_gold_inputs")
+
+
+FRAUD_INPUTS = "gold_version int, bookings int, flags int, payments int"
+
+
+def _fraud_counts(spark: SparkSession, root: str, *states) -> DataFrame:
+    """Counts of the fraud gold view. From the last view and the versions of
+    the ``states`` (bookings, flags, payments) it was made from: only bookings
+    that a merge touched since are read, as they were and as they are. Over all
+    bookings where there is no such view (first run, a state loaded anew or
+    folded, a crash before the versions were noted)."""
+    made = tables.read_latest(spark, root, "fraud_gold_inputs")
+    row = None if made is None else made.first()
+    touched = [None]
+    if row is not None and row.gold_version == tables.latest_version(
+            spark, root, "fraud_by_party_and_method"):
+        touched = [f.changed_since(spark, v) for f, v in zip(states, row[1:], strict=True)]
+    if any(t is None for t in touched):
+        return fraud.pair_counts(*[f.read(spark) for f in states])
+    ids = touched[0].select("booking_id")
+    for t in touched[1:]:
+        ids = ids.unionByName(t.select("booking_id"))
+    ids = ids.distinct()
+    before, after = (fraud.pair_counts(*[f.read(spark, version=v).join(ids, "booking_id", "left_semi")
+                                         for f, v in zip(states, versions, strict=True)])
+                     for versions in (row[1:], [None] * len(states)))
+    gold = tables.read_version(spark, root, "fraud_by_party_and_method", row.gold_version)
+    return fraud.retracted(gold, before, after)
 
 
 def fraud_pipeline(spark: SparkSession, sf_dir: str, root: str, pct: float = 3.0,
