@@ -791,3 +791,32 @@ def test_fraud_gold_follows_changing_bookings(spark, root, monkeypatch):
     assert len(advanced) == 3
     cells = {(r.party_size, r.payment_method) for r in got.collect()}
     assert (77, "wire") not in cells and (1, "wire") in cells       # an emptied cell goes
+
+
+def test_a_late_change_rewrites_its_neighbours_only(spark, root, monkeypatch):
+    from tierline.operators.cdc import END_AT, START_AT, scd2
+    from tierline.streaming import flows
+    from tierline.streaming.upsert import Scd2Flow
+    monkeypatch.setattr(flows, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(flows, "MAX_DELTAS", 2)
+    flow = Scd2Flow(root, "history", ["k"], "seq", buckets=4)
+    data = [("hot", s, f"p{s}") for s in range(0, 30000, 10)] + [(f"k{i}", 5, "x") for i in range(500)]
+    first = _deliver(spark, root, flow, data)
+    before = _files(spark, flow, first)
+    key = lambda r: tuple((x is not None, x) for x in r)
+    rounds = [[("hot", 12345, "late")],                           # between two versions
+              [("hot", -1, "first"), ("hot", 40000, "last"), ("k7", 5, "tie"), ("k7", 5, "other")],
+              [("hot", 12345, "again"), ("hot", 12346, "b"), ("new", 1, "n"), (None, 1, "no key")],
+              [("hot", s, "many") for s in range(3, 30000, 10)]]
+    for n, change in enumerate(rounds):
+        v = _deliver(spark, root, flow, change)
+        data += change
+        if n == 0:
+            assert _files(spark, flow, first) == before
+            got = spark.read.parquet(flow._data_dir(spark, v)[0]).collect()
+            assert sorted((r.k, r.seq, r[END_AT]) for r in got) == [("hot", 12340, 12345), ("hot", 12345, 12350)]
+        want = scd2(spark.createDataFrame(data, SCHEMA), ["k"], "seq")
+        cols = ["k", "seq", "payload", START_AT, END_AT]
+        assert sorted(map(tuple, flow.read(spark).select(cols).collect()), key=key) == \
+            sorted(map(tuple, want.select(cols).collect()), key=key)
+    assert flow.quarantine(spark).count() == 1

@@ -63,17 +63,22 @@ def _order(df: DataFrame, keys, seq) -> Column:
     return F.struct(*parts)
 
 
+def winner(valid: DataFrame, keys: list[str], seq: list[str]) -> Column:
+    """Aggregate holding the columns, other than the keys, of the row that wins
+    its key: highest sequence, ties by the SCD1 rule."""
+    payload = [c for c in valid.columns if c not in keys]
+    types = {f.name: f.dataType for f in valid.schema.fields}
+    order = _order(valid, keys, seq)
+    if all(isinstance(types[c], _ORDERABLE) or c in seq for c in payload) and "_tie" not in payload:
+        return F.max(order)                  # the order holds the whole row
+    return F.max_by(F.struct(*[F.col(c) for c in payload]), order)
+
+
 def _reduce(valid: DataFrame, keys: list[str], seq: list[str], columns) -> DataFrame:
     payload = [c for c in columns if c not in keys]
     if not payload:
         return valid.select(*keys).distinct()
-    types = {f.name: f.dataType for f in valid.schema.fields}
-    order = _order(valid, keys, seq)
-    if all(isinstance(types[c], _ORDERABLE) or c in seq for c in payload) and "_tie" not in payload:
-        won = F.max(order)                  # the order holds the whole row
-    else:
-        won = F.max_by(F.struct(*[F.col(c) for c in payload]), order)
-    won = valid.groupBy(*keys).agg(won.alias("_w"))
+    won = valid.groupBy(*keys).agg(winner(valid.select(*columns), keys, seq).alias("_w"))
     return won.select(*[F.col(k) if k in keys else F.col(f"_w.{k}").alias(k) for k in columns])
 
 

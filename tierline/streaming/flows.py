@@ -95,6 +95,11 @@ class KeyedFlow:
         """The first state, from the first reduced rows."""
         return reduced
 
+    def changes(self, spark: SparkSession, reduced: DataFrame) -> DataFrame:
+        """What reduced rows change in the current state: the rows that a delta
+        holds and that ``combine`` takes beside the state."""
+        return reduced
+
     # ---- layout ------------------------------------------------------------
     def _base(self) -> str:
         return f"{self.root.rstrip('/')}/{self.target}"
@@ -313,6 +318,7 @@ class KeyedFlow:
         the whole state, whether it is in the buckets already)."""
         if current is None:
             return self.initial(reduced), None, self.aligned
+        reduced = self.changes(spark, reduced)
         same = self._data_dir(spark, current)[1] == b
         if not (self.aligned and same):
             return self.combine(self.read(spark), reduced), None, False

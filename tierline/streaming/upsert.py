@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tierline.operators.cdc import END_AT, START_AT, scd1, scd1_merge, scd2, valid_condition
+from tierline.operators.cdc import END_AT, START_AT, scd1, scd1_merge, scd2, valid_condition, winner
 from tierline.streaming.flows import KeyedFlow
 
 
@@ -45,14 +45,15 @@ class Scd2Flow(KeyedFlow):
     """Incremental history (``STORED AS SCD TYPE 2``): every accepted
     (key, sequence) is a version with __START_AT / __END_AT.
 
-    A merge recomputes the history only of the keys the new changes touch:
-    those keys' versions are taken from the state by a semi-join, unioned with
-    the new versions and re-chained with ``scd2``; a late change with a lower
-    sequence therefore re-closes the right versions. Untouched keys pass
-    through unchanged. The state is bucketed on (keys, sequence), so the
-    history of a hot key spreads over all buckets."""
+    A merge writes the new versions and those right before them, whose end
+    moves; all others stay as they are. Who stands next to a new sequence is
+    told from keys and sequences alone, of the touched keys only (``scd2``, so
+    a hot key is cut into slices of its sequence); payloads of the versions
+    whose end moves are then picked from the state in their buckets. The state
+    is bucketed on (keys, sequence), so the history of a hot key spreads over
+    all buckets. Inserting versions only ever brings an end forward, so copies
+    of a version in several deltas combine to the earliest end, in any order."""
     sequence_by: str = None
-    aligned = False
 
     def __init__(self, root: str, target: str, keys, sequence_by: str,
                  buckets: int | None = None):
@@ -72,10 +73,33 @@ class Scd2Flow(KeyedFlow):
     def initial(self, reduced: DataFrame) -> DataFrame:
         return scd2(reduced, self.keys, self.sequence_by)
 
-    def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
+    def changes(self, spark: SparkSession, reduced: DataFrame) -> DataFrame:
+        version = [*self.keys, self.sequence_by]
+        state = self.read(spark)
         touched = reduced.select(*self.keys).distinct()
-        old = state.join(touched, self.keys, "left_semi").drop(START_AT, END_AT)
-        rest = state.join(touched, self.keys, "left_anti")
-        rechained = scd2(old.unionByName(reduced.select(*old.columns)), self.keys,
-                         self.sequence_by)
-        return rest.unionByName(rechained)
+        known = (state.select(*version, F.col(END_AT).alias("_was"), F.lit(False).alias("_new"))
+                 .join(touched, self.keys, "left_semi"))
+        points = known.unionByName(reduced.select(
+            *version, F.lit(None).cast(known.schema["_was"].dataType).alias("_was"),
+            F.lit(True).alias("_new")))
+        # a sequence that comes again is one point, and new
+        points = points.groupBy(*version).agg(F.max("_new").alias("_new"), F.max("_was").alias("_was"))
+        placed = scd2(points, self.keys, self.sequence_by)
+        fresh = placed.filter("_new").select(*version, START_AT, END_AT)
+        moved = (placed.filter(~F.col("_new") & ~F.col("_was").eqNullSafe(F.col(END_AT)))
+                 .select(*version, F.col(END_AT).alias("_end")))
+        new = reduced.join(fresh, version)
+        old = (state.join(moved, version)
+               .withColumn(END_AT, F.col("_end")).drop("_end").select(*state.columns))
+        return (old.unionByName(new, allowMissingColumns=True)
+                .repartition(self.resolve_buckets(spark), *version))
+
+    def combine(self, state: DataFrame, reduced: DataFrame) -> DataFrame:
+        both = state.unionByName(reduced, allowMissingColumns=True)
+        version = [*self.keys, self.sequence_by]
+        payload = [c for c in both.columns if c not in (START_AT, END_AT)]
+        won = winner(both.select(*payload), version, [self.sequence_by])
+        ends = F.min(F.struct(F.col(END_AT).isNull().alias("open"), F.col(END_AT).alias("end"))).alias("_e")
+        one = both.groupBy(*version).agg(won.alias("_w"), ends)
+        return one.select(*[F.col(c) if c in version else F.col(f"_w.{c}").alias(c) for c in payload],
+                          F.col(self.sequence_by).alias(START_AT), F.col("_e.end").alias(END_AT))
