@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import stored, word_count
@@ -42,12 +42,13 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MAX_REPEAT = 3.0
 GROUP = 1024
 SEED = 1
-MAX_SOURCES = 100_000   # the source table is planned on the driver up to here
+LARGE = 1000            # sources with more than a LARGE-th of all rows are joined in SALTS parts
+SALTS = 64
 
 
 def water_fill(sizes: list[float], weights: list[float], max_repeat: float) -> list[float]:
     """Targets that share ``sum(sizes)`` by weight, none above ``max_repeat``
-    times its size."""
+    times its size: ``source_targets`` on lists."""
     targets = [0.0] * len(sizes)
     open_, rest = set(range(len(sizes))), float(sum(sizes))
     while open_:
@@ -64,21 +65,56 @@ def water_fill(sizes: list[float], weights: list[float], max_repeat: float) -> l
     return targets
 
 
+def ranked(sources: DataFrame) -> DataFrame:
+    """``sources`` with ``source_no``, gapless from 0 in code-point order, null
+    last: sorted by range, numbered per range behind the counts of the ranges
+    before it (one row per partition)."""
+    order = [F.col("source").isNull(), F.col("source")]
+    cut = stored(sources.repartitionByRange(*order).sortWithinPartitions(*order)
+                 .withColumn("part", F.spark_partition_id()), "ranges")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (cut.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+              .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    return (cut.withColumn("place", place).join(F.broadcast(starts), "part")
+            .withColumn("source_no", F.col("start") + F.col("place") - 1)
+            .drop("part", "place", "start"))
+
+
 def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeat: float = MAX_REPEAT) -> DataFrame:
-    """(source, source_size, target) from (source, size) rows. Sources come in
-    code-point order, null last, and weigh ``weights`` in turn."""
-    spark = sized.sparkSession
-    rows = (sized.groupBy("source").agg(F.sum("size").alias("n"))
-            .limit(MAX_SOURCES + 1).collect())
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    sizes = [float(r["n"] or 0) for r in rows]
-    w = [float(weights[i % len(weights)]) for i in range(len(rows))]
-    targets = water_fill(sizes, w, max_repeat)
-    return spark.createDataFrame(
-        [(r["source"], int(r["n"] or 0), t) for r, t in zip(rows, targets, strict=True)],
-        "source string, source_size long, target double")
+    """(source, source_no, rows, weighed, source_size, target) from (source,
+    size) rows: numbers of rows and of rows with words, words, target. Sources
+    come in code-point order, null last, and weigh ``weights`` in turn; targets
+    share all words by weight, none above ``max_repeat`` times its size
+    (water-filling).
+
+    Each round marks the sources that the present level fills and raises the
+    level for the others, by one aggregate over the stored source table that
+    returns a row per weight. A filled source stays filled, so rounds end when
+    their number no longer changes. Sums are of whole numbers, so exact."""
+    plan = stored(ranked(sized.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("size") > 0).alias("weighed"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("source_size"))), "sources")
+    plan = plan.withColumn("kind", F.pmod("source_no", F.lit(len(weights))).cast("int"))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("kind") + 1)
+    cap = F.lit(float(max_repeat)) * F.col("source_size")
+    words = float(plan.agg(F.sum("source_size")).first()[0] or 0)
+    rest, total, filled = words, None, -1
+    full = F.lit(False)
+    while True:
+        rows = plan.groupBy("kind").agg(
+            F.count_if(~full).alias("open"), F.count_if(full).alias("filled"),
+            F.coalesce(F.sum(F.when(full, F.col("source_size"))), F.lit(0)).alias("size")).collect()
+        rest = words - max_repeat * sum(r["size"] for r in rows)
+        total = sum(float(weights[r["kind"]]) * r["open"] for r in sorted(rows))
+        now = sum(r["filled"] for r in rows)
+        if now == filled or total <= 0:
+            break
+        filled = now
+        full = F.lit(rest) * weight / F.lit(total) > cap
+    share = F.lit(rest) * weight / F.lit(total or 1.0)
+    return plan.select("source", "source_no", "rows", "weighed", "source_size",
+                       F.when(full, cap).otherwise(share).alias("target"))
 
 
 def pivot(size: np.ndarray, prob: np.ndarray, rnd: np.ndarray) -> np.ndarray:
@@ -111,28 +147,30 @@ def _uniform(*cols: Column) -> Column:
 
 
 def _round_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows come sorted by (source_no, grp, row key); a group may span batches."""
-    held: list[pd.DataFrame] = []
-
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        new = pivot(pdf["size"].to_numpy(), pdf["prob"].to_numpy(), pdf["rnd"].to_numpy())
-        return pdf.assign(prob=new)
-
+    """Rows come sorted by (source_no, grp, row key); a group may span batches.
+    Of a batch's last group only the document that is still fractional waits
+    for the next batch."""
+    hand: pd.DataFrame | None = None
     for pdf in batches:
-        if held:
-            pdf = pd.concat([*held, pdf], ignore_index=True)
-            held = []
+        if hand is not None:
+            pdf = pd.concat([hand, pdf], ignore_index=True)
+            hand = None
         if not len(pdf):
             continue
-        key = pdf["source_no"].to_numpy() * (1 << 40) + pdf["grp"].to_numpy()
-        cuts = np.flatnonzero(key[1:] != key[:-1]) + 1
+        source, grp = pdf["source_no"].to_numpy(), pdf["grp"].to_numpy()
+        cuts = np.flatnonzero((source[1:] != source[:-1]) | (grp[1:] != grp[:-1])) + 1
         edges = [0, *cuts.tolist(), len(pdf)]
-        out = [settle(pdf.iloc[a:b]) for a, b in zip(edges[:-2], edges[1:-1], strict=True)]
-        held = [pdf.iloc[edges[-2]:]]
-        if out:
-            yield pd.concat(out, ignore_index=True)[["row", "prob"]]
-    if held:
-        yield settle(held[0])[["row", "prob"]]
+        size, prob, rnd = (pdf[c].to_numpy() for c in ("size", "prob", "rnd"))
+        new = np.concatenate([pivot(size[a:b], prob[a:b], rnd[a:b])
+                              for a, b in zip(edges[:-1], edges[1:], strict=True)])
+        pdf = pdf.assign(prob=new)
+        last = np.arange(len(pdf)) >= edges[-2]
+        waits = last & (new > 0) & (new < 1)
+        if waits.any():
+            hand = pdf[waits]
+        yield pdf.loc[~waits, ["row", "prob"]]
+    if hand is not None:
+        yield hand[["row", "prob"]]
 
 
 def copies(docs: DataFrame, keep: list[Column], weights=WEIGHTS, max_repeat: float = MAX_REPEAT,
@@ -148,12 +186,18 @@ def copies(docs: DataFrame, keep: list[Column], weights=WEIGHTS, max_repeat: flo
         F.monotonically_increasing_id().alias("row"),
         word_count(F.col(text_col)).alias("size"),
         F.xxhash64(F.lit(seed), F.col(id_col), F.xxhash64(F.col(text_col))).alias("h")), "sizes")
-    plan = source_targets(base.select("source", "size"), weights, max_repeat)
-    plan = plan.withColumn("_src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))) \
-        .drop("source").coalesce(1).withColumn("source_no", F.monotonically_increasing_id())
-    plan = stored(plan, "plan")
-    sized = (base.withColumn("_src", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
-             .join(F.broadcast(plan), "_src")
+    key = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")).alias("_src")
+    plan = stored(source_targets(base.select("source", "size"), weights, max_repeat)
+                  .select(key, "source_no", "rows", "weighed", "source_size", "target"), "plan")
+    every = plan.agg(F.sum("rows")).first()[0] or 0
+    large = F.col("rows") > F.lit(every / LARGE)
+    # fewer than LARGE rows; however many sources there are, none meets in one task
+    hot = F.broadcast(plan.filter(large).select("_src", F.lit(True).alias("_hot")))
+    parts = F.when(large, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col("_hot"), F.pmod("row", F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    sized = (base.withColumn("_src", key).join(hot, "_src", "left").withColumn("_salt", salt)
+             .drop("_hot").join(plan.withColumn("_salt", F.explode(parts)), ["_src", "_salt"])
+             .withColumn("groups", F.ceil(F.col("weighed") / GROUP))
              .withColumn("each", F.when(F.col("source_size") > 0,
                                         F.least(F.col("target") / F.col("source_size"),
                                                 F.lit(max_repeat))).otherwise(F.lit(1.0)))
@@ -161,14 +205,12 @@ def copies(docs: DataFrame, keep: list[Column], weights=WEIGHTS, max_repeat: flo
              .withColumn("frac", F.col("each") - F.floor("each")))
     exact = F.col("size") > 0
     todo = sized.filter(exact & (F.col("frac") > 0)).select(
-        "row", "source_no", "size", "h", F.col("frac").alias("prob"))
+        "row", "source_no", "groups", "size", "h", F.col("frac").alias("prob"))
     settled, level = None, 0
-    n = todo.groupBy("source_no").count().agg(F.max("count")).collect()[0][0] or 0
-    while n > 1:
-        # a row per source: at most MAX_SOURCES
-        groups = todo.groupBy("source_no").agg(F.ceil(F.count(F.lit(1)) / GROUP).alias("groups"))
-        dealt = (todo.join(F.broadcast(groups), "source_no")
-                 .withColumn("grp", F.pmod(F.xxhash64("h", F.lit(level)), F.col("groups")))
+    # a group leaves one document at most, so the next level's groups are known
+    groups = todo.agg(F.max("groups")).first()[0] or 0
+    while groups > 0:
+        dealt = (todo.withColumn("grp", F.pmod(F.xxhash64("h", F.lit(level)), F.col("groups")))
                  .withColumn("rnd", _uniform(F.col("h"), F.lit(level), F.lit("x")))
                  .repartition("source_no", "grp")
                  # neighbours of like size exchange mass: totals stay close for any subset
@@ -179,9 +221,10 @@ def copies(docs: DataFrame, keep: list[Column], weights=WEIGHTS, max_repeat: flo
         done = moved.filter((F.col("prob") <= 0) | (F.col("prob") >= 1))
         settled = done if settled is None else settled.unionByName(done)
         left = moved.filter((F.col("prob") > 0) & (F.col("prob") < 1))
-        todo = stored(left.join(todo.drop("prob"), "row"), f"left{level}")
+        todo = stored(left.join(todo.drop("prob"), "row")
+                      .withColumn("groups", F.ceil(F.col("groups") / GROUP)), f"left{level}")
         level += 1
-        n = todo.groupBy("source_no").count().agg(F.max("count")).collect()[0][0] or 0
+        groups = 0 if groups == 1 else -(-groups // GROUP)
     last = todo.select("row", F.when(_uniform(F.col("h"), F.lit("last")) < F.col("prob"), 1.0)
                        .otherwise(0.0).alias("prob"))
     rounded = (last if settled is None else settled.unionByName(last)) \
