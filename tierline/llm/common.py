@@ -50,7 +50,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: i
                     rows: dict[int, int], id_col: str, text_col: str) -> tuple[DataFrame, dict[int, int]]:
     """(text, y, h) of a hash sample of the labelled rows, about ``rows[y]`` of
     class ``y``, and the number of labels per class. Labels of ``held_fold``
-    are left out; ``h`` is a hash of the id. The sample's size is fixed by
+    are left out; an id that is labelled both ways counts as 1, and of rows that
+    share an id the smallest text is taken; ``h`` is a hash of the id. The sample's size is fixed by
     ``rows``, so its ids and labels can be broadcast and no text is shuffled."""
     known = (labels.select(F.col("doc_id").alias("id"), F.col(label_col).cast("int").alias("y"))
              .filter(F.col("y").isin(0, 1) & F.col("id").isNotNull()
@@ -65,4 +66,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: i
     picked = known.filter(wanted).withColumn("h", h)
     text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
     return (docs.select(F.col(id_col).alias("id"), text).join(F.broadcast(picked), "id")
-            .select("text", "y", "h")), have
+            .groupBy("id", "y", "h").agg(F.min("text").alias("text")).select("text", "y", "h")), have

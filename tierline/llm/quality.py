@@ -53,11 +53,15 @@ def _fold(h: np.ndarray, salt: int) -> np.ndarray:
     return (h * _ODD) >> np.uint64(64 - BITS)
 
 
-def _piece_flags(a: np.ndarray, flags: np.ndarray) -> None:
-    space = _SPACE[a]
+def _piece_flags(a: np.ndarray, flags: np.ndarray) -> int:
+    """Marks the features of ``a``, whole words; returns where the words start
+    that the next piece has to begin with."""
+    space, again = _SPACE[a], 0
     inside = np.flatnonzero(~space)
     if len(inside):
         head = np.flatnonzero(np.r_[True, np.diff(inside) > 1])
+        if len(head) > max(RUNS):
+            again = int(inside[head[-max(RUNS)]])
         place = np.arange(len(inside)) - np.repeat(head, np.diff(np.r_[head, len(inside)]))
         value = (a[inside].astype(np.uint64) + np.uint64(1)) * _POWERS[place & 255]
         word = np.add.reduceat(value, head)
@@ -77,15 +81,29 @@ def _piece_flags(a: np.ndarray, flags: np.ndarray) -> None:
         b = a.astype(np.uint32)
         tri = b[:-2] | (b[1:-1] << np.uint32(8)) | (b[2:] << np.uint32(16))
         flags[_fold(tri.astype(np.uint64), 4)] = True
+    return again
+
+
+def _word_end(a: np.ndarray, at: int) -> int:
+    """The first break at or after ``at``."""
+    while at < len(a):
+        space = _SPACE[a[at:at + PIECE]]
+        if space.any():
+            return at + int(space.argmax())
+        at += PIECE
+    return len(a)
 
 
 def features(text: str | None) -> np.ndarray:
     """Sorted feature numbers present in the text; number 0 is the bias."""
     a = np.frombuffer((text or "").encode(), np.uint8)
     flags = np.zeros(SIZE, bool)
-    # very long texts go through in pieces that overlap by one break or 64 bytes
-    for at in range(0, len(a), PIECE):
-        _piece_flags(a[max(0, at - 64):at + PIECE], flags)
+    # very long texts go through in pieces of whole words that begin with the
+    # last words of the piece before: the same features as in one piece
+    start = end = 0
+    while end < len(a):
+        end = _word_end(a, end + PIECE)
+        start += _piece_flags(a[start:end], flags)
     flags[0] = True
     return np.flatnonzero(flags)
 
@@ -161,8 +179,9 @@ def _fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     rows = [np.frombuffer(b, "<i4") for b in pdf["f"]]
     good, held = pdf["y"].to_numpy() == 1, pdf["h"].to_numpy() % 5 == 0
     counts = np.zeros((2, SIZE))
-    for f, y in zip(rows, good, strict=True):
-        counts[int(y), f] += 1
+    for f, y, h in zip(rows, good, held, strict=True):
+        if not h:                                   # rows that calibrate teach nothing else
+            counts[int(y), f] += 1
     if {*good[held]} == {*good[~held]} == {True, False}:
         r = log_ratios(counts[1], counts[0])
         w, a, b = fit_rows(rows, good, r, held)
