@@ -1,35 +1,38 @@
 """Toxicity by compression distance (operator 2).
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text.
-Both hold the same base, the most widely used ordinary words; on top of it the
-toxic one holds what is typical of toxic documents (words met next to many
-different neighbours there and rarely in ordinary ones, so copies of one
-document count once), the ordinary one as many bytes of further ordinary words.
-With the base in common, neutral text costs the same under both.
-
-Every text is cut into windows of ``WINDOW`` words. A window is compressed
-under both dictionaries between two passages out of the common base, without
-which so short an input would be stored as it is and its end not be searched;
-the difference of the two lengths is the window's gap in bytes. Equal windows
-have equal gaps, so each task keeps the gaps of up to ``CACHE`` windows. A document's evidence are the numbers and
-shares of its windows whose gap reaches each of ``LEVELS``, and the largest gap;
-a logistic model calibrates them to a probability, on documents that the
+Two zstandard dictionaries are trained, one on toxic and one on ordinary text,
+each on the runs of words that its side brings beyond what both share: the
+toxic one on runs of words and of ``PHRASE``-word phrases that are typical of
+toxic documents (met in many different contexts there and rarely in ordinary
+ones, so copies of one document count once), the ordinary one on runs of its
+less common words. Behind both stands the same base, the most widely used
+ordinary words, so neutral text costs the same under both.
+
+Every text is cut into single words and into half-overlapping windows of eight
+words (``WINDOWS``); a word of more than ``LONG_WORD`` bytes counts as several. A
+window is compressed under both dictionaries between two passages out of the
+common base, without which so short an input would be stored as it is and its
+end not be searched; the difference of the two lengths is the window's gap in
+bytes. A document's evidence are, for either kind of window, the numbers and
+shares of windows whose gap reaches each of ``LEVELS``, and the largest gap; a
+logistic model calibrates them to a probability, on documents that the
 dictionaries it sees them under were not trained on.
 
 Scale: training uses a hash sample of the labelled rows, at most about
 ``SAMPLE_TOXIC`` and ``SAMPLE_ORDINARY`` documents (the documented bound), in
 one task. The driver ships two dictionaries of ``BASE_BYTES + TYPICAL_BYTES``
-and a handful of numbers. Scoring is one pass over all whole texts, no shuffle.
+and a handful of numbers. Scoring is one pass over all whole texts, no shuffle;
+a task keeps the gaps of up to ``CACHE`` words.
 
 Defined results: null, empty and blank texts have no window and get the score
 of a document without evidence; without labelled rows of both classes every
-score is 0. Only id and text are read; rows with a null id or label teach
-nothing.
+score is 0. Texts of any length are scored whole; repeated rows get equal
+scores. Only id and text are read, so further columns may have any name; rows
+with a null id or label teach nothing.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -43,15 +46,19 @@ from tierline.llm.common import id_fold, labelled_sample
 
 SAMPLE_TOXIC = 2500
 SAMPLE_ORDINARY = 5000
-WINDOW = 1
+WINDOWS = ((1, 1), (8, 4))   # words, and words from one window to the next
+LONG_WORD = 64               # bytes
 CACHE = 300_000
 BASE_BYTES = 16 * 1024
-TYPICAL_BYTES = 4096
-PRIME_BYTES = 64       # of the base, before a window
-TAIL_BYTES = 16        # of the base, after it
+TYPICAL_BYTES = 8 * 1024
+SEGMENT, MATCH = 32, 8       # bytes of a trained segment, and of what is counted in it
+PRIME_BYTES = 64             # of the base, before a window
+TAIL_BYTES = 16              # of the base, after it
+PHRASE = 3
+REACH = 16                   # words from a phrase back to its context
 MIN_CONTEXTS = 5
 MIN_RATIO = 10.0
-LEVELS = (1, 2, 3, 4, 5, 6)
+LEVELS = ((1, 2, 3, 4, 5, 6), (2, 4, 6, 8, 10, 12, 16))
 THRESHOLD = 0.7
 EDGES = b'.,!?;:|"()'
 
@@ -65,16 +72,89 @@ class Model(NamedTuple):
 
 
 def _words(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+    words = (text or "").encode().lower().split()
+    if words and max(map(len, words)) > LONG_WORD:
+        words = [w[i:i + LONG_WORD] for w in words for i in range(0, len(w), LONG_WORD)]
+    return words
 
 
-def _contexts(texts: list[str]) -> Counter:
-    """Number of different words each word follows."""
-    pairs = set()
+def windows(words: list[bytes], size: int, step: int) -> list[bytes]:
+    """Runs of ``size`` words, ``step`` apart, up to the text's last word."""
+    if size == 1 or not words:
+        return words
+    return [b" ".join(words[i:i + size]) for i in range(0, max(1, len(words) - size + step), step)]
+
+
+class Counts(NamedTuple):
+    """Things (ascending) and the number of different contexts of each."""
+    things: np.ndarray
+    contexts: np.ndarray
+
+    def of(self, things: np.ndarray) -> np.ndarray:
+        if not len(self.things):
+            return np.zeros(len(things), np.int64)
+        at = np.minimum(np.searchsorted(self.things, things), len(self.things) - 1)
+        return np.where(self.things[at] == things, self.contexts[at], 0)
+
+
+_ODD = np.random.default_rng(11).integers(0, 1 << 63, PHRASE + 2, dtype=np.uint64) * 2 + 1
+
+
+def _phrases(ids: np.ndarray) -> np.ndarray:
+    """A 64-bit key of every ``PHRASE`` neighbouring words."""
+    n = max(0, len(ids) - PHRASE + 1)
+    return sum((ids[i:i + n] * _ODD[i] for i in range(PHRASE)), np.zeros(n, np.uint64))
+
+
+def _count(things: list[np.ndarray], contexts: list[np.ndarray]) -> Counts:
+    things = np.concatenate([np.zeros(0, np.uint64), *things])
+    contexts = np.concatenate([np.zeros(0, np.uint64), *contexts])
+    first = np.unique(things * _ODD[-1] + contexts * _ODD[-2], return_index=True)[1]
+    return Counts(*np.unique(things[first], return_counts=True))
+
+
+def word_counts(texts: list[np.ndarray]) -> Counts:
+    """Number of different words that each word follows."""
+    return _count(texts, [np.r_[np.zeros(1, np.uint64), t][:len(t)] for t in texts])
+
+
+def phrase_counts(texts: list[np.ndarray]) -> Counts:
+    """Number of different words that stand ``REACH`` words before each phrase
+    (the text's first word where it is nearer)."""
+    keys = [_phrases(t) for t in texts]
+    return _count(keys, [t[np.maximum(np.arange(len(k)) - REACH, 0)] for t, k in zip(texts, keys, strict=True)])
+
+
+def typical(here: Counts, there: Counts) -> np.ndarray:
+    odds = there.contexts.sum() / max(1, here.contexts.sum())
+    ok = ((here.contexts >= MIN_CONTEXTS)
+          & (odds * here.contexts >= MIN_RATIO * (there.of(here.things) + 1)))
+    return here.things[ok]
+
+
+def runs(texts: list[np.ndarray], names: list[bytes], words: np.ndarray,
+         phrases: np.ndarray) -> list[bytes]:
+    """The longest runs that such words and phrases make; a word that repeats
+    the one before is left out."""
+    out = []
     for t in texts:
-        w = [x.strip(EDGES) for x in _words(t)]
-        pairs.update(zip([b"", *w], w, strict=False))
-    return Counter(b for _, b in pairs)
+        t = t[np.r_[True, t[1:] != t[:-1]]] if len(t) else t
+        on = np.isin(t, words)
+        for i in np.flatnonzero(np.isin(_phrases(t), phrases)):
+            on[i:i + PHRASE] = True
+        edges = np.flatnonzero(np.diff(np.r_[False, on, False].astype(np.int8)))
+        out += [b" " + b" ".join(names[x] for x in t[i:j]) + b" "
+                for i, j in zip(edges[::2], edges[1::2], strict=True)]
+    return out
+
+
+def trained(samples: list[bytes], size: int) -> bytes:
+    """A zstandard dictionary of the samples; where they are too few to train
+    on, the samples themselves."""
+    try:
+        return zstandard.train_dictionary(size, samples, k=SEGMENT, d=MATCH).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(sorted(set(samples)))[-size:]
 
 
 def _fill(words: list[bytes], size: int) -> list[bytes]:
@@ -83,19 +163,30 @@ def _fill(words: list[bytes], size: int) -> list[bytes]:
 
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """Contents of the toxic and of the ordinary dictionary; the common base
-    lies at their ends, where matches cost least."""
-    ct, co = _contexts(toxic), _contexts(ordinary)
-    odds = sum(co.values()) / max(1, sum(ct.values()))
-    typical = [w for w, n in ct.items() if len(w) > 2 and n >= MIN_CONTEXTS
-               and odds * n >= MIN_RATIO * (co[w] + 1)]
-    typical = _fill(sorted(typical, key=lambda w: (-ct[w], w)), TYPICAL_BYTES)
-    mine = set(typical)
-    plain = sorted((w for w in co if len(w) > 2 and w not in mine), key=lambda w: (-co[w], w))
-    base = _fill(plain, BASE_BYTES)
-    rest = _fill(plain[len(base):], sum(len(w) + 1 for w in typical))
+    """The toxic and the ordinary dictionary; the common base lies at their
+    ends, where matches cost least."""
+    known: dict[bytes, int] = {b"": 0}
+
+    def ids(texts: list[str]) -> list[np.ndarray]:
+        return [np.array([known.setdefault(x.strip(EDGES), len(known)) for x in _words(t)], np.uint64)
+                for t in sorted(set(texts))]
+
+    bad, plain = ids(toxic), ids(ordinary)
+    names = list(known)
+    here, there = word_counts(bad), word_counts(plain)
+    long = np.array([len(w) > 2 for w in names])
+    words = typical(here, there)
+    words = words[long[words]]
+    found = runs(bad, names, words, typical(phrase_counts(bad), phrase_counts(plain)))
+    mine = set(words.tolist())
+    common = sorted((-n, names[x]) for x, n in zip(there.things.tolist(), there.contexts.tolist(), strict=True)
+                    if long[x] and x not in mine)
+    common = [w for _, w in common]
+    base, mark = _fill(common, BASE_BYTES), trained(found, TYPICAL_BYTES)
+    rest = np.array([known[w] for w in _fill(common[len(base):], len(mark))], np.uint64)
+    others = runs(plain, names, rest, np.zeros(0, np.uint64))
     end = b" " + b" ".join(reversed(base)) + b" "
-    return (b" " + b" ".join(reversed(typical)) + end, b" " + b" ".join(reversed(rest)) + end)
+    return mark + end, trained(others, max(256, len(mark))) + end
 
 
 class Gauge:
@@ -114,27 +205,32 @@ class Gauge:
             for d in (toxic, ordinary))
         self.known: dict[bytes, int] = {}
 
-    def gaps(self, text: str | None) -> np.ndarray:
-        w = _words(text)
-        if WINDOW > 1:
-            w = [b" ".join(w[i:i + WINDOW]) for i in range(0, len(w), WINDOW)]
-        known = self.known
-        for x in set(w):
-            if x not in known:
-                y = self.prime + x + self.tail
-                known[x] = len(self.ordinary(y)) - len(self.toxic(y))
-        out = np.fromiter(map(known.__getitem__, w), np.int64, len(w))
+    def gap(self, window: bytes) -> int:
+        x = self.prime + window + self.tail
+        return len(self.ordinary(x)) - len(self.toxic(x))
+
+    def gaps(self, text: str | None) -> list[np.ndarray]:
+        """The gaps of a text's windows, for each kind of window."""
+        words, known, out = _words(text), self.known, []
+        for size, step in WINDOWS:
+            w = windows(words, size, step)
+            gap = known if size == 1 else {}
+            for x in set(w).difference(gap):
+                gap[x] = self.gap(x)
+            out.append(np.fromiter(map(gap.__getitem__, w), np.int64, len(w)))
         if len(known) > CACHE:
             known.clear()
         return out
 
 
-def evidence(gaps: np.ndarray) -> np.ndarray:
-    n = max(1, len(gaps))
-    over = np.array([(gaps >= x).sum() - (gaps <= -x).sum() for x in LEVELS], float)
-    over = np.maximum(over, 0.0)
-    top = np.clip(gaps.max(initial=0), 0, 12)
-    return np.concatenate([np.sqrt(over / n), np.log1p(over), [top, np.log1p(len(gaps))]])
+def evidence(gaps: list[np.ndarray]) -> np.ndarray:
+    out = []
+    for g, levels in zip(gaps, LEVELS, strict=True):
+        over = np.array([(g >= x).sum() - (g <= -x).sum() for x in levels], float)
+        over = np.maximum(over, 0.0)
+        top = np.clip(g.max(initial=0), 0, 2 * levels[-1])
+        out += [np.sqrt(over / max(1, len(g))), np.log1p(over), [top, np.log1p(len(g))]]
+    return np.concatenate(out)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -153,18 +249,18 @@ def fit(texts: list[str], y: np.ndarray, half: np.ndarray, odds: float) -> Model
     each half (``half``, boolean) shows under dictionaries of the other one.
     ``odds`` is the share of toxic to ordinary labels in the whole divided by
     that in the sample."""
-    def trained(rows) -> tuple[bytes, bytes]:
+    def pair(rows) -> tuple[bytes, bytes]:
         return dictionaries([texts[i] for i in rows if y[i]], [texts[i] for i in rows if not y[i]])
 
-    x = np.zeros((len(texts), 2 * len(LEVELS) + 2))
+    x = np.zeros((len(texts), sum(2 * len(levels) + 2 for levels in LEVELS)))
     for side in (half, ~half):
-        gauge = Gauge(*trained(np.flatnonzero(~side)))
+        gauge = Gauge(*pair(np.flatnonzero(~side)))
         for i in np.flatnonzero(side):
             x[i] = evidence(gauge.gaps(texts[i]))
     centre, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
     w = logistic((x - centre) / spread, y.astype(float))
     w[-1] += np.log(odds)
-    return Model(*trained(np.arange(len(texts))), w, centre, spread)
+    return Model(*pair(np.arange(len(texts))), w, centre, spread)
 
 
 def score(model: Model, gauge: Gauge, text: str | None) -> float:
@@ -206,10 +302,11 @@ def score_column(spark: SparkSession, model: Model | None, text: Column) -> Colu
     sent = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
-    def toxicity(texts: pd.Series) -> pd.Series:
+    def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = sent.value
         gauge = Gauge(m.toxic, m.ordinary)
-        return pd.Series([score(m, gauge, t) for t in texts], dtype=float)
+        for texts in batches:
+            yield pd.Series([score(m, gauge, t) for t in texts], dtype=float)
     return toxicity(text)
 
 
