@@ -74,17 +74,18 @@ def test_runs():
 def test_gaps_and_evidence_against_slow_form(phrase_rows):
     toxic = [t for _, t, y in phrase_rows if y][:150]
     gauge = T.Gauge(*T.dictionaries(toxic, [t for _, t, y in phrase_rows if not y][:400]))
-    for text in [toxic[0], "one", "a b c d e f g h i", "", None, "x" * 1000, "\u6bd2" * 300]:
+    for text in [toxic[0], "one", "a, b c! d (e) f g h i j k. l m ... n o p q r s t u v", "", None, "x" * 1000, "\u6bd2" * 300]:
         words = [p for w in (text or "").encode().lower().split()
-                 for p in (w[i:i + T.LONG_WORD] for i in range(0, len(w), T.LONG_WORD))]
-        eights, at = [], 0
+                 for p in ([b""] if not w.strip(T.EDGES) else (
+                     w.strip(T.EDGES)[i:i + T.LONG_WORD] for i in range(0, len(w.strip(T.EDGES)), T.LONG_WORD)))]
+        twelves, at = [], 0
         while words:
-            eights.append(b" ".join(words[at:at + 8]))
-            if at + 8 >= len(words):
+            twelves.append(b" ".join(words[at:at + 12]))
+            if at + 12 >= len(words):
                 break
-            at += 4
+            at += 8
         want = []
-        for wins in (words, eights):
+        for wins in (words, twelves):
             padded = [gauge.prime + w + gauge.tail for w in wins]
             want.append([len(gauge.ordinary(p)) - len(gauge.toxic(p)) for p in padded])
         got = gauge.gaps(text)

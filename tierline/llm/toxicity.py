@@ -8,9 +8,10 @@ ones, so copies of one document count once), the ordinary one on runs of its
 less common words. Behind both stands the same base, the most widely used
 ordinary words, so neutral text costs the same under both.
 
-Every text is cut into single words and into half-overlapping windows of eight
-words (``WINDOWS``); a word of more than ``LONG_WORD`` bytes counts as several. A
-window is compressed under both dictionaries between two passages out of the
+Every text is cut into single words and into windows of twelve words, eight
+apart, so that any five neighbours meet in one (``WINDOWS``). Words lose the
+punctuation around them (``EDGES``); one of more than ``LONG_WORD`` bytes counts as
+several. A window is compressed under both dictionaries between two passages out of the
 common base, without which so short an input would be stored as it is and its
 end not be searched; the difference of the two lengths is the window's gap in
 bytes. A document's evidence are, for either kind of window, the numbers and
@@ -46,7 +47,7 @@ from tierline.llm.common import id_fold, labelled_sample
 
 SAMPLE_TOXIC = 2500
 SAMPLE_ORDINARY = 5000
-WINDOWS = ((1, 1), (8, 4))   # words, and words from one window to the next
+WINDOWS = ((1, 1), (12, 8))  # words, and words from one window to the next
 LONG_WORD = 64               # bytes
 CACHE = 300_000
 BASE_BYTES = 16 * 1024
@@ -72,9 +73,9 @@ class Model(NamedTuple):
 
 
 def _words(text: str | None) -> list[bytes]:
-    words = (text or "").encode().lower().split()
+    words = [w.strip(EDGES) for w in (text or "").encode().lower().split()]
     if words and max(map(len, words)) > LONG_WORD:
-        words = [w[i:i + LONG_WORD] for w in words for i in range(0, len(w), LONG_WORD)]
+        words = [w[i:i + LONG_WORD] for w in words for i in range(0, max(1, len(w)), LONG_WORD)]
     return words
 
 
@@ -168,7 +169,7 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     known: dict[bytes, int] = {b"": 0}
 
     def ids(texts: list[str]) -> list[np.ndarray]:
-        return [np.array([known.setdefault(x.strip(EDGES), len(known)) for x in _words(t)], np.uint64)
+        return [np.array([known.setdefault(x, len(known)) for x in _words(t)], np.uint64)
                 for t in sorted(set(texts))]
 
     bad, plain = ids(toxic), ids(ordinary)
