@@ -35,6 +35,7 @@ with a null id or label teach nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -49,7 +50,7 @@ SAMPLE_TOXIC = 2500
 SAMPLE_ORDINARY = 5000
 WINDOWS = ((1, 1), (12, 8))  # words, and words from one window to the next
 LONG_WORD = 64               # bytes
-CACHE = 300_000
+CACHE = 500_000
 BASE_BYTES = 16 * 1024
 TYPICAL_BYTES = 8 * 1024
 SEGMENT, MATCH = 32, 8       # bytes of a trained segment, and of what is counted in it
@@ -206,30 +207,37 @@ class Gauge:
             for d in (toxic, ordinary))
         self.known: dict[bytes, int] = {}
 
-    def gap(self, window: bytes) -> int:
-        x = self.prime + window + self.tail
-        return len(self.ordinary(x)) - len(self.toxic(x))
-
     def gaps(self, text: str | None) -> list[np.ndarray]:
         """The gaps of a text's windows, for each kind of window."""
         words, known, out = _words(text), self.known, []
+        toxic, ordinary, prime, tail = self.toxic, self.ordinary, self.prime, self.tail
         for size, step in WINDOWS:
             w = windows(words, size, step)
             gap = known if size == 1 else {}
-            for x in set(w).difference(gap):
-                gap[x] = self.gap(x)
+            for x in w:
+                if x not in gap:
+                    y = prime + x + tail
+                    gap[x] = len(ordinary(y)) - len(toxic(y))
             out.append(np.fromiter(map(gap.__getitem__, w), np.int64, len(w)))
         if len(known) > CACHE:
             known.clear()
         return out
 
 
+@lru_cache(maxsize=1)
+def gauge_of(toxic: bytes, ordinary: bytes) -> Gauge:
+    """One gauge per Python worker: the next task finds the gaps of common words."""
+    return Gauge(toxic, ordinary)
+
+
 def evidence(gaps: list[np.ndarray]) -> np.ndarray:
     out = []
     for g, levels in zip(gaps, LEVELS, strict=True):
-        over = np.array([(g >= x).sum() - (g <= -x).sum() for x in levels], float)
-        over = np.maximum(over, 0.0)
-        top = np.clip(g.max(initial=0), 0, 2 * levels[-1])
+        end, at = levels[-1], np.array(levels)
+        counts = np.bincount(np.clip(g, -end, end) + end, minlength=2 * end + 1)
+        upwards, downwards = counts[::-1].cumsum()[::-1], counts.cumsum()
+        over = np.maximum(upwards[end + at] - downwards[end - at], 0).astype(float)
+        top = min(max(int(g.max(initial=0)), 0), 2 * end)
         out += [np.sqrt(over / max(1, len(g))), np.log1p(over), [top, np.log1p(len(g))]]
     return np.concatenate(out)
 
@@ -305,7 +313,7 @@ def score_column(spark: SparkSession, model: Model | None, text: Column) -> Colu
     @F.pandas_udf("double")
     def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = sent.value
-        gauge = Gauge(m.toxic, m.ordinary)
+        gauge = gauge_of(m.toxic, m.ordinary)
         for texts in batches:
             yield pd.Series([score(m, gauge, t) for t in texts], dtype=float)
     return toxicity(text)
