@@ -53,6 +53,26 @@ def test_hot_booking_pre_aggregated(spark):
     assert rows(got) == _counted(b, f, p)
 
 
+def test_hot_flags_are_not_shuffled(spark):
+    """A third of all flags lies on one booking: same rows as the plain left
+    join, and no task joins all of its flags."""
+    b = spark.createDataFrame([*((i, 1 + i % 6) for i in range(500)), (None, 3)], BOOKINGS)
+    f = spark.range(0, 6000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 50 == 1, F.lit(None))
+         .when(F.col("id") % 50 == 2, F.lit(9_999)).otherwise(F.col("id") % 400).alias("booking_id"),
+        F.when(F.col("id") % 5 == 0, F.lit("cleared")).when(F.col("id") % 7 != 0, F.lit("fraud")).alias("flag"),
+        (F.col("id") % 90 / 100).alias("confidence"), F.lit("suspicious_pattern").alias("reason"))
+    assert fraud.hot_bookings(f, 4, 100) == [7]
+    counts = f.groupBy("booking_id").agg(*[F.count(F.lit(1)).alias("_flags")])
+    assert fraud.hot_bookings(f, 4, 100, counts) == [7] and fraud.hot_bookings(f, 4) == []
+    plain, got = fraud.bookings_with_fraud(b, f), fraud.bookings_with_fraud(b, f, [7])
+    assert got.columns == plain.columns
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, plain.collect()))
+    tasks = got.filter("booking_id = 7").groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 6 and max(r["count"] for r in tasks) <= 400
+    assert fraud.hot_bookings(f.limit(0), 4, 0) == [] and fraud.hot_bookings(f, 4, 0, counts.limit(0)) == []
+
+
 def test_empty_inputs(spark):
     b = spark.createDataFrame([], BOOKINGS)
     f = spark.createDataFrame([], FLAGS)

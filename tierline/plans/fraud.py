@@ -24,16 +24,55 @@ def bookings(booking_updates: DataFrame) -> DataFrame:
     return scd1(booking_updates, ["booking_id"], BOOKING_SEQUENCE)
 
 
-def bookings_with_fraud(bookings_df: DataFrame, flags: DataFrame) -> DataFrame:
+HOT_FLAGS = 20_000       # a booking with fewer flags is joined like any other
+
+
+def hot_bookings(flags: DataFrame, partitions: int, hot_rows: int = HOT_FLAGS,
+                 counts: DataFrame | None = None) -> list[int]:
+    """Bookings with more flags than ``hot_rows`` and than a quarter of a
+    partition's share of all flags: at most ``4 * partitions`` ids. ``counts``
+    (booking_id, _flags) saves counting the flags."""
+    if counts is None:
+        total = flags.count()
+        if total <= hot_rows:
+            return []
+        counts = flags.groupBy("booking_id").agg(F.count(F.lit(1)).alias("_flags"))
+    else:
+        total = counts.agg(F.sum("_flags")).first()[0] or 0
+    limit = max(hot_rows, total / (4 * partitions))
+    hot = counts.filter((F.col("_flags") > limit) & F.col("booking_id").isNotNull())
+    return sorted(r.booking_id for r in hot.select("booking_id").collect())
+
+
+def bookings_with_fraud(bookings_df: DataFrame, flags: DataFrame,
+                        hot: list[int] | None = None) -> DataFrame:
     """b.*, is_fraud (never null), fraud_confidence, fraud_reason. A booking
-    with two flags appears twice, as the plain left join gives it."""
+    with two flags appears twice, as the plain left join gives it.
+
+    The flags of ``hot`` bookings (``hot_bookings``; none unless given) are
+    not shuffled: those bookings, one current row each, are sent to them, so a
+    booking that holds a third of all flags is joined where its flags are read."""
     f = flags.select(F.col("booking_id").alias("_fid"), "flag", "confidence", "reason")
-    j = bookings_df.join(f, bookings_df.booking_id == f._fid, "left")
-    return j.select(*[bookings_df[c] for c in bookings_df.columns],
-                    F.when(F.col("flag") == "fraud", F.lit(True)).otherwise(F.lit(False))
-                     .alias("is_fraud"),
-                    F.col("confidence").alias("fraud_confidence"),
-                    F.col("reason").alias("fraud_reason"))
+    if not hot:
+        return _flagged(bookings_df, bookings_df.join(f, bookings_df.booking_id == f._fid, "left"))
+    ids = bookings_df.sparkSession.createDataFrame(
+        [(i,) for i in hot], "_hot bigint")
+    def split(df: DataFrame, key: str, how: str) -> DataFrame:
+        return df.join(F.broadcast(ids), F.col(key) == ids["_hot"], how)
+
+    cold_b, hot_b = (split(bookings_df, "booking_id", how) for how in ("left_anti", "left_semi"))
+    cold_f, hot_f = (split(f, "_fid", how) for how in ("left_anti", "left_semi"))
+    cold = cold_b.join(cold_f, F.col("booking_id") == F.col("_fid"), "left")
+    spread = hot_f.join(F.broadcast(hot_b), F.col("booking_id") == F.col("_fid"))
+    return _flagged(bookings_df, cold).unionByName(_flagged(bookings_df, spread))
+
+
+def _flagged(bookings_df: DataFrame, joined: DataFrame) -> DataFrame:
+    return joined.select(*bookings_df.columns,
+                         F.when(F.col("flag") == "fraud", F.lit(True)).otherwise(F.lit(False))
+                          .alias("is_fraud"),
+                         F.col("confidence").alias("fraud_confidence"),
+                         F.col("reason").alias("fraud_reason"))
 
 
 def payment_counts(payments_df: DataFrame) -> DataFrame:

@@ -65,8 +65,9 @@ def _flags(spark, sf):
 
 
 def _bwf(spark, sf):
-    return fraud.bookings_with_fraud(fraud.bookings(td.booking_updates(spark, sf)),
-                                     _flags(spark, sf))
+    flags = _flags(spark, sf)
+    hot = fraud.hot_bookings(flags, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return fraud.bookings_with_fraud(fraud.bookings(td.booking_updates(spark, sf)), flags, hot)
 
 
 def _gold(spark, sf):

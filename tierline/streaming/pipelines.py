@@ -179,11 +179,14 @@ def fraud_refresh(spark: SparkSession, root: str, buckets: int | None = None) ->
                    for f, t in ((pays, "payments"), (marks, "fraud_flags"))]
         flow.run(spark, source)
         flags = read_table(spark, root, "fraud_flags").filter(F.col("_corrupt_record").isNull())
-        bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"))
-        tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets,
-                                aligned=True)
         for c in counted:
             c.result()
+    hot = fraud.hot_bookings(flags, buckets, counts=marks.read(spark))
+    bwf = fraud.bookings_with_fraud(flow.read(spark), flags.drop("_corrupt_record"), hot)
+    if hot:             # a bucket would gather a hot booking's rows again
+        tables.publish(bwf, root, "bookings_with_fraud")
+    else:
+        tables.publish_bucketed(bwf, root, "bookings_with_fraud", ["booking_id"], buckets, aligned=True)
     inputs = [f.current_version(spark) for f in (flow, marks, pays)]
     v = tables.publish(fraud.with_rate(_fraud_counts(spark, root, flow, marks, pays)), root,
                        "fraud_by_party_and_method")
