@@ -242,6 +242,29 @@ def test_pieces_equal_whole_texts():
     assert got == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_skip_the_library_pipeline(monkeypatch):
+    """Plain words, marks after them and ends of lines go to the model or in
+    lines to the library, not one by one; forgotten pieces are learnt again."""
+    rng = random.Random(6)
+    words = ["".join(rng.choices("aeionrstlüß", k=rng.randint(3, 9))) for _ in range(3000)]
+    texts = [rng.choice(["", "\n", " "]) + "".join(w + rng.choice([" ", ", ", ".\n", ".\n\n", " 1.5 ", " \n"])
+                                                  for w in rng.choices(words, k=40)) for _ in range(300)]
+    monkeypatch.setattr(tokens, "GROUP_CHARS", 20_000)
+    monkeypatch.setattr(tokens, "PIECES", 1500)
+    encoder = tokens.Encoder(Q.tokenizer_path())
+    sent, library = [], encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda some: sent.extend(some) or library(some))
+    want = library(texts)
+    got = list(encoder.encode(texts))
+    assert got == want
+    plain = ["".join(w + rng.choice([" ", ", ", ".\n"]) for w in rng.choices(words, k=40)) + "e"
+             for _ in range(300)]
+    want = library(plain)
+    sent.clear()
+    assert list(encoder.encode(plain)) == want
+    assert len(sent) < len(set(" ".join(plain).split(" "))) / 20
+
+
 # ---- op9 --------------------------------------------------------------------------------
 def test_exact_dedup_odd_rows(spark, odd_docs, empty_docs):
     for tracked in (exact_dedup.TRACKED, 32):       # 32: the hot text is a verified winner

@@ -22,7 +22,8 @@ retried tasks leave no halves and any store Spark reaches will do.
 
 Tokenising: byte-level BPE works within pieces that begin at a space after
 non-space, so the library encodes each distinct piece once and texts are put
-together from the pieces' ids (``PIECES`` of them are kept per worker). Texts
+together from the pieces' ids, by array lookups of the pieces' numbers. A worker
+keeps ``PIECES`` of them; beyond that it forgets the half it met least. Texts
 with other space patterns, and tokenizers of another kind, go to the library
 whole.
 
@@ -57,9 +58,8 @@ CHECK_EVERY = 256
 MIN_BITS = 18           # the frequencies of a table sum to 2 ** bits
 LOW = np.uint64(1 << 31)
 PIECES = 1_000_000
-KEPT_CHARS = 6
 AT_ONCE = 20_000
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 2_000_000
 
 BLOCK = np.dtype([("ids", "<u4"), ("word", "<u4"), ("crc32", "<u4")])
 RECORD = ("part int, first_id long, n_ids long, doc_ids array<long>, doc_lens array<long>, "
@@ -67,13 +67,28 @@ RECORD = ("part int, first_id long, n_ids long, doc_ids array<long>, doc_lens ar
 
 
 # ---- tokenizer ---------------------------------------------------------------------
+class _Numbers(dict):
+    """Numbers strings in the order they are first asked for; ``new`` lists
+    those numbered since it was last emptied."""
+
+    def __init__(self, strings: list[str]):
+        super().__init__(zip(strings, range(len(strings)), strict=True))
+        self.new: list[str] = []
+
+    def __missing__(self, string: str) -> int:
+        n = self[string] = len(self)
+        self.new.append(string)
+        return n
+
+
 class Encoder:
     """Ids of texts under a tokenizers file."""
 
     _loaded: dict[str, Encoder] = {}
-    _RUNS = re.compile(r"\s (?:\s|\Z)|\0")
-
-    _MARKED = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\\[-`{-~]+)\\Z")
+    _LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F"
+    _MARKED = re.compile(f"(\0?[{_LETTERS}]+)([!-/:-@\\[-`{{-~]*)\\Z")
+    _LINES = re.compile(r"\0?[^\s\0]+(?:\n[^\s\0]+)+\Z")
+    _SPACE = re.compile(r"\s|\A\Z")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,7 +100,14 @@ class Encoder:
         self.by_piece = (spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
                          and not pre.get("add_prefix_space") and pre.get("use_regex", True)
                          and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout"))
-        self.known: dict[str, bytes] = {}
+        self.line = np.array(self.tok.encode("\n", add_special_tokens=False).ids)
+        self.apart = self.by_piece and len(self.line) == 1 and all(
+            t.get("special") for t in spec.get("added_tokens") or [])
+        if self.apart:                                  # letters as the model knows them
+            seen = self.tok.pre_tokenizer.pre_tokenize_str
+            self.space = seen(" a")[0][0][:-1]
+            self.letters = {c: seen(chr(c))[0][0] for c in range(0xC0, 0x250) if chr(c).isalpha()}
+        self._keep([], np.zeros(0, np.int64))
 
     @classmethod
     def load(cls, path: str) -> Encoder:
@@ -97,6 +119,36 @@ class Encoder:
         return [array("I", e.ids).tobytes()
                 for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _alone(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts one after another, how many each has)."""
+        raw = self._library(texts)
+        return (np.frombuffer(b"".join(raw), "<u4"),
+                np.fromiter(map(len, raw), np.int64, len(raw)) // 4)
+
+    def _lines(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_alone`` of texts without white space but a space before them: a
+        line each of one text, as the end of a line is a piece of its own."""
+        if self.apart:
+            ids = np.frombuffer(self._library(["\n".join(texts) + "\n"])[0], "<u4")
+            ends = np.flatnonzero(ids == self.line[0])
+            if len(ends) == len(texts):
+                return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+        return self._alone(texts)
+
+    def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``_alone`` of letters, with or without a space before them: nothing
+        is left to cut, so the library's model gets them as they are."""
+        if not self.apart:
+            return self._alone(texts)
+        model, letters, space = self.tok.model.tokenize, self.letters, self.space
+        ids: list[int] = []
+        ends = []
+        for text in texts:
+            word = text if text.isascii() else text.translate(letters)
+            ids += [t.id for t in model(space + word[1:] if word[0] == " " else word)]
+            ends.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(np.array(ends), prepend=0)
+
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         group: list[str] = []
@@ -109,36 +161,111 @@ class Encoder:
                 group, size = [], 0
         yield from self._encode_group(group)
 
+    def _keep(self, pieces: list[str], numbers: np.ndarray) -> None:
+        """Forgets all pieces but those of ``numbers``."""
+        if len(numbers):
+            self.ids, self.lens = self._gather(numbers)
+            self.opens, self.closes = self.opens[numbers], self.closes[numbers]
+            self.seen = self.seen[numbers]
+        else:
+            self.ids, self.lens = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+            self.opens = self.closes = np.zeros(0, bool)
+            self.seen = np.zeros(0, np.int64)
+        self.first = np.cumsum(self.lens) - self.lens
+        self.number = _Numbers(pieces)
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the pieces one after another, how many each has)."""
+        lens = self.lens[numbers]
+        at = np.repeat(self.first[numbers] - np.cumsum(lens) + lens, lens)
+        at += np.arange(len(at))
+        return self.ids[at], lens
+
+    def _learn(self) -> None:
+        """Ids of the new pieces. Letters, the marks after them and the ends of
+        lines between them are apart to the tokenizer: "word," is "word" and ","."""
+        number, new = self.number, self.number.new
+        base = len(self.lens)
+        words: list[int] = []
+        bare: list[int] = []
+        alone: list[int] = []
+        marked: dict[int, tuple] = {}
+        lines: dict[int, list] = {}
+        for i, p in enumerate(new):                     # grows: parts may be new
+            if p.isascii() and p.isalpha():
+                words.append(i)
+            elif m := self._MARKED.match(p):
+                if m[2]:
+                    marked[i] = number[m[1]], number["\0" + m[2]]
+                else:
+                    words.append(i)
+            elif not self._SPACE.search(p):
+                bare.append(i)
+            elif self._LINES.match(p):
+                head, *rest = p.split("\n")
+                lines[i] = [number[head]]
+                for x in rest:
+                    lines[i] += [number["\0\n"], number["\0" + x]]
+            else:
+                alone.append(i)
+        pad = np.zeros(len(new), np.int64)
+        self.first, self.lens = np.r_[self.first, pad], np.r_[self.lens, pad]
+        self.seen = np.r_[self.seen, pad]
+        self.opens, self.closes = np.r_[self.opens, pad > 0], np.r_[self.closes, pad > 0]
+        for some, library in ((words, self._words), (bare, self._lines), (alone, self._alone)):
+            for k in range(0, len(some), AT_ONCE):
+                part = some[k:k + AT_ONCE]
+                self._put(base, part, *library([new[i][1:] if new[i][:1] == "\0" else " " + new[i]
+                                                for i in part]))
+        for made in (marked, lines):                    # lines hold marked words
+            if made:
+                ids, lens = self._gather(np.array([n for parts in made.values() for n in parts]))
+                sizes = np.fromiter(map(len, made.values()), np.int64, len(made))
+                self._put(base, list(made), ids, np.add.reduceat(lens, np.cumsum(sizes) - sizes))
+        for i in [*alone, *lines]:
+            text = new[i].lstrip("\0")
+            self.opens[base + i] = not text or text[0].isspace()
+            self.closes[base + i] = not text or text[-1].isspace()
+        new.clear()
+
+    def _put(self, base: int, some: list[int], ids: np.ndarray, lens: np.ndarray) -> None:
+        at = base + np.array(some)
+        self.first[at] = len(self.ids) + np.cumsum(lens) - lens
+        self.lens[at] = lens
+        self.ids = np.r_[self.ids, ids]
+
     def _encode_group(self, texts: list[str]) -> Iterator[bytes]:
-        known = self.known
-        cut: list[list[str] | None] = []
-        new: set[str] = set()
+        get = self.number.__getitem__
+        flat: list[int] = []
+        ends = []
         for text in texts:
-            if not self.by_piece or self._RUNS.search(text):
-                cut.append(None)
-                continue
-            first, *rest = text.split(" ")
-            # a piece is known by its text after the space; a first one by a mark before it
-            pieces = ["\0" + first, *rest] if first else rest
-            cut.append(pieces)
-            new |= set(pieces).difference(known)
-        # letters and the marks after them are apart to the tokenizer: "word," is "word" and ","
-        marked = [(p, *m.groups()) for p in new if (m := self._MARKED.match(p))]
-        new.difference_update([p for p, _, _ in marked])
-        new.update(w for _, w, _ in marked if w not in known)
-        new.update(x for x in {"\0" + m for _, _, m in marked} if x not in known)
-        unknown = list(new)
-        for i in range(0, len(unknown), AT_ONCE):
-            part = unknown[i:i + AT_ONCE]
-            plain = [p[1:] if p[:1] == "\0" else " " + p for p in part]
-            known.update(zip(part, self._library(plain), strict=True))
-        known.update([(p, known[w] + known["\0" + m]) for p, w, m in marked])
-        for text, pieces in zip(texts, cut, strict=True):
-            yield self._library([text])[0] if pieces is None else b"".join(
-                map(known.__getitem__, pieces))
-        if len(known) > PIECES:                         # short pieces are the frequent ones
-            short = {p: ids for p, ids in known.items() if len(p) <= KEPT_CHARS}
-            self.known = short if len(short) < PIECES // 2 else {}
+            if self.by_piece and "\0" not in text:
+                first, *rest = text.split(" ")
+                # a piece is known by its text after the space; a first one by a mark before it
+                if first:
+                    flat.append(get("\0" + first))
+                flat.extend(map(get, rest))
+            ends.append(len(flat))
+        self._learn()
+        numbers = np.array(flat, np.int64)
+        ids, lens = self._gather(numbers)
+        id_ends = np.r_[0, np.cumsum(lens)]
+        # white space, a space, and white space or the end: no piece begins at this space
+        runs = np.flatnonzero(self.closes[numbers[:-1]] & self.opens[numbers[1:]])
+        text_of = np.searchsorted(ends, runs, side="right")
+        whole = set(text_of[text_of == np.searchsorted(ends, runs + 1, side="right")].tolist())
+        a = 0
+        for i, (text, b) in enumerate(zip(texts, ends, strict=True)):
+            if i in whole or not self.by_piece or "\0" in text:
+                yield self._library([text])[0]
+            else:
+                yield ids[id_ends[a]:id_ends[b]].tobytes()
+            a = b
+        self.seen += np.bincount(numbers, minlength=len(self.seen))
+        if len(self.number) > PIECES:
+            most = np.sort(np.argsort(-self.seen, kind="stable")[:PIECES // 2])
+            pieces = list(self.number)
+            self._keep([pieces[n] for n in most.tolist()], most)
 
 
 # ---- coder -------------------------------------------------------------------------
