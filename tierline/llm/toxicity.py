@@ -23,7 +23,8 @@ Scale: training uses a hash sample of the labelled rows, at most about
 ``SAMPLE_TOXIC`` and ``SAMPLE_ORDINARY`` documents (the documented bound), in
 one task. The driver ships two dictionaries of ``BASE_BYTES + TYPICAL_BYTES``
 and a handful of numbers. Scoring is one pass over all whole texts, no shuffle;
-a task keeps the gaps of up to ``CACHE`` words.
+a worker keeps
+the gaps of up to ``CACHE`` words, and forgets those it has not met for longest.
 
 Defined results: null, empty and blank texts have no window and get the score
 of a document without evidence; without labelled rows of both classes every
@@ -50,7 +51,7 @@ SAMPLE_TOXIC = 2500
 SAMPLE_ORDINARY = 5000
 WINDOWS = ((1, 1), (12, 8))  # words, and words from one window to the next
 LONG_WORD = 64               # bytes
-CACHE = 500_000
+CACHE = 800_000
 BASE_BYTES = 16 * 1024
 TYPICAL_BYTES = 8 * 1024
 SEGMENT, MATCH = 32, 8       # bytes of a trained segment, and of what is counted in it
@@ -206,21 +207,25 @@ class Gauge:
                 d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), compression_params=params).compress
             for d in (toxic, ordinary))
         self.known: dict[bytes, int] = {}
+        self.older: dict[bytes, int] = {}       # met before ``known`` was begun
 
     def gaps(self, text: str | None) -> list[np.ndarray]:
         """The gaps of a text's windows, for each kind of window."""
-        words, known, out = _words(text), self.known, []
+        words, known, older, out = _words(text), self.known, self.older, []
         toxic, ordinary, prime, tail = self.toxic, self.ordinary, self.prime, self.tail
         for size, step in WINDOWS:
             w = windows(words, size, step)
             gap = known if size == 1 else {}
             for x in w:
                 if x not in gap:
+                    if gap is known and x in older:
+                        gap[x] = older[x]
+                        continue
                     y = prime + x + tail
                     gap[x] = len(ordinary(y)) - len(toxic(y))
             out.append(np.fromiter(map(gap.__getitem__, w), np.int64, len(w)))
-        if len(known) > CACHE:
-            known.clear()
+        if len(known) > CACHE // 2:             # words still in use move on
+            self.known, self.older = {}, known
         return out
 
 
