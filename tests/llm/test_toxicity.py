@@ -117,13 +117,13 @@ def test_very_long_text(spark, phrase_rows):
 
 def test_words_in_use_stay_known(monkeypatch):
     """A word that every text holds is compressed once, however many others come and go."""
-    monkeypatch.setattr(toxicity, "CACHE", 100)
-    gauge = toxicity.Gauge(b"bad words here " * 40, b"plain words there " * 40)
+    monkeypatch.setattr(T, "CACHE", 100)
+    gauge = T.Gauge(b"bad words here " * 40, b"plain words there " * 40)
     seen, toxic = [], gauge.toxic
     gauge.toxic = lambda x: seen.append(x) or toxic(x)
     texts = [" ".join(["common", *(f"w{i}x{k}" for k in range(20))]) for i in range(40)]
     got = [gauge.gaps(t)[0].tolist() for t in texts]
     assert seen.count(gauge.prime + b"common" + gauge.tail) == 1
     assert len(gauge.known) + len(gauge.older) <= 100 + 2 * 21
-    assert got == [toxicity.Gauge(b"bad words here " * 40, b"plain words there " * 40).gaps(t)[0].tolist()
+    assert got == [T.Gauge(b"bad words here " * 40, b"plain words there " * 40).gaps(t)[0].tolist()
                    for t in texts]
