@@ -820,3 +820,29 @@ def test_a_late_change_rewrites_its_neighbours_only(spark, root, monkeypatch):
         assert sorted(map(tuple, flow.read(spark).select(cols).collect()), key=key) == \
             sorted(map(tuple, want.select(cols).collect()), key=key)
     assert flow.quarantine(spark).count() == 1
+
+
+def test_a_merge_reads_a_large_delivery_in_small_tasks(spark, root, monkeypatch):
+    """The partial aggregate of a merge sorts what its task reads: files of a
+    streaming table and splits of a merge are bounded, the session's are not."""
+    from tierline.streaming import flows, tables as st
+    from tierline.streaming.upsert import Scd1Flow
+    monkeypatch.setattr(st, "FILE_ROWS", 1000)
+    spark.range(20_000).selectExpr("id % 500 k", "id s").coalesce(1).write.parquet(root + "/landing")
+    feed = st.stream_files(spark, root + "/landing", "k long, s long")
+    st.append_stream(feed, root, "feed").awaitTermination()
+    path = st.data_path(spark, root, "feed")
+    per_file = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert sorted(r["count"] for r in per_file) == [1000] * 20
+    name, seen = "spark.sql.files.maxPartitionBytes", []
+    before, write = spark.conf.get(name), flows.KeyedFlow._write_version
+    def spy(self, *a, **kw):
+        with flows.small_splits(spark):                 # another merge beside it
+            pass
+        seen.append(spark.conf.get(name))
+        return write(self, *a, **kw)
+    monkeypatch.setattr(flows.KeyedFlow, "_write_version", spy)
+    flow = Scd1Flow(root, "state", ["k"], "s")
+    flow.run(spark, path)
+    assert seen == [str(flows.SPLIT_BYTES)] and spark.conf.get(name) == before
+    assert {(r.k, r.s) for r in flow.read(spark).collect()} == {(k, 19_500 + k) for k in range(500)}

@@ -11,7 +11,10 @@ Each run of a flow:
    from all of its files;
 2. reads only the new files and reduces them to one row per key with a
    partial + final aggregate (a key holding a third of the rows leaves every
-   map task as one row), aligned to the state's buckets;
+   map task as one row), aligned to the state's buckets. The partial aggregate
+   sorts, so a task reads no more than ``SPLIT_BYTES`` (and a file), and the
+   files of streaming tables hold no more than ``tables.FILE_ROWS`` rows: it
+   sorts in memory, however large the delivery;
 3. writes them, bucketed on the keys, as a delta on top of the state; the
    state's own files are neither read nor written, so a merge costs what its
    changes cost, however large the target. Readers combine the state with its
@@ -35,6 +38,10 @@ be idempotent.
 from __future__ import annotations
 
 import hashlib
+import re
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import quote, unquote
 
@@ -52,6 +59,34 @@ MANIFEST = "path string, modified bigint"      # as Spark names a file; millisec
 LATE_S = 3600               # how far a file's time may lie behind an older file's
 MAX_DELTAS = 6
 WHOLE_BYTES = 64 << 10      # a state this small is cheaper written again than read in parts
+SPLIT_BYTES = 16 << 20      # of new files, reduced by one task: its rows are sorted in memory
+
+_SPLITS = "spark.sql.files.maxPartitionBytes"
+_lock = threading.Lock()
+_within: list = []          # [merges running, what the session had before the first]
+
+
+@contextmanager
+def small_splits(spark: SparkSession) -> Iterator[None]:
+    """Scans planned meanwhile are split at ``SPLIT_BYTES``, or where the
+    session splits if that is less. Merges may run side by side: the first
+    sets it, the last puts it back."""
+    with _lock:
+        if not _within:
+            was = spark.conf.get(_SPLITS)
+            n, unit = re.fullmatch(r"(\d+)([kmgtp]?)i?b?", was.strip().lower()).groups()
+            if int(n) << 10 * " kmgtp".index(unit or " ") > SPLIT_BYTES:
+                spark.conf.set(_SPLITS, str(SPLIT_BYTES))
+            _within[:] = [0, was]
+        _within[0] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _within[0] -= 1
+            if not _within[0]:
+                spark.conf.set(_SPLITS, _within[1])
+                _within.clear()
 
 
 @dataclass
@@ -296,7 +331,8 @@ class KeyedFlow:
         newest = max((r.modified for r in new), default=0)
         manifest = manifest.filter(F.col("modified").isNull()
                                    | (F.col("modified") >= newest - 1000 * LATE_S))
-        self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs, b, aligned, first)
+        with small_splits(spark):
+            self._write_version(spark, v, merged, invalid, manifest.coalesce(1), obs, b, aligned, first)
         return v
 
     def _written_since(self, src: DataFrame, done: DataFrame, current: int | None) -> DataFrame:

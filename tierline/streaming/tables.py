@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tierline.tables import filesystem
 
 _GEN = "g="
+FILE_ROWS = 1_000_000       # so that a task of a merge reads few of them (``flows.SPLIT_BYTES``)
 
 
 def _generations(spark: SparkSession, root: str, name: str) -> list[int]:
@@ -67,6 +68,7 @@ def append_stream(df: DataFrame, root: str, name: str, trigger: str | None = "av
     tag = hashlib.sha1(base.encode()).hexdigest()[:8]      # unique per table folder
     w = (df.writeStream.format("parquet").outputMode("append")
            .option("checkpointLocation", base + "/_checkpoint")
+           .option("maxRecordsPerFile", FILE_ROWS)
            .queryName(f"{name}_flow_g{g}_{tag}"))
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
