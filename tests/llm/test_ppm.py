@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from tierline.llm import ppm
@@ -71,3 +73,57 @@ def test_odd_rows_in_small_blocks(spark, odd_docs, empty_docs, monkeypatch):
     small = odd_docs.filter("doc_id is null or doc_id not in (9, 10)")
     same(ppm.score_texts(small).collect(), [(r.doc_id, r.text) for r in small.collect()])
     assert ppm.score_texts(empty_docs).count() == 0
+
+
+TEXTS = [b"", b"a", b"ab", b"", b"abcdefgh", b"the cat", b"x", b"", b"the cat sat on the mat", b"abcdef"]
+
+
+def block(texts):
+    return b"".join(t + b"\n" for t in texts), np.array([len(t) for t in texts])
+
+
+@pytest.mark.parametrize("piece", [1, 3, 7, 64])
+def test_ngrams_and_documents_at_any_cut(piece):
+    """Short texts, whose first bytes are seen from the pieces behind them."""
+    s = ppm.Stream(*block(TEXTS))
+    docs = [i for i, t in enumerate(TEXTS) for _ in range(len(t) + 1)]
+    keys = [int.from_bytes((b"\n" * ppm.ORDER + t + b"\n")[i:i + ppm.ORDER + 1])
+            for t in TEXTS for i in range(len(t) + 1)]
+    cuts = [(at, min(at + piece, len(s.a))) for at in range(0, len(s.a), piece)]
+    assert [k for c in cuts for k in s.ngrams(*c).tolist()] == keys
+    assert [d for c in cuts for d in s.docs(*c).tolist()] == docs
+
+
+def test_block_is_counted_and_scored_without_indirect_sort(monkeypatch):
+    """Neither counting nor looking up sorts the positions of a text by index, which took
+    most of the CPU time; counts and scores are those of plain dictionaries."""
+    def refuse(a, **kw):
+        raise AssertionError(f"np.unique of {len(a)} positions")
+    monkeypatch.setattr(np, "unique", refuse)
+    monkeypatch.setattr(ppm, "PIECE", 16)       # over eight pieces: parts are merged on the way
+    texts = TEXTS * 4
+    text, lens = block(texts)
+    held = np.arange(len(texts)) % 3 == 0
+    s = ppm.Stream(text, lens)
+    grams = s.ngrams(0, len(text)).tolist()
+    of = s.docs(0, len(text))
+    want = Counter(k for k, d in zip(grams, of) if not held[d])
+    answers, logp = [], {}
+    for kind, keys, counts in ppm.vocabulary(s, held):
+        assert (np.diff(keys.astype(object)) > 0).all() and counts.dtype == np.int64
+        if kind == ppm.NGRAM:
+            assert dict(zip(keys.tolist(), counts.tolist())) == {k: want[k] for k in grams}
+            values = -1.0 - np.arange(len(keys)) % 7
+            logp = dict(zip(keys.tolist(), values))
+        else:
+            values = counts.astype(float)
+        answers += [(kind, ppm.pack_keys(keys[i::3]), ppm.pack(values[i::3])) for i in range(3)]
+    rows = pd.DataFrame({"block": [0], "ids": [[str(i) for i in range(len(texts))]], "held": [held],
+                         "lens": [lens], "text": [text]})
+    got = ppm._score(rows, pd.DataFrame(answers, columns=["kind", "keys", "values"]), 50, 9)
+    scores = [sum(logp[k] for k, d in zip(grams, of) if d == i) for i in range(len(texts))]
+    assert got["score"].tolist() == scores
+    words = Counter(w for t, h in zip(texts, held) if not h for w in [*t.split(), b"\n"])
+    assert got["n_known"].tolist() == [sum(words[w] > 0 for w in [*t.split(), b"\n"]) for t in texts]
+    base = [sum(math.log10((words[w] + 0.5) / (50 + 0.5 * 10)) for w in [*t.split(), b"\n"]) for t in texts]
+    assert got["base_score"].tolist() == pytest.approx(base)

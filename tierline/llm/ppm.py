@@ -62,6 +62,8 @@ def normalised(text: str | None) -> bytes:
 class Stream:
     """The texts of a block, each ended by a line feed."""
 
+    LINE_FEEDS = np.uint64(int.from_bytes(bytes([END] * (ORDER + 1))))
+
     def __init__(self, text: bytes, lens: np.ndarray):
         self.a = np.frombuffer(text, np.uint8)
         self.lens = np.asarray(lens, np.int64) + 1      # with the end
@@ -72,15 +74,25 @@ class Stream:
         """The symbol at each position from ``at`` to ``stop`` with the ORDER
         symbols before it, as one number; what lies before a text's first byte
         is a line feed."""
-        doc = np.searchsorted(self.ends, np.arange(at, stop), side="right")
-        place = np.arange(at, stop) - self.begins[doc]
+        pad = max(0, ORDER - at)
+        a = np.r_[np.full(pad, END, np.uint8), self.a[at + pad - ORDER:stop]].astype(np.uint64)
         key = np.zeros(stop - at, np.uint64)
         for back in range(ORDER, -1, -1):
-            src = np.arange(at, stop) - back
-            sym = np.where(place >= back, self.a[np.maximum(src, 0)], END)
-            key = (key << np.uint64(8)) | sym.astype(np.uint64)
+            key = (key << np.uint64(8)) | a[ORDER - back:len(a) - back]
+        near = slice(*np.searchsorted(self.begins, [at - ORDER, stop]))
+        for place in range(ORDER):                      # behind these bytes stands another text
+            head = self.begins[near] + place
+            head = head[(head >= at) & (head < np.minimum(self.ends[near], stop))] - at
+            own = np.uint64((1 << (8 * (place + 1))) - 1)
+            key[head] = (key[head] & own) | (self.LINE_FEEDS & ~own)
         return key
 
+    def docs(self, at: int, stop: int) -> np.ndarray:
+        """The document number of each position from ``at`` to ``stop``."""
+        first, last = np.searchsorted(self.ends, [at, stop - 1], side="right")
+        ends = np.minimum(self.ends[first:last + 1], stop)
+        return np.repeat(np.arange(first, last + 1), np.diff(ends, prepend=at))
+
     def words(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(hash, document number) of the tokens, piece by piece; the end
         token's hash is 0."""
@@ -121,8 +133,25 @@ class Stream:
 def merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     if not keys:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    u, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return u, np.bincount(at, weights=np.concatenate(counts), minlength=len(u)).astype(np.int64)
+    keys = np.concatenate(keys)
+    order = np.argsort(keys, kind="stable")             # merges what is sorted already
+    first = _firsts(keys := keys[order])
+    counts = np.concatenate(counts)[order].astype(np.int64)
+    return keys[first], np.add.reduceat(counts, first) if len(keys) else counts
+
+
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where a new value begins."""
+    return np.flatnonzero(np.r_[np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]])
+
+
+def counted(keys: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how many of each are of training texts."""
+    everywhere, taught = np.sort(keys), np.sort(keys[train])
+    keys, first = everywhere[_firsts(everywhere)], _firsts(taught)
+    counts = np.zeros(len(keys), np.int64)
+    counts[np.searchsorted(keys, taught[first])] = np.diff(first, append=len(taught))
+    return keys, counts
 
 
 def vocabulary(s: Stream, held: np.ndarray):
@@ -131,19 +160,17 @@ def vocabulary(s: Stream, held: np.ndarray):
     keys, counts = [], []
     for at in range(0, len(s.a), PIECE):
         stop = min(len(s.a), at + PIECE)
-        k = s.ngrams(at, stop)
-        doc = np.searchsorted(s.ends, np.arange(at, stop), side="right")
-        u, inv = np.unique(k, return_inverse=True)
+        u, n = counted(s.ngrams(at, stop), train[s.docs(at, stop)])
         keys.append(u)
-        counts.append(np.bincount(inv, weights=train[doc], minlength=len(u)))
+        counts.append(n)
         if len(keys) > 8:
             keys, counts = ([x] for x in merge(keys, counts))
     yield NGRAM, *merge(keys, counts)
     keys, counts = [], []
     for h, doc in s.words():
-        u, inv = np.unique(h, return_inverse=True)
+        u, n = counted(h, train[doc])
         keys.append(u)
-        counts.append(np.bincount(inv, weights=train[doc], minlength=len(u)))
+        counts.append(n)
         if len(keys) > 8:
             keys, counts = ([x] for x in merge(keys, counts))
     yield WORD, *merge(keys, counts)
@@ -305,26 +332,23 @@ def _score(block: pd.DataFrame, answers: pd.DataFrame, n: int, v: int) -> pd.Dat
     s = Stream(r.text, np.array(r.lens, np.int64))
     kind = answers["kind"].to_numpy()
 
-    def table(k: int) -> tuple[np.ndarray, np.ndarray]:
+    def table(k: int) -> tuple[pd.Index, np.ndarray]:
         mine = answers[kind == k]
         keys = np.concatenate([unpack_keys(x) for x in mine["keys"]])
-        order = np.argsort(keys)
-        return keys[order], np.concatenate([unpack(x, "<f8") for x in mine["values"]])[order]
+        return pd.Index(keys), np.concatenate([unpack(x, "<f8") for x in mine["values"]])
 
     keys, logp = table(NGRAM)
     score = np.zeros(len(s.ends))
     for at in range(0, len(s.a), PIECE):
         stop = min(len(s.a), at + PIECE)
-        u, inv = np.unique(s.ngrams(at, stop), return_inverse=True)
-        value = logp[np.searchsorted(keys, u)][inv]
-        doc = np.searchsorted(s.ends, np.arange(at, stop), side="right")
-        score += np.bincount(doc, weights=value, minlength=len(score))
+        value = logp[keys.get_indexer(s.ngrams(at, stop))]
+        score += np.bincount(s.docs(at, stop), weights=value, minlength=len(score))
     words, counts = table(WORD)
+    of_word = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
     base, tokens, known = (np.zeros(len(score)) for _ in range(3))
     for h, doc in s.words():
-        c = counts[np.searchsorted(words, h)]
-        for total, of_token in ((base, np.log10((c + 0.5) / (n + 0.5 * (v + 1)))),
-                                (tokens, np.ones(len(c))), (known, c > 0)):
+        at = words.get_indexer(h)
+        for total, of_token in ((base, of_word[at]), (tokens, np.ones(len(at))), (known, counts[at] > 0)):
             total += np.bincount(doc, weights=of_token, minlength=len(score))
     return pd.DataFrame({
         "doc_id": list(r.ids), "held_out": list(r.held), "n_tokens": tokens.astype(np.int64),
