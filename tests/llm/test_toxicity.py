@@ -127,3 +127,54 @@ def test_words_in_use_stay_known(monkeypatch):
     assert len(gauge.known) + len(gauge.older) <= 100 + 2 * 21
     assert got == [T.Gauge(b"bad words here " * 40, b"plain words there " * 40).gaps(t)[0].tolist()
                    for t in texts]
+
+
+class Looks(dict):
+    """Counts how often it is looked into."""
+    n = 0
+
+    def get(self, x):
+        self.n += 1
+        return super().get(x)
+
+    def __contains__(self, x):
+        self.n += 1
+        return super().__contains__(x)
+
+    def __getitem__(self, x):
+        self.n += 1
+        return super().__getitem__(x)
+
+
+def test_known_word_is_looked_for_once():
+    gauge = T.Gauge(b"bad words here " * 40, b"plain words there " * 40)
+    text = "some plain words here, and some bad words there"
+    first, words = gauge.gaps(text), T._words(text)
+    gauge.known = Looks(gauge.known)
+    again = gauge.gaps(text)
+    assert [g.tolist() for g in again] == [g.tolist() for g in first]
+    assert gauge.known.n == len(words)
+
+
+def test_training_splits_each_text_once(monkeypatch, phrase_rows):
+    """Dictionaries are made three times from the same texts; those of rows alone
+    are those made beside the other texts."""
+    texts, y = [t for _, t, _ in phrase_rows], np.array([y == 1 for _, _, y in phrase_rows])
+    seen, split = Counter(), T._words
+    monkeypatch.setattr(T, "_words", lambda t: seen.update([t]) or split(t))
+    model = T.fit(texts, y, np.arange(len(y)) % 2 == 0, 1.0)
+    assert set(seen.values()) == {1} and len(seen) == len(set(texts))
+    bad, plain = ([t for t, toxic in zip(texts, y) if toxic == side] for side in (True, False))
+    assert T.dictionaries(bad, plain) == (model.toxic, model.ordinary)
+
+
+def test_scores_do_not_depend_on_what_is_scored_together(monkeypatch, phrase_rows):
+    texts, y = [t for _, t, _ in phrase_rows], np.array([y == 1 for _, _, y in phrase_rows])
+    model = T.fit(texts, y, np.arange(len(y)) % 2 == 0, 1.0)
+    some = [*texts[:300], None, "", " . ", "one", texts[0] * 20]
+    gauge = T.Gauge(model.toxic, model.ordinary)
+    alone = [T.score(model, gauge, t) for t in some]
+    for together in (1, 500, 1 << 30):
+        monkeypatch.setattr(T, "TOGETHER", together)
+        assert T.scores(model, gauge, some).tolist() == alone
+    assert T.scores(model, gauge, []).tolist() == []

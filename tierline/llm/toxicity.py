@@ -35,7 +35,8 @@ with a null id or label teach nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -52,6 +53,7 @@ SAMPLE_ORDINARY = 5000
 WINDOWS = ((1, 1), (12, 8))  # words, and words from one window to the next
 LONG_WORD = 64               # bytes
 CACHE = 800_000
+TOGETHER = 100_000           # words whose gaps become evidence at once
 BASE_BYTES = 16 * 1024
 TYPICAL_BYTES = 8 * 1024
 SEGMENT, MATCH = 32, 8       # bytes of a trained segment, and of what is counted in it
@@ -139,12 +141,14 @@ def runs(texts: list[np.ndarray], names: list[bytes], words: np.ndarray,
          phrases: np.ndarray) -> list[bytes]:
     """The longest runs that such words and phrases make; a word that repeats
     the one before is left out."""
-    out = []
+    out, wanted = [], np.zeros(len(names), bool)
+    wanted[words.astype(np.int64)] = True
     for t in texts:
         t = t[np.r_[True, t[1:] != t[:-1]]] if len(t) else t
-        on = np.isin(t, words)
-        for i in np.flatnonzero(np.isin(_phrases(t), phrases)):
-            on[i:i + PHRASE] = True
+        on = wanted[t.astype(np.int64)]
+        if len(phrases):
+            for i in np.flatnonzero(np.isin(_phrases(t), phrases)):
+                on[i:i + PHRASE] = True
         edges = np.flatnonzero(np.diff(np.r_[False, on, False].astype(np.int8)))
         out += [b" " + b" ".join(names[x] for x in t[i:j]) + b" "
                 for i, j in zip(edges[::2], edges[1::2], strict=True)]
@@ -165,28 +169,43 @@ def _fill(words: list[bytes], size: int) -> list[bytes]:
     return words[:int(np.searchsorted(ends, size, side="right"))]
 
 
-def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """The toxic and the ordinary dictionary; the common base lies at their
-    ends, where matches cost least."""
-    known: dict[bytes, int] = {b"": 0}
+class Numbered:
+    """Texts as numbers of their words, each text split once."""
+
+    def __init__(self, texts: list[str]):
+        self.number: dict[bytes, int] = {b"": 0}
+        self.ids = {t: self._ids(_words(t)) for t in sorted(set(texts))}
+        self.names = list(self.number)
+        self.long = np.array([len(w) > 2 for w in self.names])
 
-    def ids(texts: list[str]) -> list[np.ndarray]:
-        return [np.array([known.setdefault(x, len(known)) for x in _words(t)], np.uint64)
-                for t in sorted(set(texts))]
+    def _ids(self, words: list[bytes]) -> np.ndarray:
+        number = self.number
+        for w in words:
+            if w not in number:
+                number[w] = len(number)
+        return np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
 
-    bad, plain = ids(toxic), ids(ordinary)
-    names = list(known)
+    def words(self, text: str) -> list[bytes]:
+        return list(map(self.names.__getitem__, self.ids[text].tolist()))
+
+
+def dictionaries(toxic: list[str], ordinary: list[str], texts: Numbered | None = None) -> tuple[bytes, bytes]:
+    """The toxic and the ordinary dictionary; the common base lies at their
+    ends, where matches cost least. ``texts`` may hold further texts."""
+    texts = texts or Numbered(toxic + ordinary)
+    names, long = texts.names, texts.long
+    bad, plain = ([texts.ids[t] for t in sorted(set(side))] for side in (toxic, ordinary))
     here, there = word_counts(bad), word_counts(plain)
-    long = np.array([len(w) > 2 for w in names])
     words = typical(here, there)
     words = words[long[words]]
     found = runs(bad, names, words, typical(phrase_counts(bad), phrase_counts(plain)))
-    mine = set(words.tolist())
-    common = sorted((-n, names[x]) for x, n in zip(there.things.tolist(), there.contexts.tolist(), strict=True)
-                    if long[x] and x not in mine)
-    common = [w for _, w in common]
-    base, mark = _fill(common, BASE_BYTES), trained(found, TYPICAL_BYTES)
-    rest = np.array([known[w] for w in _fill(common[len(base):], len(mark))], np.uint64)
+    mark = trained(found, TYPICAL_BYTES)
+    ok = long[there.things] & ~np.isin(there.things, words)
+    room = (BASE_BYTES + len(mark)) // 4 + 2            # a word takes four bytes at least
+    common = [w for _, w in heapq.nsmallest(
+        room, ((-n, names[x]) for x, n in zip(there.things[ok].tolist(), there.contexts[ok].tolist(), strict=True)))]
+    base = _fill(common, BASE_BYTES)
+    rest = np.array([texts.number[w] for w in _fill(common[len(base):], len(mark))], np.uint64)
     others = runs(plain, names, rest, np.zeros(0, np.uint64))
     end = b" " + b" ".join(reversed(base)) + b" "
     return mark + end, trained(others, max(256, len(mark))) + end
@@ -211,23 +230,33 @@ class Gauge:
 
     def gaps(self, text: str | None) -> list[np.ndarray]:
         """The gaps of a text's windows, for each kind of window."""
-        words, known, older, out = _words(text), self.known, self.older, []
-        toxic, ordinary, prime, tail = self.toxic, self.ordinary, self.prime, self.tail
+        return self.gaps_of(_words(text))
+
+    def gaps_of(self, words: list[bytes]) -> list[np.ndarray]:
+        out = []
         for size, step in WINDOWS:
-            w = windows(words, size, step)
-            gap = known if size == 1 else {}
-            for x in w:
-                if x not in gap:
-                    if gap is known and x in older:
-                        gap[x] = older[x]
-                        continue
-                    y = prime + x + tail
-                    gap[x] = len(ordinary(y)) - len(toxic(y))
-            out.append(np.fromiter(map(gap.__getitem__, w), np.int64, len(w)))
-        if len(known) > CACHE // 2:             # words still in use move on
-            self.known, self.older = {}, known
+            found = (self.known, self.older) if size == 1 else ({}, {})
+            out.append(np.array(self._look(windows(words, size, step), *found), np.int64))
+        if len(self.known) > CACHE // 2:        # words still in use move on
+            self.known, self.older = {}, self.known
         return out
 
+    def _look(self, w: list[bytes], known: dict[bytes, int], older: dict[bytes, int]) -> list[int]:
+        toxic, ordinary, prime, tail = self.toxic, self.ordinary, self.prime, self.tail
+        gaps = list(map(known.get, w))          # one look for a word that is known
+        for i, gap in enumerate(gaps):
+            if gap is None:
+                x = w[i]
+                gap = known.get(x)
+                if gap is None:
+                    gap = older.get(x)
+                    if gap is None:
+                        y = prime + x + tail
+                        gap = len(ordinary(y)) - len(toxic(y))
+                    known[x] = gap
+                gaps[i] = gap
+        return gaps
+
 
 @lru_cache(maxsize=1)
 def gauge_of(toxic: bytes, ordinary: bytes) -> Gauge:
@@ -235,16 +264,24 @@ def gauge_of(toxic: bytes, ordinary: bytes) -> Gauge:
     return Gauge(toxic, ordinary)
 
 
-def evidence(gaps: list[np.ndarray]) -> np.ndarray:
+def evidence_of(texts: list[list[np.ndarray]]) -> np.ndarray:
+    """A row of evidence for the gaps of each text."""
     out = []
-    for g, levels in zip(gaps, LEVELS, strict=True):
+    for kind, levels in enumerate(LEVELS):
         end, at = levels[-1], np.array(levels)
-        counts = np.bincount(np.clip(g, -end, end) + end, minlength=2 * end + 1)
-        upwards, downwards = counts[::-1].cumsum()[::-1], counts.cumsum()
-        over = np.maximum(upwards[end + at] - downwards[end - at], 0).astype(float)
-        top = min(max(int(g.max(initial=0)), 0), 2 * end)
-        out += [np.sqrt(over / max(1, len(g))), np.log1p(over), [top, np.log1p(len(g))]]
-    return np.concatenate(out)
+        width, sizes = 4 * end + 1, np.array([len(t[kind]) for t in texts])
+        g = np.concatenate([t[kind] for t in texts])
+        place = np.repeat(np.arange(len(texts)) * width + 2 * end, sizes) + np.clip(g, -2 * end, 2 * end)
+        counts = np.bincount(place, minlength=len(texts) * width).reshape(-1, width)
+        upwards, downwards = counts[:, ::-1].cumsum(axis=1)[:, ::-1], counts.cumsum(axis=1)
+        over = np.maximum(upwards[:, 2 * end + at] - downwards[:, 2 * end - at], 0).astype(float)
+        top = (upwards[:, 2 * end + 1:] > 0).sum(axis=1)        # the largest gap, from 0 to 2 * end
+        out += [np.sqrt(over / np.maximum(1, sizes)[:, None]), np.log1p(over), np.c_[top, np.log1p(sizes)]]
+    return np.concatenate(out, axis=1)
+
+
+def evidence(gaps: list[np.ndarray]) -> np.ndarray:
+    return evidence_of([gaps])[0]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -263,23 +300,43 @@ def fit(texts: list[str], y: np.ndarray, half: np.ndarray, odds: float) -> Model
     each half (``half``, boolean) shows under dictionaries of the other one.
     ``odds`` is the share of toxic to ordinary labels in the whole divided by
     that in the sample."""
+    numbered = Numbered(texts)
+
     def pair(rows) -> tuple[bytes, bytes]:
-        return dictionaries([texts[i] for i in rows if y[i]], [texts[i] for i in rows if not y[i]])
+        return dictionaries([texts[i] for i in rows if y[i]], [texts[i] for i in rows if not y[i]], numbered)
 
     x = np.zeros((len(texts), sum(2 * len(levels) + 2 for levels in LEVELS)))
     for side in (half, ~half):
         gauge = Gauge(*pair(np.flatnonzero(~side)))
         for i in np.flatnonzero(side):
-            x[i] = evidence(gauge.gaps(texts[i]))
+            x[i] = evidence(gauge.gaps_of(numbered.words(texts[i])))
     centre, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
     w = logistic((x - centre) / spread, y.astype(float))
     w[-1] += np.log(odds)
     return Model(*pair(np.arange(len(texts))), w, centre, spread)
 
 
+def scores(model: Model, gauge: Gauge, texts: Iterable[str | None]) -> np.ndarray:
+    """The scores of texts; the gaps of about ``TOGETHER`` words are held at once."""
+    out, held, size = [np.zeros(0)], [], 0
+
+    def some() -> np.ndarray:
+        x = (evidence_of(held) - model.centre) / model.spread
+        total = (x * model.weights[:-1]).sum(axis=1) + model.weights[-1]  # row by row: equal texts, equal scores
+        return 1 / (1 + np.exp(-np.clip(total, -60, 60)))
+    for t in texts:
+        held.append(gauge.gaps(t))
+        size += len(held[-1][0])
+        if size >= TOGETHER:
+            out.append(some())
+            held, size = [], 0
+    if held:
+        out.append(some())
+    return np.concatenate(out)
+
+
 def score(model: Model, gauge: Gauge, text: str | None) -> float:
-    x = np.r_[(evidence(gauge.gaps(text)) - model.centre) / model.spread, 1.0]
-    return float(1 / (1 + np.exp(-np.clip(x @ model.weights, -60, 60))))
+    return float(scores(model, gauge, [text])[0])
 
 
 # ---- Spark --------------------------------------------------------------------------
@@ -320,7 +377,7 @@ def score_column(spark: SparkSession, model: Model | None, text: Column) -> Colu
         m = sent.value
         gauge = gauge_of(m.toxic, m.ordinary)
         for texts in batches:
-            yield pd.Series([score(m, gauge, t) for t in texts], dtype=float)
+            yield pd.Series(scores(m, gauge, texts))
     return toxicity(text)
 
 
