@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+import zstandard
 
 from tierline.llm import ppm
 from tierline.llm.queries import q_op8_lm_score
@@ -127,3 +128,55 @@ def test_block_is_counted_and_scored_without_indirect_sort(monkeypatch):
     assert got["n_known"].tolist() == [sum(words[w] > 0 for w in [*t.split(), b"\n"]) for t in texts]
     base = [sum(math.log10((words[w] + 0.5) / (50 + 0.5 * 10)) for w in [*t.split(), b"\n"]) for t in texts]
     assert got["base_score"].tolist() == pytest.approx(base)
+
+
+@pytest.mark.parametrize("crowd", [1, 40, 400])
+def test_parted_contexts_equal_plain_trie(spark, odd_docs, monkeypatch, crowd):
+    """Contexts asked more often than ``CROWD`` lie in several shards, at the least all
+    of them down to single contexts of ORDER bytes; the scores stay those of one trie."""
+    monkeypatch.setattr(ppm, "CROWD", crowd)
+    monkeypatch.setattr(ppm, "ANSWERS", 3)
+    docs = odd_docs.filter("doc_id is null or doc_id not in (9, 10)").repartition(5)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    texts = [(200 + i, f"the cat {i % 7} sat on the mat, the hat {'th' * (i % 5)} that\x00{i}") for i in range(60)]
+    more = spark.createDataFrame(texts, "doc_id long, text string").repartition(7)
+    same(ppm.score_texts(docs.select("doc_id", "text").union(more)).collect(), rows + texts)
+
+
+def test_blocks_are_stored_compressed(spark):
+    """A block's text goes through the JVM compressed: as plain rows of 16 MB it filled
+    an executor's heap."""
+    texts = [f"The Cat  sat on\tthe mat {i}" for i in range(3000)]
+    docs = spark.createDataFrame([(str(i), False, t) for i, t in enumerate(texts)],
+                                 "id string, held boolean, text string").coalesce(1)
+    (r,) = docs.mapInArrow(ppm._blocks, ppm.BLOCKS).collect()
+    plain = b"".join(ppm.normalised(t) + b"\n" for t in texts)
+    assert len(r.text) < len(plain) / 2 and zstandard.decompress(bytes(r.text)) == plain
+    assert r.lens == [len(ppm.normalised(t)) for t in texts]
+
+
+def test_crowded_context_is_dealt_over_shards(spark, monkeypatch):
+    """No shard is asked for all n-grams behind a common two-byte context; before, its
+    shard had a fixed share of the corpus."""
+    rng = np.random.default_rng(5)
+    words = [" ".join("".join(rng.choice(list("abcdefgh"), 4)) + "th" for _ in range(60)) for _ in range(20)]
+    s = ppm.Stream(*block([w.encode() for w in words]))
+    keys = next(ppm.vocabulary(s, np.zeros(len(words), bool)))[1]
+    hot = keys[(keys >> np.uint64(8)) & np.uint64(0xFFFF) == int.from_bytes(b"h ")]
+    assert len(hot) > 100
+    contexts, n = ppm.crowded(keys, 25)
+    order = contexts >> np.uint64(8 * ppm.ORDER)
+    parted = [ppm.suffix(contexts[order == k], ppm.ORDER) for k in range(2, ppm.ORDER)]
+    for k, known in enumerate(parted, 2):
+        have = Counter(ppm.suffix(keys >> np.uint64(8), k).tolist())
+        assert {c: m for c, m in have.items() if m > 25} == dict(zip(known.tolist(), n[order == k].tolist()))
+    shards = 1 << 16
+    most = max(Counter(ppm.shard_of(ppm.NGRAM, keys, shards, parted).tolist()).values())
+    assert most < max(Counter(ppm.shard_of(ppm.NGRAM, keys, shards).tolist()).values()) / 2
+    for k, known in enumerate(parted, 2):               # a context that is not parted is in one shard
+        ctx = ppm.suffix(keys >> np.uint64(8), k)
+        whole = ~ppm.among(known, ctx)
+        where = defaultdict(set)
+        for c, shard in zip(ctx[whole].tolist(), ppm.shard_of(ppm.NGRAM, keys, shards, parted)[whole].tolist()):
+            where[c].add(shard)
+        assert all(len(x) == 1 for x in where.values())

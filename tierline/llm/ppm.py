@@ -16,13 +16,16 @@ Beside it stands a word model: add-half smoothed unigrams with one end token
 per document.
 
 Scale: texts are gathered into blocks of about ``BLOCK_BYTES`` (stored in the
-shared folder, one row each). A block asks for its distinct n-grams and words,
-with their counts from training documents, so what leaves a block is the size of
-its vocabulary, not of its text. The trie is never in one place: it is dealt into
-shards by two-byte suffix, within which all longer contexts of an n-gram lie,
-and only the two shortest levels (at most 256 + 256 * 256 counts) are broadcast.
-An ask is one row per block and shard, keys and counts packed; a shard sums the
-counts of all blocks and answers each. Words are known by a 64-bit hash.
+shared folder, one row each, compressed). A block asks for its distinct n-grams
+and words, with their counts from training documents, so what leaves a block is
+the size of its vocabulary, not of its text. The trie is never in one place: it is
+dealt into shards by two-byte suffix, within which all longer contexts of an
+n-gram lie. A suffix that blocks ask for more than ``CROWD`` times is parted by one
+more byte, and so on, so that no shard grows with the corpus; what all of a parted
+context's shards need is broadcast: its counts by symbol, and the two shortest
+levels (at most 256 + 256 * 256 counts). An ask is one row per block and shard,
+keys and counts packed; a shard sums the counts of all blocks and answers each.
+Words are known by a 64-bit hash.
 
 Defined results: null and empty texts are the end alone; rows that repeat are
 scored (and learned) each; without training documents every byte has
@@ -32,7 +35,7 @@ of the empty text. Very long texts make a block of their own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -48,7 +51,9 @@ BLOCK_BYTES = 16 << 20
 PIECE = 1 << 20         # positions looked at together
 END = 10
 SHARDS_PER_PARTITION = 4
-NGRAM, WORD = 0, 1
+CROWD = 1 << 20         # asks of one context, over all blocks, from which on it is parted
+ANSWERS = 256           # rows of answers made together
+NGRAM, WORD, CROWDED = 0, 1, 2
 
 BLOCKS = "block long, ids array<string>, held array<boolean>, lens array<long>, text binary"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -208,6 +213,34 @@ class Level:
         return self._find(self.ctx, ctx, self.total, self.kinds)
 
 
+def suffix(x: np.ndarray, order: int) -> np.ndarray:
+    """The last ``order`` bytes of contexts or n-grams."""
+    return x & np.uint64((1 << (8 * order)) - 1)
+
+
+def among(known: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Whether each of ``x`` is one of ``known``, which is sorted."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
+def crowded(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The contexts of 2 to ORDER - 1 bytes with more than ``least`` of a block's
+    n-grams, their length before their bytes, and how many they have."""
+    found, n = [], []
+    ctx = keys >> np.uint64(8)
+    for order in range(2, ORDER):
+        ordered = np.sort(suffix(ctx, order))
+        first = _firsts(ordered)
+        have = np.diff(first, append=len(ordered))
+        many = ordered[first][have > least]
+        found.append(many | np.uint64(order << (8 * ORDER)))
+        n.append(have[have > least])
+        ctx = ctx[among(many, suffix(ctx, order))]
+    return np.concatenate(found), np.concatenate(n)
+
+
 def log_probabilities(keys: np.ndarray, levels: list[Level]) -> np.ndarray:
     """log10 probability of each n-gram's symbol in its context; ``levels``
     holds the counts for contexts of ORDER, ..., 1, 0 bytes."""
@@ -248,7 +281,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row() -> pa.RecordBatch:
         return pa.RecordBatch.from_pydict(
             {"block": [number], "ids": [ids], "held": [held], "lens": [[len(t) - 1 for t in texts]],
-             "text": [b"".join(texts)]}, schema=kinds)
+             "text": [zstandard.compress(b"".join(texts), 3)]}, schema=kinds)
     for batch in batches:
         doc, fold, text = (batch.column(c) for c in ("id", "held", "text"))
         for i in range(batch.num_rows):                 # one text at a time in Python
@@ -281,23 +314,44 @@ def unpack_keys(raw: bytes) -> np.ndarray:
     return np.cumsum(unpack(raw, np.uint8).reshape(8, -1).T.copy().view("<u8").ravel(), dtype=np.uint64)
 
 
-def shard_of(kind: int, keys: np.ndarray, shards: int) -> np.ndarray:
-    x = ((keys >> np.uint64(8)) & np.uint64(0xFFFF)) * _ODD if kind == NGRAM else keys * _ODD
-    return ((x >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+def shard_of(kind: int, keys: np.ndarray, shards: int, parted: Sequence[np.ndarray] = ()) -> np.ndarray:
+    """N-grams go by the last two bytes of their context, and by one more where those
+    are among ``parted`` (sorted contexts of two bytes, of three, ...)."""
+    x = keys
+    if kind == NGRAM:
+        ctx = keys >> np.uint64(8)
+        x = suffix(ctx, 2)
+        deep = np.arange(len(keys))
+        for order, contexts in enumerate(parted, 2):
+            deep = deep[among(contexts, suffix(ctx[deep], order))]
+            x[deep] = suffix(ctx[deep], order + 1)
+    return (((x * _ODD) >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
 
 
-def _ask(batches: Iterator[pd.DataFrame], shards: int) -> Iterator[pd.DataFrame]:
+def _ask(batches: Iterator[pd.DataFrame], least: int) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for r in pdf.itertuples(index=False):
-            s = Stream(r.text, np.array(r.lens, np.int64))
+            s = Stream(zstandard.decompress(r.text), np.array(r.lens, np.int64))
             for kind, keys, counts in vocabulary(s, np.array(r.held, bool)):
-                shard = shard_of(kind, keys, shards)
-                order = np.argsort(shard, kind="stable")
-                cuts = np.searchsorted(shard[order], np.arange(shards + 1))
-                rows = [(np.int32(i), np.int8(kind), r.block, pack_keys(keys[o]),
-                         pack(counts[o].astype("<u4")))
-                        for i in range(shards) if len(o := order[cuts[i]:cuts[i + 1]])]
-                yield pd.DataFrame(rows, columns=["shard", "kind", "block", "keys", "counts"])
+                rows = [(kind, keys, counts)]
+                if kind == NGRAM:
+                    rows.append((CROWDED, *crowded(keys, least)))
+                yield pd.DataFrame([(np.int8(of), r.block, pack_keys(k), pack(c.astype("<u4")))
+                                    for of, k, c in rows], columns=["kind", "block", "keys", "counts"])
+
+
+def _deal(batches: Iterator[pd.DataFrame], shards: int, parted: Sequence[np.ndarray]) -> Iterator[pd.DataFrame]:
+    """A block's asks by shard. Of words each shard is asked, since its totals are
+    part of its answer."""
+    for pdf in batches:
+        for r in pdf.itertuples(index=False):
+            keys, counts = unpack_keys(r.keys), unpack(r.counts, "<u4")
+            shard = shard_of(r.kind, keys, shards, parted)
+            order = np.argsort(shard, kind="stable")
+            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+            rows = [(np.int32(i), np.int8(r.kind), r.block, pack_keys(keys[o]), pack(counts[o]))
+                    for i in range(shards) if len(o := order[cuts[i]:cuts[i + 1]]) or r.kind == WORD]
+            yield pd.DataFrame(rows, columns=["shard", "kind", "block", "keys", "counts"])
 
 
 def _by_shard(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -321,7 +375,7 @@ def _summed(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         ks.append(unpack_keys(k))
         cs.append(unpack(c, "<u4").astype(np.int64))
         size += len(ks[-1])
-        if size > 2_000_000:
+        if size > max(1 << 19, len(keys)):
             keys, counts = merge([keys, *ks], [counts, *cs])
             ks, cs, size = [], [], 0
     return merge([keys, *ks], [counts, *cs])
@@ -364,52 +418,89 @@ def score_texts(docs: DataFrame, folds: int = 5, held_fold: int = 1, id_col: str
                                 (id_fold(F.col(id_col), folds) == held_fold).alias("held"),
                                 F.col(text_col).alias("text")).mapInArrow(_blocks, BLOCKS), "blocks")
     shards = SHARDS_PER_PARTITION * shuffle_parts(spark)
-    asks = stored(blocks.mapInPandas(lambda it: _ask(it, shards), "shard int, kind byte, "
-                                     "block long, keys binary, counts binary"), "asks")
+    # where blocks name what they have more of than this, none is missed
+    least = CROWD // 2 // max(1, blocks.count())
+    asks = stored(blocks.mapInPandas(lambda it: _ask(it, least),
+                                     "kind byte, block long, keys binary, counts binary"), "asks")
+
+    def crowds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for k, c in zip(pdf["keys"], pdf["counts"], strict=True):
+                yield pd.DataFrame({"k": unpack_keys(k).view(np.int64), "n": unpack(c, "<u4").astype(np.int64)})
+
+    crowd = (asks.filter(F.col("kind") == CROWDED).select("keys", "counts").mapInPandas(crowds, "k long, n long")
+             .groupBy("k").agg(F.sum("n").alias("n")).filter(F.col("n") > CROWD // 2).select("k").toPandas())
+    crowd = np.sort(crowd["k"].to_numpy(np.int64).view(np.uint64))
+    parted = [suffix(crowd[crowd >> np.uint64(8 * ORDER) == order], ORDER) for order in range(2, ORDER)]
 
     def short_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros(1 << 16, np.int64)
+        of_parted = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in parted]
         for pdf in batches:
             for k, c in zip(pdf["keys"], pdf["counts"], strict=True):
-                low = (unpack_keys(k) & np.uint64(0xFFFF)).astype(np.int64)
-                sums += np.bincount(low, weights=unpack(c, "<u4"), minlength=1 << 16).astype(np.int64)
+                k, c = unpack_keys(k), unpack(c, "<u4").astype(np.int64)
+                k, c = k[c > 0], c[c > 0]
+                sums += np.bincount(suffix(k, 2).astype(np.int64), weights=c, minlength=1 << 16).astype(np.int64)
+                for i, contexts in enumerate(parted):
+                    here = among(contexts, suffix(k >> np.uint64(8), i + 2))
+                    k, c = k[here], c[here]
+                    old_k, old_c = of_parted[i]
+                    of_parted[i] = merge([old_k, suffix(k, i + 3)], [old_c, c])
         some = np.flatnonzero(sums)
-        yield pd.DataFrame({"k": some, "n": sums[some]})
+        for order, (k, n) in enumerate([(some.astype(np.uint64), sums[some]), *of_parted], 1):
+            yield pd.DataFrame({"o": order, "k": k.view(np.int64), "n": n})
 
-    # contexts of one byte and none: at most 256 * 256 rows
+    # contexts of one byte and none, at most 256 * 256 rows, and those that lie in several shards
     short = (asks.filter(F.col("kind") == NGRAM).select("keys", "counts")
-             .mapInPandas(short_counts, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-             .toPandas().sort_values("k"))
-    one = Level(short["k"].to_numpy(np.int64).view(np.uint64), short["n"].to_numpy(np.int64))
-    sent = spark.sparkContext.broadcast([one, one.shorter(1)])
-
-    def known_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _by_shard(batches):
-            _, counts = _summed(rows)
-            yield pd.DataFrame({"n": [counts.sum()], "v": [(counts > 0).sum()]})
-
-    dealt = asks.filter(F.col("kind") == WORD).repartition("shard").sortWithinPartitions("shard", "kind")
-    n, v = dealt.mapInPandas(known_words, "n long, v long").agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).collect()[0]
+             .mapInPandas(short_counts, "o int, k long, n long").groupBy("o", "k").agg(F.sum("n").alias("n"))
+             .toPandas().sort_values(["o", "k"]))
+    short = [(rows["k"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64))
+             for rows in (short[short["o"] == order] for order in range(1, ORDER))]
+    one = Level(*short[0])
+    sent = spark.sparkContext.broadcast(([one, one.shorter(1)], short[1:]))
+
+    def trie(keys: np.ndarray, counts: np.ndarray) -> list[Level]:
+        """The levels of a shard; of a context in several shards, with what they all have."""
+        short, several = sent.value
+        levels = [Level(keys[counts > 0], counts[counts > 0])]
+        for order in range(ORDER, 2, -1):
+            levels.append(levels[-1].shorter(order))
+        for i, (contexts, (all_keys, all_counts)) in enumerate(zip(parted, several, strict=True)):
+            asked = np.sort(suffix(keys >> np.uint64(8), i + 2))
+            contexts = contexts[among(asked, contexts)]
+            if len(contexts):
+                level = levels[ORDER - 2 - i]
+                own = ~among(contexts, level.keys >> np.uint64(8))
+                here = among(contexts, all_keys >> np.uint64(8))
+                levels[ORDER - 2 - i] = Level(*merge([level.keys[own], all_keys[here]],
+                                                     [level.counts[own], all_counts[here]]))
+        return levels + short
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _by_shard(batches):
             keys, counts = _summed(rows)
-            values = counts.astype(float)
-            if rows["kind"].iloc[0] == NGRAM:
-                levels = [Level(keys[counts > 0], counts[counts > 0])]
-                for order in range(ORDER, 2, -1):
-                    levels.append(levels[-1].shorter(order))
-                values = log_probabilities(keys, levels + sent.value)
-            for r in rows.itertuples(index=False):
-                asked = values[np.searchsorted(keys, unpack_keys(r.keys))]
-                yield pd.DataFrame({"block": [r.block], "kind": [r.kind], "keys": [r.keys],
-                                    "values": [pack(asked.astype("<f8"))]})
-
-    answers = (asks.repartition("shard").sortWithinPartitions("shard", "kind")
-               .mapInPandas(answer, "block long, kind byte, keys binary, values binary"))
+            values, kind = counts.astype(float), rows["kind"].iloc[0]
+            if kind == NGRAM:
+                values = log_probabilities(keys, trie(keys, counts))
+            for at in range(0, len(rows), ANSWERS):
+                some = rows.iloc[at:at + ANSWERS]
+                asked = [pack(values[np.searchsorted(keys, unpack_keys(k))].astype("<f8")) for k in some["keys"]]
+                yield pd.DataFrame({"block": some["block"], "kind": kind, "keys": some["keys"], "values": asked,
+                                    "n": counts.sum(), "v": (counts > 0).sum()})
+
+    # asks for crowds are answered already
+    dealt = (asks.filter(F.col("kind") != CROWDED)
+             .mapInPandas(lambda it: _deal(it, shards, parted),
+                          "shard int, kind byte, block long, keys binary, counts binary")
+             .repartition("shard").sortWithinPartitions("shard", "kind"))
+    answers = dealt.mapInPandas(answer, "block long, kind byte, keys binary, values binary, n long, v long")
+
+    def scored(block: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        words = answers[answers["kind"] == WORD]        # from each shard once
+        text = [zstandard.decompress(t) for t in block["text"]]
+        return _score(block.assign(text=text), answers, int(words["n"].sum()), int(words["v"].sum()))
+
     schema = ("doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
-    out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        lambda b, a: _score(b, a, n, v), schema)
+    out = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(scored, schema)
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
